@@ -2,15 +2,36 @@
 
 from __future__ import annotations
 
-from . import quality
+from . import license, mixture, quality, toxicity, warc
 from .common import table
 
 
+def op2_license(spark, sf_dir):
+    return license.scan(table(spark, sf_dir, "documents")).drop("detections")
+
+
+def op6_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.learn(docs, table(spark, sf_dir, "labels")))
+
+
+def op7_mixture(spark, sf_dir):
+    return mixture.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op9_warc(spark, sf_dir):
+    return warc.read_archives(warc.write(table(spark, sf_dir, "pages")))
+
+
 def op10_quality(spark, sf_dir):
     return quality.report(table(spark, sf_dir, "documents"))
 
 
 QUERIES = {
+    "op2_license": op2_license,
+    "op6_toxicity": op6_toxicity,
+    "op7_mixture": op7_mixture,
+    "op9_warc": op9_warc,
     "op10_quality": op10_quality,
 }
 
