@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import license, mixture, quality, toxicity, warc
+from . import license, mixture, neardup, quality, toxicity, warc
 from .common import table
 
 
@@ -19,6 +19,10 @@ def op7_mixture(spark, sf_dir):
     return mixture.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op8_neardup(spark, sf_dir):
+    return neardup.find(table(spark, sf_dir, "documents")).drop("row_key")
+
+
 def op9_warc(spark, sf_dir):
     return warc.read_archives(warc.write(table(spark, sf_dir, "pages")))
 
@@ -31,6 +35,7 @@ QUERIES = {
     "op2_license": op2_license,
     "op6_toxicity": op6_toxicity,
     "op7_mixture": op7_mixture,
+    "op8_neardup": op8_neardup,
     "op9_warc": op9_warc,
     "op10_quality": op10_quality,
 }
