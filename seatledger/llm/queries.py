@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import license, mixture, neardup, quality, toxicity, warc
+from . import license, mixture, neardup, quality, substrings, toxicity, warc
 from .common import table
 
 
@@ -10,6 +10,10 @@ def op2_license(spark, sf_dir):
     return license.scan(table(spark, sf_dir, "documents")).drop("detections")
 
 
+def op3_substrings(spark, sf_dir):
+    return substrings.dedup(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op6_toxicity(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     return toxicity.score(docs, toxicity.learn(docs, table(spark, sf_dir, "labels")))
@@ -33,6 +37,7 @@ def op10_quality(spark, sf_dir):
 
 QUERIES = {
     "op2_license": op2_license,
+    "op3_substrings": op3_substrings,
     "op6_toxicity": op6_toxicity,
     "op7_mixture": op7_mixture,
     "op8_neardup": op8_neardup,
