@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from . import license, mixture, neardup, quality, substrings, toxicity, warc
+from . import langmodel, license, mixture, neardup, quality, substrings, toxicity, warc
 from .common import table
 
 
+def op1_langmodel(spark, sf_dir):
+    return langmodel.score(table(spark, sf_dir, "documents"))
+
+
 def op2_license(spark, sf_dir):
     return license.scan(table(spark, sf_dir, "documents")).drop("detections")
 
@@ -36,6 +40,7 @@ def op10_quality(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_langmodel": op1_langmodel,
     "op2_license": op2_license,
     "op3_substrings": op3_substrings,
     "op6_toxicity": op6_toxicity,
