@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import langmodel, license, mixture, neardup, quality, substrings, toxicity, warc
+from . import decontam, langmodel, license, mixture, neardup, quality, substrings, tokens, toxicity, warc
 from .common import table
 
 
@@ -18,6 +18,14 @@ def op3_substrings(spark, sf_dir):
     return substrings.dedup(table(spark, sf_dir, "documents")).drop("kept")
 
 
+def op4_tokens(spark, sf_dir):
+    return tokens.materialised_order(table(spark, sf_dir, "documents")).drop("tokens")
+
+
+def op5_decontam(spark, sf_dir):
+    return decontam.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op6_toxicity(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     return toxicity.score(docs, toxicity.learn(docs, table(spark, sf_dir, "labels")))
@@ -43,6 +51,8 @@ QUERIES = {
     "op1_langmodel": op1_langmodel,
     "op2_license": op2_license,
     "op3_substrings": op3_substrings,
+    "op4_tokens": op4_tokens,
+    "op5_decontam": op5_decontam,
     "op6_toxicity": op6_toxicity,
     "op7_mixture": op7_mixture,
     "op8_neardup": op8_neardup,
