@@ -1 +1 @@
-"""Functions."""
+"""Column functions."""

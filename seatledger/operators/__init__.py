@@ -1 +1 @@
-"""Operators."""
+"""Operators on DataFrames."""

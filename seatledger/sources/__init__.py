@@ -1 +1 @@
-"""Sources."""
+"""Sources and sinks."""

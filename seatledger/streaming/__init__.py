@@ -1 +1 @@
-"""Streaming."""
+"""Streaming variants."""
