@@ -8,6 +8,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from . import patterns as P
 
@@ -46,13 +47,13 @@ def normalise_committee(x: Column) -> Column:
     return clean(F.regexp_replace(n, r"[^a-z0-9 ]", " "))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def strip_marks(x: pd.Series) -> pd.Series:
     """Compatibility decomposition without combining marks: there is no such function in the JVM."""
     return x.map(lambda t: None if t is None else t if t.isascii() else "".join(c for c in unicodedata.normalize("NFKD", t) if not unicodedata.combining(c)))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def unescape(x: pd.Series) -> pd.Series:
     """Character references decoded."""
     return x.map(lambda t: None if t is None else _html.unescape(t) if "&" in t else t)
