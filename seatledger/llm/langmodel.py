@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import materialise, small_batches, utf8
-from .neardup import WordHashes, mix
+from .neardup import WordHashes, distinct, mix
 from .toxicity import held_out
 
 ORDER = 2
@@ -168,17 +168,17 @@ class Automaton:
         return np.where(self.keys[n][at] == grams, self.counts[n][at], 0)
 
 
-def walk(tokens: Tokens, model: Automaton, order: int) -> tuple[np.ndarray, np.ndarray]:
-    """Log10 probability and corpus count of each token of the block.
+def walk(tokens: Tokens, model: Automaton, order: int, seen: dict[int, np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Log10 probability of each token of the block, by the model and by the root alone.
 
     The texts are cut into segments that enter in the state which the tokens before them
     lead to; all segments are walked side by side, one token to the right in each step. A
     step takes the longest arc of the state, or falls back along failure arcs, whose costs
-    add up; the state it leaves in is the longest history that ends in the token.
+    add up; the state it leaves in is the longest history that ends in the token. ``seen``
+    has the counts of the n-grams that end at each token, where the caller knows them.
     """
     m = len(tokens.hashes)
-    grams = {n: tokens.grams(n) for n in range(1, order + 1)}
-    seen = {n: model.count(n, grams[n]) for n in grams}
+    seen = {n: model.count(n, tokens.grams(n)) for n in range(1, order + 1)} if seen is None else seen
     place = np.arange(m) - np.repeat(tokens.begins, tokens.lengths)
     # The history of length k before a token is the k-gram that ends at the token before it; before a text, BEGIN.
     logs, cost = np.empty(m), np.zeros(m)
@@ -221,15 +221,16 @@ def _score(key, docs: pa.Table, answers: pa.Table, order: int, shards: int, tota
         return pa.table({n: pa.array([], t) for n, t in zip(names, kinds, strict=True)})
     tokens = Tokens((c.as_py() for c in docs.column("text")), WordHashes())
     got = {(s, n): x for s, n, x in zip(answers.column("shard").to_pylist(), answers.column("n").to_pylist(), answers.column("totals").to_pylist(), strict=True)}
-    keys, counts = {}, {}
+    keys, counts, seen = {}, {}, {}
     for n in range(1, order + 1):
-        keys[n] = np.unique(tokens.grams(n))
+        keys[n], where = np.unique(tokens.grams(n), return_inverse=True)
         counts[n] = np.concatenate([unpack_counts(got[s, n]) for s in range(shards) if (s, n) in got])
         if len(keys[n]) != len(counts[n]):
             raise ValueError(f"block {key[0]}: {len(keys[n])} {n}-grams and {len(counts[n])} answers")
+        seen[n] = counts[n][where]
     model = Automaton(keys, counts, total, types, texts, share)
-    logs, base = walk(tokens, model, order)
-    known = (model.count(1, tokens.hashes) > 0).astype(np.float64)
+    logs, base = walk(tokens, model, order, seen)
+    known = (seen[1] > 0).astype(np.float64)
     doc = np.repeat(np.arange(len(tokens.lengths)), tokens.lengths)
     by = lambda x: np.bincount(doc, weights=x, minlength=len(tokens.lengths))
     cols = [docs.column("doc_id"), docs.column("held_out"), pa.array(tokens.lengths), pa.array(by(known).astype(np.int64)), pa.array(by(base)), pa.array(by(logs))]
@@ -240,7 +241,7 @@ def _type_counts(rows: pa.Table) -> pa.Table:
     """Of one shard: distinct and all training tokens."""
     keys = np.concatenate([unpack(x) for x in rows.column("grams").to_pylist()])
     counts = np.concatenate([unpack_counts(x) for x in rows.column("counts").to_pylist()])
-    return pa.table({"types": pa.array([len(np.unique(keys[counts > 0]))], pa.int64()), "tokens": pa.array([int(counts.sum())], pa.int64())})
+    return pa.table({"types": pa.array([len(distinct(keys[counts > 0]))], pa.int64()), "tokens": pa.array([int(counts.sum())], pa.int64())})
 
 
 def score(docs: DataFrame, order: int = ORDER, block_bytes: int = BLOCK_BYTES, mod: int = 7, rest: int = 2) -> DataFrame:

@@ -54,6 +54,12 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def distinct(x: np.ndarray) -> np.ndarray:
+    """Sorted distinct values: by sorting, which beats a hash table here."""
+    x = np.sort(x)
+    return x[np.concatenate(([True], x[1:] != x[:-1]))] if len(x) else x
+
+
 def shingle_set(text: str | None, k: int, cache: WordHashes) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the k-word shingles; of all words where there are fewer."""
     words = utf8(text).lower().split()
@@ -65,7 +71,7 @@ def shingle_set(text: str | None, k: int, cache: WordHashes) -> np.ndarray:
     acc = h[:n] + np.uint64(k)
     for j in range(1, k):
         acc = mix(acc) * _MIX + h[j : n + j]
-    return np.unique(mix(acc))
+    return distinct(mix(acc))
 
 
 def _coefficients() -> tuple[np.ndarray, np.ndarray]:
