@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 ACTION = "struct<actionDate:string,text:string,type:string>"
-BILLS_PAGE = "congress int, bill_type string, page int, bills array<struct<congress:int,type:string,number:string,title:string>>, pagination struct<next:string>"
+BILLS_PAGE = "congress int, bill_type string, page int, bills array<struct<congress:int,type:string,number:string,title:string,updateDate:string>>, pagination struct<next:string>"
 ACTIONS_PAGE = f"congress int, bill_type string, number string, actions array<{ACTION}>"
 COMMITTEES_PAGE = "chamber string, committees array<struct<systemCode:string,name:string,chamber:string,parent:struct<systemCode:string>>>, pagination struct<next:string>"
 COMMITTEE_DETAIL = "systemCode string, committee struct<history:array<struct<officialName:string,libraryOfCongressName:string,endDate:string>>>"

@@ -12,10 +12,10 @@ from .. import schemas as S
 
 
 def bills(spark: SparkSession, path: str) -> DataFrame:
-    """congress, bill_type, number, title, api_pos from list pages; api_pos keeps the order over pages."""
+    """congress, bill_type, number, title, api_pos, update_date from list pages; api_pos keeps the order over pages."""
     pages = spark.read.schema(S.BILLS_PAGE).json(path)
     rows = pages.select("congress", "bill_type", "page", F.posexplode("bills").alias("pos", "b"))
-    return rows.select("congress", "bill_type", F.col("b.number").alias("number"), F.coalesce("b.title", F.lit("")).alias("title"), (F.col("page") * 1_000_000 + F.col("pos")).cast("long").alias("api_pos"))
+    return rows.select("congress", "bill_type", F.col("b.number").alias("number"), F.coalesce("b.title", F.lit("")).alias("title"), (F.col("page") * 1_000_000 + F.col("pos")).cast("long").alias("api_pos"), F.col("b.updateDate").alias("update_date"))
 
 
 def actions(spark: SparkSession, path: str) -> DataFrame:

@@ -243,3 +243,27 @@ def test_landing(spark, tmp_path):
     (tmp_path / "l.yaml").write_text("- id: {bioguide: A1}\n  name: {first: Ann, last: Oak}\n  terms:\n  - {type: rep, state: OH, start: 2001-01-03, end: '2003-01-03', party: P}\n")
     p = landing.legislators(spark, [str(tmp_path / "l.yaml")]).first()
     assert p["id"]["bioguide"] == "A1" and p["terms"][0]["start"] == "2001-01-03"
+
+
+def test_command_line(spark, tmp_path, capsys):
+    from seatledger.__main__ import main
+
+    def put(folder, name, data):
+        os.makedirs(tmp_path / folder, exist_ok=True)
+        (tmp_path / folder / name).write_text(data if isinstance(data, str) else json.dumps(data))
+
+    assert main(["--congress", "119", "--landing", str(tmp_path)], spark) == 2
+    put("bills", "0.json", {"congress": 119, "bill_type": "hres", "page": 0, "bills": [{"number": "7", "title": "Electing Members to committees"}]})
+    put("actions", "0.json", {"congress": 119, "bill_type": "hres", "number": "7", "actions": [{"actionDate": "2025-01-10", "text": "Agreed to", "type": "F"}]})
+    put("renditions/govinfo", "BILLS-119hres7eh.xml", XML)
+    put("committees", "0.json", {"chamber": "house", "committees": [{"systemCode": "hsag00", "name": "Agriculture Committee"}]})
+    out = str(tmp_path / "out.json")
+    assert main(["--congress", "119", "--landing", str(tmp_path), "--output", out], spark) == 0
+    assert capsys.readouterr().out.startswith("9 events: 9 additions, 0 removals, 9 without a person")
+    data = json.load(open(out))
+    data[0]["bioguide_id"] = "H1"
+    json.dump(data, open(out, "w"))
+    (tmp_path / "legislators-x.yaml").write_text("- id: {bioguide: A1}\n  name: {first: Ann, last: Fir}\n  terms:\n  - {type: rep, state: OH, start: 2001-01-03, end: '2033-01-03', party: P}\n")
+    assert main(["--congress", "119", "--landing", str(tmp_path), "--output", out], spark) == 0
+    people = {e["member_name"]: e["bioguide_id"] for e in json.load(open(out))}
+    assert people["Mr. Oak of Ohio"] == "H1" and people["Mr. Fir"] == "A1"
