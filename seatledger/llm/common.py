@@ -84,22 +84,8 @@ def words_of(text: Column) -> Column:
 
 
 def word_count(text: Column) -> Column:
-    """Number of words, without building them: runs of spaces are folded to one.
-
-    A space becomes the pair 1-2; 2-1 pairs inside a run vanish, so each run leaves one 1.
-    Bytes 1 and 2 in the text count as letters first.
-    """
-    one, two = F.lit("\x01"), F.lit("\x02")
-    t = F.replace(F.replace(spaced(text), one, F.lit("a")), two, F.lit("a"))
-    t = F.trim(t)
-    runs = F.replace(F.replace(t, F.lit(" "), F.lit("\x01\x02")), F.lit("\x02\x01"), F.lit(""))
-    gaps = F.octet_length(runs) - F.octet_length(F.replace(runs, one, F.lit("")))
-    return F.when(t == "", F.lit(0)).otherwise(gaps + 1).cast("long")
-
-
-def lower_ascii(data: bytes) -> bytes:
-    """Lower-case A-Z only."""
-    return data.lower()
+    """Number of words; null has none."""
+    return F.size(words_of(text)).cast("long")
 
 
 def utf8(text: str | None) -> bytes:

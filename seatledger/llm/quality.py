@@ -159,10 +159,41 @@ def passes(rules: tuple[Rule, ...], m: M) -> Column:
     return F.lit(True) if chain is None else chain.otherwise(F.lit(True))
 
 
+class _Reads(dict):
+    """Metrics that tell which of them were asked for."""
+
+    def __init__(self, m: M):
+        super().__init__(m)
+        self.names: set[str] = set()
+
+    def __getitem__(self, name: str) -> Column:
+        self.names.add(name)
+        return super().__getitem__(name)
+
+
+def shared_metrics(rules: tuple[Rule, ...], m: M) -> list[str]:
+    """Metrics that more than one rule reads."""
+    seen: list[str] = []
+    for rule in rules:
+        reads = _Reads(m)
+        rule.rejects(reads)
+        seen += reads.names
+    return sorted(n for n in set(seen) if seen.count(n) > 1)
+
+
 def apply_cascade(docs: DataFrame, rules: tuple[Rule, ...] = RULES, sample_rows: int = 1000) -> DataFrame:
-    """Rows of ``docs`` that no rule rejects, with their columns as they came."""
+    """Rows of ``docs`` that no rule rejects, with their columns as they came.
+
+    Metrics that several rules read are taken once for a row; the rest, among them the
+    costly one of repeated windows, only where the cascade gets to their rule.
+    """
     ranked = order(rules, estimate(docs, rules, sample_rows))
-    return docs.where(passes(ranked, metrics(F.col("text"))))
+    exprs = metrics(F.col("text"))
+    shared = shared_metrics(ranked, exprs)
+    df = docs.withColumns({f"{TEXT}_{n}": exprs[n] for n in shared})
+    have = exprs | {n: F.col(f"{TEXT}_{n}") for n in shared}
+    # rand() keeps the filter above the shared metrics: pushed down, it would take them for each rule.
+    return df.withColumn(f"{TEXT}_ok", F.when(F.rand(0) < 2, passes(ranked, have))).where(f"{TEXT}_ok").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def report(docs: DataFrame, sample_rows: int = 1000) -> DataFrame:
