@@ -106,7 +106,7 @@ BASE_RULES = (
 METHOD_RULES = (
     Rule("symbols", lambda m: 10 * m["n_symbols"] > m["n_words"]),
     Rule("word_length", lambda m: ~m["word_chars"].between(2 * m["n_words"], 20 * m["n_words"])),
-    Rule("repeated_lines", lambda m: (m["n_dup_lines"] > 0) & (10 * m["n_dup_lines"] > 3 * m["n_lines"])),
+    Rule("repeated_lines", lambda m: (m["n_dup_lines"] > 3) & (2 * m["n_dup_lines"] > m["n_lines"])),
     Rule("shouting", lambda m: 10 * m["n_upper"] > 4 * m["n_letters"]),
     Rule("few_letters", lambda m: 10 * m["n_letters"] < 6 * m["word_chars"]),
     Rule("cut_lines", lambda m: (m["n_cut_lines"] > 0) & (10 * m["n_cut_lines"] > 3 * m["n_lines"])),
