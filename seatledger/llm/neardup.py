@@ -12,8 +12,12 @@ trees, only documents of different components that still share a prefix are
 compared, block against block, so no group is gathered in one task and no pair
 of a joined group is ever formed. Equal sets are one node from the start.
 
-Depth adapts to the region: runs are cut along the sorted order, so that in a
-crowded region the members of a run share much longer prefixes than ``DEPTH``.
+Depth adapts to the region. Runs are cut along the sorted order, so in a crowded
+region the members of a run share much longer prefixes than ``DEPTH``; and where
+a prefix still holds more than ``CROWD`` documents beside its largest component,
+these go to a second forest of twice the depth and three times the trees (a pair
+of similarity 0.8 is missed by all of them with 2e-8), where few unlike documents
+meet.
 
 Defined results: a null or wordless text has an empty set and is linked with
 nothing; a null doc_id is kept, with a null component; rows with one doc_id are
@@ -33,6 +37,8 @@ from .common import map_batches, materialise, small_batches, utf8
 HASHES, DEPTH, TREES = 128, 4, 32
 TAIL = 4
 RUN = 256
+#: Beyond so many documents of other components in a prefix, the deep forest takes over.
+CROWD, DEEP_DEPTH, DEEP_TREES = 4096, 8, 96
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _MIX2 = np.uint64(0xBF58476D1CE4E5B9)
 
@@ -74,16 +80,17 @@ def shingle_set(text: str | None, k: int, cache: WordHashes) -> np.ndarray:
     return distinct(mix(acc))
 
 
-def _coefficients() -> tuple[np.ndarray, np.ndarray]:
-    rng = np.random.default_rng(20)
-    return rng.integers(0, 1 << 63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1), rng.integers(0, 1 << 63, HASHES, dtype=np.uint64)
+def _coefficients(n: int = HASHES, seed: int = 20) -> tuple[np.ndarray, np.ndarray]:
+    rng = np.random.default_rng(seed)
+    return rng.integers(0, 1 << 63, n, dtype=np.uint64) * np.uint64(2) + np.uint64(1), rng.integers(0, 1 << 63, n, dtype=np.uint64)
 
 
 def signature(items: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """HASHES minima of 32 bits."""
-    best = np.full(HASHES, np.iinfo(np.uint64).max, np.uint64)
-    for at in range(0, len(items), 2048):
-        np.minimum(best, (items[at : at + 2048, None] * a + b).min(axis=0), out=best)
+    """One minimum of 32 bits for each pair of coefficients."""
+    best = np.full(len(a), np.iinfo(np.uint64).max, np.uint64)
+    step = max(1, 262_144 // len(a))
+    for at in range(0, len(items), step):
+        np.minimum(best, (items[at : at + step, None] * a + b).min(axis=0), out=best)
     return (best >> np.uint64(32)).astype(np.uint32)
 
 
@@ -110,28 +117,59 @@ def describe(docs: DataFrame, k: int) -> DataFrame:
     return map_batches(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), make, "doc_id long, n_shingles long, set_key binary, sig binary")
 
 
+TREE_ROWS = "id long, tree int, prefix long, t0 long, t1 long"
+
+
+def _tree_batches(ids: np.ndarray, sig: np.ndarray, depth: int, trees: int) -> list[pa.RecordBatch]:
+    """id, tree, prefix, tail of every tree: the first values hashed, the next as they sort."""
+    out = []
+    for t in range(trees):
+        rot = np.roll(sig, -t * depth, axis=1)[:, : depth + TAIL].astype(np.uint64)
+        acc = np.full(len(ids), t + 1, np.uint64)
+        for j in range(depth):
+            acc = mix(acc * _MIX + rot[:, j])
+        # The next values in big-endian order, as two longs that sort as unsigned.
+        tail = [((rot[:, depth + i] << np.uint64(32)) | rot[:, depth + i + 1]) ^ np.uint64(1 << 63) for i in range(0, TAIL, 2)]
+        cols = [pa.array(ids, pa.int64()), pa.array(np.full(len(ids), t, np.int32))] + [pa.array(x.view(np.int64)) for x in (acc, *tail)]
+        out.append(pa.RecordBatch.from_arrays(cols, names=["id", "tree", "prefix", "t0", "t1"]))
+    return out
+
+
 def tree_rows(reps: DataFrame) -> DataFrame:
-    """id, tree, prefix, tail for each node and tree: the first values hashed, the next as they sort."""
+    """Rows of the forest for nodes (id, sig)."""
 
     def make():
         def step(batch: pa.RecordBatch) -> list[pa.RecordBatch]:
-            ids = batch.column(0).to_numpy(zero_copy_only=False)
             sig = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint32).reshape(-1, HASHES)
-            out = []
-            for t in range(TREES):
-                rot = np.roll(sig, -t * DEPTH, axis=1)[:, : DEPTH + TAIL].astype(np.uint64)
-                acc = np.full(len(ids), t + 1, np.uint64)
-                for j in range(DEPTH):
-                    acc = mix(acc * _MIX + rot[:, j])
-                # The next values in big-endian order, as two longs that sort as unsigned.
-                tail = [((rot[:, DEPTH + i] << np.uint64(32)) | rot[:, DEPTH + i + 1]) ^ np.uint64(1 << 63) for i in range(0, TAIL, 2)]
-                cols = [pa.array(ids, pa.int64()), pa.array(np.full(len(ids), t, np.int32))] + [pa.array(x.view(np.int64)) for x in (acc, *tail)]
-                out.append(pa.RecordBatch.from_arrays(cols, names=["id", "tree", "prefix", "t0", "t1"]))
-            return out
+            return _tree_batches(batch.column(0).to_numpy(zero_copy_only=False), sig, DEPTH, TREES)
 
         return step
 
-    return map_batches(reps.select("id", "sig"), make, "id long, tree int, prefix long, t0 long, t1 long")
+    return map_batches(reps.select("id", "sig"), make, TREE_ROWS)
+
+
+def deep_rows(items: DataFrame) -> DataFrame:
+    """Rows of the deep forest for nodes (id, items), with hashes of its own."""
+    depth, trees = DEEP_DEPTH, DEEP_TREES
+
+    def make():
+        a, b = _coefficients(depth * trees, 21)
+
+        def step(batch: pa.RecordBatch) -> list[pa.RecordBatch] | None:
+            if not batch.num_rows:
+                return None
+            sig = np.stack([signature(np.frombuffer(x.as_py(), np.uint64), a, b) for x in batch.column(1)])
+            return _tree_batches(batch.column(0).to_numpy(zero_copy_only=False), sig, depth, trees)
+
+        return step
+
+    return map_batches(items.select("id", "items"), make, TREE_ROWS)
+
+
+def _buckets(rows: DataFrame) -> DataFrame:
+    """Rows that share their tree and prefix with another, with their place in the sorted order."""
+    bucket = Window.partitionBy("tree", "prefix")
+    return materialise(rows.withColumn("pos", F.row_number().over(bucket.orderBy("t0", "t1", "id")) - 1).withColumn("n", F.count("*").over(bucket)).where("n > 1"), "near-trees")
 
 
 def _confirm(rows: DataFrame, percent: int) -> DataFrame:
@@ -213,16 +251,19 @@ def _run_jobs(buckets: DataFrame, trees: int) -> DataFrame:
     return first.union(bridge).select("id", F.struct("tree", "prefix", "run", F.lit(0).alias("other"), F.lit(0).alias("kind")).alias("job"), F.col("id").alias("comp"), F.lit(0).alias("side"))
 
 
-def _cross_jobs(buckets: DataFrame, comp_of: DataFrame) -> DataFrame:
-    """Block jobs for prefixes that still hold several components.
+def _mixed(buckets: DataFrame, comp_of: DataFrame) -> DataFrame:
+    """Rows of prefixes that still hold several components, with the sizes of the largest one (n1) and the rest (n0).
 
-    The largest component of a prefix is side 1, the rest side 0. Blocks of side 0 meet
-    each other and every block of side 1.
+    Members of the largest component are side 1, the rest side 0.
     """
     rows = buckets.join(comp_of.withColumnRenamed("node", "id"), "id", "left").withColumn("comp", F.coalesce("root", "id")).drop("root", "pos", "n", "t0", "t1")
     by_comp = rows.groupBy("tree", "prefix", "comp").agg(F.count("*").alias("k"))
     main = by_comp.groupBy("tree", "prefix").agg(F.max_by("comp", F.struct("k", "comp")).alias("main"), F.count("*").alias("comps"), F.max("k").alias("n1"), (F.sum("k") - F.max("k")).alias("n0")).where("comps > 1")
-    rows = rows.join(main, ["tree", "prefix"]).withColumn("side", (F.col("comp") == F.col("main")).cast("int"))
+    return rows.join(main, ["tree", "prefix"]).withColumn("side", (F.col("comp") == F.col("main")).cast("int"))
+
+
+def _cross_jobs(rows: DataFrame) -> DataFrame:
+    """Block jobs over the rows of :func:`_mixed`: blocks of side 0 meet each other and every block of side 1."""
     place = Window.partitionBy("tree", "prefix", "side").orderBy("id")
     rows = rows.withColumn("block", F.floor((F.row_number().over(place) - 1) / RUN).cast("int"))
     blocks = lambda n: F.ceil(F.col(n) / RUN).cast("int")
@@ -242,11 +283,7 @@ def find(docs: DataFrame, shingle_words: int = 2, percent: int = 80, first_trees
     sets = materialise(describe(docs, shingle_words), "near-sets")
     known = sets.where("set_key is not null and doc_id is not null")
     nodes = materialise(known.groupBy("set_key").agg(F.min("doc_id").alias("id"), F.first("sig").alias("sig")), "near-nodes")
-    bucket = Window.partitionBy("tree", "prefix")
-    buckets = materialise(
-        tree_rows(nodes).withColumn("pos", F.row_number().over(bucket.orderBy("t0", "t1", "id")) - 1).withColumn("n", F.count("*").over(bucket)).where("n > 1"),
-        "near-trees",
-    )
+    buckets = _buckets(tree_rows(nodes))
     wanted = buckets.select("id").distinct()
 
     def make():
@@ -263,8 +300,15 @@ def find(docs: DataFrame, shingle_words: int = 2, percent: int = 80, first_trees
 
     links = materialise(_confirm(_run_jobs(buckets, first_trees).join(items, "id"), percent), "near-links")
     comp_of = components(links)
-    crossed = materialise(_confirm(_cross_jobs(buckets, comp_of).join(items, "id"), percent), "near-links")
-    roots = components(comp_of.select(F.col("node").alias("a"), F.col("root").alias("b")).union(crossed))
+    mixed = materialise(_mixed(buckets, comp_of), "near-mixed")
+    crossed = materialise(_confirm(_cross_jobs(mixed.where(F.col("n0") <= CROWD)).join(items, "id"), percent), "near-links")
+    as_edges = lambda c: c.select(F.col("node").alias("a"), F.col("root").alias("b"))
+    roots = components(as_edges(comp_of).union(crossed))
+    crowded = mixed.where(F.col("n0") > CROWD).select("id").distinct()
+    if not crowded.isEmpty():
+        deep = _mixed(_buckets(deep_rows(items.join(crowded, "id", "left_semi"))), roots)
+        links = materialise(_confirm(_cross_jobs(deep).join(items, "id"), percent), "near-links")
+        roots = components(as_edges(roots).union(links))
     node_root = nodes.select("set_key", "id").join(roots.withColumnRenamed("node", "id"), "id", "left").select("set_key", F.coalesce("root", "id").alias("component"))
     mine = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
     return sets.select("doc_id", "n_shingles", "set_key").join(node_root, "set_key", "left").select(

@@ -136,9 +136,11 @@ def test_neardup(docs, none, rows):
     assert neardup.find(none).count() == 0
 
 
-def test_neardup_blocks(spark, monkeypatch):
-    """Groups larger than a run, and prefixes with several components."""
+@pytest.mark.parametrize("crowd", [4096, 1])
+def test_neardup_blocks(spark, monkeypatch, crowd):
+    """Groups larger than a run, prefixes with several components, and the deep forest."""
     monkeypatch.setattr(neardup, "RUN", 4)
+    monkeypatch.setattr(neardup, "CROWD", crowd)
     rng = random.Random(2)
     rows = []
     for g in range(4):
@@ -297,6 +299,10 @@ def test_tokens_round_trip(docs, none, rows, tmp_path):
             parts = sorted((r["part"], r["tokens"]) for r in got if r["doc_id"] == i)
             ids = np.frombuffer(b"".join(p for _, p in parts), np.uint16)
             assert ids[-1] == tokens.END and encoder.decode(ids[:-1].tolist()) == texts[i]
+    from pyspark.sql import functions as F
+
+    with pytest.raises(Exception, match="is damaged"):
+        tokens.read_shards(docs.sparkSession.read.parquet(out).withColumn("sha256", F.lit("0"))).collect()
     seqs, total = tokens.sequences(tokens.tokenise(none, tokens.vocabulary_path()))
     assert total == 0 and tokens.shards_of(seqs, total).count() == 0
 
