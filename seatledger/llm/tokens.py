@@ -16,7 +16,6 @@ table gives no shard. Texts are tokenised whole, special strings as ordinary tex
 from __future__ import annotations
 
 import hashlib
-import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -178,27 +177,14 @@ def write_shards(seqs: DataFrame, total: int, path: str, length: int = LENGTH, s
 def read_shards(table: DataFrame) -> DataFrame:
     """A row for each record in slot order within a shard: slot, shard, byte_offset, doc_id, part, n_tokens, crc32, tokens.
 
-    Raises ValueError where a shard does not match its SHA-256 or its stride.
+    Fails where a shard does not match its SHA-256 or its stride.
     """
-    types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.binary()]
-    names = ["slot", "shard", "byte_offset", "doc_id", "part", "n_tokens", "crc32", "tokens"]
-
-    def make():
-        def step(batch: pa.RecordBatch) -> list[pa.RecordBatch]:
-            out = []
-            for row in range(batch.num_rows):
-                shard, first, n, stride, digest, ids, parts, sizes, records = (c[row].as_py() for c in batch.columns)
-                if len(records) != n * stride or hashlib.sha256(records).hexdigest() != digest:
-                    raise ValueError(f"shard {shard} is damaged")
-                tokens = [records[i * stride : i * stride + 2 * sizes[i]] for i in range(n)]
-                cols = [np.arange(first, first + n), [shard] * n, np.arange(n) * stride, ids, parts, sizes, [zlib.crc32(t) for t in tokens], tokens]
-                out.append(pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], names=names))
-            return out
-
-        return step
-
-    small_batches(table.sparkSession, 4)
-    return map_batches(table, make, "slot long, shard int, byte_offset long, doc_id long, part int, n_tokens int, crc32 long, tokens binary")
+    sound = (F.sha2("records", 256) == F.col("sha256")) & (F.octet_length("records") == F.col("n_slots").cast("long") * F.col("stride"))
+    records = F.when(sound, F.col("records")).otherwise(F.raise_error(F.format_string("shard %d is damaged", "shard")).cast("binary"))
+    cut = lambda x, i: F.struct(x["doc_ids"].alias("doc_id"), x["parts"].alias("part"), x["sizes"].alias("n_tokens"), F.substr("_sl_records", i * F.col("stride") + 1, 2 * x["sizes"]).alias("tokens"))
+    # Records are cut before they become rows, so that no row drags its whole shard along.
+    rows = table.withColumn("_sl_records", records).withColumn("_sl_cut", F.transform(F.arrays_zip("doc_ids", "parts", "sizes"), cut)).select("shard", "first_slot", "stride", F.posexplode("_sl_cut").alias("i", "r"))
+    return rows.select((F.col("first_slot") + F.col("i")).alias("slot"), "shard", (F.col("i").cast("long") * F.col("stride")).alias("byte_offset"), "r.doc_id", "r.part", "r.n_tokens", F.crc32("r.tokens").alias("crc32"), "r.tokens")
 
 
 def materialised_order(docs: DataFrame, path: str | None = None, length: int = LENGTH, shard_slots: int = SHARD_SLOTS, key: int = KEY, out: str | None = None) -> DataFrame:

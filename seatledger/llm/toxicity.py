@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_batches
+from .common import map_batches, small_batches
 
 # The written lexicon, word and weight.
 WORDS = {
@@ -207,6 +207,7 @@ def _totals(docs: DataFrame, weights: dict[str, float]) -> DataFrame:
 
         return step
 
+    small_batches(docs.sparkSession)
     return map_batches(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), make, "doc_id long, total double, n_matches long, n_words long")
 
 

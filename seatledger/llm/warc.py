@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_batches, materialise, utf8
+from .common import map_batches, materialise, small_batches, utf8
 
 # Fixed values of the format: the dictionary's skippable frame, and the magic of a frame.
 DICT_MAGIC = 0x184D2A5D
@@ -176,6 +176,7 @@ def write(pages: DataFrame, sample_rows: int = 500, archive_bytes: int = 8 << 20
 
     The dictionary is trained on ``sample_rows`` pages at most, the first ``sample_chars`` of each.
     """
+    small_batches(pages.sparkSession, 1000)
     own = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"))
     sample = [utf8(r["s"]) for r in own.select(F.substring("html", 1, sample_chars).alias("s")).limit(sample_rows).collect()]
     trained = train(sample)
