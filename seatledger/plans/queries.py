@@ -162,9 +162,9 @@ SELECT word, CASE WHEN count(*) = 1 AND min(dist) <= 4 THEN min(term) END AS ter
 def fuzzy_argmin(spark, part):
     """The nearest vocabulary word by edit distance, if there is one nearest and it is near."""
     words = part.select(F.lower(F.regexp_extract("p_name", r"^\w+", 0)).alias("word")).distinct()
-    # The vocabulary is a column of a few dozen names, taken along as one array.
+    # As in the name tables it stands for, every word is measured against the whole vocabulary.
     vocabulary = part.select(F.lower(F.regexp_extract("p_name", r"\w+$", 0)).alias("term")).distinct().agg(F.collect_set("term").alias("terms"))
-    pairs = words.join(F.broadcast(vocabulary)).select("word", F.explode("terms").alias("term"))
+    pairs = words.join(vocabulary).select("word", F.explode("terms").alias("term"))
     return R.unique_argmin(pairs.withColumn("dist", F.levenshtein("word", "term")), ["word"], "dist", "term", 4)
 
 
