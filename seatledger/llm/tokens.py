@@ -19,7 +19,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import map_batches, materialise, shared_dir, small_batches
@@ -181,9 +181,14 @@ def read_shards(table: DataFrame) -> DataFrame:
     """
     sound = (F.sha2("records", 256) == F.col("sha256")) & (F.octet_length("records") == F.col("n_slots").cast("long") * F.col("stride"))
     records = F.when(sound, F.col("records")).otherwise(F.raise_error(F.format_string("shard %d is damaged", "shard")).cast("binary"))
-    cut = lambda x, i: F.struct(x["doc_ids"].alias("doc_id"), x["parts"].alias("part"), x["sizes"].alias("n_tokens"), F.substr("_sl_records", i * F.col("stride") + 1, 2 * x["sizes"]).alias("tokens"))
-    # Records are cut before they become rows, so that no row drags its whole shard along.
-    rows = table.withColumn("_sl_records", records).withColumn("_sl_cut", F.transform(F.arrays_zip("doc_ids", "parts", "sizes"), cut)).select("shard", "first_slot", "stride", F.posexplode("_sl_cut").alias("i", "r"))
+
+    def cut(whole: Column) -> Column:
+        one = lambda x, i: F.struct(x["doc_ids"].alias("doc_id"), x["parts"].alias("part"), x["sizes"].alias("n_tokens"), F.substr(whole, i * F.col("stride") + 1, 2 * x["sizes"]).alias("tokens"))
+        return F.transform(F.arrays_zip("doc_ids", "parts", "sizes"), one)
+
+    # Records are cut before they become rows, so that no row drags its whole shard along; the
+    # shard is bound to a lambda's variable, or it would be checked again for each record.
+    rows = table.withColumn("_sl_cut", F.get(F.transform(F.array(records), cut), F.lit(0))).select("shard", "first_slot", "stride", F.posexplode("_sl_cut").alias("i", "r"))
     return rows.select((F.col("first_slot") + F.col("i")).alias("slot"), "shard", (F.col("i").cast("long") * F.col("stride")).alias("byte_offset"), "r.doc_id", "r.part", "r.n_tokens", F.crc32("r.tokens").alias("crc32"), "r.tokens")
 
 
