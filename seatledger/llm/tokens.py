@@ -25,7 +25,8 @@ from pyspark.sql import functions as F
 from .common import map_batches, materialise, shared_dir, small_batches
 
 LENGTH = 1024
-SHARD_SLOTS = 4096
+#: Records of a shard: 2 MB, of which a task holds a few copies.
+SHARD_SLOTS = 1024
 KEY = 0x5EA71ED6E2
 VOCABULARY = "byte_bpe_50k.tiktoken"
 #: A free id of that vocabulary, for the end of a text; and what fills a record.
@@ -39,14 +40,17 @@ def vocabulary_path(name: str = VOCABULARY, folder: str = "/opt/tokenizers") ->
 
 
 def load_encoder(path: str):
-    """The tiktoken encoding of a ranks file."""
+    """The tiktoken encoding of a ranks file, held on the library's module: a worker that is used again loads it once."""
     import base64
 
     import tiktoken
 
-    with open(path, "rb") as f:
-        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-    return tiktoken.Encoding("shards", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+    held = tiktoken.__dict__.setdefault("_seatledger_encoders", {})
+    if path not in held:
+        with open(path, "rb") as f:
+            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+        held[path] = tiktoken.Encoding("shards", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return held[path]
 
 
 def _round(x: np.ndarray, key: int, r: int) -> np.ndarray:
@@ -102,7 +106,7 @@ def tokenise(docs: DataFrame, path: str, length: int = LENGTH) -> DataFrame:
 
         return step
 
-    small_batches(docs.sparkSession, 1000)
+    small_batches(docs.sparkSession, 500)
     return materialise(map_batches(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), make, "task int, first long, doc_id long, n_tokens long, tokens binary"), "token-ids")
 
 
