@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,6 +18,16 @@ def _fragments(text: Column, pattern: str) -> Column:
     return F.filter(F.transform(F.split(clean(text), pattern), F.trim), lambda f: f != "")
 
 
+def _member_fragments(text: Column) -> Column:
+    """Text between breaks that stand outside parentheses: those with no parenthesis after them that closes first.
+
+    Cut behind each parenthesis, so that no break looks ahead to the end of a long text. Clean text has no line feed.
+    """
+    pieces = F.split(clean(text), r"(?<=[()])")
+    marked = F.transform(pieces, lambda p: F.when(p.endswith(")"), p).otherwise(F.regexp_replace(p, P.MEMBER_BREAK, "\n")))
+    return F.filter(F.transform(F.split(F.array_join(marked, ""), "\n"), lambda f: F.trim(f)), lambda f: f != "")
+
+
 def _bare(x: Column) -> Column:
     return F.trim(F.regexp_replace(x, P.LEADING_AND, ""))
 
@@ -25,6 +36,11 @@ def _pair(name: Column, raw: Column) -> Column:
     return F.struct(name.alias("clean"), F.when(raw != name, raw).alias("raw"))
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often ``body`` names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def _named(pairs: Column) -> Column:
     return F.filter(pairs, lambda p: p["clean"] != "")
 
@@ -37,17 +53,16 @@ def split_plain(text: Column) -> Column:
 def split_with_notes(text: Column) -> Column:
     """Names with honorifics; a fragment that is only a note goes back to the name before it."""
 
-    def step(done: Column, frag: Column) -> Column:
-        joined = F.concat(F.slice(done, 1, F.size(done) - 1), F.array(F.concat(F.element_at(done, -1), F.lit(", "), frag)))
-        return F.when((F.size(done) > 0) & _bare(frag).rlike(P.BARE_NOTE), joined).otherwise(F.concat(done, F.array(frag)))
-
-    merged = F.aggregate(_fragments(text, P.MEMBER_BREAK), F.array().cast("array<string>"), step)
+    def merged(frags: Column) -> Column:
+        # Where names begin: the first fragment, and each that is no note. Slices between them copy a fragment once.
+        starts = F.filter(F.transform(frags, lambda f, i: F.when((i == 0) | ~_bare(f).rlike(P.BARE_NOTE), i)), lambda i: i.isNotNull())
+        return _let(starts, lambda s: F.transform(s, lambda i, k: F.array_join(F.slice(frags, i + 1, F.coalesce(F.get(s, k + 1), F.size(frags)) - i), ", ")))
 
     def pair(raw: Column) -> Column:
         raw = _bare(raw)
         return _pair(clean_member(F.regexp_replace(F.regexp_replace(raw, P.PAREN_NOTE, ""), P.TRAILING_NOTE, "")), clean_member(raw))
 
-    return _named(F.transform(merged, pair))
+    return _named(F.transform(_let(_member_fragments(text), merged), pair))
 
 
 def split_name_state(text: Column) -> Column:
@@ -79,7 +94,7 @@ def split_senate(text: Column) -> Column:
         raw = clean_member(_bare(raw))
         return _pair(F.when(raw.rlike("^_+$"), "").otherwise(clean_member(F.regexp_replace(raw, P.SENATE_NOTE, ""))), raw)
 
-    return _named(F.transform(_fragments(text, P.MEMBER_BREAK), pair))
+    return _named(F.transform(_member_fragments(text), pair))
 
 
 def is_name_state(text: Column) -> Column:

@@ -276,7 +276,7 @@ def split_members(spark, documents):
 @query()
 def split_members_notes(spark, documents):
     """The splitter for names with honorifics and notes; look-ahead puts it beyond the SQL dialect."""
-    return documents.select("doc_id", F.posexplode(M.split_with_notes(F.substring_index("text", "\n", 1))).alias("pos", "m")).select("doc_id", "pos", "m.clean", "m.raw")
+    return documents.select("doc_id", F.posexplode(M.split_with_notes(F.col("text"))).alias("pos", "m")).select("doc_id", "pos", "m.clean", "m.raw")
 
 
 @query("""SELECT page_id, sha256(trim(regexp_replace(replace(replace(replace(replace(replace(regexp_replace(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1), '<[^>]+>', '', 'g'), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&amp;', '&'), '\\s+', ' ', 'g'))) AS title FROM pages""")

@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+import os
+import random
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
+from seatledger.functions import patterns as P
 from seatledger.functions import text as T
 from seatledger.operators import classify, letters
 from seatledger.operators import members as M
+from seatledger.plans import queries
 
 
 def one(spark, f, *values):
@@ -107,3 +113,46 @@ def test_letters(spark):
     assert one(spark, letters.signer, "") is None and one(spark, letters.signer, None) is None
     assert one(spark, letters.committees, "RESIGNATION AS MEMBER OF PERMANENT SELECT COMMITTEE ON A, COMMITTEE ON B, AND HOUSE COMMITTEE ON C") == ["Permanent Select Committee on A", "Committee on B", "House Committee on C"]
     assert one(spark, letters.committees, "OTHER") == []
+
+
+def brute_split(text):
+    """Character by character: breaks outside parentheses, notes back to the name before, notes off the clean name."""
+    text = " ".join((text or "").split())
+    inside = [False] * (len(text) + 1)  # True where the next parenthesis closes
+    for i in range(len(text) - 1, -1, -1):
+        inside[i] = {"(": False, ")": True}.get(text[i], inside[i + 1])
+    frags, at, i = [], 0, 0
+    while i < len(text):
+        word = next((w for w in (" and ", " & ") if text.startswith(w, i)), text[i] if text[i] in ",;" else "")
+        if word and not inside[i + len(word)]:
+            frags.append(text[at:i])
+            at = i = i + len(word)
+        else:
+            i += 1
+    bare = lambda s: re.sub(r"(?i)^(?:and|&)\s+", "", s).strip()
+    names = []
+    for f in [f.strip() for f in [*frags, text[at:]] if f.strip()]:
+        if names and re.search(P.BARE_NOTE, bare(f)):
+            names[-1] += ", " + f
+        else:
+            names.append(f)
+    pairs = []
+    for raw in map(bare, names):
+        name = re.sub(P.TRAILING_NOTE, "", re.sub(P.PAREN_NOTE, "", raw)).strip().rstrip(".,;")
+        raw = raw.rstrip(".,;")
+        if name:
+            pairs.append((name, raw if raw != name else None))
+    return pairs
+
+
+def test_split_members_notes_reads_whole_texts(spark, tmp_path):
+    rng = random.Random(5)
+    parts = ["Mr. Oak", "Ms. Elm of Ohio", "Mrs. Ash (to rank after Mr. Fir, and Ms. Yew)", "Chair", "to rank after Mr. Fir", "Jr. of Iowa", "and", "(when sworn)", "Ranking Member.", ")", "(", "é ß.", ""]
+    texts = ["".join(rng.choice(parts) + rng.choice([", ", "; ", " and ", "\n", ",\n", " & ", "\n\n "]) for _ in range(rng.randrange(30))) for _ in range(300)]
+    texts += ["Mr. Oak,\nMs. Elm, Chair", "Mr. Oak\n(to rank after\nMr. Fir)", "\nMs. Elm", "", None, "\n", ", ".join(f"Mr. Oak{i}, Chair" if i % 3 else "to rank after Ms. Elm" for i in range(20_000))]
+    if os.path.isdir("/root/testdata/sf0.001"):
+        texts += [r["text"] for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = sorted(tuple(r) for r in queries.QUERIES["split_members_notes"](spark, str(tmp_path)).collect())
+    want = [(i, k, *pair) for i, t in enumerate(texts) for k, pair in enumerate(brute_split(t))]
+    assert [g[:3] for g in got] == [w[:3] for w in want] and got == want
