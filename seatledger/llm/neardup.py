@@ -117,6 +117,8 @@ def describe(docs: DataFrame, k: int) -> DataFrame:
     return map_batches(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), make, "doc_id long, n_shingles long, set_key binary, sig binary")
 
 
+#: Number of a row in :func:`dedup`.
+ROW = "_sl_row"
 TREE_ROWS = "id long, tree int, prefix long, t0 long, t1 long"
 
 
@@ -317,6 +319,15 @@ def find(docs: DataFrame, shingle_words: int = 2, percent: int = 80, first_trees
 
 
 def dedup(docs: DataFrame, shingle_words: int = 5, percent: int = 80) -> DataFrame:
-    """``docs`` with one document of each near-duplicate group: the one with the smallest doc_id."""
-    gone = find(docs, shingle_words, percent).where(~F.col("kept")).select(F.col("doc_id").alias("_sl_id")).distinct()
-    return docs.join(gone, F.col("doc_id").cast("long") == F.col("_sl_id"), "left_anti")
+    """``docs`` with one row of each near-duplicate group: the smallest doc_id (null last), row_key, number of the row.
+
+    Rows are numbered in a stored table and compared by that number, so rows that share a doc_id, or have none,
+    are documents of their own.
+    """
+    rows = materialise(docs.withColumn(ROW, F.monotonically_increasing_id()), "near-rows")
+    ids = rows.select(ROW, F.col("doc_id").cast("long").alias("id"))
+    found = find(rows.select(F.col(ROW).alias("doc_id"), "text"), shingle_words, percent).select(F.col("doc_id").alias(ROW), "row_key", "component_id")
+    found = materialise(found.join(ids, ROW).withColumn("place", F.struct(F.col("id").isNull(), "id", "row_key", ROW)).drop("id", "row_key"), "near-found")
+    best = found.groupBy("component_id").agg(F.min("place").alias("best"), F.count("*").alias("n")).where("n > 1")
+    gone = found.join(best, "component_id").where(F.col("place") != F.col("best")).select(ROW)
+    return rows.join(gone, ROW, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])

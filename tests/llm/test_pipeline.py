@@ -7,7 +7,7 @@ import random
 import pytest
 
 import corpus_pipeline
-from seatledger.llm import queries
+from seatledger.llm import neardup, queries
 
 
 @pytest.fixture(scope="module")
@@ -53,3 +53,25 @@ def test_registry():
 
     names = __spark_entry__.queries()
     assert {f"op{n}" for n in range(1, 11)} == {q.split("_")[0] for q in queries.QUERIES} and "pipeline" in names
+
+
+def test_dedup_keeps_one_row_of_each_group(spark):
+    rng = random.Random(3)
+    text = lambda: " ".join(rng.choice("abcdefghij") + str(rng.randrange(50)) for _ in range(60))
+    a, b, c, d, e, f = (text() for _ in range(6))
+    rows = [
+        (1, a, "x"), (1, a, "y"), (2, a + " more", "x"),  # one id twice, and a near copy: one row of id 1 stays
+        (3, b, "x"), (7, b + " more", "x"), (7, c, "x"),  # two texts under id 7: only the near copy goes
+        (None, d, "x"), (None, d, "y"), (None, d + " more", "x"),  # copies without an id: one stays
+        (None, e, "x"), (9, e, "x"),  # an id comes before none
+        (None, f, "x"), (None, None, "x"), (None, None, "x"), (10, "", "x"), (10, "", "x"),  # nothing to compare
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, component_id string").repartition(3)
+    got = neardup.dedup(docs)
+    assert got.columns == docs.columns
+    kept = got.collect()
+    assert sorted(r["doc_id"] for r in kept if r["text"] and r["doc_id"]) == [1, 3, 7, 9]
+    texts = [r["text"] for r in kept]
+    assert [texts.count(x) for x in (a, b, c, e, f, None, "")] == [1, 1, 1, 1, 1, 2, 2]
+    assert a + " more" not in texts and b + " more" not in texts and texts.count(d) + texts.count(d + " more") == 1
+    assert len(kept) == 10
