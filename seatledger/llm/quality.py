@@ -46,25 +46,42 @@ def _repeat_words(words: Column) -> Column:
 
     Each window is a long: its hash above its start, which takes as many low bits
     as the text needs. Sorted, equal windows are neighbours; x ^ y of two of them
-    has only low bits set.
+    has only low bits set. Where neighbours of equal hash bits have other words,
+    the windows of that text are sorted by their words instead.
     """
-    n = F.size(words)
-    bits = F.ceil(F.log2(n + 1.0)).cast("int")
+    three, none = F.lit(3).cast("long"), F.lit(False)
+
+    def total(starts: Column) -> Column:
+        return _let(F.sort_array(starts), lambda s: F.aggregate(F.transform(s, lambda x, k: F.least(three, F.coalesce(F.get(s, k + 1) - x, three))), F.lit(0).cast("long"), lambda a, x: a + x))
+
+    def start(x: Column, bits: Column) -> Column:
+        return x.bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("long"), bits) - 1)
+
+    def same(x: Column, packed: Column, other: Column, bits: Column) -> Column:
+        return F.coalesce(F.call_function("shiftright", x.bitwiseXOR(F.get(packed, other)), bits) == 0, none)
 
     def covered(packed: Column, bits: Column) -> Column:
-        def repeated(x: Column, k: Column) -> Column:
-            same = lambda other: F.coalesce(F.call_function("shiftright", x.bitwiseXOR(F.get(packed, other)), bits) == 0, F.lit(False))
-            return same(k - 1) | same(k + 1)
+        return total(F.transform(F.filter(packed, lambda x, k: same(x, packed, k - 1, bits) | same(x, packed, k + 1, bits)), lambda x: start(x, bits)))
+
+    def clash(words: Column, packed: Column, bits: Column) -> Column:
+        def unlike(x: Column, k: Column) -> Column:
+            a, b = (start(y, bits).cast("int") for y in (x, F.get(packed, k + 1)))
+            return same(x, packed, k + 1, bits) & ((F.get(words, a) != F.get(words, b)) | (F.get(words, a + 1) != F.get(words, b + 1)) | (F.get(words, a + 2) != F.get(words, b + 2)))
+
+        return F.size(F.filter(packed, unlike)) > 0
 
-        starts = F.sort_array(F.transform(F.filter(packed, repeated), lambda x: x.bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("long"), bits) - 1)))
-        return _let(starts, lambda s: F.aggregate(F.transform(s, lambda x, k: F.least(F.lit(3).cast("long"), F.coalesce(F.get(s, k + 1) - x, F.lit(3).cast("long")))), F.lit(0).cast("long"), lambda a, x: a + x))
+    def exact(words: Column) -> Column:
+        window = lambda i: F.struct(F.struct(F.get(words, i).alias("a"), F.get(words, i + 1).alias("b"), F.get(words, i + 2).alias("c")).alias("w"), i.cast("long").alias("at"))
+        windows = F.sort_array(F.transform(F.sequence(F.lit(0), F.size(words) - 3), window))
+        like = lambda x, other: F.coalesce(x["w"] == other["w"], none)
+        return _let(windows, lambda p: total(F.transform(F.filter(p, lambda x, k: like(x, F.get(p, k - 1)) | like(x, F.get(p, k + 1))), lambda x: x["at"])))
 
     def packed(words: Column, bits: Column) -> Column:
         window = lambda i: F.call_function("shiftleft", F.xxhash64(F.get(words, i), F.get(words, i + 1), F.get(words, i + 2)), bits).bitwiseOR(i.cast("long"))
         return F.sort_array(F.transform(F.sequence(F.lit(0), F.size(words) - 3), window))
 
-    found = _let(words, lambda w: F.when(F.size(w) >= 4, _let(F.ceil(F.log2(F.size(w) + 1.0)).cast("int"), lambda b: _let(packed(w, b), lambda p: covered(p, b)))).otherwise(F.lit(0).cast("long")))
-    return found
+    count = lambda w, b: _let(packed(w, b), lambda p: F.when(clash(w, p, b), exact(w)).otherwise(covered(p, b)))
+    return _let(words, lambda w: F.when(F.size(w) >= 4, _let(F.ceil(F.log2(F.size(w) + 1.0)).cast("int"), lambda b: count(w, b))).otherwise(F.lit(0).cast("long")))
 
 
 def metrics(text: Column) -> dict[str, Column]:
