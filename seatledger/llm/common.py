@@ -26,7 +26,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir``.
 
-    Where a session has none (local tests), a temporary folder is set once.
+    Where a local session has none, a temporary folder is set once; a cluster's session must
+    name one, since executors there cannot see the driver's disk.
     """
     found = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if found:
@@ -34,6 +35,8 @@ def shared_dir(spark: SparkSession) -> str:
     held = spark.sparkContext._jsc.sc().getCheckpointDir()
     if held.isDefined():
         return held.get().rstrip("/")
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise ValueError("spark.checkpoint.dir names no folder that driver and executors share")
     own = tempfile.mkdtemp(prefix="seatledger-")
     spark.sparkContext.setCheckpointDir(own)
     return spark.sparkContext._jsc.sc().getCheckpointDir().get().rstrip("/")
@@ -92,20 +95,19 @@ def utf8(text: str | None) -> bytes:
     return b"" if text is None else text.encode("utf-8", "surrogatepass")
 
 
-def map_batches(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch | list[pa.RecordBatch] | None]], schema: str) -> DataFrame:
-    """mapInArrow with state for each task: ``make()`` runs once in the worker."""
+def map_batches(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch | list[pa.RecordBatch] | None]], schema: str, rows: int = 1000) -> DataFrame:
+    """mapInArrow with state for each task: ``make()`` runs once in the worker.
+
+    Spark bounds a batch by its bytes; ``step`` sees slices of ``rows`` rows of it, so what a
+    worker holds at once does not depend on any setting of the session.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         step = make()
         for batch in batches:
-            out = step(batch)
-            if out is None:
-                continue
-            yield from out if isinstance(out, list) else [out]
+            for at in range(0, batch.num_rows, rows):
+                out = step(batch.slice(at, rows))
+                if out is not None:
+                    yield from out if isinstance(out, list) else [out]
 
     return df.mapInArrow(run, schema)
-
-
-def small_batches(spark: SparkSession, rows: int = 2000) -> None:
-    """Bound what a Python worker holds: Arrow batches of so many rows, not 10,000."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))

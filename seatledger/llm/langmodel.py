@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, small_batches, utf8
+from .common import materialise, utf8
 from .neardup import WordHashes, distinct, mix
 from .toxicity import held_out
 
@@ -259,7 +259,6 @@ def score(docs: DataFrame, order: int = ORDER, block_bytes: int = BLOCK_BYTES, m
             if batch.num_rows:
                 yield from _requests(rows, 1, shards).select(["shard", "grams", "counts"]).to_batches()
 
-    small_batches(docs.sparkSession, 4000)
     types = own.select("text", "held_out").mapInArrow(unigrams, "shard int, grams binary, counts binary").groupBy("shard").applyInArrow(_type_counts, "types long, tokens long")
     sums = types.agg(F.coalesce(F.sum("types"), F.lit(0)).alias("types"), F.coalesce(F.sum("tokens"), F.lit(0)).alias("tokens")).first()
     total, distinct, texts = sums["tokens"], sums["types"], size["texts"]

@@ -1,9 +1,12 @@
 """License scans by ordered signature rules.
 
-Several hundred regular expressions, written by hand as families of names,
-identifiers, addresses and text sentences, each with a priority. One
-Aho-Corasick pass over the text finds the keywords; a rule runs only if its
-keyword occurs, and only on the lines around it. Detections that another one
+Several hundred regular expressions (:mod:`license_rules`), each with a keyword
+and a priority. Texts are lowered in A-Z and white space is folded, a run of it
+to one space, or to one line break if it holds one. One Aho-Corasick pass finds
+the keywords; a rule runs only if its keyword occurs, and only around it: every
+rule but the one for SPDX tags has a bounded width, below ``REACH``, so the
+windows hold all that a scan of the whole text would find. An SPDX tag is read
+to the end of its line, whatever its length. Detections that another one
 contains are dropped when that one has at least their priority.
 
 Beside the rules, the base phrases (consecutive words) are looked up exactly.
@@ -16,13 +19,16 @@ scanned whole, whatever their length.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_batches, small_batches, utf8
+from .common import map_batches, utf8
+from .license_rules import FAMILIES, SENTENCES
 
 # Word characters: digits, a-z and everything from \x80 on; A-Z is lowered; the rest parts words.
 _TABLE = bytes((c + 32) if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
@@ -30,87 +36,11 @@ _TABLE = bytes((c + 32) if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 1
 # The base phrases and their labels.
 BASE_PHRASES = ((("mit", "license"), "mit"), (("apache", "license"), "apache"), (("general", "public", "license"), "gpl"))
 
-# Public licenses as label, SPDX identifiers, names as written in prose, address.
-FAMILIES = (
-    ("mit", "MIT MIT-0 X11", "mit|expat|x11", "opensource.org/licenses/mit"),
-    ("apache", "Apache-1.0 Apache-1.1 Apache-2.0", "apache(?: software)?", "apache.org/licenses"),
-    ("gpl", "GPL-1.0 GPL-2.0 GPL-3.0 GPL-2.0-only GPL-2.0-or-later GPL-3.0-only GPL-3.0-or-later", r"(?:gnu )?general public|(?:gnu )?gpl", "gnu.org/licenses/gpl"),
-    ("lgpl", "LGPL-2.0 LGPL-2.1 LGPL-3.0 LGPL-2.1-or-later LGPL-3.0-or-later", r"(?:gnu )?(?:lesser|library) general public|(?:gnu )?lgpl", "gnu.org/licenses/lgpl"),
-    ("agpl", "AGPL-1.0 AGPL-3.0 AGPL-3.0-only AGPL-3.0-or-later", r"(?:gnu )?affero general public|(?:gnu )?agpl", "gnu.org/licenses/agpl"),
-    ("bsd-2-clause", "BSD-2-Clause BSD-2-Clause-Patent", r"(?:simplified|freebsd|2-clause|two-clause) bsd|bsd 2-clause", "opensource.org/licenses/bsd-2-clause"),
-    ("bsd-3-clause", "BSD-3-Clause BSD-3-Clause-Clear", r"(?:new|modified|revised|3-clause|three-clause) bsd|bsd 3-clause", "opensource.org/licenses/bsd-3-clause"),
-    ("bsd", "BSD-4-Clause 0BSD", r"bsd(?:-style)?", "opensource.org/licenses/bsd"),
-    ("mpl", "MPL-1.0 MPL-1.1 MPL-2.0", r"mozilla public|mpl", "mozilla.org/mpl"),
-    ("epl", "EPL-1.0 EPL-2.0", r"eclipse public|epl", "eclipse.org/legal/epl"),
-    ("cddl", "CDDL-1.0 CDDL-1.1", r"common development and distribution|cddl", "opensource.org/licenses/cddl"),
-    ("cpl", "CPL-1.0", r"common public", "opensource.org/licenses/cpl"),
-    ("isc", "ISC", r"isc", "opensource.org/licenses/isc"),
-    ("zlib", "Zlib zlib-acknowledgement", r"zlib(?:/libpng)?", "zlib.net/zlib_license"),
-    ("libpng", "Libpng libpng-2.0", r"libpng", "libpng.org/pub/png/src/libpng-license"),
-    ("boost", "BSL-1.0", r"boost software", "boost.org/license"),
-    ("artistic", "Artistic-1.0 Artistic-2.0", r"artistic", "opensource.org/licenses/artistic"),
-    ("unlicense", "Unlicense", r"the unlicense|unlicense", "unlicense.org"),
-    ("wtfpl", "WTFPL", r"do what the fuck you want to public|wtfpl", "wtfpl.net"),
-    ("cc0", "CC0-1.0", r"cc0|creative commons zero", "creativecommons.org/publicdomain/zero"),
-    ("cc-by", "CC-BY-1.0 CC-BY-2.0 CC-BY-2.5 CC-BY-3.0 CC-BY-4.0", r"cc[ -]by(?![ -](?:nc|sa|nd))|creative commons attribution(?![ -](?:non|share|no))", "creativecommons.org/licenses/by/"),
-    ("cc-by-sa", "CC-BY-SA-1.0 CC-BY-SA-2.0 CC-BY-SA-3.0 CC-BY-SA-4.0", r"cc[ -]by[ -]sa|creative commons attribution[ -]share[ -]?alike", "creativecommons.org/licenses/by-sa/"),
-    ("cc-by-nc", "CC-BY-NC-1.0 CC-BY-NC-2.0 CC-BY-NC-3.0 CC-BY-NC-4.0", r"cc[ -]by[ -]nc(?![ -](?:sa|nd))|creative commons attribution[ -]non[ -]?commercial(?![ -](?:share|no))", "creativecommons.org/licenses/by-nc/"),
-    ("cc-by-nc-sa", "CC-BY-NC-SA-3.0 CC-BY-NC-SA-4.0", r"cc[ -]by[ -]nc[ -]sa|creative commons attribution[ -]non[ -]?commercial[ -]share[ -]?alike", "creativecommons.org/licenses/by-nc-sa/"),
-    ("cc-by-nd", "CC-BY-ND-3.0 CC-BY-ND-4.0", r"cc[ -]by[ -]nd|creative commons attribution[ -]no[ -]?deriv", "creativecommons.org/licenses/by-nd/"),
-    ("cc-by-nc-nd", "CC-BY-NC-ND-3.0 CC-BY-NC-ND-4.0", r"cc[ -]by[ -]nc[ -]nd|creative commons attribution[ -]non[ -]?commercial[ -]no[ -]?deriv", "creativecommons.org/licenses/by-nc-nd/"),
-    ("odbl", "ODbL-1.0", r"open database|odbl", "opendatacommons.org/licenses/odbl"),
-    ("odc-by", "ODC-By-1.0", r"open data commons attribution|odc-by", "opendatacommons.org/licenses/by"),
-    ("pddl", "PDDL-1.0", r"public domain dedication and|pddl", "opendatacommons.org/licenses/pddl"),
-    ("ofl", "OFL-1.0 OFL-1.1", r"(?:sil )?open font|ofl", "scripts.sil.org/ofl"),
-    ("python", "PSF-2.0 Python-2.0", r"python software foundation|psf", "python.org/psf/license"),
-    ("php", "PHP-3.0 PHP-3.01", r"php", "php.net/license"),
-    ("ruby", "Ruby", r"ruby", "ruby-lang.org/en/about/license"),
-    ("openssl", "OpenSSL", r"openssl", "openssl.org/source/license"),
-    ("postgresql", "PostgreSQL", r"postgresql", "opensource.org/licenses/postgresql"),
-    ("ncsa", "NCSA", r"university of illinois/ncsa|ncsa", "opensource.org/licenses/ncsa"),
-    ("ms-pl", "MS-PL", r"microsoft public|ms-pl", "opensource.org/licenses/ms-pl"),
-    ("ms-rl", "MS-RL", r"microsoft reciprocal|ms-rl", "opensource.org/licenses/ms-rl"),
-    ("eupl", "EUPL-1.0 EUPL-1.1 EUPL-1.2", r"european union public|eupl", "joinup.ec.europa.eu/collection/eupl"),
-    ("cecill", "CECILL-1.0 CECILL-2.0 CECILL-2.1 CECILL-B CECILL-C", r"cecill(?:-[bc])?", "cecill.info/licences"),
-    ("osl", "OSL-1.0 OSL-2.0 OSL-3.0", r"open software", "opensource.org/licenses/osl"),
-    ("afl", "AFL-1.1 AFL-2.0 AFL-3.0", r"academic free|afl", "opensource.org/licenses/afl"),
-    ("apsl", "APSL-1.0 APSL-2.0", r"apple public source|apsl", "opensource.apple.com/apsl"),
-    ("qpl", "QPL-1.0", r"q public|qpl", "opensource.org/licenses/qpl"),
-    ("sleepycat", "Sleepycat", r"sleepycat", "opensource.org/licenses/sleepycat"),
-    ("vim", "Vim", r"vim", "vimhelp.org/uganda"),
-    ("upl", "UPL-1.0", r"universal permissive|upl", "oss.oracle.com/licenses/upl"),
-    ("w3c", "W3C W3C-19980720", r"w3c(?: software)?", "w3.org/consortium/legal"),
-    ("gfdl", "GFDL-1.1 GFDL-1.2 GFDL-1.3", r"(?:gnu )?free documentation|gfdl", "gnu.org/licenses/fdl"),
-    ("sspl", "SSPL-1.0", r"server side public|sspl", "mongodb.com/licensing/server-side-public-license"),
-    ("busl", "BUSL-1.1", r"business source|busl", "mariadb.com/bsl"),
-    ("elastic", "Elastic-2.0", r"elastic", "elastic.co/licensing/elastic-license"),
-    ("llama", "Llama-2 Llama-3", r"llama (?:2|3)(?:\.\d)? community", "llama.meta.com/llama"),
-    ("openrail", "OpenRAIL OpenRAIL-M", r"(?:creativeml )?openrail(?:-m)?", "huggingface.co/spaces/bigscience/license"),
-)
-
-# Sentences of license texts, as label, keyword, pattern.
-SENTENCES = (
-    ("mit", "permission is hereby granted", r"permission is hereby granted,? free of charge,? to any person obtaining a copy"),
-    ("mit", "without restriction", r"deal in the software without restriction"),
-    ("apache", "limitations under the license", r"see the license for the specific language governing permissions and\s+limitations under the license"),
-    ("apache", "in compliance with the license", r"you may not use this file except in compliance with the license"),
-    ("gpl", "free software foundation", r"under the terms of the gnu general public license as published by\s+the free software foundation"),
-    ("lgpl", "free software foundation", r"under the terms of the gnu (?:lesser|library) general public license as published by\s+the free software foundation"),
-    ("agpl", "free software foundation", r"under the terms of the gnu affero general public license as published by\s+the free software foundation"),
-    ("bsd", "redistribution and use", r"redistribution and use in source and binary forms,? with or without\s+modification,? are permitted"),
-    ("bsd-3-clause", "endorse or promote", r"may be used to\s+endorse or promote products derived from this software without specific"),
-    ("bsd", "this software is provided by", r"this software is provided by the copyright holders? and contributors"),
-    ("isc", "permission to use, copy", r"permission to use,? copy,? modify,? and(?:/or)? distribute this software for any\s+purpose with or without fee"),
-    ("zlib", "altered source versions", r"altered source versions must be plainly marked as such"),
-    ("boost", "to any person or organization", r"permission is hereby granted,? free of charge,? to any person or organization"),
-    ("unlicense", "released into the public domain", r"this is free and unencumbered software released into the public domain"),
-    ("mpl", "mozilla public", r"subject to the terms of the mozilla public\s+license"),
-    ("epl", "eclipse public", r"made\s+available under the terms of the eclipse public license"),
-    ("public-domain", "public domain", r"(?:placed|dedicated|released|is) (?:in|in to|into|to) the public domain"),
-    ("proprietary", "all rights reserved", r"all rights reserved"),
-    ("proprietary", "proprietary and confidential", r"proprietary and confidential"),
-    ("copyright", "copyright", r"copyright\s+(?:\(c\)|©)?\s*\d{4}"),
-)
+#: No rule matches more characters of folded text; a test holds every pattern to it.
+REACH = 400
+SPDX_TAG = "spdx-license-identifier:"
+_RUN = re.compile(r"[ \t\n\x0b\x0c\r]{2,}|[\t\x0b\x0c\r]")
+_IDENTIFIER = re.compile(r"[a-z0-9][-.+a-z0-9]*")
 
 
 @dataclass(frozen=True)
@@ -122,82 +52,129 @@ class Signature:
     weight: float
 
 
+def spdx_ids() -> dict[str, str]:
+    """Label of each SPDX identifier, in lower case."""
+    return {spdx.lower(): label for label, ids, _, _ in FAMILIES for spdx in ids.split()}
+
+
 def signatures() -> tuple[Signature, ...]:
     """The rules in order of priority; forms of one family differ in how sure they are."""
-    out = []
-    for label, ids, names, address in FAMILIES:
-        for spdx in ids.split():
-            out.append(Signature(label, spdx.lower(), rf"spdx-license-identifier:\s*\(?[^\n]*?\b{re.escape(spdx.lower())}\b(?![-.\w])", 90, 1.0))
-            if "-" in spdx:
-                out.append(Signature(label, spdx.lower(), rf"(?<![-.\w]){re.escape(spdx.lower())}(?![-.\w])", 70, 0.9))
+    version = r"(?:,? (?:version |v\.? ?)?\d{1,3}(?:\.\d{1,3}){0,3})?"
+    out = [Signature(label, spdx, rf"(?<![-.\w]){re.escape(spdx)}(?![-\w])(?!\.\w)", 70, 0.9) for spdx, label in spdx_ids().items() if "-" in spdx]
+    for label, _, names, address in FAMILIES:
         out.append(Signature(label, address, re.escape(address), 80, 0.95))
-        out.append(Signature(label, "licen", rf"\b(?:{names})[ \-]licen[sc]e\b(?:,? (?:version |v\.? ?)?\d+(?:\.\d+)*)?", 60, 0.85))
-        out.append(Signature(label, "licen", rf"\b(?:licen[sc]ed|released|distributed|available|published) under (?:the |an? )?(?:terms of the )?(?:{names})\b(?: licen[sc]e)?(?:,? (?:version |v\.? ?)?\d+(?:\.\d+)*)?", 65, 0.9))
-        out.append(Signature(label, "licen", rf"\blicen[sc]e\s*[:=]\s*[\"']?(?:the )?(?:{names})\b", 62, 0.85))
+        out.append(Signature(label, "licen", rf"\b(?:{names})[ \-]licen[sc]e\b{version}", 60, 0.85))
+        out.append(Signature(label, "licen", rf"\b(?:licen[sc]ed|released|distributed|available|published) under (?:the |an? )?(?:terms of the )?(?:{names})\b(?: licen[sc]e)?{version}", 65, 0.9))
+        out.append(Signature(label, "licen", rf"\blicen[sc]e ?[:=] ?[\"']?(?:the )?(?:{names})\b", 62, 0.85))
     for label, keyword, pattern in SENTENCES:
         own = label not in ("copyright", "proprietary", "public-domain")
         out.append(Signature(label, keyword, pattern, 75 if own else 20, 0.95 if own else 0.3))
     return tuple(sorted(out, key=lambda s: (-s.priority, s.label, s.pattern)))
 
 
+def flexible(pattern: str) -> str:
+    """``pattern`` with each space standing for folded white space of either kind."""
+    parts = re.split(r"(\[(?:\\.|[^\]\\])*\])", pattern)
+    return "".join(p.replace(" ", "\n ") if k % 2 else p.replace("\\ ", " ").replace(" ", "[ \n]") for k, p in enumerate(parts))
+
+
 def matcher():
-    """The compiled rules and the automaton of their keywords."""
+    """The compiled rules, the automaton of their keywords, and the SPDX identifiers."""
     import ahocorasick
 
-    rules = [(s, re.compile(s.pattern)) for s in signatures()]
-    auto, by_keyword = ahocorasick.Automaton(), {}
+    rules = [(s, re.compile(flexible(s.pattern))) for s in signatures()]
+    auto, by_keyword = ahocorasick.Automaton(), {SPDX_TAG: [-1]}
     for i, (s, _) in enumerate(rules):
-        by_keyword.setdefault(s.keyword, []).append(i)
+        # A keyword may be broken at the end of a line, so its longest word finds it.
+        by_keyword.setdefault(max(s.keyword.split(" "), key=len), []).append(i)
     for keyword, ids in by_keyword.items():
         auto.add_word(keyword, ids)
     auto.make_automaton()
-    return rules, auto
-
-
-REACH = 400
-
-
-def detect(text: str, tools) -> list[tuple[int, int, str, int, float]]:
-    """start, end, label, priority, weight of what stands after suppression, by start.
-
-    ``text`` is lower case. Each keyword opens a window of ``REACH`` characters to both
-    sides for its rules: no pattern but one reaches farther from its keyword, and that
-    one ends at a line break. Windows that meet are merged, so cost follows the text.
-    """
-    rules, auto = tools
+    return rules, auto, spdx_ids()
+
+
+class Folded:
+    """A text lowered in A-Z with white space folded, and the way back to the places of the text."""
+
+    def __init__(self, text: str):
+        self.lower = utf8(text).lower().decode("utf-8", "surrogatepass")
+        self.text = _RUN.sub(lambda m: "\n" if "\n" in m[0] else " ", self.lower)
+        self._ends: list[int] | None = None
+
+    def place(self, at: int) -> int:
+        """Where the character ``at`` of the folded text stands in the text."""
+        if self._ends is None:
+            self._ends, self._lost, lost = [], [], 0
+            for m in _RUN.finditer(self.lower):
+                if len(m[0]) > 1:
+                    lost += len(m[0]) - 1
+                    self._ends.append(m.end() - lost)
+                    self._lost.append(lost)
+        k = bisect_right(self._ends, at)
+        return at + (self._lost[k - 1] if k else 0)
+
+
+Found = tuple[int, int, str, int, float]
+
+
+def _tagged(text: str, starts: list[int], ids: dict[str, str]) -> Iterator[Found]:
+    """Known identifiers behind an SPDX tag, up to the end of its line."""
+    done = 0
+    for at in starts:
+        if at < done:
+            continue
+        # The expression may begin on the line after the tag.
+        end = text.find("\n", at + (text[at : at + 1] == "\n"))
+        done = len(text) if end < 0 else end
+        for m in _IDENTIFIER.finditer(text, at, done):
+            name = m[0] if m[0] in ids else m[0].rstrip("+.-")
+            if name in ids:
+                yield m.start(), m.start() + len(name), ids[name], 90, 1.0
+
+
+def candidates(text: str, tools) -> list[Found]:
+    """Every match of every rule in the folded ``text``."""
+    rules, auto, ids = tools
     windows: dict[int, list[list[int]]] = {}
-    for end, ids in auto.iter(text):
+    tags = []
+    for end, own_rules in auto.iter(text):
         lo, hi = max(0, end - REACH), end + REACH
-        for i in ids:
+        for i in own_rules:
+            if i < 0:
+                tags.append(end + 1)
+                continue
             own = windows.setdefault(i, [])
             if own and lo <= own[-1][1]:
                 own[-1][1] = hi
             else:
                 own.append([lo, hi])
-    found = []
+    found = list(_tagged(text, tags, ids))
     for i, spans in windows.items():
         s, rx = rules[i]
         for lo, hi in spans:
             found += [(m.start(), m.end(), s.label, s.priority, s.weight) for m in rx.finditer(text, lo, min(hi, len(text)))]
+    return found
+
+
+def suppress(found: list[Found]) -> list[Found]:
+    """What stands, by start: a detection goes if one that contains it has its priority or more, or one that it contains has more."""
     # By start, longer first: whatever contains a detection comes before it.
-    found.sort(key=lambda d: (d[0], -d[1], -d[3], d[2]))
-    kept: list[tuple[int, int, str, int, float]] = []
-    open_: list[tuple[int, int, str, int, float]] = []
+    found = sorted(found, key=lambda d: (d[0], -d[1], -d[3], d[2]))
+    kept: list[Found] = []
+    open_: list[Found] = []
     for d in found:
         open_ = [o for o in open_ if o[1] > d[0]]
         if not any(o[1] >= d[1] and o[3] >= d[3] for o in open_):
             kept.append(d)
             open_.append(d)
-    # The other way round: a contained detection of higher priority suppresses what contains it.
-    return [d for d in kept if not any(o is not d and d[0] <= o[0] and o[1] <= d[1] and o[3] > d[3] for o in _near(kept, d))]
-
+    inside = lambda d: kept[bisect_left(kept, (d[0],)) : bisect_right(kept, (d[1],))]
+    return [d for d in kept if not any(o is not d and d[0] <= o[0] and o[1] <= d[1] and o[3] > d[3] for o in inside(d))]
 
-def _near(kept: list, d: tuple) -> list:
-    import bisect
 
-    lo = bisect.bisect_left(kept, (d[0],))
-    hi = bisect.bisect_right(kept, (d[1],))
-    return kept[lo:hi]
+def detect(text: str, tools) -> list[Found]:
+    """start, end, label, priority, weight of what stands after suppression, by start, in characters of ``text``."""
+    folded = Folded(text)
+    return [(folded.place(d[0]), folded.place(d[1] - 1) + 1, *d[2:]) for d in suppress(candidates(folded.text, tools))]
 
 
 def phrases(words: list[bytes]) -> tuple[list[int], set[str]]:
@@ -222,7 +199,7 @@ def scan_text(text: str | None, tools) -> dict:
     # A long text is cut into words only if a phrase can be in it; counting needs no list of them.
     words = data.split()
     starts, base = phrases(words) if b"license" in data else ([], set())
-    found = detect((text or "").lower(), tools)
+    found = detect(text or "", tools)
     labels = base | {d[2] for d in found}
     miss = 1.0
     for w in [d[4] for d in found] + [0.85] * len(starts):
@@ -235,7 +212,7 @@ def scan_text(text: str | None, tools) -> dict:
 
 
 def scan(docs: DataFrame) -> DataFrame:
-    """One row per document: the columns of ``SCHEMA``; ``detections`` are offsets in the lower-cased text."""
+    """One row per document: the columns of ``SCHEMA``; ``detections`` are offsets in characters of the text."""
     def make():
         tools = matcher()
         kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("label", pa.string())]))
@@ -247,5 +224,4 @@ def scan(docs: DataFrame) -> DataFrame:
 
         return step
 
-    small_batches(docs.sparkSession)
     return map_batches(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), make, SCHEMA)

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_batches, materialise, shared_dir, small_batches
+from .common import map_batches, materialise, shared_dir
 
 LENGTH = 1024
 #: Records of a shard: 2 MB, of which a task holds a few copies.
@@ -106,7 +106,6 @@ def tokenise(docs: DataFrame, path: str, length: int = LENGTH) -> DataFrame:
 
         return step
 
-    small_batches(docs.sparkSession, 500)
     return materialise(map_batches(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), make, "task int, first long, doc_id long, n_tokens long, tokens binary"), "token-ids")
 
 

@@ -380,11 +380,45 @@ def test_license(docs, none, spark):
 
 def test_license_suppression():
     tools = license.matcher()
-    found = license.detect("spdx-license-identifier: gpl-2.0-only", tools)
+    found = license.detect("SPDX-License-Identifier: GPL-2.0-only", tools)
     assert {d[2] for d in found} == {"gpl"} and not any(a is not b and a[0] <= b[0] and b[1] <= a[1] and a[3] >= b[3] for a in found for b in found)
     assert len(tools[0]) > 400
 
 
+def test_license_rules_are_bounded():
+    """No rule reaches beyond its window, and each holds its keyword, so windows and prefilter lose nothing."""
+    for s in license.signatures():
+        assert re._parser.parse(license.flexible(s.pattern)).getwidth()[1] < license.REACH, s
+        word = max(s.keyword.split(" "), key=len)
+        assert word == "licen" or word in s.pattern.replace("\\", "").replace("licen[sc]e", "license"), s
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_license_equals_a_scan_of_the_whole_text(seed):
+    """Every rule over the whole folded text, with no keywords and no windows."""
+    rng = random.Random(seed)
+    tools = license.matcher()
+    pieces = ["MIT License", "licensed under the Apache License, Version 2.0", "gpl-3.0-or-later", "SPDX-License-Identifier: (MIT OR\tISC) AND xx", "\n", "   ", "\t\n ", "all rights reserved", "É", "K", "copyright (c) 2001", "word " * 80,
+              "see the license for the specific language governing permissions and" + " " * 500 + "\nlimitations under the license", "permission is hereby granted, free\n of charge, to any person obtaining a copy", "creative commons attribution-share alike license", "license:", "cc by-nc 4.0", "x" * 390]
+    for _ in range(60):
+        text = " ".join(rng.choice(pieces) for _ in range(rng.randint(1, 25)))
+        folded = license.Folded(text)
+        want = list(license._tagged(folded.text, [m.end() for m in re.finditer(license.SPDX_TAG, folded.text)], tools[2]))
+        for s, rx in tools[0]:
+            want += [(m.start(), m.end(), s.label, s.priority, s.weight) for m in rx.finditer(folded.text)]
+        assert sorted(license.candidates(folded.text, tools)) == sorted(want)
+        assert all(re.sub(r"\s+", " ", folded.lower[a:b]) == re.sub(r"\s", " ", folded.text[c:d]) for (a, b, *_), (c, d, *_) in zip(license.detect(text, tools), license.suppress(want), strict=True))
+
+
+def test_license_far_from_its_keyword():
+    tools = license.matcher()
+    for n in (5, 150, 40_000):
+        assert "vim" in {d[2] for d in license.detect("SPDX-License-Identifier: " + " or ".join(["xx"] * n) + " or Vim", tools)}
+    for gap in (1, 500, 300_000):
+        assert {d[2] for d in license.detect("See the License for the specific language governing permissions and" + " " * gap + "limitations under the License", tools)} == {"apache"}
+    assert license.scan_text("\u212a MIT LICENSE" + " word" * 300_000, tools)["n_words"] == 300_003
+
+
 def test_toxicity(docs, none, spark):
     rng = random.Random(8)
     clean = [f"w{k}" for k in range(300)]
