@@ -31,6 +31,8 @@ FRAME_MAGIC = 0xFD2FB528
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 CRLF = b"\r\n"
 LEAST_REVISIT = 100
+#: Bytes that the reader takes at a time.
+SLICE = 16 << 10
 
 
 def train(samples: list[bytes], size: int = 32 * 1024):
@@ -114,15 +116,18 @@ def _frames(data: bytes) -> Iterator[bytes]:
     while at < len(data):
         if len(data) - at < 5 or struct.unpack_from("<I", data, at)[0] != FRAME_MAGIC:
             raise ValueError(f"record {n}: no frame at byte {at}")
-        one = reader.decompressobj()
+        one, parts = reader.decompressobj(), []
         try:
-            content = one.decompress(view[at:])
+            # Fed in slices: what a frame leaves unused is copied, and must not be the rest of the archive.
+            while not one.eof and at < len(data):
+                parts.append(one.decompress(view[at : at + SLICE]))
+                at = min(at + SLICE, len(data))
         except zstandard.ZstdError as error:
             raise ValueError(f"record {n}: {error}") from None
         if not one.eof:
             raise ValueError(f"record {n}: the frame is cut off")
-        yield content
-        at, n = len(data) - len(one.unused_data), n + 1
+        yield b"".join(parts)
+        at, n = at - len(one.unused_data), n + 1
 
 
 def parse(content: bytes, n: int = 0) -> Record:
@@ -181,18 +186,20 @@ def write(pages: DataFrame, sample_rows: int = 500, archive_bytes: int = 8 << 20
     trained = train(sample)
     dictionary = trained.as_bytes() if trained else None
     keyed = own.withColumn("digest", F.sha2(F.col("html").cast("binary"), 256)).withColumn("long_enough", F.octet_length("html") >= LEAST_REVISIT)
-    # Of each digest only the smallest id travels; hot digests are combined before the shuffle.
-    firsts = keyed.where("long_enough").groupBy(F.col("digest").alias("of")).agg(F.min("page_id").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
-    marked = keyed.join(firsts, (F.col("digest") == F.col("of")) & F.col("long_enough"), "left").drop("of")
-    revisit = F.col("first").isNotNull() & F.col("page_id").isNotNull() & (F.col("page_id") != F.col("first"))
-    marked = marked.select("page_id", "url", "html", "digest", revisit.alias("again"), F.when(revisit, F.col("first")).alias("refers_to"))
+    # Only ids and digests meet by digest, where a page with many copies is one hot key: minima are combined
+    # before the shuffle, and the join of ids has no page in it. Pages then meet their flag by id and digest.
+    ids = keyed.where("long_enough and page_id is not null").select("page_id", "digest")
+    firsts = ids.groupBy("digest").agg(F.min("page_id").alias("first"), F.max("page_id").alias("last")).where("first < last").select("digest", "first")
+    again = ids.join(firsts, "digest").where("page_id <> first").distinct().select(F.col("page_id").alias("of_id"), F.col("digest").alias("of"), "first")
+    marked = keyed.join(again, (F.col("page_id") == F.col("of_id")) & (F.col("digest") == F.col("of")), "left")
+    marked = marked.select("page_id", "url", "html", "digest", F.col("first").isNotNull().alias("again"), F.col("first").alias("refers_to"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         writer = Writer(dictionary)
         pack = lambda: pa.RecordBatch.from_arrays([pa.array([writer.take()], pa.binary())], names=["archive"])
         for batch in batches:
-            for page_id, url, html, digest, again, refers in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                writer.add(record_bytes(page_id, url, utf8(html), digest, "revisit" if again else "response", refers))
+            for page_id, url, html, digest, again, refers in zip(*batch.columns, strict=True):
+                writer.add(record_bytes(page_id.as_py(), url.as_py(), utf8(html.as_py()), digest.as_py(), "revisit" if again.as_py() else "response", refers.as_py()))
                 if writer.size >= archive_bytes:
                     yield pack()
         if not writer.empty:

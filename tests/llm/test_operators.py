@@ -477,3 +477,27 @@ def test_warc_damage(tmp_path, spark):
     for bad in (re.sub(rb"Content-Length: (\d+)", lambda m: b"Content-Length: %d" % (int(m[1]) + 1), good, count=1), good.replace(b"WARC/1.1", b"WRC/1.1"), good.replace(b"\r\n\r\np", b"\r\n\r\nq"), good.replace(b"WARC-Date", b"X-Date")):
         with pytest.raises(ValueError):
             warc.parse(bad)
+
+
+def test_warc_long_archive():
+    """Reading takes time in proportion to the records, and a record may be far longer than a slice."""
+    import time
+
+    body = random.Random(2).randbytes(150)
+
+    def seconds(n):
+        w = warc.Writer(None)
+        for i in range(n):
+            w.add(warc.record_bytes(i, "u", body, hashlib.sha256(body).hexdigest(), "response", None))
+        data = w.take()
+        began = time.perf_counter()
+        assert sum(1 for _ in warc.read(data)) == n
+        return time.perf_counter() - began
+
+    seconds(500)
+    assert seconds(16_000) < 24 * seconds(2_000)
+    long = random.Random(3).randbytes(3 << 20)
+    w = warc.Writer(None)
+    for i in range(3):
+        w.add(warc.record_bytes(i, "u", long, hashlib.sha256(long).hexdigest(), "response", None))
+    assert [r.payload for r in warc.read(w.take())] == [long] * 3
