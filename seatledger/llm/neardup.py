@@ -1,23 +1,26 @@
 """MinHash near-duplicate detection with an LSH forest.
 
-A document is the set of its distinct word shingles. Its signature of 128
-minimum hashes is read in 32 rotations, the trees; in each, documents are
-sorted by the rotated signature, and those whose longest common prefix reaches
-``DEPTH`` values are neighbours. A pair of similarity 0.8 shares such a prefix
-in one tree with probability 0.41, so in none of 32 with 5e-8.
-
-Every link is confirmed on the full sets. First, neighbours within runs of the
-sorted order of a few trees are compared, which joins most groups. Then, in all
-trees, only documents of different components that still share a prefix are
-compared, block against block, so no group is gathered in one task and no pair
-of a joined group is ever formed. Equal sets are one node from the start.
-
-Depth adapts to the region. Runs are cut along the sorted order, so in a crowded
-region the members of a run share much longer prefixes than ``DEPTH``; and where
-a prefix still holds more than ``CROWD`` documents beside its largest component,
-these go to a second forest of twice the depth and three times the trees (a pair
-of similarity 0.8 is missed by all of them with 2e-8), where few unlike documents
-meet.
+A document is the set of its distinct word shingles. Its signature of minimum
+hashes is read in many rotations, the trees of the forest. Each tree is a sorted
+order: rows are range-partitioned and sorted by the rotated signature, and every
+row is compared with its neighbours on both sides, whose longest common prefix
+(LCP) tells how deep they part. Rows with an LCP of ``DEPTH`` values or more form
+a region; a pair of similarity 0.8 is in one region of a tree with probability
+0.41, and the number of trees is the one that leaves it unseen by all of them
+with less than ``MISS``.
+
+Every link is confirmed on the full sets. First, in a few trees, regions are cut
+into runs of at most ``RUN`` rows where their neighbours' LCPs are least, so each
+region is compared at a depth of its own, and runs share their border rows; that
+joins most groups. Then, in all trees, only documents of different components in
+one region are compared, block against block, so no group is gathered in one
+task and no pair of a joined group is ever formed. Equal sets are one node from
+the start.
+
+A region that still holds too much work for that (``WIDE`` pairs beside its
+largest component) is descended: its documents get orders of twice the depth, of
+as many trees as that depth needs for the same ``MISS``, and so on until regions
+are narrow or the depth is ``DEEPEST``, where all that is left is compared.
 
 Defined results: a null or wordless text has an empty set and is linked with
 nothing; a null doc_id is kept, with a null component; rows with one doc_id are
@@ -27,18 +30,26 @@ empty one.
 
 from __future__ import annotations
 
+import math
+from bisect import bisect_right
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import map_batches, materialise, utf8
 
-HASHES, DEPTH, TREES = 128, 4, 32
-TAIL = 4
+#: Values that rows of one region share at first and at last, and values of the sort key beyond them.
+DEPTH, DEEPEST, TAIL = 4, 16, 4
+#: How likely a pair of just the wanted similarity is in no region of any tree.
+MISS = 1e-7
 RUN = 256
-#: Beyond so many documents of other components in a prefix, the deep forest takes over.
-CROWD, DEEP_DEPTH, DEEP_TREES = 4096, 8, 96
+#: Pairs of a region, beside those inside its largest component, beyond which it is descended.
+WIDE = 1 << 24
+#: Values of the sketch by which large blocks tell pairs that are far apart.
+SKETCH = 128
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _MIX2 = np.uint64(0xBF58476D1CE4E5B9)
 
@@ -80,7 +91,12 @@ def shingle_set(text: str | None, k: int, cache: WordHashes) -> np.ndarray:
     return distinct(mix(acc))
 
 
-def _coefficients(n: int = HASHES, seed: int = 20) -> tuple[np.ndarray, np.ndarray]:
+def trees_for(depth: int, percent: int) -> int:
+    """Trees that leave a pair of similarity ``percent`` / 100 without a common prefix of ``depth`` values with less than MISS."""
+    return max(1, math.ceil(math.log(MISS) / math.log1p(-((min(percent, 99) / 100) ** depth))))
+
+
+def _coefficients(n: int, seed: int = 20) -> tuple[np.ndarray, np.ndarray]:
     rng = np.random.default_rng(seed)
     return rng.integers(0, 1 << 63, n, dtype=np.uint64) * np.uint64(2) + np.uint64(1), rng.integers(0, 1 << 63, n, dtype=np.uint64)
 
@@ -94,13 +110,13 @@ def signature(items: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (best >> np.uint64(32)).astype(np.uint32)
 
 
-def describe(docs: DataFrame, k: int) -> DataFrame:
-    """doc_id, n_shingles, set_key (128-bit hash of the set; null if empty), sig."""
+def describe(docs: DataFrame, k: int, hashes: int) -> DataFrame:
+    """doc_id, n_shingles, set_key (128-bit hash of the set; null if empty), sig of so many values."""
 
     def make():
         import xxhash
 
-        cache, (a, b) = WordHashes(), _coefficients()
+        cache, (a, b) = WordHashes(), _coefficients(hashes)
 
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
             n, keys, sigs = [], [], []
@@ -118,59 +134,135 @@ def describe(docs: DataFrame, k: int) -> DataFrame:
 
 #: Number of a row in :func:`dedup`.
 ROW = "_sl_row"
-TREE_ROWS = "id long, tree int, prefix long, t0 long, t1 long"
-
-
-def _tree_batches(ids: np.ndarray, sig: np.ndarray, depth: int, trees: int) -> list[pa.RecordBatch]:
-    """id, tree, prefix, tail of every tree: the first values hashed, the next as they sort."""
-    out = []
-    for t in range(trees):
-        rot = np.roll(sig, -t * depth, axis=1)[:, : depth + TAIL].astype(np.uint64)
-        acc = np.full(len(ids), t + 1, np.uint64)
-        for j in range(depth):
-            acc = mix(acc * _MIX + rot[:, j])
-        # The next values in big-endian order, as two longs that sort as unsigned.
-        tail = [((rot[:, depth + i] << np.uint64(32)) | rot[:, depth + i + 1]) ^ np.uint64(1 << 63) for i in range(0, TAIL, 2)]
-        cols = [pa.array(ids, pa.int64()), pa.array(np.full(len(ids), t, np.int32))] + [pa.array(x.view(np.int64)) for x in (acc, *tail)]
-        out.append(pa.RecordBatch.from_arrays(cols, names=["id", "tree", "prefix", "t0", "t1"]))
+
+
+def _order_rows(ids: np.ndarray, sig: np.ndarray, depth: int) -> list[pa.RecordBatch]:
+    """tree, key, id for every rotation of the signatures: the next depth + TAIL values, as bytes that sort as they do."""
+    out, width = [], depth + TAIL
+    for t in range(sig.shape[1] // depth):
+        keys = np.ascontiguousarray(np.take(sig, np.arange(t * depth, t * depth + width) % sig.shape[1], axis=1).astype(">u4"))
+        offsets = np.arange(len(ids) + 1, dtype=np.int32) * (4 * width)
+        key = pa.Array.from_buffers(pa.binary(), len(ids), [None, pa.py_buffer(offsets), pa.py_buffer(keys)])
+        out.append(pa.RecordBatch.from_arrays([pa.array(np.full(len(ids), t, np.int32)), key, pa.array(ids, pa.int64())], names=["tree", "key", "id"]))
     return out
 
 
-def tree_rows(reps: DataFrame) -> DataFrame:
-    """Rows of the forest for nodes (id, sig)."""
+def order_rows(nodes: DataFrame, depth: int, trees: int) -> DataFrame:
+    """Rows of the sorted orders for nodes (id, sig), or (id, items) at greater depths, which take hashes of their own."""
+    column = "sig" if "sig" in nodes.columns else "items"
 
     def make():
+        a, b = _coefficients(depth * trees, 20 + depth)
+
         def step(batch: pa.RecordBatch) -> list[pa.RecordBatch]:
-            sig = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint32).reshape(-1, HASHES)
-            return _tree_batches(batch.column(0).to_numpy(zero_copy_only=False), sig, DEPTH, TREES)
+            cells = [np.frombuffer(x.as_py(), np.uint32 if column == "sig" else np.uint64) for x in batch.column(1)]
+            sig = np.stack(cells if column == "sig" else [signature(x, a, b) for x in cells])
+            return _order_rows(batch.column(0).to_numpy(zero_copy_only=False), sig, depth)
 
         return step
 
-    return map_batches(reps.select("id", "sig"), make, TREE_ROWS)
-
+    return map_batches(nodes.select("id", column), make, "tree int, key binary, id long", 500)
 
-def deep_rows(items: DataFrame) -> DataFrame:
-    """Rows of the deep forest for nodes (id, items), with hashes of its own."""
-    depth, trees = DEEP_DEPTH, DEEP_TREES
 
-    def make():
-        a, b = _coefficients(depth * trees, 21)
+def cut_runs(lcp: np.ndarray, most: int) -> list[tuple[int, int]]:
+    """A region of len(lcp) rows as runs of at most ``most``, parted where neighbours have least in common.
 
-        def step(batch: pa.RecordBatch) -> list[pa.RecordBatch] | None:
-            if not batch.num_rows:
+    ``lcp[i]`` is the common prefix of rows i - 1 and i. Deeper parts that fit together stay together.
+    """
+    out, todo = [], [(0, len(lcp))]
+    while todo:
+        lo, hi = todo.pop()
+        if hi - lo <= most:
+            out.append((lo, hi))
+            continue
+        inner = lcp[lo + 1 : hi]
+        least = inner.min()
+        if least == inner.max():  # nothing tells its rows apart
+            out += [(x, min(x + most, hi)) for x in range(lo, hi, most)]
+            continue
+        ends = [*(np.flatnonzero(inner == least) + lo + 1).tolist(), hi]
+        first, last = lo, lo
+        for end in ends:
+            if end - first > most and last > first:
+                out.append((first, last))
+                first = last
+            if end - first > most:
+                todo.append((first, end))
+                first = end
+            last = end
+        if last > first:
+            out.append((first, last))
+    return sorted(out)
+
+
+ORDERED = "tree int, prefix long, part int, run int, own boolean, id long"
+
+
+def orders(rows: DataFrame, depth: int) -> DataFrame:
+    """The rows that have a neighbour with ``depth`` values in common, in their runs (columns of ``ORDERED``).
+
+    ``prefix`` names the region, a run is known by tree, part and run, and ``own`` is false
+    for the row of the run before that a run begins with. A region on the border of two
+    partitions has runs in both; its first and last rows are kept even if they are alone.
+    """
+    width = depth + TAIL
+
+    def read(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        raw = batch.column(1).cast(pa.binary(4 * width))
+        keys = np.frombuffer(raw.buffers()[1], ">u4", width * len(raw), 4 * width * raw.offset).reshape(-1, width)
+        return batch.column(0).to_numpy(), keys.astype(np.uint32), batch.column(2).to_numpy(zero_copy_only=False)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        part, n_runs, edge, held = TaskContext.get().partitionId(), 0, True, None
+
+        def regions(tree, keys, ids, last: bool):
+            """The batch of all regions but the last, unless ``last``; and where the last one begins."""
+            nonlocal n_runs, edge
+            same = (tree[1:] == tree[:-1])[:, None] & (keys[1:] == keys[:-1])
+            lcp = np.concatenate([[0], np.cumprod(same, axis=1).sum(axis=1)]).astype(np.int64)
+            begins = np.flatnonzero(lcp < depth)
+            ends = np.append(begins[1:], len(ids))
+            if not last:
+                begins, ends = begins[:-1], ends[:-1]
+            keep = ends - begins > 1
+            if edge and len(keep):
+                keep[0], edge = True, False
+            if last and len(keep):
+                keep[-1] = True
+            rows, runs, own = [], [], []
+            for lo, hi in zip(begins[keep].tolist(), ends[keep].tolist(), strict=True):
+                for x, y in cut_runs(lcp[lo:hi], RUN) if hi - lo > RUN else [(0, hi - lo)]:
+                    first = lo + max(0, x - 1)
+                    rows.append(np.arange(first, lo + y))
+                    runs.append(np.full(lo + y - first, n_runs, np.int32))
+                    own.append(np.arange(first, lo + y) >= lo + x)
+                    n_runs += 1
+            if not rows:
                 return None
-            sig = np.stack([signature(np.frombuffer(x.as_py(), np.uint64), a, b) for x in batch.column(1)])
-            return _tree_batches(batch.column(0).to_numpy(zero_copy_only=False), sig, depth, trees)
-
-        return step
-
-    return map_batches(items.select("id", "items"), make, TREE_ROWS)
-
+            at = np.concatenate(rows)
+            acc = tree[at].astype(np.uint64) + np.uint64(1)
+            for j in range(depth):
+                acc = mix(acc * _MIX + keys[at, j])
+            cols = [pa.array(tree[at]), pa.array(acc.view(np.int64)), pa.array(np.full(len(at), part, np.int32)), pa.array(np.concatenate(runs)), pa.array(np.concatenate(own)), pa.array(ids[at])]
+            return pa.RecordBatch.from_arrays(cols, names=[c.split()[0] for c in ORDERED.split(", ")])
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            now = read(batch)
+            held = now if held is None else tuple(np.concatenate(x) for x in zip(held, now, strict=True))
+            tree, keys, ids = held
+            parts = np.flatnonzero((tree[1:] != tree[:-1]) | (keys[1:, :depth] != keys[:-1, :depth]).any(axis=1))
+            if len(parts):
+                if (out := regions(*held, False)) is not None:
+                    yield out
+                held = tuple(x[parts[-1] + 1 :] for x in held)
+        if held is not None and (out := regions(*held, True)) is not None:
+            yield out
 
-def _buckets(rows: DataFrame) -> DataFrame:
-    """Rows that share their tree and prefix with another, with their place in the sorted order."""
-    bucket = Window.partitionBy("tree", "prefix")
-    return materialise(rows.withColumn("pos", F.row_number().over(bucket.orderBy("t0", "t1", "id")) - 1).withColumn("n", F.count("*").over(bucket)).where("n > 1"), "near-trees")
+    return rows.repartitionByRange("tree", "key", "id").sortWithinPartitions("tree", "key", "id").mapInArrow(run, ORDERED)
 
 
 def _confirm(rows: DataFrame, percent: int) -> DataFrame:
@@ -192,11 +284,20 @@ def _confirm(rows: DataFrame, percent: int) -> DataFrame:
             return x
 
         order = sorted(range(len(ids)), key=lambda i: (len(sets[i]), ids[i]))
+        sizes = [len(sets[i]) for i in order]
+        # In a large block most pairs are far apart, and their sketches tell: a pair that is similar
+        # enough lies six deviations over the least number of equal values.
+        share, sketch = percent / 100, None
+        least = SKETCH * share - 6 * math.sqrt(SKETCH * share * (1 - share))
+        if len(ids) > SKETCH:
+            items = table.column("items").to_pylist()
+            coefficients = _coefficients(SKETCH, 19)
+            sketch = np.stack([signature(np.frombuffer(items[i], np.uint64), *coefficients) for i in order])
         a, b = [], []
         for x, i in enumerate(order):
-            for j in order[x + 1 :]:
-                if 100 * len(sets[i]) < percent * len(sets[j]):
-                    break
+            end = bisect_right(sizes, 100 * sizes[x] // percent, x + 1)
+            near = range(x + 1, end) if sketch is None else (np.flatnonzero((sketch[x + 1 : end] == sketch[x]).sum(axis=1) >= least) + x + 1).tolist()
+            for j in (order[y] for y in near):
                 if sides[i] == 1 and sides[j] == 1:
                     continue
                 ri, rj = find(comps[i]), find(comps[j])
@@ -243,21 +344,25 @@ def components(edges: DataFrame, label: str = "links") -> DataFrame:
         mark = tuple(now)
 
 
-def _run_jobs(buckets: DataFrame, trees: int) -> DataFrame:
-    """Rows of the first trees cut into runs of the sorted order; each run also gets the last row of the one before."""
-    rows = buckets.where(F.col("tree") < trees).select("id", "tree", "prefix", "pos", "n")
-    run = F.floor(F.col("pos") / RUN).cast("int")
-    first = rows.withColumn("run", run)
-    bridge = rows.where((F.col("pos") % RUN == RUN - 1) & (F.col("pos") + 1 < F.col("n"))).withColumn("run", run + 1)
-    return first.union(bridge).select("id", F.struct("tree", "prefix", "run", F.lit(0).alias("other"), F.lit(0).alias("kind")).alias("job"), F.col("id").alias("comp"), F.lit(0).alias("side"))
+def _components_of(rows: DataFrame, comp_of: DataFrame | None) -> DataFrame:
+    """``rows`` with the component of each id, its own where it has no link."""
+    if comp_of is None:
+        return rows.withColumn("comp", F.col("id"))
+    return rows.join(comp_of.withColumnRenamed("node", "id"), "id", "left").withColumn("comp", F.coalesce("root", "id")).drop("root")
+
 
+def _run_jobs(ordered: DataFrame, comp_of: DataFrame | None, trees: int) -> DataFrame:
+    """The runs of the first trees as jobs."""
+    rows = _components_of(ordered.where(F.col("tree") < trees), comp_of)
+    return rows.select("id", F.struct("tree", F.col("part").cast("long").alias("region"), "run", F.lit(0).alias("other"), F.lit(0).alias("kind")).alias("job"), "comp", F.lit(0).alias("side"))
 
-def _mixed(buckets: DataFrame, comp_of: DataFrame) -> DataFrame:
-    """Rows of prefixes that still hold several components, with the sizes of the largest one (n1) and the rest (n0).
+
+def _mixed(ordered: DataFrame, comp_of: DataFrame) -> DataFrame:
+    """Rows of regions that still hold several components, with the sizes of the largest one (n1) and the rest (n0).
 
     Members of the largest component are side 1, the rest side 0.
     """
-    rows = buckets.join(comp_of.withColumnRenamed("node", "id"), "id", "left").withColumn("comp", F.coalesce("root", "id")).drop("root", "pos", "n", "t0", "t1")
+    rows = _components_of(ordered.where("own").select("tree", "prefix", "id"), comp_of)
     by_comp = rows.groupBy("tree", "prefix", "comp").agg(F.count("*").alias("k"))
     main = by_comp.groupBy("tree", "prefix").agg(F.max_by("comp", F.struct("k", "comp")).alias("main"), F.count("*").alias("comps"), F.max("k").alias("n1"), (F.sum("k") - F.max("k")).alias("n0")).where("comps > 1")
     return rows.join(main, ["tree", "prefix"]).withColumn("side", (F.col("comp") == F.col("main")).cast("int"))
@@ -265,10 +370,10 @@ def _mixed(buckets: DataFrame, comp_of: DataFrame) -> DataFrame:
 
 def _cross_jobs(rows: DataFrame) -> DataFrame:
     """Block jobs over the rows of :func:`_mixed`: blocks of side 0 meet each other and every block of side 1."""
-    place = Window.partitionBy("tree", "prefix", "side").orderBy("id")
-    rows = rows.withColumn("block", F.floor((F.row_number().over(place) - 1) / RUN).cast("int"))
     blocks = lambda n: F.ceil(F.col(n) / RUN).cast("int")
     upto = lambda n: F.sequence(F.lit(0), blocks(n) - 1)
+    # A hash deals a side into its blocks, so no region is numbered in one task.
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("tree", "id"), F.when(F.col("side") == 1, blocks("n1")).otherwise(blocks("n0"))).cast("int"))
     # Job (run, other, kind): block `run` of side 0 with block `other` of side 1, or of side 0.
     with_main = rows.withColumn("o", F.explode(F.when(F.col("side") == 1, upto("n0")).otherwise(upto("n1")))).select(
         "id", "comp", "side", "tree", "prefix", F.when(F.col("side") == 1, F.col("o")).otherwise(F.col("block")).alias("run"), F.when(F.col("side") == 1, F.col("block")).otherwise(F.col("o")).alias("other"), F.lit(1).alias("kind")
@@ -276,16 +381,17 @@ def _cross_jobs(rows: DataFrame) -> DataFrame:
     rest = rows.where("side = 0 and n0 > 1 and comps > 2").withColumn("o", F.explode(upto("n0"))).select(
         "id", "comp", F.lit(0).alias("side"), "tree", "prefix", F.least("block", "o").alias("run"), F.greatest("block", "o").alias("other"), F.lit(2).alias("kind")
     )
-    return with_main.union(rest).select("id", F.struct("tree", "prefix", "run", "other", "kind").alias("job"), "comp", "side")
+    return with_main.union(rest).select("id", F.struct("tree", F.col("prefix").alias("region"), "run", "other", "kind").alias("job"), "comp", "side")
 
 
 def find(docs: DataFrame, shingle_words: int = 2, percent: int = 80, first_trees: int = 2) -> DataFrame:
     """doc_id, row_key, n_shingles, component_id, kept; ``row_key`` is the hash of the set."""
-    sets = materialise(describe(docs, shingle_words), "near-sets")
+    depth, trees = DEPTH, trees_for(DEPTH, percent)
+    sets = materialise(describe(docs, shingle_words, depth * trees), "near-sets")
     known = sets.where("set_key is not null and doc_id is not null")
     nodes = materialise(known.groupBy("set_key").agg(F.min("doc_id").alias("id"), F.first("sig").alias("sig")), "near-nodes")
-    buckets = _buckets(tree_rows(nodes))
-    wanted = buckets.select("id").distinct()
+    ordered = materialise(orders(order_rows(nodes, depth, trees), depth), "near-orders")
+    wanted = ordered.select("id").distinct()
 
     def make():
         cache = WordHashes()
@@ -299,17 +405,20 @@ def find(docs: DataFrame, shingle_words: int = 2, percent: int = 80, first_trees
     # Of rows with one id, each brings its set: a link of any of them is a link of the id.
     items = materialise(map_batches(texts, make, "id long, items binary"), "near-items")
 
-    links = materialise(_confirm(_run_jobs(buckets, first_trees).join(items, "id"), percent), "near-links")
-    comp_of = components(links)
-    mixed = materialise(_mixed(buckets, comp_of), "near-mixed")
-    crossed = materialise(_confirm(_cross_jobs(mixed.where(F.col("n0") <= CROWD)).join(items, "id"), percent), "near-links")
     as_edges = lambda c: c.select(F.col("node").alias("a"), F.col("root").alias("b"))
-    roots = components(as_edges(comp_of).union(crossed))
-    crowded = mixed.where(F.col("n0") > CROWD).select("id").distinct()
-    if not crowded.isEmpty():
-        deep = _mixed(_buckets(deep_rows(items.join(crowded, "id", "left_semi"))), roots)
-        links = materialise(_confirm(_cross_jobs(deep).join(items, "id"), percent), "near-links")
+    roots = None
+    while True:
+        links = materialise(_confirm(_run_jobs(ordered, roots, first_trees).join(items, "id"), percent), "near-links")
+        roots = components(links if roots is None else as_edges(roots).union(links))
+        mixed = materialise(_mixed(ordered, roots), "near-mixed")
+        wide = (F.col("n0") * (F.col("n0") + F.col("n1")) > WIDE) & F.lit(depth < DEEPEST)
+        links = materialise(_confirm(_cross_jobs(mixed.where(~wide)).join(items, "id"), percent), "near-links")
         roots = components(as_edges(roots).union(links))
+        deeper = mixed.where(wide).select("id").distinct()
+        if deeper.isEmpty():
+            break
+        depth = 2 * depth
+        ordered = materialise(orders(order_rows(items.join(deeper, "id", "left_semi"), depth, trees_for(depth, percent)), depth), "near-orders")
     node_root = nodes.select("set_key", "id").join(roots.withColumnRenamed("node", "id"), "id", "left").select("set_key", F.coalesce("root", "id").alias("component"))
     mine = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
     return sets.select("doc_id", "n_shingles", "set_key").join(node_root, "set_key", "left").select(

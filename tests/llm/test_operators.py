@@ -136,11 +136,13 @@ def test_neardup(docs, none, rows):
     assert neardup.find(none).count() == 0
 
 
-@pytest.mark.parametrize("crowd", [4096, 1])
-def test_neardup_blocks(spark, monkeypatch, crowd):
-    """Groups larger than a run, prefixes with several components, and the deep forest."""
+@pytest.mark.parametrize("wide,sketch", [(1 << 24, 128), (1, 128), (20, 2)])
+def test_neardup_blocks(spark, monkeypatch, wide, sketch):
+    """Groups larger than a run, regions with several components, and orders of greater depth."""
     monkeypatch.setattr(neardup, "RUN", 4)
-    monkeypatch.setattr(neardup, "CROWD", crowd)
+    monkeypatch.setattr(neardup, "WIDE", wide)
+    if sketch == 2:  # too small a sketch to tell anything, but blocks over two rows take it
+        monkeypatch.setattr(neardup, "SKETCH", sketch)
     rng = random.Random(2)
     rows = []
     for g in range(4):
@@ -166,6 +168,32 @@ def test_neardup_blocks(spark, monkeypatch, crowd):
     assert {r["doc_id"]: r["component_id"] for r in neardup.find(docs).collect()} == {i: find(i) for i in sets}
 
 
+def test_neardup_runs():
+    """Runs cover a region once, in order, and part it where neighbours have least in common."""
+    rng = np.random.default_rng(4)
+    for n in (1, 5, 6, 40, 500):
+        for _ in range(20):
+            lcp = rng.integers(4, 9, n)
+            runs = neardup.cut_runs(lcp, 5)
+            assert runs[0][0] == 0 and runs[-1][1] == n and all(0 < b - a <= 5 for a, b in runs) and all(x[1] == y[0] for x, y in zip(runs, runs[1:]))
+    assert neardup.cut_runs(np.array([0, 7, 7, 4, 7, 7, 7]), 4) == [(0, 3), (3, 7)]
+    assert neardup.trees_for(4, 80) == 31 and (1 - 0.8**4) ** 31 < neardup.MISS
+
+
+def test_neardup_recall(spark):
+    """Pairs of similarity just over 0.8, each in a place of its own: every one is found."""
+    rng = random.Random(7)
+    rows = []
+    for g in range(300):
+        words = [f"g{g}w{k}" for k in range(101)]
+        other = list(words)
+        for k in rng.sample(range(1, 100, 5), 5):  # ten of a hundred shingles change: 90 of 110 are common
+            other[k] = f"x{g}y{k}"
+        rows += [(2 * g, " ".join(words)), (2 * g + 1, " ".join(other))]
+    got = {r["doc_id"]: r["component_id"] for r in neardup.find(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert sum(got[2 * g + 1] == 2 * g for g in range(300)) == 300
+
+
 def test_components(spark):
     rng = random.Random(3)
     edges = [(rng.randrange(200), rng.randrange(200)) for _ in range(150)] + [(k, k + 1) for k in range(300, 400)]
