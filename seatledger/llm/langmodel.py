@@ -1,22 +1,25 @@
 """Language-model scoring with a weighted backoff automaton.
 
-The model is a smoothed n-gram model: P(w | h) is
+The model is a smoothed trigram model: P(w | h) is
 ((1 - g) * c(hw) + (mu + g * c(h)) * P(w | shorter h)) / (c(h) + mu), down to
 add-one unigrams; g, the share taken from each count, is the corpus's share of
-n-grams seen once among all. As an automaton, each history is a state, each
-seen n-gram an arc with its probability, and each state has a failure arc to
-the next shorter history with weight (mu + g * c(h)) / (c(h) + mu). A text is
-scored in one traversal from left to right that carries the state.
+n-grams seen once among all. As an automaton, each seen history is a state, each
+seen n-gram an arc with its log-probability and the state it leads to, and each
+state has a failure arc to the next shorter history, with weight
+(mu + g * c(h)) / (c(h) + mu). A text is scored in one traversal from left to
+right that carries the state: a token takes the arc of the state, or the failure
+arcs until a state has one, whose weights add up.
 
 The model covers the whole training corpus and is never held in one place.
 Documents are dealt into blocks of bounded size. Each block asks, for every
 distinct n-gram of its documents, how often the corpus has it: the requests go
 to shards by hash, carry the block's own counts, and the answers come back in
-the order of the requests. From them each block builds the part of the
-automaton that its documents can reach, and scores them.
+the order of the requests. From them each block builds the states and arcs that
+its documents can reach, and traverses them.
 
-n-grams are known by 64-bit hashes. Requests are sorted, delta-coded and
-compressed; answers carry the counts only.
+n-grams are known by 56 bits of a hash: among 10^10 different ones, a given one
+shares its hash with another with probability 10^-7. Requests are sorted,
+delta-coded and compressed; answers carry the counts only.
 
 Defined results: a null or empty text is one end token; repeated rows count
 and are scored one by one; a null doc_id counts as the empty string where the
@@ -26,21 +29,19 @@ empty one. With no training text every count is 0.
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import materialise, utf8
-from .neardup import WordHashes, distinct, mix
+from .neardup import WordHashes, mix
 from .toxicity import held_out
 
-ORDER = 2
+ORDER = 3
 MU = 2.0
-#: Bytes of text in a block, and tokens that are walked side by side. More memory allows larger blocks and less traffic.
-BLOCK_BYTES, SEGMENT = 12 << 20, 128
+#: Bytes of text in a block, and tokens of a segment. More memory allows larger blocks and less traffic.
+BLOCK_BYTES, SEGMENT = 8 << 20, 128
 _U = np.uint64
 _MIX = _U(0x9E3779B97F4A7C15)
 END, BEGIN = _U(0x1234567890ABCDEF), _U(0x0FEDCBA987654321)
@@ -101,12 +102,12 @@ class Tokens:
             before[j:] = h[:-j] if j else h
             before[place < j] = BEGIN
             acc = mix(acc * _MIX + before + _U(j))
-        return acc
+        return acc >> _U(8)
 
 
 def shard_of(grams: np.ndarray, shards: int) -> np.ndarray:
     """Shard by the high bits, so that sorted hashes are grouped by shard."""
-    return ((grams >> _U(32)) * _U(shards)) >> _U(32)
+    return ((grams >> _U(24)) * _U(shards)) >> _U(32)
 
 
 REQUEST = "block int, shard int, n int, grams binary, counts binary"
@@ -147,68 +148,97 @@ def _answers(rows: pa.Table) -> pa.Table:
     return pa.table({
         "block": rows.column("block"), "shard": rows.column("shard"), "n": rows.column("n"),
         "totals": pa.array([pack_counts(x) for x in np.split(back, cuts)], pa.binary()),
-        # Once for the shard: n-grams seen once, and all.
-        "once": pa.array([int((totals == 1).sum())] + [0] * (len(lengths) - 1), pa.int64()), "all": pa.array([int(totals.sum())] + [0] * (len(lengths) - 1), pa.int64()),
+        # Once for the shard: n-grams seen once, different ones, and all.
+        **{k: pa.array([int(v)] + [0] * (len(lengths) - 1), pa.int64()) for k, v in (("once", (totals == 1).sum()), ("types", (totals > 0).sum()), ("all", totals.sum()))},
     })
 
 
 class Automaton:
-    """States, arcs and failure arcs over the n-grams of one block.
+    """States, arcs and failure arcs over the n-grams of one block, as arrays.
 
-    ``keys[n]`` are the sorted n-gram hashes and ``counts[n]`` their corpus counts. A state
-    is a history of up to order - 1 tokens, known by its hash; the root is the empty one.
+    State 0 is the root, states 1 to order - 1 are the beginnings of a text (so many BEGINs),
+    and each n-gram of fewer than order tokens that the corpus has is one more. An arc is
+    known by state * words + word; the root has one for every word of the block.
     """
 
-    def __init__(self, keys: dict[int, np.ndarray], counts: dict[int, np.ndarray], total: int, types: int, texts: int, share: dict[int, float]):
-        self.keys, self.counts, self.total, self.types, self.texts, self.share = keys, counts, total, types, texts, share
-
-    def count(self, n: int, grams: np.ndarray) -> np.ndarray:
-        at = np.searchsorted(self.keys[n], grams)
-        at[at == len(self.keys[n])] = 0
-        return np.where(self.keys[n][at] == grams, self.counts[n][at], 0)
-
-
-def walk(tokens: Tokens, model: Automaton, order: int, seen: dict[int, np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Log10 probability of each token of the block, by the model and by the root alone.
-
-    The texts are cut into segments that enter in the state which the tokens before them
-    lead to; all segments are walked side by side, one token to the right in each step. A
-    step takes the longest arc of the state, or falls back along failure arcs, whose costs
-    add up; the state it leaves in is the longest history that ends in the token. ``seen``
-    has the counts of the n-grams that end at each token, where the caller knows them.
+    def __init__(self, tokens: Tokens, order: int, counts: dict[int, np.ndarray], grams: dict[int, tuple[np.ndarray, np.ndarray]], total: int, types: int, texts: int, share: dict[int, float]):
+        """``counts[n]`` of the distinct n-grams, and in ``grams[n]`` a token where each ends and the number of the one at each token."""
+        place = np.arange(len(tokens.hashes)) - np.repeat(tokens.begins, tokens.lengths)
+        self.order, self.words, self.word = order, len(counts[1]), grams[1][1]
+        states = {0: np.zeros(1, np.int64)}
+        held, fails = [total] + [texts] * (order - 1), [0] + list(range(order - 1))
+        held, fails, lengths = [np.array(held, np.float64)], [np.array(fails, np.int64)], [np.arange(order)]
+        n_states = order
+        for k in range(1, order):
+            seen = counts[k] > 0
+            states[k] = np.where(seen, np.cumsum(seen) - 1 + n_states, -1)
+            n_states += int(seen.sum())
+            held.append(counts[k][seen].astype(np.float64))
+            fails.append(np.zeros(int(seen.sum()), np.int64) if k == 1 else states[k - 1][grams[k - 1][1][grams[k][0][seen]]])
+            lengths.append(np.full(int(seen.sum()), k))
+        held, self.fail, length = np.concatenate(held), np.concatenate(fails), np.concatenate(lengths)
+        taken = np.array([0.0, 0.0] + [share[n] for n in range(2, order + 1)])[length + 1]
+        # What the failure arc of a state weighs; the root has none.
+        weight = (MU + taken * held) / (held + MU)
+        weight[0] = 1.0
+        self.log_fail = np.log10(weight)
+
+        prob = (counts[1] + 1.0) / (total + types + 1.0)
+        keys, logs, targets = [np.arange(self.words)], [np.log10(prob)], [np.maximum(states[1], 0) if order > 1 else np.zeros(self.words, np.int64)]
+        for n in range(2, order + 1):
+            at, c = grams[n][0], counts[n]
+            shorter = grams[n - 1][1][at]
+            history = np.where(place[at] > 0, states[n - 1][grams[n - 1][1][at - 1]], n - 1)
+            seen = c > 0
+            h = np.where(seen, history, 0)
+            prob = np.where(seen, (1 - share[n]) * c / (held[h] + MU) + weight[h] * prob[shorter], 0.0)
+            keys.append(history[seen] * self.words + self.word[at[seen]])
+            logs.append(np.log10(prob[seen]))
+            targets.append(states[n][seen] if n < order else states[n - 1][shorter[seen]])
+        keys = np.concatenate(keys)
+        by = np.argsort(keys, kind="stable")
+        self.arcs, self.logs, self.targets = keys[by], np.concatenate(logs)[by], np.concatenate(targets)[by]
+
+    def step(self, state: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The log10 probability of each word in its state, and the state after it."""
+        cost, after, todo = np.zeros(len(state)), np.empty(len(state), np.int64), np.arange(len(state))
+        while len(todo):
+            key = state[todo] * self.words + word[todo]
+            arc = np.searchsorted(self.arcs, key)
+            arc[arc == len(self.arcs)] = 0
+            hit = self.arcs[arc] == key
+            done, arc = todo[hit], arc[hit]
+            cost[done] += self.logs[arc]
+            after[done] = self.targets[arc]
+            todo = todo[~hit]
+            cost[todo] += self.log_fail[state[todo]]
+            state[todo] = self.fail[state[todo]]
+        return cost, after
+
+
+def walk(tokens: Tokens, model: Automaton) -> np.ndarray:
+    """Log10 probability of each token of the block, by one traversal of the automaton.
+
+    The texts are cut into segments that are walked side by side, one token to the right in
+    each step. A segment begins order - 1 tokens early, which leads it from the root, or from
+    the beginning of its text, into the state that all tokens before it lead to.
     """
-    m = len(tokens.hashes)
-    seen = {n: model.count(n, tokens.grams(n)) for n in range(1, order + 1)} if seen is None else seen
-    place = np.arange(m) - np.repeat(tokens.begins, tokens.lengths)
-    # The history of length k before a token is the k-gram that ends at the token before it; before a text, BEGIN.
-    logs, cost = np.empty(m), np.zeros(m)
-    at = np.concatenate([np.arange(b, b + n, SEGMENT) for b, n in zip(tokens.begins.tolist(), tokens.lengths.tolist(), strict=True)]) if m else np.empty(0, np.int64)
-    stop = np.minimum(at + SEGMENT, (tokens.begins + tokens.lengths)[np.searchsorted(tokens.begins, at, side="right") - 1]) if m else at
-    # The arcs of the root: add-one over the training tokens.
-    prob = (seen[1] + 1.0) / (model.total + model.types + 1.0)
-    base = np.log10(prob)
-    history = {k: np.where(place > 0, np.concatenate([[0], seen[k][:-1]])[:m], model.texts) for k in range(1, order)}
-    state = np.zeros(len(at), np.int64)  # the length of the history the state stands for
-    state[:] = order - 1
+    logs = np.zeros(len(tokens.hashes))
+    if not len(logs):
+        return logs
+    first = np.concatenate([np.arange(b, b + n, SEGMENT) for b, n in zip(tokens.begins.tolist(), tokens.lengths.tolist(), strict=True)])
+    doc = np.searchsorted(tokens.begins, first, side="right") - 1
+    stop = np.minimum(first + SEGMENT, (tokens.begins + tokens.lengths)[doc])
+    at = np.maximum(first - (model.order - 1), tokens.begins[doc])
+    state = np.where(at == tokens.begins[doc], model.order - 1, 0)
     while len(at):
-        p = prob[at]
-        for k in range(1, order):  # from the root's arc to the arc of the carried state
-            in_state = state >= k
-            h = history[k][at]
-            fail = (MU + model.share[k + 1] * h) / (h + MU)
-            # An arc that exists adds its part; where none does, the failure arc alone stands.
-            p = np.where(in_state, (1 - model.share[k + 1]) * seen[k + 1][at] / (h + MU) + fail * p, p)
-        cost[at] = p
-        # Past this token, the state is the longest history that the model has.
-        known = np.zeros(len(at), np.int64)
-        for k in range(1, order):
-            known = np.where(seen[k][at] > 0, k, known)
-        state = known
+        cost, state = model.step(state.copy(), model.word[at])
+        own = at >= first
+        logs[at[own]] = cost[own]
         at = at + 1
         live = at < stop
-        at, stop, state = at[live], stop[live], state[live]
-    np.log10(cost, out=logs)
-    return logs, base
+        at, first, stop, state = at[live], first[live], stop[live], state[live]
+    return logs
 
 
 SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
@@ -221,29 +251,23 @@ def _score(key, docs: pa.Table, answers: pa.Table, order: int, shards: int, tota
         return pa.table({n: pa.array([], t) for n, t in zip(names, kinds, strict=True)})
     tokens = Tokens((c.as_py() for c in docs.column("text")), WordHashes())
     got = {(s, n): x for s, n, x in zip(answers.column("shard").to_pylist(), answers.column("n").to_pylist(), answers.column("totals").to_pylist(), strict=True)}
-    keys, counts, seen = {}, {}, {}
+    counts, grams = {}, {}
     for n in range(1, order + 1):
-        keys[n], where = np.unique(tokens.grams(n), return_inverse=True)
+        keys, last, where = np.unique(tokens.grams(n), return_index=True, return_inverse=True)
         counts[n] = np.concatenate([unpack_counts(got[s, n]) for s in range(shards) if (s, n) in got])
-        if len(keys[n]) != len(counts[n]):
-            raise ValueError(f"block {key[0]}: {len(keys[n])} {n}-grams and {len(counts[n])} answers")
-        seen[n] = counts[n][where]
-    model = Automaton(keys, counts, total, types, texts, share)
-    logs, base = walk(tokens, model, order, seen)
-    known = (seen[1] > 0).astype(np.float64)
+        grams[n] = last, where
+        if len(keys) != len(counts[n]):
+            raise ValueError(f"block {key[0]}: {len(keys)} {n}-grams and {len(counts[n])} answers")
+    logs = walk(tokens, Automaton(tokens, order, counts, grams, total, types, texts, share))
+    seen = counts[1][grams[1][1]]
+    base = np.log10((seen + 1.0) / (total + types + 1.0))
+    known = (seen > 0).astype(np.float64)
     doc = np.repeat(np.arange(len(tokens.lengths)), tokens.lengths)
     by = lambda x: np.bincount(doc, weights=x, minlength=len(tokens.lengths))
     cols = [docs.column("doc_id"), docs.column("held_out"), pa.array(tokens.lengths), pa.array(by(known).astype(np.int64)), pa.array(by(base)), pa.array(by(logs))]
     return pa.table(dict(zip(names, cols, strict=True)))
 
 
-def _type_counts(rows: pa.Table) -> pa.Table:
-    """Of one shard: distinct and all training tokens."""
-    keys = np.concatenate([unpack(x) for x in rows.column("grams").to_pylist()])
-    counts = np.concatenate([unpack_counts(x) for x in rows.column("counts").to_pylist()])
-    return pa.table({"types": pa.array([len(distinct(keys[counts > 0]))], pa.int64()), "tokens": pa.array([int(counts.sum())], pa.int64())})
-
-
 def score(docs: DataFrame, order: int = ORDER, block_bytes: int = BLOCK_BYTES, mod: int = 7, rest: int = 2) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for every row."""
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).withColumn("held_out", held_out(F.col("doc_id"), mod, rest))
@@ -253,18 +277,11 @@ def score(docs: DataFrame, order: int = ORDER, block_bytes: int = BLOCK_BYTES, m
     # The text's hash deals rows with one id to several blocks.
     dealt = own.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int"))
 
-    def unigrams(batches):
-        for batch in batches:
-            rows = pa.Table.from_batches([batch]).append_column("block", pa.array([0] * batch.num_rows, pa.int32()))
-            if batch.num_rows:
-                yield from _requests(rows, 1, shards).select(["shard", "grams", "counts"]).to_batches()
-
-    types = own.select("text", "held_out").mapInArrow(unigrams, "shard int, grams binary, counts binary").groupBy("shard").applyInArrow(_type_counts, "types long, tokens long")
-    sums = types.agg(F.coalesce(F.sum("types"), F.lit(0)).alias("types"), F.coalesce(F.sum("tokens"), F.lit(0)).alias("tokens")).first()
-    total, distinct, texts = sums["tokens"], sums["types"], size["texts"]
-
     requests = dealt.groupBy("block").applyInArrow(lambda rows: _requests(rows, order, shards), REQUEST)
-    answers = materialise(requests.groupBy("shard", "n").applyInArrow(_answers, "block int, shard int, n int, totals binary, once long, all long"), "lm-answers")
-    share = {r["n"]: min(0.99, max(0.01, r["once"] / max(1, r["all"]))) for r in answers.groupBy("n").agg(F.sum("once").alias("once"), F.sum("all").alias("all")).collect()}
-    scored = dealt.groupBy("block").cogroup(answers.select("block", "shard", "n", "totals").groupBy("block")).applyInArrow(lambda key, left, right: _score(key, left, right, order, shards, total, distinct, texts, share), SCORES)
+    answers = materialise(requests.groupBy("shard", "n").applyInArrow(_answers, "block int, shard int, n int, totals binary, once long, types long, all long"), "lm-answers")
+    # A row for each order comes to the driver.
+    sums = {r["n"]: r for r in answers.groupBy("n").agg(F.sum("once").alias("once"), F.sum("types").alias("types"), F.sum("all").alias("all")).collect()}
+    total, types, texts = (sums[1]["all"], sums[1]["types"], size["texts"]) if sums else (0, 0, 0)
+    share = {n: min(0.99, max(0.01, r["once"] / max(1, r["all"]))) for n, r in sums.items()}
+    scored = dealt.groupBy("block").cogroup(answers.select("block", "shard", "n", "totals").groupBy("block")).applyInArrow(lambda key, left, right: _score(key, left, right, order, shards, total, types, texts, share), SCORES)
     return scored.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score")

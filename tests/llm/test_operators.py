@@ -261,7 +261,7 @@ def test_suffix_order():
             assert k == e
 
 
-@pytest.mark.parametrize("order,block", [(2, 1 << 24), (2, 4000), (3, 4000)])
+@pytest.mark.parametrize("order,block", [(2, 1 << 24), (3, 1 << 24), (3, 4000), (4, 4000)])
 def test_langmodel(docs, none, rows, order, block):
     texts = [WORD.findall(lower(t)) + [None] for _, t, _ in rows]
     held = [zlib.crc32(("" if i is None else str(i)).encode()) % 7 == 2 for i, _, _ in rows]
@@ -291,20 +291,34 @@ def test_langmodel(docs, none, rows, order, block):
     assert langmodel.score(none).count() == 0
 
 
-def test_langmodel_sums_to_one():
-    """Over the known tokens and one unknown, the arcs of a state and its failure arc hold all probability."""
-    toks = langmodel.Tokens(["a b a c", "a b"], neardup.WordHashes())
-    keys, counts = {}, {}
-    for n in (1, 2):
-        keys[n], counts[n] = np.unique(toks.grams(n), return_counts=True)
-    total, kinds, g = int(counts[1].sum()), len(keys[1]), 0.4
-    model = langmodel.Automaton(keys, counts, total, kinds, 2, {2: g})
-    mass = 0.0
-    for w in ("a", "b", "c", "unknown"):
-        logs, _ = langmodel.walk(langmodel.Tokens([f"a {w}"], neardup.WordHashes()), model, 2)
-        mass += 10 ** logs[1]
-    logs, _ = langmodel.walk(langmodel.Tokens(["a"], neardup.WordHashes()), model, 2)
-    assert mass + 10 ** logs[1] == pytest.approx(1.0)
+@pytest.mark.parametrize("order", [1, 2, 3, 4])
+def test_langmodel_sums_to_one(order):
+    """From every state, the words and one unknown hold all probability, over arcs and failure arcs."""
+    texts = ["a b a c", "a b", "", "b b b a c c"]
+    toks = langmodel.Tokens([*texts, "unknown"], neardup.WordHashes())
+    counts, grams = {}, {}
+    for n in range(1, order + 1):
+        keys, last, where = np.unique(toks.grams(n), return_index=True, return_inverse=True)
+        learn = np.arange(len(toks.hashes)) < toks.begins[-1]
+        counts[n] = np.bincount(where, weights=learn, minlength=len(keys)).astype(np.int64)
+        grams[n] = last, where
+    total, kinds = int(counts[1].sum()), int((counts[1] > 0).sum())
+    model = langmodel.Automaton(toks, order, counts, grams, total, kinds, len(texts), {n: 0.4 for n in range(2, order + 1)})
+    words = np.arange(model.words)
+    ends = {int(model.word[toks.begins[i] + toks.lengths[i] - 1]) for i in range(len(texts))}
+    for state in range(len(model.fail)):
+        # A history that ends a text is followed by nothing, so its share of count is not given out.
+        if all(model.targets[np.searchsorted(model.arcs, s * model.words + w)] != state for s in range(len(model.fail)) for w in ends if s * model.words + w in set(model.arcs.tolist())):
+            cost, _ = model.step(np.full(model.words, state), words)
+            assert (10**cost).sum() == pytest.approx(1.0)
+    # The state after a text is the longest history that the corpus has, whatever the segment it was entered in.
+    for segment in (1, 2, 128):
+        langmodel.SEGMENT, held = segment, langmodel.SEGMENT
+        try:
+            logs = langmodel.walk(toks, model)
+        finally:
+            langmodel.SEGMENT = held
+        assert logs == pytest.approx(langmodel.walk(toks, model))
 
 
 def test_packing():
