@@ -7,6 +7,7 @@ import tempfile
 import uuid
 import weakref
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -42,6 +43,18 @@ def shared_dir(spark: SparkSession) -> str:
     return spark.sparkContext._jsc.sc().getCheckpointDir().get().rstrip("/")
 
 
+@contextmanager
+def short_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Jobs in this block drop their shuffle files when they end: what they made is in a table by then."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    held = spark.conf.get(name, "false")
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, held)
+
+
 def materialise(df: DataFrame, label: str, codec: str = "zstd") -> DataFrame:
     """Write ``df`` to a table in the shared folder and read it back.
 
@@ -49,7 +62,8 @@ def materialise(df: DataFrame, label: str, codec: str = "zstd") -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/seatledger/{label}-{uuid.uuid4().hex}"
-    df.write.option("compression", codec).parquet(path)
+    with short_shuffles(spark):
+        df.write.option("compression", codec).parquet(path)
     _written.setdefault(spark, []).append(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -95,12 +109,26 @@ def utf8(text: str | None) -> bytes:
     return b"" if text is None else text.encode("utf-8", "surrogatepass")
 
 
+#: Bytes of an Arrow batch on its way to a Python worker.
+BATCH_BYTES = 4 << 20
+
+
+def lean_batches(spark: SparkSession) -> None:
+    """Arrow batches of BATCH_BYTES at most, one value for all operators, unless the session asks for less."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = spark.conf.get(name, "64m").lower().rstrip("b")
+    size = int(now.rstrip("kmg")) << {"k": 10, "m": 20, "g": 30}.get(now[-1:], 0)
+    if not 0 < size <= BATCH_BYTES:
+        spark.conf.set(name, str(BATCH_BYTES))
+
+
 def map_batches(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch | list[pa.RecordBatch] | None]], schema: str, rows: int = 1000) -> DataFrame:
     """mapInArrow with state for each task: ``make()`` runs once in the worker.
 
     Spark bounds a batch by its bytes; ``step`` sees slices of ``rows`` rows of it, so what a
-    worker holds at once does not depend on any setting of the session.
+    worker holds at once is bounded both ways.
     """
+    lean_batches(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         step = make()

@@ -2,11 +2,18 @@
 
 Every text is cut into sequences of ``length`` tokens; a keyed Feistel
 permutation with cycle-walking gives each sequence a global slot, so the order
-needs no sort key and no shuffle table. A shard holds a range of slots as
-records of one stride: slot s lies at byte (s - first slot) * stride. A shard is
-a row of a Parquet table with the records as one binary value, its SHA-256 and
-the origin of each record; a run that was stopped goes on with the shards that
-are missing.
+needs no sort key and no shuffle table. Sequences are range-partitioned by slot,
+and each range is one flat, uncompressed file of records of one stride: slot s
+lies at byte (s - first slot) * stride of its file, so a reader goes on at any
+slot with one seek. A record is a header (slot, doc_id, part, tokens, flags,
+CRC-32), the tokens as little-endian 16-bit numbers, filled up, and an end mark.
+
+A folder holds ``manifest`` (what was written, from what input), ``tokens`` (the
+tokenised texts, which fix the numbering) and ``shards``, written in ``WAVES``
+jobs, one after the other, each for its part of the slots. A range is committed
+when its task ends. A run that was stopped goes on with the ranges that are
+missing; a folder whose manifest tells of another input, key or layout is
+refused.
 
 Defined results: a null or empty text is one sequence with the end token only;
 repeated rows are sequences of their own; other columns are ignored; an empty
@@ -15,24 +22,41 @@ table gives no shard. Texts are tokenised whole, special strings as ordinary tex
 
 from __future__ import annotations
 
-import hashlib
+import json
+import zlib
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import map_batches, materialise, shared_dir
+from .common import _written, map_batches, shared_dir, short_shuffles
 
-LENGTH = 1024
-#: Records of a shard: 2 MB, of which a task holds a few copies.
-SHARD_SLOTS = 1024
+LENGTH = 512
+#: Bytes of a shard, of which a reading task holds a few copies.
+SHARD_BYTES = 2 << 20
+#: Jobs that write the shards; the shuffle of one is gone when the next begins.
+WAVES = 4
 KEY = 0x5EA71ED6E2
 VOCABULARY = "byte_bpe_50k.tiktoken"
 #: A free id of that vocabulary, for the end of a text; and what fills a record.
 END, PAD = 50256, 65535
 #: GPT-style splitting of a text before the merges. Fixed value, from the vocabulary's description.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+HEADER = np.dtype([("slot", "<i8"), ("doc_id", "<i8"), ("part", "<u4"), ("n_tokens", "<u4"), ("flags", "<u4"), ("crc32", "<u4")])
+#: Flag of a row without a doc_id.
+NO_ID = 1
+MARK = "\r\n"
+
+
+def stride(length: int = LENGTH) -> int:
+    return HEADER.itemsize + 2 * length + len(MARK)
+
+
+def slots_of(length: int = LENGTH, shard_bytes: int = SHARD_BYTES) -> int:
+    """Records of a shard."""
+    return max(1, shard_bytes // stride(length))
 
 
 def vocabulary_path(name: str = VOCABULARY, folder: str = "/opt/tokenizers") -> str:
@@ -85,7 +109,7 @@ def permute(x: np.ndarray, n: int, key: int = KEY, rounds: int = 6, back: bool =
 def tokenise(docs: DataFrame, path: str, length: int = LENGTH) -> DataFrame:
     """task, first, doc_id, n_tokens, tokens: ``first`` numbers the sequences of a task's rows.
 
-    The table is written once, so the numbering is a stored fact and a lost executor changes nothing.
+    To be written once: then the numbering is a stored fact, and a lost executor changes nothing.
     """
 
     def make():
@@ -97,7 +121,7 @@ def tokenise(docs: DataFrame, path: str, length: int = LENGTH) -> DataFrame:
             nonlocal first
             firsts, sizes, out = [], [], []
             for cell in batch.column(1):
-                ids = np.array(encoder.encode_ordinary(cell.as_py() or "") + [END], np.uint16)
+                ids = np.array(encoder.encode_ordinary(cell.as_py() or "") + [END], "<u2")
                 firsts.append(first)
                 first += -(-len(ids) // length)
                 sizes.append(len(ids))
@@ -106,104 +130,187 @@ def tokenise(docs: DataFrame, path: str, length: int = LENGTH) -> DataFrame:
 
         return step
 
-    return materialise(map_batches(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), make, "task int, first long, doc_id long, n_tokens long, tokens binary"), "token-ids")
+    return map_batches(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), make, TOKENS, 500)
 
 
-def sequences(tokenised: DataFrame, length: int = LENGTH, key: int = KEY) -> tuple[DataFrame, int]:
-    """slot, doc_id, part, tokens for every sequence, and how many there are."""
+TOKENS = "task int, first long, doc_id long, n_tokens long, tokens binary"
+
+
+def numbering(tokenised: DataFrame, length: int = LENGTH) -> tuple[dict[int, int], int]:
+    """The number of the first sequence of each task, and how many sequences there are."""
     per_task = tokenised.groupBy("task").agg(F.sum(F.ceil(F.col("n_tokens") / length)).alias("n"))
     # One row for each task of the tokenising stage comes to the driver.
-    counts = sorted((r["task"], r["n"]) for r in per_task.collect())
     offsets, total = {}, 0
-    for task, n in counts:
+    for task, n in sorted((r["task"], r["n"]) for r in per_task.collect()):
         offsets[task] = total
         total += n
+    return offsets, total
+
+
+def sequences(tokenised: DataFrame, offsets: dict[int, int], total: int, length: int = LENGTH, key: int = KEY, first: int = 0, end: int | None = None) -> DataFrame:
+    """slot and record (header and tokens, not filled up) of the sequences with slots from ``first`` up to ``end``."""
+    end = total if end is None else end
 
     def make():
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            index, ids, parts, out = [], [], [], []
-            for task, first, doc_id, tokens in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                for part, at in enumerate(range(0, len(tokens), 2 * length)):
-                    index.append(offsets[task] + first + part)
-                    ids.append(doc_id)
-                    parts.append(part)
-                    out.append(tokens[at : at + 2 * length])
-            slots = permute(np.array(index, np.uint64), total, key)
-            return pa.RecordBatch.from_arrays([pa.array(slots, pa.int64()), pa.array(ids, pa.int64()), pa.array(parts, pa.int32()), pa.array(out, pa.binary())], names=["slot", "doc_id", "part", "tokens"])
+            n = batch.column(3).to_numpy()
+            parts = -(-n // length)
+            row = np.repeat(np.arange(len(n)), parts)
+            part = np.arange(len(row)) - np.repeat(np.cumsum(parts) - parts, parts)
+            start = np.array([offsets[t] for t in batch.column(0).to_pylist()], np.int64) + batch.column(1).to_numpy()
+            slot = permute((start[row] + part).astype(np.uint64), total, key)
+            own = np.flatnonzero((slot >= first) & (slot < end))
+            row, part, head = row[own], part[own], np.zeros(len(own), HEADER)
+            head["slot"], head["part"], head["n_tokens"] = slot[own], part, np.minimum(length, n[row] - part * length)
+            ids = batch.column(2)
+            head["doc_id"], head["flags"] = ids.fill_null(0).to_numpy()[row], np.where(ids.is_null().to_numpy(zero_copy_only=False)[row], NO_ID, 0)
+            cells = batch.column(4).to_pylist()
+            bodies = [cells[r][2 * length * p : 2 * length * (p + 1)] for r, p in zip(row.tolist(), part.tolist(), strict=True)]
+            head["crc32"] = [zlib.crc32(b) for b in bodies]
+            raw = head.tobytes()
+            records = [raw[k * HEADER.itemsize : (k + 1) * HEADER.itemsize] + body for k, body in enumerate(bodies)]
+            return pa.RecordBatch.from_arrays([pa.array(slot[own], pa.int64()), pa.array(records, pa.binary())], names=["slot", "record"])
 
         return step
 
-    return map_batches(tokenised.select("task", "first", "doc_id", "tokens"), make, "slot long, doc_id long, part int, tokens binary"), total
+    return map_batches(tokenised.select("task", "first", "doc_id", "n_tokens", "tokens"), make, "slot long, record binary", 500)
 
 
-SHARD = "shard int, first_slot long, n_slots int, stride int, sha256 string, doc_ids array<long>, parts array<int>, sizes array<int>, records binary"
+def _files(spark: SparkSession, path: str, per_wave: int) -> DataFrame:
+    """shard, length and content of the files of a shard folder."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").option("recursiveFileLookup", "true").load(path)
+    place = lambda pattern: F.regexp_extract("path", pattern, 1).cast("int")
+    return files.where("length > 0").select((place(r"wave-(\d+)/") * per_wave + place(r"part-(\d+)")).alias("shard"), "length", "content")
 
 
-def shards_of(seqs: DataFrame, total: int, length: int = LENGTH, shard_slots: int = SHARD_SLOTS) -> DataFrame:
-    """One row (columns of ``SHARD``) for each range of ``shard_slots`` slots."""
+def _missing(error: Exception) -> bool:
+    return "PATH_NOT_FOUND" in str(error)
 
-    def pack(rows: pa.Table) -> pa.Table:
-        order = np.argsort(rows.column("slot").to_numpy())
-        rows = rows.take(pa.array(order))
-        slots, tokens = rows.column("slot").to_numpy(), rows.column("tokens").to_pylist()
-        shard = int(slots[0]) // shard_slots
-        expected = min(shard_slots, total - shard * shard_slots)
-        if len(slots) != expected or slots[0] != shard * shard_slots or slots[-1] - slots[0] + 1 != expected:
-            raise ValueError(f"shard {shard}: {len(slots)} of {expected} slots")
-        records = b"".join(t + b"\xff" * (2 * length - len(t)) for t in tokens)
-        one = {"shard": shard, "first_slot": int(slots[0]), "n_slots": expected, "stride": 2 * length, "sha256": hashlib.sha256(records).hexdigest()}
-        cols = {k: pa.array([v], {"shard": pa.int32(), "first_slot": pa.int64(), "n_slots": pa.int32(), "stride": pa.int32(), "sha256": pa.string()}[k]) for k, v in one.items()}
-        return pa.table(cols | {
-            "doc_ids": pa.array([rows.column("doc_id").to_pylist()], pa.list_(pa.int64())), "parts": pa.array([rows.column("part").to_pylist()], pa.list_(pa.int32())),
-            "sizes": pa.array([[len(t) // 2 for t in tokens]], pa.list_(pa.int32())), "records": pa.array([records], pa.binary()),
-        })
 
-    keyed = seqs.withColumn("shard", F.floor(F.col("slot") / shard_slots).cast("int"))
-    return keyed.groupBy("shard").applyInArrow(pack, SHARD)
+def layout(total: int, length: int, shard_slots: int | None) -> tuple[int, int, int]:
+    """Slots of a shard, shards, and shards of a wave."""
+    slots = shard_slots or slots_of(length)
+    shards = -(-total // slots)
+    return slots, shards, max(1, -(-shards // WAVES))
 
 
-def write_shards(seqs: DataFrame, total: int, path: str, length: int = LENGTH, shard_slots: int = SHARD_SLOTS) -> DataFrame:
-    """The shard table at ``path``; shards that it already holds are left as they are."""
-    spark = seqs.sparkSession
+def finished(spark: SparkSession, path: str, per_wave: int) -> DataFrame:
+    """shard of every range that is committed."""
     try:
-        done = spark.read.schema(SHARD).parquet(path).select("shard")
-    except Exception as error:  # no table there yet
-        if "PATH_NOT_FOUND" not in str(error):
+        return _files(spark, path, per_wave).select("shard").distinct()
+    except Exception as error:  # no folder there yet
+        if not _missing(error):
             raise
-        done = None
-    if done is not None:
-        seqs = seqs.withColumn("shard", F.floor(F.col("slot") / shard_slots).cast("int")).join(F.broadcast(done) if done.count() < 100_000 else done, "shard", "left_anti").drop("shard")
-    shards_of(seqs, total, length, shard_slots).write.mode("append").option("compression", "zstd").parquet(path)
-    return spark.read.schema(SHARD).parquet(path)
+        return spark.createDataFrame([], "shard int")
 
 
-def read_shards(table: DataFrame) -> DataFrame:
-    """A row for each record in slot order within a shard: slot, shard, byte_offset, doc_id, part, n_tokens, crc32, tokens.
+def write_shards(part_of: Callable[[int, int], DataFrame], spark: SparkSession, total: int, path: str, length: int = LENGTH, shard_slots: int | None = None) -> None:
+    """One file for each range of ``shard_slots`` slots, in waves; ranges that are there are left as they are.
 
-    Fails where a shard does not match its SHA-256 or its stride.
+    ``part_of`` has the sequences between two slots. A task's file is moved in place when the
+    task commits (version 2 of the committer), so what is finished outlives a run that fails.
     """
-    sound = (F.sha2("records", 256) == F.col("sha256")) & (F.octet_length("records") == F.col("n_slots").cast("long") * F.col("stride"))
-    records = F.when(sound, F.col("records")).otherwise(F.raise_error(F.format_string("shard %d is damaged", "shard")).cast("binary"))
+    slots, shards, per_wave = layout(total, length, shard_slots)
+    done = finished(spark, path, per_wave)
+    filled = F.rpad("record", F.lit(stride(length) - len(MARK)), F.lit(bytearray(b"\xff")))
+    for wave, first in enumerate(range(0, shards, per_wave)):
+        end = min(shards, first + per_wave)
+        mine = done.where((F.col("shard") >= first) & (F.col("shard") < end)).select((F.col("shard") - first).alias("shard"))
+        n_done = mine.count()
+        if n_done == end - first:
+            continue
+        rows = part_of(first * slots, min(total, end * slots)).withColumn("shard", (F.floor(F.col("slot") / slots) - first).cast("int"))
+        if n_done:
+            rows = rows.join(mine, "shard", "left_anti")
+        ordered = rows.repartitionById(end - first, F.col("shard")).sortWithinPartitions("slot").select(filled.cast("string").alias("value"))
+        with short_shuffles(spark):
+            ordered.write.mode("append").option("lineSep", MARK).option("compression", "none").option("mapreduce.fileoutputcommitter.algorithm.version", "2").text(f"{path}/wave-{wave:02d}")
+
+
+RECORDS = "slot long, shard int, byte_offset long, doc_id long, part int, n_tokens int, crc32 long, tokens binary"
+
+
+def read_shards(spark: SparkSession, path: str, total: int, length: int = LENGTH, shard_slots: int | None = None, first_slot: int = 0) -> DataFrame:
+    """A row (columns of ``RECORDS``) for each record from ``first_slot`` on; files before it are not opened.
+
+    Fails where a range is missing or twice there, or where a record is not at its place or does not match its CRC-32.
+    """
+    slots, shards, per_wave = layout(total, length, shard_slots)
+    if not shards:
+        return spark.createDataFrame([], RECORDS)
+    files = _files(spark, path, per_wave)
+    there = files.agg(F.count("*").alias("n"), F.count_distinct("shard").alias("d")).first()
+    if there["n"] != shards or there["d"] != shards:
+        raise ValueError(f"{there['n']} files with {there['d']} of {shards} ranges")
+    record = np.dtype([("head", HEADER), ("tokens", f"V{2 * length}"), ("mark", f"V{len(MARK)}")])
 
-    def cut(whole: Column) -> Column:
-        one = lambda x, i: F.struct(x["doc_ids"].alias("doc_id"), x["parts"].alias("part"), x["sizes"].alias("n_tokens"), F.substr(whole, i * F.col("stride") + 1, 2 * x["sizes"]).alias("tokens"))
-        return F.transform(F.arrays_zip("doc_ids", "parts", "sizes"), one)
+    def make():
+        def step(batch: pa.RecordBatch) -> list[pa.RecordBatch]:
+            out = []
+            for shard, content in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                raw = content.as_py()
+                n = min(slots, total - shard * slots)
+                if len(raw) != n * record.itemsize:
+                    raise ValueError(f"shard {shard} is damaged: {len(raw)} bytes for {n} records")
+                head = np.frombuffer(raw, record)["head"]
+                tokens = [raw[at : at + 2 * k] for at, k in zip(range(HEADER.itemsize, len(raw), record.itemsize), head["n_tokens"].tolist(), strict=True)]
+                crc = [zlib.crc32(t) for t in tokens]
+                if (head["slot"] != np.arange(n) + shard * slots).any() or crc != head["crc32"].tolist():
+                    raise ValueError(f"shard {shard} is damaged")
+                keep = slice(max(0, first_slot - shard * slots), n)
+                ids = pa.array(head["doc_id"].copy(), pa.int64(), mask=(head["flags"] & NO_ID).astype(bool))
+                offsets = np.arange(n, dtype=np.int64) * record.itemsize
+                cols = [pa.array(head["slot"].copy()), pa.array(np.full(n, shard, np.int32)), pa.array(offsets), ids, pa.array(head["part"].astype(np.int32)), pa.array(head["n_tokens"].astype(np.int32)), pa.array(crc, pa.int64()), pa.array(tokens, pa.binary())]
+                out.append(pa.RecordBatch.from_arrays(cols, names=[c.split()[0] for c in RECORDS.split(", ")]).slice(keep.start))
+            return out
 
-    # Records are cut before they become rows, so that no row drags its whole shard along; the
-    # shard is bound to a lambda's variable, or it would be checked again for each record.
-    rows = table.withColumn("_sl_cut", F.get(F.transform(F.array(records), cut), F.lit(0))).select("shard", "first_slot", "stride", F.posexplode("_sl_cut").alias("i", "r"))
-    return rows.select((F.col("first_slot") + F.col("i")).alias("slot"), "shard", (F.col("i").cast("long") * F.col("stride")).alias("byte_offset"), "r.doc_id", "r.part", "r.n_tokens", F.crc32("r.tokens").alias("crc32"), "r.tokens")
+        return step
 
+    return map_batches(files.where(F.col("shard") >= first_slot // slots).select("shard", "content"), make, RECORDS, 1)
 
-def materialised_order(docs: DataFrame, path: str | None = None, length: int = LENGTH, shard_slots: int = SHARD_SLOTS, key: int = KEY, out: str | None = None) -> DataFrame:
-    """Tokenise, permute, write the shards and read them back."""
-    import uuid
 
-    from .common import _written
+def _manifest(spark: SparkSession, out: str) -> dict | None:
+    try:
+        lines = spark.read.text(f"{out}/manifest").collect()
+    except Exception as error:
+        if not _missing(error):
+            raise
+        return None
+    return json.loads(lines[0]["value"]) if lines else None
+
+
+def write(docs: DataFrame, out: str, path: str | None = None, length: int = LENGTH, shard_slots: int | None = None, key: int = KEY) -> dict:
+    """Tokenise, permute and write the shards at ``out``, or what is missing of them; the manifest."""
+    spark, vocabulary, slots = docs.sparkSession, path or vocabulary_path(), shard_slots or slots_of(length)
+    rows = docs.agg(F.count("*").alias("n"), F.sum(F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string")).cast("decimal(38,0)")).alias("digest")).first()
+    mine = {"rows": rows["n"], "digest": str(rows["digest"]), "vocabulary": vocabulary.rsplit("/", 1)[-1], "length": length, "shard_slots": slots, "key": key}
+    found = _manifest(spark, out)
+    if found is None:
+        tokenise(docs, vocabulary, length).write.mode("overwrite").option("compression", "zstd").parquet(f"{out}/tokens")
+    elif {k: found.get(k) for k in mine} != mine:
+        raise ValueError(f"{out} holds shards of other input: {found}, not {mine}")
+    stored = spark.read.schema(TOKENS).parquet(f"{out}/tokens")
+    offsets, total = numbering(stored, length)
+    if found is None:
+        found = mine | {"total": total}
+        spark.createDataFrame([(json.dumps(found),)], "value string").coalesce(1).write.text(f"{out}/manifest")
+    write_shards(lambda first, end: sequences(stored, offsets, total, length, key, first, end), spark, total, f"{out}/shards", length, slots)
+    return found
+
+
+def read(spark: SparkSession, out: str, first_slot: int = 0) -> DataFrame:
+    """The records of a folder that :func:`write` has filled, from ``first_slot`` on."""
+    m = _manifest(spark, out)
+    return read_shards(spark, f"{out}/shards", m["total"], m["length"], m["shard_slots"], first_slot)
+
+
+def materialised_order(docs: DataFrame, path: str | None = None, length: int = LENGTH, shard_slots: int | None = None, key: int = KEY, out: str | None = None) -> DataFrame:
+    """Write the shards and read them back; without ``out`` into a new folder of the session's shared one."""
+    import uuid
 
     spark = docs.sparkSession
-    seqs, total = sequences(tokenise(docs, path or vocabulary_path(), length), length, key)
     if out is None:
         out = f"{shared_dir(spark)}/seatledger/shards-{uuid.uuid4().hex}"
         _written.setdefault(spark, []).append(out)
-    return read_shards(write_shards(seqs, total, out, length, shard_slots))
+    write(docs, out, path, length, shard_slots, key)
+    return read(spark, out)

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_batches, materialise, utf8
+from .common import lean_batches, map_batches, materialise, utf8
 
 # Fixed values of the format: the dictionary's skippable frame, and the magic of a frame.
 DICT_MAGIC = 0x184D2A5D
@@ -205,6 +205,7 @@ def write(pages: DataFrame, sample_rows: int = 500, archive_bytes: int = 8 << 20
         if not writer.empty:
             yield pack()
 
+    lean_batches(pages.sparkSession)
     return materialise(marked.mapInArrow(run, "archive binary"), "warc", "none")
 
 

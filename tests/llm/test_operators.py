@@ -327,12 +327,12 @@ def test_packing():
     assert (langmodel.unpack_counts(langmodel.pack_counts(np.arange(300))) == np.arange(300)).all()
 
 
-def test_tokens_round_trip(docs, none, rows, tmp_path):
-    seqs, total = tokens.sequences(tokens.tokenise(docs, tokens.vocabulary_path(), 64), 64)
-    out = f"file://{tmp_path}/shards"
-    got = tokens.read_shards(tokens.write_shards(seqs, total, out, 64, 16)).collect()
-    assert sorted(r["slot"] for r in got) == list(range(total))
-    assert all(r["byte_offset"] == (r["slot"] % 16) * 128 for r in got)
+def test_tokens_round_trip(docs, none, rows, tmp_path, spark):
+    out = f"file://{tmp_path}/out"
+    manifest = tokens.write(docs, out, length=64, shard_slots=16)
+    got = tokens.read(spark, out).collect()
+    assert sorted(r["slot"] for r in got) == list(range(manifest["total"]))
+    assert all(r["byte_offset"] == (r["slot"] % 16) * tokens.stride(64) and r["shard"] == r["slot"] // 16 for r in got)
     encoder = tokens.load_encoder(tokens.vocabulary_path())
     texts = {i: t or "" for i, t, _ in rows}
     once = Counter(i for i, _, _ in rows)
@@ -341,21 +341,76 @@ def test_tokens_round_trip(docs, none, rows, tmp_path):
             parts = sorted((r["part"], r["tokens"]) for r in got if r["doc_id"] == i)
             ids = np.frombuffer(b"".join(p for _, p in parts), np.uint16)
             assert ids[-1] == tokens.END and encoder.decode(ids[:-1].tolist()) == texts[i]
+    # The bytes of a slot, by one seek in a flat file.
+    for r in got[::17]:
+        wave, part = divmod(r["shard"], tokens.layout(manifest["total"], 64, 16)[2])
+        (name,) = (tmp_path / "out/shards").glob(f"wave-{wave:02d}/part-{part:05d}-*")
+        with open(name, "rb") as f:
+            f.seek(r["byte_offset"])
+            raw = f.read(tokens.stride(64))
+        head = np.frombuffer(raw[: tokens.HEADER.itemsize], tokens.HEADER)[0]
+        assert head["slot"] == r["slot"] and raw[tokens.HEADER.itemsize :][: 2 * r["n_tokens"]] == r["tokens"] and raw.endswith(b"\r\n")
+    later = tokens.read(spark, out, first_slot=40).collect()
+    assert sorted(later, key=lambda r: r["slot"]) == sorted((r for r in got if r["slot"] >= 40), key=lambda r: r["slot"])
+    name = sorted((tmp_path / "out/shards").glob("*/part-00001-*"))[0]
+    whole = name.read_bytes()
+    for bad in (whole[:-1], whole[:100] + bytes([whole[100] ^ 1]) + whole[101:]):
+        name.write_bytes(bad)
+        (name.parent / f".{name.name}.crc").unlink(missing_ok=True)
+        with pytest.raises(Exception, match="is damaged"):
+            tokens.read(spark, out).collect()
+    name.unlink()
+    with pytest.raises(ValueError, match="ranges"):
+        tokens.read(spark, out)
+    assert tokens.materialised_order(none).count() == 0
+
+
+def test_tokens_slot_order(docs, tmp_path, spark):
+    """Each slot holds the sequence whose number the permutation sends there."""
+    out = f"file://{tmp_path}/out"
+    total = tokens.write(docs, out, length=64, shard_slots=16)["total"]
+    stored, first, want = spark.read.parquet(f"{out}/tokens").collect(), 0, {}
+    for task in sorted({r["task"] for r in stored}):
+        own = sorted((r for r in stored if r["task"] == task), key=lambda r: r["first"])
+        for r in own:
+            for part in range(-(-r["n_tokens"] // 64)):
+                want[int(tokens.permute(np.array([first + r["first"] + part]), total)[0])] = (r["doc_id"], part, r["tokens"][128 * part : 128 * part + 128])
+        first += sum(-(-r["n_tokens"] // 64) for r in own)
+    assert {r["slot"]: (r["doc_id"], r["part"], r["tokens"]) for r in tokens.read(spark, out).collect()} == want
+
+
+def test_tokens_resume(docs, spark, tmp_path, monkeypatch):
+    """A run that fails midway keeps the ranges that it finished; the next one adds the rest and nothing else."""
     from pyspark.sql import functions as F
 
-    with pytest.raises(Exception, match="is damaged"):
-        tokens.read_shards(docs.sparkSession.read.parquet(out).withColumn("sha256", F.lit("0"))).collect()
-    seqs, total = tokens.sequences(tokens.tokenise(none, tokens.vocabulary_path()))
-    assert total == 0 and tokens.shards_of(seqs, total).count() == 0
-
-
-def test_tokens_resume(docs, spark, tmp_path):
-    seqs, total = tokens.sequences(tokens.tokenise(docs, tokens.vocabulary_path(), 64), 64)
-    whole = {r["shard"]: r["sha256"] for r in tokens.shards_of(seqs, total, 64, 16).collect()}
-    out = f"file://{tmp_path}/shards"
-    tokens.shards_of(seqs, total, 64, 16).where("shard % 2 = 0").write.parquet(out)
-    got = tokens.write_shards(seqs, total, out, 64, 16).collect()
-    assert len(got) == len(whole) and {r["shard"]: r["sha256"] for r in got} == whole
+    out = f"file://{tmp_path}/out"
+    whole = f"file://{tmp_path}/whole"
+    total = tokens.write(docs, whole, length=64, shard_slots=16)["total"]
+    stored = spark.read.parquet(f"{whole}/tokens")
+    offsets, n = tokens.numbering(stored, 64)
+    assert n == total
+    for name in ("tokens", "manifest"):
+        (spark.read.parquet if name == "tokens" else spark.read.text)(f"{whole}/{name}").write.format("parquet" if name == "tokens" else "text").save(f"{out}/{name}")
+    # The task of the last range fails when the first ones have ended.
+    filled = F.rpad
+    with monkeypatch.context() as m, pytest.raises(Exception, match="lost"):
+        m.setattr(F, "rpad", lambda record, n, fill: F.when(F.col("slot") == total - 1, F.raise_error(F.lit("lost")).cast("binary")).otherwise(filled(record, n, fill)))
+        tokens.write_shards(lambda a, b: tokens.sequences(stored, offsets, n, 64, first=a, end=b), spark, total, f"{out}/shards", 64, 16)
+    before = {p: p.stat().st_mtime_ns for p in (tmp_path / "out/shards").glob("*/part-*")}
+    tokens.write(docs, out, length=64, shard_slots=16)
+    after = {p: p.stat().st_mtime_ns for p in (tmp_path / "out/shards").glob("*/part-*")}
+    assert before and len(before) < len(after) and before.items() <= after.items()
+    # A finished range is not written again.
+    sorted(after)[0].unlink()
+    tokens.write(docs, out, length=64, shard_slots=16)
+    last = {p: p.stat().st_mtime_ns for p in (tmp_path / "out/shards").glob("*/part-*")}
+    assert len(last) == len(after) and len(last.items() & after.items()) == len(after) - 1
+    key = lambda r: r["slot"]
+    assert sorted(tokens.read(spark, out).collect(), key=key) == sorted(tokens.read(spark, whole).collect(), key=key)
+    with pytest.raises(ValueError, match="other input"):
+        tokens.write(docs.where("doc_id <> 5"), out, length=64, shard_slots=16)
+    with pytest.raises(ValueError, match="other input"):
+        tokens.write(docs, out, length=64, shard_slots=16, key=1)
 
 
 @pytest.mark.parametrize("n", [1, 2, 3, 7, 64, 1000])
