@@ -1,31 +1,51 @@
 """Command line: events of one Congress from a folder of landed payloads.
 
-``python -m seatledger --congress 119 --landing DIR --output FILE`` reads the
-folders bills, actions, renditions, committees, committee-details, packages,
-granules, texts and the files legislators*.yaml of DIR; what is missing
-degrades: names stay unresolved, codes unfilled, letters out. Exit code 2: no
-bills folder where resolutions are asked for.
+``python -m seatledger --congress 119 --landing DIR`` reads the folders bills,
+actions, renditions, committees, committee-details, packages, granules, summaries,
+texts and the files legislators*.yaml of DIR; what is missing degrades: names stay
+unresolved, codes unfilled, letters out, each with a warning. Exit code 2: no bills
+folder where resolutions are asked for.
 """
 
 from __future__ import annotations
 
 import argparse
+import logging
 import os
 import sys
 
+log = logging.getLogger("seatledger")
+
 
 def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="seatledger", description="Committee membership changes of one Congress.")
     p.add_argument("--congress", type=int, required=True)
     p.add_argument("--chamber", choices=("house", "senate"), default="house")
-    p.add_argument("--source", choices=("resolution", "record", "all"), default="all")
+    p.add_argument("--source", choices=("resolution", "record", "all"), default="all", help="kinds of documents; the Senate has resolutions only")
     p.add_argument("--since", help="only documents updated or issued from this ISO date on")
     p.add_argument("--landing", required=True, help="folder of landed payloads")
-    p.add_argument("--output", help="JSON file; an earlier one there keeps its corrections")
+    p.add_argument("--out", "--output", dest="output", help="JSON file; an earlier one there keeps its corrections (output/committee_changes_<congress>.json)")
+    p.add_argument("--legislators-path", default=os.environ.get("CONGRESS_LEGISLATORS_PATH"), help="YAML file of people, or a folder of them, instead of those in the landing folder")
+    p.add_argument("--no-bioguide", action="store_true", help="leave names unresolved")
+    p.add_argument("--no-committee-codes", action="store_true", help="leave system codes unfilled")
+    p.add_argument("-v", "--verbose", action="store_true")
     return p
 
 
-def landed(spark, folder: str, chamber: str):
+def default_output(congress: int, chamber: str) -> str:
+    return f"output/committee_changes_{'senate_' if chamber == 'senate' else ''}{congress}.json"
+
+
+def people_files(path: str | None, folder: str) -> list[str]:
+    """YAML files of people, by name: ``path`` or what is in it, else those of the landing folder."""
+    if path and os.path.isfile(path):
+        return [path]
+    at = path or folder
+    found = sorted(n for n in os.listdir(at) if n.startswith("legislators") and n.endswith((".yaml", ".yml"))) if os.path.isdir(at) else []
+    return [os.path.join(at, n) for n in found]
+
+
+def landed(spark, folder: str, chamber: str, people: list[str], codes: bool = True):
     from pyspark.sql import functions as F
 
     from . import schemas as S
@@ -36,10 +56,12 @@ def landed(spark, folder: str, chamber: str):
     at = lambda name: f"{folder}/{name}" if os.path.isdir(f"{folder}/{name}") else None
     read = lambda name, f: f(spark, at(name)) if at(name) else None
     bills = read("bills", landing.bills)
-    people = sorted(os.path.join(folder, n) for n in os.listdir(folder) if n.startswith("legislators") and n.endswith((".yaml", ".yml")))
-    listed = read("committees", landing.committee_list)
+    listed = read("committees", landing.committee_list) if codes else None
     recs = None if listed is None else committees.records(listed.where(F.col("chamber") == chamber).drop("chamber"), read("committee-details", landing.committee_details))
     rend = f"{folder}/renditions/*/*" if at("renditions") else None
+    for name, found in (("people", people), ("committees", recs), ("packages", at("packages"))):
+        if not found and (name != "packages" or chamber == "house"):
+            log.warning("no %s: what needs them stays empty", name)
     return Landed(
         bills=bills, actions=read("actions", landing.actions), renditions=landing.renditions(spark, rend) if rend else None, packages=read("packages", landing.packages), granules=read("granules", landing.granules),
         summaries=spark.read.schema(S.SUMMARY).json(at("summaries")) if at("summaries") else None, texts=spark.read.schema(S.GRANULE_TEXT).json(at("texts")) if at("texts") else None,
@@ -49,23 +71,24 @@ def landed(spark, folder: str, chamber: str):
 
 def main(argv: list[str] | None = None, spark=None) -> int:
     args = parser().parse_args(argv)
+    logging.basicConfig(level=logging.INFO if args.verbose else logging.WARNING, format="%(levelname)s %(message)s")
     from pyspark.sql import SparkSession
 
     from .plans import events, site
     from .sources import landing, sinks
+    from .sources.shared import written
 
     spark = spark or SparkSession.builder.appName("seatledger").getOrCreate()
-    given = landed(spark, args.landing, args.chamber)
+    given = landed(spark, args.landing, args.chamber, [] if args.no_bioguide else people_files(args.legislators_path, args.landing), not args.no_committee_codes)
     if given.bills is None and (args.chamber == "senate" or args.source != "record"):
         print("no bills in the landing folder", file=sys.stderr)
         return 2
-    previous = landing.previous_events(spark, args.output) if args.output and os.path.exists(args.output) else None
-    found = events.collect(given, args.congress, args.chamber, args.source, args.since, previous).persist()
+    output = args.output or default_output(args.congress, args.chamber)
+    previous = landing.previous_events(spark, output) if os.path.exists(output) else None
+    found = written(events.collect(given, args.congress, args.chamber, args.source, args.since, previous), "events")
     s = site.summary(found).first()
-    if args.output:
-        sinks.export_events(found, args.output)
+    sinks.export_events(found, output)
     print(f"{s['total']} events: {s['additions']} additions, {s['removals']} removals, {s['missing']} without a person")
-    found.unpersist()
     return 0
 
 

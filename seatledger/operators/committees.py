@@ -8,9 +8,6 @@ from pyspark.sql import functions as F
 from ..functions.text import normalise_committee
 from .relational import first_wins
 
-#: More names than there are committees in any legislature; beyond it the index is joined by shuffle.
-MOST_NAMES = 100_000
-
 
 def records(listed: DataFrame, details: DataFrame | None = None) -> DataFrame:
     """rec_pos, systemCode, name, previous_names from list rows (rec_pos, systemCode, name, parent) and details (systemCode, history).
@@ -37,6 +34,5 @@ def index(recs: DataFrame) -> DataFrame:
 def fill_codes(events: DataFrame, idx: DataFrame) -> DataFrame:
     """``events`` with null system codes looked up by committee name."""
     small = idx.select("norm_name", F.col("system_code").alias("_sl_code"))
-    small = F.broadcast(small) if small.limit(MOST_NAMES + 1).count() <= MOST_NAMES else small
     keyed = events.withColumn("norm_name", normalise_committee(F.coalesce("committee", F.lit(""))))
     return keyed.join(small, "norm_name", "left").withColumn("system_code", F.coalesce("system_code", "_sl_code")).drop("norm_name", "_sl_code").select(*events.columns)

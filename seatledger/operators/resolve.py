@@ -16,8 +16,6 @@ from ..functions import text as T
 from .relational import skip_if_empty, unique_or_null
 
 TERM_TYPES = {"house": "rep", "senate": "sen"}
-#: More rows than there are office holders on record; beyond it candidates are joined by shuffle.
-MOST_CANDIDATES = 500_000
 
 
 def candidates(legislators: DataFrame, chamber: str = "house") -> DataFrame:
@@ -58,14 +56,10 @@ def probes(names: DataFrame) -> DataFrame:
     return rows.withColumn("surname_key", F.rtrim(T.fold(F.col("surname")), F.lit(".,"))).withColumn("first_key", F.when(F.col("first").isNotNull(), T.fold(F.col("first")))).drop("surname", "first")
 
 
-def _small(cands: DataFrame) -> DataFrame:
-    return F.broadcast(cands) if cands.limit(MOST_CANDIDATES + 1).count() <= MOST_CANDIDATES else cands
-
-
 def lookup(names: DataFrame, cands: DataFrame) -> DataFrame:
     """name_id, bioguide for the names (name_id, printed, state, on_date) that one person fits."""
     c = cands.select("surname_key", "bioguide", "states", "terms", F.col("first_key").alias("c_first"), F.col("gender").alias("c_gender"))
-    pool = probes(names).join(_small(c), "surname_key")
+    pool = probes(names).join(c, "surname_key")
     keys = ["name_id", "prio"]
     no_state = F.col("state").isNull()
     pool = skip_if_empty(pool, keys, no_state | F.array_contains("states", F.col("state")), F.col("strict"))
@@ -80,7 +74,7 @@ def lookup_full_name(names: DataFrame, cands: DataFrame) -> DataFrame:
     """name_id, bioguide for (name_id, first, last, on_date): serving then, and of that first name where anyone has it."""
     keyed = names.select("name_id", "on_date", F.rtrim(T.fold(F.col("last")), F.lit(".,")).alias("surname_key"), F.when(F.coalesce("first", F.lit("")) != "", T.fold(F.col("first"))).alias("first_key"))
     c = cands.select("surname_key", "bioguide", "terms", F.col("first_key").alias("c_first"))
-    pool = keyed.join(_small(c), "surname_key").where(F.col("on_date").isNull() | served_on(F.col("terms"), F.col("on_date")))
+    pool = keyed.join(c, "surname_key").where(F.col("on_date").isNull() | served_on(F.col("terms"), F.col("on_date")))
     pool = skip_if_empty(pool, ["name_id"], F.col("first_key").isNull() | ((F.col("c_first") != "") & T.first_names_match(F.col("c_first"), F.col("first_key"))))
     return pool.groupBy("name_id").agg(unique_or_null(F.col("bioguide")).alias("bioguide")).where("bioguide is not null")
 

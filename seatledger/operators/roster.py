@@ -32,7 +32,9 @@ def diff(history: DataFrame, keys: list[str]) -> DataFrame:
     singles = rows.where("not is_full").select(*out)
     heads = epochs.where("is_full").select(*keys, "seq", "epoch")
     gone = heads.join(old, [*keys, "epoch"]).join(full.select(*on), on, "left_anti")
-    removed = gone.select(*keys, "seq", F.lit("removal").alias("change"), "identity", "payload", F.col("at.pos").alias("pos"))
+    # Places in the order in which the old state came about: rows of several documents may share theirs.
+    place = F.row_number().over(Window.partitionBy(*keys, "seq").orderBy("at", "identity")) - 1
+    removed = gone.select(*keys, "seq", F.lit("removal").alias("change"), "identity", "payload", place.alias("pos"))
     return added.unionByName(singles).unionByName(removed)
 
 

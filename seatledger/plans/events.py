@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -9,12 +10,17 @@ from pyspark.sql import functions as F
 
 from ..functions import patterns as P
 from ..functions import text as T
+from ..functions.refs import make_ref
 from ..operators import blocks, classify, committees, letters, members, resolve, roster
 from ..operators.relational import carry_forward, pick_first, priority, union_all
-from ..schemas import EVENT_FIELDS, REF_FIELDS, SOURCE_REF
+from ..schemas import EVENT_FIELDS
 from ..sources import urls
+from ..sources.shared import written
 
+log = logging.getLogger(__name__)
 BILL = ["congress", "bill_type", "number"]
+#: What tells an event from all others: a number in the list is one of a Congress, chamber and source only.
+EVENT_KEY = ["congress", "chamber", "source", "doc_seq", "block_pos", "member_pos"]
 
 
 @dataclass(frozen=True)
@@ -45,12 +51,6 @@ def best_rendition(renditions: DataFrame, stages: tuple[str, ...]) -> DataFrame:
     return pick_first(usable, BILL, [F.col("format_rank"), F.col("host_rank"), F.col("stage_rank")]).drop("stage_rank", "format_rank", "host_rank")
 
 
-def _ref(kind: str, **fields: Column) -> Column:
-    kinds = [f.split(":")[0] for f in SOURCE_REF[len("struct<") : -1].split(",")]
-    given = {"type": F.lit(kind)} | fields
-    return F.struct(*[given.get(k, F.lit(None)).cast("string").alias(k) for k in kinds])
-
-
 def _since(bills: DataFrame, since: str | None) -> DataFrame:
     return bills if since is None else bills.where(F.col("update_date") >= since)
 
@@ -84,17 +84,19 @@ def _resolution_events(rows: DataFrame, landed: Landed, chamber: str) -> DataFra
     source = urls.html_url(F.when(F.col("host") == "govinfo", package).otherwise(urls.congress_text_url(F.col("congress"), F.col("number"), F.col("rendition_stage"), "hres" if chamber == "house" else "sres")))
     if chamber == "house":
         source = F.when(F.col("format") == "xml", urls.xml_url(package)).otherwise(source)
-    ref = _ref("resolution", number=F.col("number"), stage=F.coalesce("stage", "rendition_stage"), agreed_to_date=F.col("agreed"), congress_gov_url=urls.bill_url(F.col("congress"), F.col("number"), chamber), govinfo_xml_url=source)
+    ref = make_ref("resolution", number=F.col("number"), stage=F.coalesce("stage", "rendition_stage"), agreed_to_date=F.col("agreed"), congress_gov_url=urls.bill_url(F.col("congress"), F.col("number"), chamber), govinfo_xml_url=source)
     date = F.coalesce("agreed", "doc_date")
     out = rows.select(
         F.col("congress").cast("string").alias("congress"), F.lit(chamber).alias("chamber"), "change_type", "committee", F.lit(None).cast("string").alias("system_code"), F.col("code").alias("gpo_code"), "member_name",
         "member_name_raw", F.col("party_rank").cast("int").alias("party_rank"), date.alias("date"), F.lit("resolution").alias("source"), ref.alias("source_ref"), F.col("agreed").alias("on_date"),
         F.col("api_pos").cast("long").alias("doc_seq"), F.col("block_pos").cast("int").alias("block_pos"), F.col("member_pos").cast("int").alias("member_pos"),
+        *(["bioguide_id"] if "bioguide_id" in rows.columns else []),
     )
     return _identified(out, landed, chamber)
 
 
 def _identified(events: DataFrame, landed: Landed, chamber: str, printed: str = "member_name") -> DataFrame:
+    """The event table's columns, with persons (unless the rows bring them) and committee codes."""
     if "bioguide_id" in events.columns:
         pass
     elif landed.legislators is not None:
@@ -130,20 +132,18 @@ def senate_history(landed: Landed, congress: int, since: str | None = None) -> D
 
 
 def senate(landed: Landed, congress: int, since: str | None = None) -> DataFrame:
-    """Events of Senate rosters: what each one adds and removes."""
-    history = senate_history(landed, congress, since)
+    """Events of Senate rosters: what each one adds and removes, with the person that the roster named."""
+    # The diff reads the history several times; documents are parsed and names resolved once.
+    history = written(senate_history(landed, congress, since), "senate-history")
     keys = ["congress", "committee", "party"]
     changes = roster.diff(history.select(*keys, "seq", "is_full", "members"), keys).withColumnRenamed("change", "change_type")
     docs = history.drop("members", "is_full", "single")
     removals_last = F.when(F.col("change_type") == "removal", F.lit(1 << 20)).otherwise(0) + F.col("pos")
     rows = changes.join(docs, [*keys, "seq"]).select(
         *[c for c in docs.columns if c != "seq"], "change_type", removals_last.alias("member_pos"), F.col("payload.clean").alias("member_name"), F.col("payload.raw").alias("member_name_raw"),
-        F.col("payload.bioguide").alias("bioguide"), F.lit(None).cast("int").alias("party_rank"),
+        F.col("payload.bioguide").alias("bioguide_id"), F.lit(None).cast("int").alias("party_rank"),
     )
-    named = _resolution_events(rows.drop("bioguide"), Landed(), "senate").drop("bioguide_id")
-    ids = rows.select(F.col("committee"), F.col("change_type"), F.col("api_pos").cast("long").alias("doc_seq"), F.col("block_pos").cast("int").alias("block_pos"), F.col("member_pos").cast("int").alias("member_pos"), F.col("bioguide").alias("bioguide_id"))
-    events = named.join(ids, ["committee", "change_type", "doc_seq", "block_pos", "member_pos"])
-    return _identified(events, landed, "senate")
+    return _resolution_events(rows, landed, "senate")
 
 
 def discovered(landed: Landed, start: str, end: str) -> DataFrame:
@@ -152,6 +152,15 @@ def discovered(landed: Landed, start: str, end: str) -> DataFrame:
     return packages.join(landed.granules.where(classify.is_resignation(F.col("title"))), "packageId")
 
 
+#: Letters follow all resolutions, by day of issue and place in it.
+LETTERS = 10**18
+
+
+def letter_seq(package: Column, pos: Column) -> Column:
+    day = F.coalesce(F.replace(T.issue_date(package), F.lit("-"), F.lit("")).cast("long"), F.lit(0))
+    return F.lit(LETTERS) + day * F.lit(10**9) + F.coalesce(pos.cast("long"), F.lit(0))
+
+
 def record(landed: Landed, congress: int, start: str, end: str) -> DataFrame:
     """Events of letters of resignation; letters of several signers are left out."""
     found = discovered(landed, start, end).where(~classify.has_several_signers(F.col("title")))
@@ -163,13 +172,13 @@ def record(landed: Landed, congress: int, start: str, end: str) -> DataFrame:
     text = F.coalesce(F.when(F.col("text_body").isNotNull(), T.pre_text(F.col("text_body"))), F.lit(""))
     parsed = read.withColumn("_sl_text", text).withColumn("p", letters.parse(F.col("title"), F.col("_sl_text"))).withColumn("on_date", T.issue_date(F.col("packageId"))).withColumn("printed", T.signer_name(F.col("p.member_name")))
     url = F.coalesce(F.nullif("link", F.lit("")), urls.package_url(F.col("packageId")))
-    ref = _ref("record", page=F.nullif(F.regexp_extract("granuleId", r"Pg([A-Z]\d+)", 1), F.lit("")), granule_id=F.col("granuleId"), signed_date=F.col("p.signed_date"), url=url)
+    ref = make_ref("record", page=F.nullif(F.regexp_extract("granuleId", r"Pg([A-Z]\d+)", 1), F.lit("")), granule_id=F.col("granuleId"), signed_date=F.col("p.signed_date"), url=url)
     # A letter without a committee is still one event.
     rows = parsed.select("*", F.posexplode_outer("p.committees").alias("block_pos", "one"))
     events = rows.select(
         F.lit(str(congress)).alias("congress"), F.lit("house").alias("chamber"), F.lit("removal").alias("change_type"), F.coalesce("one", F.lit("")).alias("committee"), F.lit(None).cast("string").alias("system_code"),
         F.lit(None).cast("string").alias("gpo_code"), F.col("p.member_name").alias("member_name"), F.lit(None).cast("string").alias("member_name_raw"), F.lit(None).cast("int").alias("party_rank"), F.col("on_date").alias("date"),
-        F.lit("congressional_record").alias("source"), ref.alias("source_ref"), "on_date", "printed", F.xxhash64("granuleId").alias("doc_seq"), F.coalesce("block_pos", F.lit(0)).cast("int").alias("block_pos"), F.lit(0).alias("member_pos"),
+        F.lit("congressional_record").alias("source"), ref.alias("source_ref"), "on_date", "printed", letter_seq(F.col("packageId"), F.col("pos")).alias("doc_seq"), F.coalesce("block_pos", F.lit(0)).cast("int").alias("block_pos"), F.lit(0).alias("member_pos"),
     )
     return _identified(events, landed, "house", printed="printed")
 
@@ -177,7 +186,7 @@ def record(landed: Landed, congress: int, start: str, end: str) -> DataFrame:
 def merge_ids(new: DataFrame, previous: DataFrame) -> DataFrame:
     """``new`` with null persons filled from the last previous event of the same change, committee, member and document."""
     key = lambda d: d.withColumn("_t", F.col("source_ref.type")).withColumn("_r", F.coalesce(F.nullif("source_ref.number", F.lit("")), F.col("source_ref.granule_id")))
-    old = key(previous).withColumn("_sl_seq", F.monotonically_increasing_id() if "seq" not in previous.columns else F.col("seq"))
+    old = key(previous).withColumn("_sl_seq", F.struct("doc_seq", "block_pos", "member_pos"))
     return carry_forward(key(new), old, ["change_type", "committee", "member_name", "_t", "_r"], "bioguide_id", "_sl_seq").drop("_t", "_r")
 
 
@@ -189,15 +198,22 @@ def collect(landed: Landed, congress: int, chamber: str = "house", source: str =
     else:
         parts = [house(landed, congress, since)] if source in ("resolution", "all") else []
         if source in ("record", "all") and landed.packages is not None:
-            parts.append(record(landed, congress, since or span[0], span[1]))
+            try:
+                # Letters are the lesser source: where reading them fails, the resolutions still go out.
+                parts.append(written(record(landed, congress, since or span[0], span[1]), "letters"))
+            except Exception as error:
+                if not parts:
+                    raise
+                log.warning("letters of Congress %s left out: %s", congress, str(error)[:500])
     events = union_all(parts)
     return events if previous is None else merge_ids(events, previous)
 
 
 def corrected(events: DataFrame, edits: DataFrame) -> DataFrame:
-    """``events`` with row edits (doc_seq, block_pos, member_pos, field, value): a blank committee is ignored,
+    """``events`` with row edits (the columns of ``EVENT_KEY``, field, value): a blank committee is ignored,
     a blank rank is null and one that is no number ignored, other blanks are null."""
-    key = ["doc_seq", "block_pos", "member_pos"]
+    key = EVENT_KEY
+    edits = edits.withColumn("congress", F.col("congress").cast("string"))
     fields = ("committee", "member_name", "bioguide_id", "party_rank", "date")
     picked = edits.groupBy(*key).agg(*[F.max(F.when(F.col("field") == f, F.struct(F.trim("value").alias("v")))).alias(f"_e_{f}") for f in fields])
     out = events.join(picked, key, "left")
@@ -211,12 +227,3 @@ def corrected(events: DataFrame, edits: DataFrame) -> DataFrame:
             new = F.nullif(v, F.lit(""))
         out = out.withColumn(f, F.when(edit.isNotNull(), new).otherwise(F.col(f)))
     return out.select(*events.columns)
-
-
-def ref_json(ref: Column = None) -> Column:
-    """The source reference with the fields of its type only."""
-    ref = F.col("source_ref") if ref is None else ref
-    out = F.lit(None).cast("string")
-    for kind, fields in REF_FIELDS.items():
-        out = F.when(ref["type"] == kind, F.to_json(F.struct(*[ref[f].alias(f) for f in fields]), {"ignoreNullFields": "false"})).otherwise(out)
-    return out

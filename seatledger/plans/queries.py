@@ -117,12 +117,10 @@ UNION ALL SELECT h.event_type, CAST(replace(h.seq, '-', '') AS BIGINT), 'removal
 WHERE NOT EXISTS (SELECT 1 FROM s n WHERE n.event_type = h.event_type AND n.seq = h.seq AND n.user_id = o.user_id)""")
 def stateful_roster(spark, events):
     """The roster changes as a stream with keyed state, run to its end."""
-    import uuid
-
+    from ..sources.shared import folder
     from ..streaming.rosters import stateful_changes
 
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.sql.warehouse.dir")
-    path = f"{base.rstrip('/')}/stateful-roster-{uuid.uuid4().hex}"
+    path = folder(spark, "stateful-roster")
     history = _rosters(events, ("view", "click")).select("event_type", F.replace("seq", F.lit("-"), F.lit("")).cast("long").alias("seq"), "is_full", F.transform("members", lambda m: m["identity"]).alias("identities"))
     history.write.parquet(f"{path}/in")
     stream = spark.readStream.schema(history.schema).parquet(f"{path}/in")

@@ -26,6 +26,22 @@ def per_congress(events: DataFrame) -> DataFrame:
     ).orderBy(F.desc("congress"))
 
 
+def files_report(files: DataFrame) -> DataFrame:
+    """The per-Congress counts with the size of the file that they are from, as a reader downloads it."""
+    sizes = files.groupBy(F.col("congress").cast("int").alias("congress")).agg(F.max("file_size").alias("file_size"))
+    return per_congress(files).join(sizes, "congress").withColumn("size", T.human_size(F.col("file_size"))).withColumn("term", T.ordinal(F.col("congress"))).orderBy(F.desc("congress"))
+
+
+def downloads_page(report: DataFrame) -> str:
+    """The report as an HTML table; a row for each Congress comes to the driver."""
+    import html
+
+    cells = ("term", "total", "additions", "removals", "missing", "size")
+    rows = "".join("<tr>" + "".join(f"<td>{html.escape(str(r[c]))}</td>" for c in cells) + "</tr>" for r in report.orderBy(F.desc("congress")).toLocalIterator())
+    head = "".join(f"<th>{c}</th>" for c in cells)
+    return f"<!DOCTYPE html><html><head><meta charset='utf-8'><title>Membership changes</title></head><body><table><tr>{head}</tr>{rows}</table></body></html>"
+
+
 def summary(events: DataFrame) -> DataFrame:
     return events.agg(
         F.count("*").alias("total"), F.count_if(F.col("change_type") == "addition").alias("additions"), F.count_if(F.col("change_type") == "removal").alias("removals"), F.count_if(missing(False)).alias("missing"),

@@ -5,10 +5,10 @@ from __future__ import annotations
 ACTION = "struct<actionDate:string,text:string,type:string>"
 BILLS_PAGE = "congress int, bill_type string, page int, bills array<struct<congress:int,type:string,number:string,title:string,updateDate:string>>, pagination struct<next:string>"
 ACTIONS_PAGE = f"congress int, bill_type string, number string, actions array<{ACTION}>"
-COMMITTEES_PAGE = "chamber string, committees array<struct<systemCode:string,name:string,chamber:string,parent:struct<systemCode:string>>>, pagination struct<next:string>"
+COMMITTEES_PAGE = "chamber string, page int, committees array<struct<systemCode:string,name:string,chamber:string,parent:struct<systemCode:string>>>, pagination struct<next:string>"
 COMMITTEE_DETAIL = "systemCode string, committee struct<history:array<struct<officialName:string,libraryOfCongressName:string,endDate:string>>>"
 PACKAGES_PAGE = "packages array<struct<packageId:string,dateIssued:string>>, nextPage string"
-GRANULES_PAGE = "packageId string, granules array<struct<granuleId:string,title:string,granuleClass:string>>, nextPage string"
+GRANULES_PAGE = "packageId string, page int, granules array<struct<granuleId:string,title:string,granuleClass:string>>, nextPage string"
 SUMMARY = "granuleId string, title string, download struct<txtLink:string>, detailsLink string"
 GRANULE_TEXT = "granuleId string, body string"
 RENDITIONS = "congress int, bill_type string, number string, host string, stage string, format string, body string"

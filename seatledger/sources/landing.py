@@ -1,4 +1,4 @@
-"""Readers of landed payloads: JSON pages, renditions, legislators, earlier output, and a paged source."""
+"""Readers of landed payloads: JSON pages, renditions, legislators, earlier output, stores."""
 
 from __future__ import annotations
 
@@ -6,7 +6,6 @@ import json
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from .. import schemas as S
 
@@ -23,8 +22,9 @@ def actions(spark: SparkSession, path: str) -> DataFrame:
 
 
 def committee_list(spark: SparkSession, path: str) -> DataFrame:
-    rows = spark.read.schema(S.COMMITTEES_PAGE).json(path).select("chamber", F.posexplode("committees").alias("rec_pos", "c"))
-    return rows.select("chamber", "rec_pos", F.col("c.systemCode").alias("systemCode"), F.col("c.name").alias("name"), F.col("c.parent.systemCode").alias("parent"))
+    """chamber, rec_pos, systemCode, name, parent; rec_pos keeps the order over pages."""
+    rows = spark.read.schema(S.COMMITTEES_PAGE).json(path).select("chamber", F.coalesce("page", F.lit(0)).alias("page"), F.posexplode("committees").alias("at", "c"))
+    return rows.select("chamber", (F.col("page") * 1_000_000 + F.col("at")).cast("int").alias("rec_pos"), F.col("c.systemCode").alias("systemCode"), F.col("c.name").alias("name"), F.col("c.parent.systemCode").alias("parent"))
 
 
 def committee_details(spark: SparkSession, path: str) -> DataFrame:
@@ -36,7 +36,9 @@ def packages(spark: SparkSession, path: str) -> DataFrame:
 
 
 def granules(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(S.GRANULES_PAGE).json(path).select("packageId", F.posexplode("granules").alias("pos", "g")).select("packageId", "pos", "g.granuleId", "g.title")
+    """packageId, pos, granuleId, title; ``pos`` keeps the order over pages."""
+    rows = spark.read.schema(S.GRANULES_PAGE).json(path).select("packageId", F.coalesce("page", F.lit(0)).alias("page"), F.posexplode("granules").alias("at", "g"))
+    return rows.select("packageId", (F.col("page") * 1_000_000 + F.col("at")).cast("long").alias("pos"), "g.granuleId", "g.title")
 
 
 def renditions(spark: SparkSession, path: str) -> DataFrame:
@@ -62,62 +64,73 @@ def legislators(spark: SparkSession, paths: list[str]) -> DataFrame:
     return frame.select("rec_pos", F.from_json("j", S.LEGISLATORS).alias("r")).select("rec_pos", "r.*")
 
 
+def _arrays(spark: SparkSession, path: str) -> DataFrame:
+    """Events of exported files with file, file_size and their places: an export is one JSON array, and its order is the events'."""
+    fields = ", ".join(c for c in S.EVENTS.split(", ") if not c.startswith(("doc_seq", "block_pos", "member_pos")))
+    files = spark.read.text(path, wholetext=True).select("value", F.col("_metadata.file_name").alias("file"), F.col("_metadata.file_size").alias("file_size"))
+    rows = files.select("file", "file_size", F.posexplode(F.from_json("value", f"array<struct<{_nested(fields)}>>")).alias("doc_seq", "e"))
+    return rows.select("e.*", F.col("doc_seq").cast("long").alias("doc_seq"), F.lit(0).alias("block_pos"), F.lit(0).alias("member_pos"), "file", "file_size").where("change_type is not null")
+
+
+def _nested(ddl: str) -> str:
+    """Top-level columns of a schema in the form of struct fields."""
+    return ",".join(":".join(c.split(" ", 1)) for c in ddl.split(", "))
+
+
 def previous_events(spark: SparkSession, path: str) -> DataFrame:
-    """An earlier output file; a missing or broken one is empty."""
-    schema = ", ".join(c for c in S.EVENTS.split(", ") if not c.startswith(("doc_seq", "block_pos", "member_pos")))
+    """An earlier output file, in its order; a missing or broken one is empty."""
     try:
-        frame = spark.read.schema(schema + ", _corrupt string").option("multiLine", True).option("columnNameOfCorruptRecord", "_corrupt").json(path)
-        return frame.where("_corrupt is null and change_type is not null").drop("_corrupt") if frame.columns else frame
+        return _arrays(spark, path).drop("file", "file_size")
     except Exception as error:
         if "PATH_NOT_FOUND" not in str(error):
             raise
-        return spark.createDataFrame([], schema)
+        return spark.createDataFrame([], S.EVENTS)
+
 
+#: Names of output files; the site reads those of both chambers, the editor those of the House.
+OUTPUT_NAME = r"committee_changes_(?:senate_)?(\d+)\.json"
+HOUSE_NAME = r"^committee_changes_(\d+)\.json$"
 
-def congress_files(spark: SparkSession, path: str) -> DataFrame:
-    """Events of all output files with the Congress of the file name and the file's name and size."""
-    frame = spark.read.schema(S.EVENTS).option("multiLine", True).json(path)
-    number = F.regexp_extract("_metadata.file_name", r"committee_changes_(?:senate_)?(\d+)\.json", 1)
-    return frame.select("*", F.col("_metadata.file_name").alias("file"), F.col("_metadata.file_size").alias("file_size")).withColumn("congress", F.coalesce(F.nullif(number, F.lit("")), F.col("congress")))
 
+def congress_files(spark: SparkSession, path: str, names: str = OUTPUT_NAME) -> DataFrame:
+    """Events of the output files of a folder, by file name, with the Congress of the name and the file's name and size."""
+    number = F.regexp_extract("file", names, 1)
+    return _arrays(spark, path).where(F.col("file").rlike(names)).withColumn("congress", number).orderBy("file", "doc_seq")
 
-class PagedReader(DataSourceReader):
-    """One partition for each page; pages go on until one is empty or has no next."""
 
-    def __init__(self, options: dict):
-        self.path, self.key = options["path"], options["key"]
+def store_congresses(spark: SparkSession, path: str) -> DataFrame:
+    """congress of every part of an event store, newest first."""
+    return spark.read.parquet(path).select(F.col("congress").cast("int").alias("congress")).distinct().orderBy(F.desc("congress"))
 
-    def partitions(self):
-        import glob
-        import os
 
-        names = sorted(glob.glob(os.path.join(self.path, "*.json")), key=lambda n: (len(n), n))
-        out = []
-        for name in names:
-            with open(name, encoding="utf-8") as f:
-                page = json.load(f)
-            if not page.get(self.key):
-                break
-            out.append(InputPartition(name))
-            if not ((page.get("pagination") or {}).get("next") or page.get("nextPage")):
-                break
-        return out
+def store_events(spark: SparkSession, path: str, congress: int) -> DataFrame:
+    """The events of one Congress of a store, in order; only its folder is read."""
+    rows = spark.read.schema(S.EVENTS).parquet(path).where(F.col("congress") == str(congress))
+    return rows.orderBy("doc_seq", "block_pos", "member_pos")
 
-    def read(self, partition):
-        with open(partition.value, encoding="utf-8") as f:
-            for pos, item in enumerate(json.load(f)[self.key]):
-                yield partition.value.rsplit("/", 1)[-1], pos, json.dumps(item)
 
+SITE = (
+    "committees map<string,struct<name:string,formerly:array<string>>>, members map<string,struct<name:string,state:string,party:string>>, "
+    "events array<struct<c:int,t:string,k:string,n:string,b:string,d:string,r:int,u:string>>"
+)
 
-class PagedSource(DataSource):
-    """``format("paged")``: items of landed API pages as (page, pos, item); options path and key."""
 
-    @classmethod
-    def name(cls) -> str:
-        return "paged"
+def site_tables(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The site's data as its reports read it: committees, members, events."""
+    whole = spark.read.schema(SITE).option("multiLine", True).json(path)
+    committees = whole.select(F.explode("committees").alias("key", "v")).select("key", "v.*")
+    members = whole.select(F.explode("members").alias("bioguide", "v")).select("bioguide", "v.*")
+    return committees, members, whole.select(F.posexplode("events").alias("pos", "e")).select("pos", "e.*")
 
-    def schema(self) -> str:
-        return "page string, pos long, item string"
 
-    def reader(self, schema):
-        return PagedReader(self.options)
+def cached_records(spark: SparkSession, path: str, fetch) -> DataFrame:
+    """Committee records from the table at ``path``; where there is none, or it cannot be read, ``fetch()`` makes them and they are stored."""
+    schema = "rec_pos int, systemCode string, name string, previous_names array<string>"
+    try:
+        held = spark.read.schema(schema).parquet(path)
+        if not held.where("systemCode is not null").isEmpty():
+            return held
+    except Exception:  # missing or damaged: both are mended by fetching
+        pass
+    fetch().select("rec_pos", "systemCode", "name", "previous_names").write.mode("overwrite").parquet(path)
+    return spark.read.schema(schema).parquet(path)

@@ -9,8 +9,9 @@ import tempfile
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..plans.events import ref_json
+from ..functions.refs import ref_json
 from ..schemas import EVENT_FIELDS
+from .shared import written
 
 
 def write_events(events: DataFrame, path: str) -> None:
@@ -18,6 +19,11 @@ def write_events(events: DataFrame, path: str) -> None:
     events.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("congress").parquet(path)
 
 
+def save_events(events: DataFrame, path: str) -> None:
+    """Edited events of a store put back in their place: they are written aside first, since they are read from there."""
+    write_events(written(events, "edited"), path)
+
+
 def write_atomic(path: str, data: bytes) -> None:
     """A file appears whole or not at all."""
     folder = os.path.dirname(os.path.abspath(path))

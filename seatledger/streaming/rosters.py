@@ -46,12 +46,16 @@ def stateful_changes(history: DataFrame, key: str) -> DataFrame:
 
 
 def recompute(history_path: str, keys: list[str], sink):
-    """A foreachBatch function: appends the batch to the history and hands ``sink`` the changes of the keys it touches."""
+    """A foreachBatch function: adds the batch to the history and hands ``sink`` the changes of the keys it touches.
 
-    def run(batch: DataFrame, _: int) -> None:
+    A batch has a folder of its own by its number, so one that runs again replaces itself.
+    """
+
+    def run(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        batch.write.mode("append").parquet(history_path)
-        touched = batch.select(*keys).distinct()
-        sink(roster.diff(spark.read.parquet(history_path).join(touched, keys, "left_semi"), keys))
+        batch.write.mode("overwrite").parquet(f"{history_path}/batch={number}")
+        history = spark.read.parquet(history_path)
+        touched = history.where(f"batch = {number}").select(*keys).distinct()
+        sink(roster.diff(history.drop("batch").join(touched, keys, "left_semi"), keys))
 
     return run

@@ -190,7 +190,11 @@ def test_merge_and_corrections(spark):
     merged = E.merge_ids(new, old)
     assert merged.count() == new.count() and {r["bioguide_id"] for r in merged.where("member_name = 'Mr. Fir'").collect()} == {"X9"}
     k = new.where("member_name = 'Mr. Fir'").first()
-    edits = spark.createDataFrame([(k["doc_seq"], k["block_pos"], k["member_pos"], f, v) for f, v in (("party_rank", ""), ("committee", " "), ("bioguide_id", "Z1"), ("date", ""))], "doc_seq long, block_pos int, member_pos int, field string, value string")
+    edits = spark.createDataFrame([("119", "house", "resolution", k["doc_seq"], k["block_pos"], k["member_pos"], f, v) for f, v in (("party_rank", ""), ("committee", " "), ("bioguide_id", "Z1"), ("date", ""))], "congress string, chamber string, source string, doc_seq long, block_pos int, member_pos int, field string, value string")
+    # The same numbers in another Congress are another event.
+    other = new.withColumn("congress", F.lit("118"))
+    both = E.corrected(new.unionByName(other), edits)
+    assert both.where("bioguide_id = 'Z1'").select("congress").collect() == [("119",)] and both.where("congress = '118'").exceptAll(other).count() == 0
     r = E.corrected(new, edits).where("member_name = 'Mr. Fir'").first()
     assert (r["party_rank"], r["committee"], r["bioguide_id"], r["date"]) == (None, "Committee on Agriculture", "Z1", None)
 
@@ -233,9 +237,6 @@ def test_landing(spark, tmp_path):
         (tmp_path / f"{k}.json").write_text(json.dumps(page))
     rows = landing.bills(spark, str(tmp_path)).orderBy("api_pos").collect()
     assert [(r["number"], r["title"]) for r in rows] == [("1", "a"), ("2", ""), ("3", "c")]
-    spark.dataSource.register(landing.PagedSource)
-    paged = spark.read.format("paged").option("path", str(tmp_path)).option("key", "bills").load()
-    assert paged.count() == 3
     (tmp_path / "govinfo").mkdir()
     (tmp_path / "govinfo" / "BILLS-119hres7eh.xml").write_text(XML)
     r = landing.renditions(spark, str(tmp_path / "govinfo" / "*.xml")).first()
@@ -261,9 +262,149 @@ def test_command_line(spark, tmp_path, capsys):
     assert main(["--congress", "119", "--landing", str(tmp_path), "--output", out], spark) == 0
     assert capsys.readouterr().out.startswith("9 events: 9 additions, 0 removals, 9 without a person")
     data = json.load(open(out))
+    assert main(["--congress", "119", "--landing", str(tmp_path), "--out", str(tmp_path / "bare.json"), "--no-committee-codes", "--no-bioguide", "-v"], spark) == 0
+    assert {e["system_code"] for e in json.load(open(tmp_path / "bare.json"))} == {None} and {e["system_code"] for e in data} == {None, "hsag00"}
     data[0]["bioguide_id"] = "H1"
     json.dump(data, open(out, "w"))
     (tmp_path / "legislators-x.yaml").write_text("- id: {bioguide: A1}\n  name: {first: Ann, last: Fir}\n  terms:\n  - {type: rep, state: OH, start: 2001-01-03, end: '2033-01-03', party: P}\n")
     assert main(["--congress", "119", "--landing", str(tmp_path), "--output", out], spark) == 0
     people = {e["member_name"]: e["bioguide_id"] for e in json.load(open(out))}
     assert people["Mr. Oak of Ohio"] == "H1" and people["Mr. Fir"] == "A1"
+    os.makedirs(tmp_path / "people")
+    (tmp_path / "people" / "legislators-y.yaml").write_text("- id: {bioguide: B1}\n  name: {first: Ann, last: Fir}\n  terms:\n  - {type: rep, state: OH, start: 2001-01-03, end: '2033-01-03', party: P}\n")
+    assert main(["--congress", "119", "--landing", str(tmp_path), "--out", str(tmp_path / "own.json"), "--legislators-path", str(tmp_path / "people")], spark) == 0
+    assert {e["member_name"]: e["bioguide_id"] for e in json.load(open(tmp_path / "own.json"))}["Mr. Fir"] == "B1"
+
+
+def test_senate_removal_after_single_add(spark):
+    """A roster, a senator added alone, and a roster without two of them: each removal has its own person."""
+    bills = [(119, "sres", str(k), "majority party's membership", k, "x") for k in (1, 2, 3)]
+    actions = [(119, "sres", str(k), [(f"2025-0{k}-05", "agreed to", "F")]) for k in (1, 2, 3)]
+    single = "<pre>Resolved, That the following Senator shall be added to the majority party's membership on the Committee on Rules for the 119th Congress: Mr. Yew.</pre>"
+    rend = [(119, "sres", "1", "govinfo", "ats", "xml", senate_doc(("Committee on Rules", "Mr. Oak, Mr. Elm"))), (119, "sres", "2", "govinfo", "ats", "text", single), (119, "sres", "3", "govinfo", "ats", "xml", senate_doc(("Committee on Rules", "Mr. Elm")))]
+    people = [((b,), ("Sam", None, last, last), ("M",), None, [("sen", "OH", "2001-01-03", None, "P")]) for b, last in (("O1", "Oak"), ("E1", "Elm"), ("Y1", "Yew"))]
+    given = E.Landed(bills=spark.createDataFrame(bills, "congress int, bill_type string, number string, title string, api_pos long, update_date string"), actions=spark.createDataFrame(actions, S.ACTIONS_PAGE), renditions=spark.createDataFrame(rend, S.RENDITIONS), legislators=spark.createDataFrame(people, S.LEGISLATORS))
+    rows = E.collect(given, 119, "senate").orderBy("date", "doc_seq", "block_pos", "member_pos").collect()
+    assert [(r["date"], r["change_type"], r["member_name"], r["bioguide_id"]) for r in rows] == [
+        ("2025-01-05", "addition", "Mr. Oak", "O1"), ("2025-01-05", "addition", "Mr. Elm", "E1"), ("2025-02-05", "addition", "Mr. Yew", "Y1"), ("2025-03-05", "removal", "Mr. Oak", "O1"), ("2025-03-05", "removal", "Mr. Yew", "Y1"),
+    ]
+    assert len({(r["doc_seq"], r["block_pos"], r["member_pos"]) for r in rows}) == len(rows)
+
+
+def test_letters_follow_resolutions(spark, tmp_path):
+    given = landed(spark)
+    rows = E.collect(given, 109).orderBy("doc_seq", "block_pos", "member_pos").collect()
+    assert [r["source"] for r in rows] == ["resolution"] * 5 + ["congressional_record"] * 3
+    assert [r["committee"] for r in rows[5:]] == ["Committee on Rules", "Committee on Agriculture", "(Temporary) Committee"]
+    sinks.export_events(E.collect(given, 109), str(tmp_path / "committee_changes_109.json"))
+    back = landing.congress_files(spark, str(tmp_path)).collect()
+    assert [r["committee"] for r in back] == [r["committee"] for r in rows] and [r["doc_seq"] for r in back] == list(range(8))
+    # A rename in the last event of the newest Congress names the committee.
+    late = landing.congress_files(spark, str(tmp_path)).withColumn("committee", F.when(F.col("doc_seq") == 6, "Farms").otherwise(F.col("committee")))
+    assert {r["key"]: r["name"] for r in site.committees(late).collect()}["hsag00"] == "Farms"
+
+
+def test_a_failing_letter_source_is_left_out(spark, caplog):
+    given = landed(spark)
+    bad = E.Landed(**{**given.__dict__, "texts": given.texts.withColumn("body", F.raise_error(F.lit("bad letter")).cast("string"))})
+    assert {r["source"] for r in E.collect(bad, 109).collect()} == {"resolution"} and "left out" in caplog.text
+    with pytest.raises(Exception, match="bad letter"):
+        E.collect(bad, 109, source="record")
+
+
+def test_recompute_runs_a_batch_again(spark, tmp_path):
+    from seatledger.streaming.rosters import recompute
+
+    schema = "key string, seq long, is_full boolean, members array<struct<identity:string,payload:string>>"
+    batch = lambda *rows: spark.createDataFrame(list(rows), schema)
+    seen = []
+    run = recompute(str(tmp_path / "history"), ["key"], lambda changes: seen.append(sorted(tuple(r)[:5] for r in changes.select("key", "seq", "change", "identity", "payload").collect())))
+    first, late = batch(("a", 2, True, [("x", "p"), ("y", "p")]), ("b", 1, True, [("z", "p")])), batch(("a", 1, True, [("y", "q")]))
+    for number, rows in ((0, first), (1, late), (1, late)):
+        run(rows, number)
+    assert seen[1] == seen[2] == [("a", 1, "addition", "y", "q"), ("a", 2, "addition", "x", "p")]
+    assert spark.read.parquet(str(tmp_path / "history")).count() == 3
+
+
+def test_store_site_and_cache(spark, tmp_path):
+    given = landed(spark)
+    events = E.collect(given, 119).unionByName(E.collect(given, 109))
+    store = str(tmp_path / "store")
+    sinks.write_events(events, store)
+    assert [r["congress"] for r in landing.store_congresses(spark, store).collect()] == [119, 109]
+    held = landing.store_events(spark, store, 109)
+    assert held.count() == 8
+    edits = spark.createDataFrame([("109", "house", "resolution", 0, 0, 0, "bioguide_id", "N1")], "congress string, chamber string, source string, doc_seq long, block_pos int, member_pos int, field string, value string")
+    sinks.save_events(E.corrected(held, edits), store)
+    assert [r["bioguide_id"] for r in landing.store_events(spark, store, 109).collect()][0] == "N1" and spark.read.parquet(store).count() == 17
+    compact, people, named = site.compact(events), site.members(events, given.legislators), site.committees(events)
+    sinks.export_site(str(tmp_path / "site.json"), named, people, compact)
+    c, m, e = landing.site_tables(spark, str(tmp_path / "site.json"))
+    assert e.count() == 17 and {r["key"] for r in c.collect()} == {r["key"] for r in named.collect()} and m.count() == people.count()
+    calls = []
+
+    def fetch():
+        calls.append(1)
+        return given.committees
+
+    cache = str(tmp_path / "cache")
+    for _ in range(2):
+        assert landing.cached_records(spark, cache, fetch).count() == 3
+    assert len(calls) == 1
+    for f in os.listdir(cache):
+        os.remove(os.path.join(cache, f))
+    open(os.path.join(cache, "part-0.parquet"), "w").write("broken")
+    assert landing.cached_records(spark, cache, fetch).count() == 3 and len(calls) == 2
+    sinks.export_events(E.collect(given, 119), str(tmp_path / "out" / "committee_changes_119.json"))
+    report = site.files_report(landing.congress_files(spark, str(tmp_path / "out")))
+    assert report.first()["total"] == 9 and report.first()["size"].endswith("KB") and "<td>119th</td>" in site.downloads_page(report)
+
+
+def test_live_source(spark):
+    """Offset pages in parallel, pages with an address of the next in turn, from a server of our own."""
+    import http.server
+    import threading
+    from urllib.parse import parse_qs, urlsplit
+
+    from seatledger.sources import api
+
+    class Handler(http.server.BaseHTTPRequestHandler):
+        def do_GET(self):
+            url, q = urlsplit(self.path), {k: v[0] for k, v in parse_qs(urlsplit(self.path).query).items()}
+            if q.get("api_key") != "k" or url.path == "/gone":
+                self.send_response(302 if url.path == "/gone" else 403)
+                self.send_header("Location", "/bills?api_key=k")
+                self.end_headers()
+                return
+            if url.path == "/bills":
+                a, n = int(q["offset"]), int(q["limit"])
+                page = {"bills": [{"number": str(i)} for i in range(a, min(7, a + n))], "pagination": {"count": 7, "next": "x"}}
+            else:
+                k = int(q.get("mark", 0))
+                page = {"granules": [{"granuleId": f"g{k}"}] if k < 3 else [], "nextPage": f"http://127.0.0.1:{port}/granules?mark={k + 1}"}
+            body = json.dumps(page).encode()
+            self.send_response(200)
+            self.send_header("Content-Length", str(len(body)))
+            self.end_headers()
+            self.wfile.write(body)
+
+        def log_message(self, *_):
+            pass
+
+    server = http.server.ThreadingHTTPServer(("127.0.0.1", 0), Handler)
+    port = server.server_address[1]
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    try:
+        spark.dataSource.register(api.ApiSource)
+        read = lambda **o: spark.read.format("congress_api").options(key="k", **o).load().orderBy("page", "pos").collect()
+        rows = read(url=f"http://127.0.0.1:{port}/bills", items="bills", pageSize="3")
+        assert [(r["page"], r["pos"], json.loads(r["item"])["number"]) for r in rows] == [(i // 3, i % 3, str(i)) for i in range(7)]
+        rows = read(url=f"http://127.0.0.1:{port}/granules", items="granules", paging="cursor")
+        assert [json.loads(r["item"])["granuleId"] for r in rows] == ["g0", "g1", "g2"]
+        assert api.get_or_none(f"http://127.0.0.1:{port}/gone?api_key=k") is None
+    finally:
+        server.shutdown()
+    assert api.key_of("govinfo", {"GOVINFO_API_KEY": "g"}) == "g" and api.key_of("congress", {"CONGRESS_GOV_API_KEY": "c"}) == "c"
+    with pytest.raises(ValueError):
+        api.key_of("congress", {})
+    assert api.bills_url(119, since="2025-01-01").endswith("fromDateTime=2025-01-01T00%3A00%3A00Z") and "offsetMark=%2A" in api.granules_url("CREC-2005-02-08")
