@@ -87,6 +87,17 @@ def _release_all() -> None:
             pass
 
 
+def held(key: str, make: Callable[[], object]) -> object:
+    """What a worker keeps from task to task, one at a time: functions travel by value, so a module of theirs is new in each."""
+    import sys
+
+    store = sys.__dict__.setdefault("_seatledger_held", {})
+    if key not in store:
+        store.clear()
+        store[key] = make()
+    return store[key]
+
+
 def spaced(text: Column) -> Column:
     """``text`` with every word-parting character turned into a space; null gives ''."""
     out = F.coalesce(text, F.lit(""))

@@ -10,7 +10,9 @@ and each find is verified: most words of the item's question and of its answer
 must stand in the text in runs of three words as they do in the item.
 
 The index is sent to the executors, so items are taken in shards of at most
-``SHARD_BYTES`` of text; each shard is one pass over the texts.
+``SHARD_BYTES`` of text; each shard is one pass over the texts, and a worker
+builds its index once. Document frequencies and the mean length are those of all
+items, so a score does not depend on the shards.
 
 Defined results: a null or empty text matches nothing; null and empty items
 are never matched; items with equal texts are each reported; rows with one
@@ -23,13 +25,15 @@ from __future__ import annotations
 import math
 from bisect import bisect_left
 from collections import Counter
+from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_batches, utf8
+from .common import held, map_batches, materialise, utf8
 
 PASSAGE, STRIDE = 128, 64
 THRESHOLD = 0.55
@@ -51,25 +55,37 @@ def split_item(text: str) -> tuple[list[bytes], list[bytes]]:
     return words[:cut], words[cut:]
 
 
-class Index:
-    """Inverted lists with an impact for each posting and its maximum for each block of postings.
+def parts_of(words: list[bytes]) -> list[list[bytes]]:
+    """What is indexed of an item: STRIDE words at a time, so that a passage can hold each part whole."""
+    return [words[at : at + STRIDE] for at in range(0, len(words), STRIDE)]
+
+
+@dataclass(frozen=True)
+class Corpus:
+    """Parts and words of all items, and in how many parts each term stands (of the terms that are asked for)."""
+
+    parts: int
+    words: int
+    df: dict[bytes, int]
 
-    Items longer than STRIDE words are indexed in parts, so a passage can hold each part whole.
-    """
 
-    def __init__(self, items: list[tuple[int, str]]):
+class Index:
+    """Inverted lists with an impact for each posting and its maximum for each block of postings."""
+
+    def __init__(self, items: list[tuple[int, str]], corpus: "Corpus | None" = None):
+        """``corpus`` has the statistics of all items where these are not all."""
         self.items = [(i, *split_item(t)) for i, t in items]
         self.owner: list[int] = []
         parts: list[Counter] = []
         for n, (_, q, a) in enumerate(self.items):
             words = q + a
-            for at in range(0, len(words), STRIDE):
-                parts.append(Counter(words[at : at + STRIDE]))
+            for part in parts_of(words):
+                parts.append(Counter(part))
                 self.owner.append(n)
         self.size = len(parts)
-        df = Counter(t for p in parts for t in p)
-        mean = sum(sum(p.values()) for p in parts) / max(1, self.size)
-        idf = {t: math.log(1 + (self.size - d + 0.5) / (d + 0.5)) for t, d in df.items()}
+        corpus = corpus or Corpus(self.size, sum(sum(p.values()) for p in parts), Counter(t for p in parts for t in p))
+        df, mean = corpus.df, corpus.words / max(1, corpus.parts)
+        idf = {t: math.log(1 + (corpus.parts - d + 0.5) / (d + 0.5)) for t, d in df.items()}
         self.lists: dict[bytes, tuple[list[int], list[float], list[float], float]] = {}
         raw: dict[bytes, list[tuple[int, float]]] = {}
         shares: list[dict[bytes, float]] = []
@@ -85,7 +101,7 @@ class Index:
             blocks = [max(values[i : i + BLOCK]) for i in range(0, len(values), BLOCK)]
             self.lists[t] = (ids, values, blocks, max(values))
         # Rare lists for the joint test: every term in few parts, and further terms of a part until the rest cannot reach the threshold.
-        few = max(2, self.size // 50)
+        few = max(2, corpus.parts // 50)
         self.rest = np.zeros(self.size)
         rare: dict[bytes, list[tuple[int, float]]] = {}
         for n, s in enumerate(shares):
@@ -201,13 +217,52 @@ class Index:
         return out
 
 
-def shards(items: DataFrame, shard_bytes: int = SHARD_BYTES) -> list[list[tuple[int, str]]]:
-    """The items in lists of about ``shard_bytes`` of text at most, each read when it is needed."""
+TERMS = "shard long, term binary, parts long, words long"
+
+
+def _terms(own: DataFrame) -> DataFrame:
+    """For each item and term the number of its parts that have it, and for a null term its parts and their words."""
+
+    def make():
+        def step(batch: pa.RecordBatch) -> pa.RecordBatch:
+            rows = []
+            for shard, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                question, answer = split_item(text)
+                parts = parts_of(question + answer)
+                rows.append((shard, None, len(parts), sum(map(len, parts))))
+                rows += [(shard, term, n, 0) for term, n in Counter(t for p in parts for t in set(p)).items()]
+            cols = list(zip(*rows, strict=True)) or [()] * 4
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.binary(), pa.int64(), pa.int64()), strict=True)], names=[c.split()[0] for c in TERMS.split(", ")])
+
+        return step
+
+    return materialise(map_batches(own.select("shard", "text"), make, TERMS), "bench-terms")
+
+
+def shards(items: DataFrame, shard_bytes: int = SHARD_BYTES) -> Iterator[tuple[list[tuple[int, str]], Corpus]]:
+    """The items in lists of about ``shard_bytes`` of text at most, each read when it is needed, with the statistics of all."""
     own = items.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).where("item_id is not null and trim(text) <> ''")
     size = own.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     n = -(-size // shard_bytes)
+    if not n:
+        return
+    own = own.withColumn("shard", F.pmod(F.xxhash64("item_id", "text"), F.lit(n)))
+    terms = _terms(own)
+    whole = terms.where("term is null").agg(F.sum("parts").alias("parts"), F.sum("words").alias("words")).first()
+    df = terms.where("term is not null").groupBy("term").agg(F.sum("parts").alias("df"))
     for k in range(n):
-        yield [(r["item_id"], r["text"]) for r in own.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k).orderBy("item_id", "text").collect()]
+        rows = [(r["item_id"], r["text"]) for r in own.where(F.col("shard") == k).orderBy("item_id", "text").collect()]
+        # The terms of a shard are bounded by its text.
+        mine = df.join(terms.where(F.col("shard") == k).select("term").distinct(), "term", "left_semi").collect()
+        yield rows, Corpus(whole["parts"] or 0, whole["words"] or 0, {bytes(r["term"]): r["df"] for r in mine})
+
+
+def _index(shard: list[tuple[int, str]], corpus: Corpus) -> Index:
+    """The index of a shard, built once by a worker."""
+    import hashlib
+
+    key = hashlib.sha256(repr((shard, corpus.parts, corpus.words)).encode("utf-8", "surrogatepass")).hexdigest()
+    return held(f"decontam-{key}", lambda: Index(shard, corpus))
 
 
 HITS = "doc_id long, item_id long, score double, question_overlap double, answer_overlap double, first_word long"
@@ -219,10 +274,10 @@ def find(docs: DataFrame, items: DataFrame) -> DataFrame:
     types = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64(), pa.int64()]
     names = [c.split()[0] for c in HITS.split(", ")]
     out = docs.sparkSession.createDataFrame([], HITS)
-    for shard in shards(items):
+    for shard, corpus in shards(items):
 
-        def make(shard=shard):
-            index = Index(shard)
+        def make(shard=shard, corpus=corpus):
+            index = _index(shard, corpus)
 
             def step(batch: pa.RecordBatch) -> pa.RecordBatch:
                 ids = batch.column(0).to_pylist()
@@ -240,10 +295,10 @@ def find(docs: DataFrame, items: DataFrame) -> DataFrame:
 def clean(docs: DataFrame, items: DataFrame) -> DataFrame:
     """``docs`` without the rows that contain an item; columns as they came, no shuffle."""
     at = docs.columns.index("text")
-    for shard in shards(items):
+    for shard, corpus in shards(items):
 
-        def make(shard=shard):
-            index = Index(shard)
+        def make(shard=shard, corpus=corpus):
+            index = _index(shard, corpus)
 
             def step(batch: pa.RecordBatch) -> pa.RecordBatch:
                 hit = {t for t, _ in index.search([words_of(c.as_py()) for c in batch.column(at)])}

@@ -132,6 +132,9 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP, blo
 def mixed(docs: DataFrame, **options) -> DataFrame:
     """``docs`` as the mix takes them: each row as often as its words were taken, to the nearest whole copy.
 
+    Null ids, sources and texts are values like others; a row without words goes; columns may
+    have any names but those that begin with ``_sl_``.
+
     Whole documents stand for the words taken; rows taken less than half go, rows
     taken twice or three times come as often. Rows that are equal share one count.
     """

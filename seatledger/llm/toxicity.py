@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_batches
+from .common import map_batches, materialise
 
 # The written lexicon, word and weight.
 WORDS = {
@@ -139,11 +139,12 @@ def _fit(x: np.ndarray, y: np.ndarray, rounds: int = 50, ridge: float = 1e-2) ->
     return float(w[0]), float(w[1]), float(w[2])
 
 
-def learn(docs: DataFrame, labels: DataFrame, sample_rows: int = 20_000, least_docs: int = 5, least_z: float = 4.5, most_words: int = 2_000) -> Lexicon:
+def learn(docs: DataFrame, labels: DataFrame, sample_rows: int = 20_000, least_docs: int = 5, least_z: float = 4.5) -> Lexicon:
     """The lexicon and curve from at most ``sample_rows`` labelled rows outside the held-out quarter.
 
     The rows with the smallest hashes are taken, so the choice depends on the ids only.
-    Words are counted over distinct texts, so that copies of one text do not vouch for its words.
+    Words are counted over distinct texts, so that copies of one text do not vouch for its words. Every word that
+    passes is learnt; there are no more of them than the sample has.
     """
     chosen = (
         labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
@@ -152,7 +153,8 @@ def learn(docs: DataFrame, labels: DataFrame, sample_rows: int = 20_000, least_d
     )
     # At most sample_rows rows of two numbers: small enough to send to every executor.
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("text is not null").join(F.broadcast(chosen), "doc_id").select("text", "toxic")
-    texts = texts.groupBy(F.xxhash64("text").alias("key")).agg(F.first("text").alias("text"), F.max("toxic").alias("toxic")).select("text", "toxic").persist()
+    texts = texts.groupBy(F.xxhash64("text").alias("key")).agg(F.first("text").alias("text"), F.max("toxic").alias("toxic")).select("text", "toxic")
+    texts = materialise(texts, "toxic-texts")
 
     def count_words():
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -171,28 +173,25 @@ def learn(docs: DataFrame, labels: DataFrame, sample_rows: int = 20_000, least_d
 
         return step
 
-    try:
-        n = {r["toxic"]: r["n"] for r in texts.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-        bad, good = n.get(1, 0), n.get(0, 0)
-        if not bad or not good:
-            return Lexicon(dict(WORDS), FIXED_CURVE)
-        counted = map_batches(texts, count_words, "word string, bad long, good long, forms array<string>")
-        counted = counted.groupBy("word").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"), F.array_distinct(F.flatten(F.collect_list("forms"))).alias("forms"))
-        odds = F.log((F.col("bad") + 0.5) / (bad - F.col("bad") + 0.5)) - F.log((F.col("good") + 0.5) / (good - F.col("good") + 0.5))
-        # Signed root of the likelihood ratio: it also holds where the clean texts never have the word.
-        share, seen = bad / (bad + good), F.col("bad") + F.col("good")
-        part = lambda n, p: F.when(n > 0, n * F.log(n / (seen * p))).otherwise(0.0)
-        z = F.sqrt(2 * (part(F.col("bad"), share) + part(F.col("good"), 1 - share)))
-        # A word vouches for itself if it stands in enough texts and hardly ever in clean ones.
-        # A stem needs several forms, and then less evidence: one copied text does not bring forth a family.
-        stem = F.col("word").endswith(STEM)
-        known = (F.col("bad") >= max(least_docs, bad // 200)) & (F.col("bad") >= 20 * F.col("good"))
-        sure = F.when(stem, (F.size("forms") >= LEAST_FORMS) & (F.col("z") >= least_z - 0.5)).otherwise((F.length("word") > 2) & (F.col("z") >= least_z))
-        rows = counted.where(known).select("word", "forms", odds.alias("odds"), z.alias("z")).where(sure).orderBy(F.desc("z"), "word").limit(most_words).collect()
-        weights = dict(WORDS) | {r["word"]: min(6.0, max(1.0, float(r["odds"]))) for r in rows}
-        sums = _totals(texts.withColumn("doc_id", F.col("toxic").cast("long")), weights).select("doc_id", "total", "n_words").collect()
-    finally:
-        texts.unpersist()
+    n = {r["toxic"]: r["n"] for r in texts.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    bad, good = n.get(1, 0), n.get(0, 0)
+    if not bad or not good:
+        return Lexicon(dict(WORDS), FIXED_CURVE)
+    counted = map_batches(texts, count_words, "word string, bad long, good long, forms array<string>", 10_000)
+    counted = counted.groupBy("word").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"), F.array_distinct(F.flatten(F.collect_list("forms"))).alias("forms"))
+    odds = F.log((F.col("bad") + 0.5) / (bad - F.col("bad") + 0.5)) - F.log((F.col("good") + 0.5) / (good - F.col("good") + 0.5))
+    # Signed root of the likelihood ratio: it also holds where the clean texts never have the word.
+    share, seen = bad / (bad + good), F.col("bad") + F.col("good")
+    part = lambda n, p: F.when(n > 0, n * F.log(n / (seen * p))).otherwise(0.0)
+    z = F.sqrt(2 * (part(F.col("bad"), share) + part(F.col("good"), 1 - share)))
+    # A word vouches for itself if it stands in enough texts and hardly ever in clean ones.
+    # A stem needs several forms, and then less evidence: one copied text does not bring forth a family.
+    stem = F.col("word").endswith(STEM)
+    known = (F.col("bad") >= max(least_docs, bad // 200)) & (F.col("bad") >= 20 * F.col("good"))
+    sure = F.when(stem, (F.size("forms") >= LEAST_FORMS) & (F.col("z") >= least_z - 0.5)).otherwise((F.length("word") > 2) & (F.col("z") >= least_z))
+    rows = counted.where(known).select("word", "forms", odds.alias("odds"), z.alias("z")).where(sure).orderBy(F.desc("z"), "word").collect()
+    weights = dict(WORDS) | {r["word"]: min(6.0, max(1.0, float(r["odds"]))) for r in rows}
+    sums = _totals(texts.withColumn("doc_id", F.col("toxic").cast("long")), weights).select("doc_id", "total", "n_words").collect()
     x = np.array([(math.log1p(100.0 * r["total"] / max(r["n_words"], 1)), math.log1p(r["total"])) for r in sums])
     return Lexicon(weights, _fit(x, np.array([float(r["doc_id"]) for r in sums])))
 

@@ -72,6 +72,15 @@ def test_quality(docs, none, rows):
     assert kept.columns == docs.columns and kept.count() == sum(r["kept"] for r in got)
 
 
+def test_quality_sample_and_costs(docs, none):
+    assert quality.sample_of(docs, 10**6).count() == docs.count()
+    many = docs.sparkSession.range(5000).selectExpr("id doc_id", "'a b' text")
+    assert 60 < quality.sample_of(many, 100).count() < 160
+    found = quality.estimate(docs, sample_rows=10**6, rounds=1)
+    assert {e.rule for e in found} == {r.name for r in quality.RULES} and all(0 <= e.rejected <= 1 and e.seconds >= 0 for e in found)
+    assert found == sorted(found, key=lambda e: (-e.worth, e.rule)) and len(quality.estimate(none)) == len(quality.RULES)
+
+
 def test_quality_order_changes_no_verdict(docs):
     from pyspark.sql import functions as F
 
@@ -445,6 +454,20 @@ def test_decontam(spark, none):
     assert decontam.clean(d, b.limit(0)).count() == len(docs)
 
 
+def test_decontam_shards_change_nothing(spark, monkeypatch):
+    """Scores rest on the statistics of all items, however many shards these are dealt into."""
+    rng = random.Random(14)
+    vocab = [f"w{k}" for k in range(400)]
+    items = [(k, " ".join(rng.choice(vocab) for _ in range(rng.randint(10, 150))) + ".") for k in range(50)]
+    docs = [(k, " ".join([*rng.choices(vocab, k=90), items[k][1], *rng.choices(vocab, k=90)])) for k in range(50)]
+    d, b = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    rows = lambda: sorted((r["doc_id"], r["item_id"], round(r["score"], 9)) for r in decontam.find(d, b).collect())
+    whole = rows()
+    split = decontam.shards
+    monkeypatch.setattr(decontam, "shards", lambda items: split(items, 4_000))
+    assert len(list(decontam.shards(b))) > 3 and rows() == whole and len(whole) >= 50
+
+
 def test_wand_is_exact():
     rng = random.Random(6)
     vocab = [f"t{k}" for k in range(60)]
