@@ -41,7 +41,7 @@ from .toxicity import held_out
 ORDER = 3
 MU = 2.0
 #: Bytes of text in a block, and tokens of a segment. More memory allows larger blocks and less traffic.
-BLOCK_BYTES, SEGMENT = 8 << 20, 128
+BLOCK_BYTES, SEGMENT = 6 << 20, 128
 _U = np.uint64
 _MIX = _U(0x9E3779B97F4A7C15)
 END, BEGIN = _U(0x1234567890ABCDEF), _U(0x0FEDCBA987654321)
@@ -253,11 +253,13 @@ def _score(key, docs: pa.Table, answers: pa.Table, order: int, shards: int, tota
     got = {(s, n): x for s, n, x in zip(answers.column("shard").to_pylist(), answers.column("n").to_pylist(), answers.column("totals").to_pylist(), strict=True)}
     counts, grams = {}, {}
     for n in range(1, order + 1):
-        keys, last, where = np.unique(tokens.grams(n), return_index=True, return_inverse=True)
-        counts[n] = np.concatenate([unpack_counts(got[s, n]) for s in range(shards) if (s, n) in got])
-        grams[n] = last, where
+        keys, where = np.unique(tokens.grams(n), return_inverse=True)
+        counts[n] = np.concatenate([unpack_counts(got.pop((s, n))) for s in range(shards) if (s, n) in got])
         if len(keys) != len(counts[n]):
             raise ValueError(f"block {key[0]}: {len(keys)} {n}-grams and {len(counts[n])} answers")
+        end = np.empty(len(keys), np.int64)
+        end[where] = np.arange(len(where))
+        grams[n] = end, where
     logs = walk(tokens, Automaton(tokens, order, counts, grams, total, types, texts, share))
     seen = counts[1][grams[1][1]]
     base = np.log10((seen + 1.0) / (total + types + 1.0))
