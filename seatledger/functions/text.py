@@ -107,6 +107,12 @@ def written_date(x: Column, pattern: str) -> Column:
     return F.when(x.rlike(pattern), iso_date(g[2], month_number(g[0]), g[1]))
 
 
+def text_date(flat: Column) -> Column:
+    """The date that follows the first naming of the House, with nothing but marks and "U.S." between."""
+    tail = F.get(F.split(flat, r"(?i)\bHouse\s+of\s+Representatives\b(?=[\s,.US]*[A-Z][a-z]+\s+\d)", 2), F.lit(1))
+    return written_date(F.regexp_replace(tail, r"^[\s,.]*(?:U\.?\s*S\.?[\s,.]*)?", ""), r"^([A-Za-z]+)\s+(\d{1,2}),\s*(\d{4})")
+
+
 def compact_date(x: Column) -> Column:
     """yyyymmdd as yyyy-mm-dd; anything else null."""
     return F.when(x.rlike(r"^\d{8}$"), F.concat_ws("-", F.substring(x, 1, 4), F.substring(x, 5, 2), F.substring(x, 7, 2)))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import notes as N
 from ..functions import patterns as P
 from ..functions import text as T
 from ..schemas import PAIRS
@@ -19,10 +20,28 @@ def _block(committee: Column, pairs: Column, code: Column | None = None, ranked:
     return F.struct(committee.alias("committee"), code.alias("code"), pairs.alias("pairs"), F.lit(ranked).alias("ranked"))
 
 
-def _matches(text: Column, pattern: str) -> Column:
-    """Groups 1 and 2 of every match."""
-    p = F.lit(pattern)
-    return F.arrays_zip(F.regexp_extract_all(text, p, F.lit(1)).alias("head"), F.regexp_extract_all(text, p, F.lit(2)).alias("body"))
+def _segments(text: Column, start: str) -> Column:
+    """``text`` cut before each place where ``start`` matches, without what stands before the first."""
+    return F.filter(F.split(text, f"(?={start})"), lambda s: s.rlike(f"^{start}"))
+
+
+def _parted(segment: Column, mark: str) -> Column:
+    """Header and body of a segment: what stands before and after the first mark; a null body without one."""
+    parts = F.split(segment, mark, 2)
+    return F.struct(F.trim(F.get(parts, F.lit(0))).alias("head"), F.trim(F.get(parts, F.lit(1))).alias("body"))
+
+
+def _told(parts: Column) -> Column:
+    """The parted segments that have a body."""
+    return F.filter(parts, lambda p: F.coalesce(p["body"], F.lit("")) != "")
+
+
+def _before(text: Column, mark: str) -> Column:
+    return F.get(F.split(text, mark, 2), F.lit(0))
+
+
+#: What follows the last member of a document.
+END = r"(?i)\bAttest\s*:|<all>"
 
 
 def _positioned(df: DataFrame) -> DataFrame:
@@ -45,23 +64,60 @@ def senate_xml(docs: DataFrame) -> DataFrame:
     return _positioned(read.withColumn("blocks", F.transform(own, lambda b: _block(T.clean_committee(b["header"], title=False), M.split_senate(F.get(b["texts"], F.lit(0))), b["code"]))))
 
 
-def house_text_blocks(body: Column) -> Column:
-    """Blocks of a House text: a lone rank sentence, or joint committees, or committee blocks; the first kind found counts."""
-    op = F.regexp_replace(T.operative(T.flat_text(body)), P.PROVISO, "")
+def without_provisos(text: Column) -> Column:
+    """``text`` without the sentences that provide how a chair's powers are exercised: they name a committee and appoint nobody."""
+
+    def told(piece: Column) -> Column:
+        known = F.lit(False)
+        for words in P.PROVISOS:
+            known = known | F.lower(piece).startswith(words)
+        return F.when(known, F.coalesce(F.get(F.split(piece, r"\.", 2), F.lit(1)), F.lit(""))).otherwise(F.concat(F.lit(" Provided, That "), piece))
+
+    pieces = F.split(text, r"(?i)\s*:?\s*\bProvided,\s+That\s+")
+    return F.concat(F.get(pieces, F.lit(0)), F.array_join(F.transform(F.slice(pieces, 2, F.greatest(F.size(pieces) - 1, F.lit(0))), told), ""))
+
 
-    def rank_only(pattern: str, committee: int, member: int, note: int) -> Column:
-        name = T.clean_member(F.regexp_extract(op, pattern, member))
-        raw = T.clean_member(F.concat(name, F.lit(" "), F.regexp_extract(op, pattern, note)))
-        head = T.clean_committee(F.concat(F.lit("Committee on "), F.regexp_extract(op, pattern, committee)))
-        return F.array(_block(head, F.array(F.struct(name.alias("clean"), raw.alias("raw"))), ranked=False))
+def _rank_sentence(op: Column) -> Column:
+    """committee, name, raw of a text that is one sentence on a member's rank; null otherwise.
 
-    lettered, inline = _matches(op, P.JOINT_LETTERED), _matches(op, P.JOINT_INLINE)
-    usual = F.transform(_matches(op, P.BLOCK), lambda m: _block(T.clean_committee(F.concat(F.lit("Committee on "), m["head"])), M.split_any(F.regexp_replace(m["body"], P.GROUP_NOTE, ""))))
+    The committee stands before the member ("on the Committee on X, Mr. Y shall rank after Z")
+    or behind the rank ("Mr. Y shall rank after Z on the Committee on X").
+    """
+    said = F.trim(F.rtrim(F.trim(F.regexp_replace(_before(op, END), r"(?i)^Resolved,\s*That\s+", "")), F.lit(".")))
+    on = r"(?i)\s*\bon\s+the\s+Committee\s+on\s+"
+    parts = F.split(said, on, 2)
+    before, after = F.get(parts, F.lit(0)), F.get(parts, F.lit(1))
+    first = before == ""
+    committee = F.when(first, F.get(F.split(after, ",", 2), F.lit(0))).otherwise(after)
+    raw = F.trim(F.when(first, F.get(F.split(after, ",", 2), F.lit(1))).otherwise(before))
+    at = N.rank_at(raw)
+    whole = (at > 1) & ~F.contains(said, F.lit(":")) & (first | (before.rlike(P.HONORIFIC) & ~F.contains(after, F.lit("."))))
+    return F.when(whole, F.struct(committee.alias("committee"), T.clean_member(F.substr(raw, F.lit(1), at - 1)).alias("name"), T.clean_member(raw).alias("raw")))
+
+
+def house_text_blocks(body: Column) -> Column:
+    """Blocks of a House text: a lone rank sentence, or joint committees, or committee blocks; the first kind found counts."""
+    op = without_provisos(T.operative(T.flat_text(body)))
+    rank = _rank_sentence(op)
+    rank_block = F.array(_block(T.clean_committee(F.concat(F.lit("Committee on "), rank["committee"])), F.array(F.struct(rank["name"].alias("clean"), rank["raw"].alias("raw"))), ranked=False))
+
+    text = _before(op, END)
+    # (a) Joint Committee on X.--The following Members are hereby elected to it: (1) A. (2) B.
+    letters = F.transform(_segments(text, r"\([a-z]\)\s*(?i:Joint\s+Committee)\b"), lambda s: _parted(s, r"\.--"))
+    letters = F.filter(letters, lambda p: F.contains(F.lower(F.coalesce(p["body"], F.lit(""))), F.lit("hereby elected to")) & F.contains(p["body"], F.lit(":")))
+    lettered = F.transform(letters, lambda p: _block(T.clean_committee(F.regexp_replace(p["head"], r"^\([a-z]\)\s*", "")), M.split_numbered(F.get(F.split(p["body"], ":", 2), F.lit(1)))))
+    # Joint Committee on X: A, B.
+    joint = _told(F.transform(_segments(text, r"\b(?i:Joint\s+Committee\s+(?:on|of)\s)"), lambda s: _parted(s, ":")))
+    inline = F.transform(joint, lambda p: _block(T.clean_committee(p["head"]), M.split_any(p["body"])))
+
+    # Committee on X: A, B. The header ends at a colon, at a period, or at a period and a dash.
+    headed = F.transform(_segments(text, r"\b(?:Committee|COMMITTEE)\s+[A-Za-z]"), lambda s: _parted(s, r"\.--|[:.]"))
+    name = lambda p: F.concat(F.lit("Committee on "), F.regexp_replace(p["head"], r"(?i)^committee\s+(?:on\s+)?", ""))
+    # Another clause or sentence ends the members; the number of the next header is none of them.
+    listed = lambda p: F.regexp_replace(_before(p["body"], r"Resolved,\s*That\b|In\s+lieu\s+of\b"), r"\(\d+\)\s*$", "")
+    usual = F.transform(_told(headed), lambda p: _block(T.clean_committee(name(p)), M.split_any(N.without_group_note(F.trim(listed(p))))))
     return (
-        F.when(op.rlike(P.RANK_BY_COMMITTEE), rank_only(P.RANK_BY_COMMITTEE, 1, 2, 3))
-        .when(op.rlike(P.RANK_BY_MEMBER), rank_only(P.RANK_BY_MEMBER, 3, 1, 2))
-        .when(op.rlike(P.JOINT_LETTERED), F.transform(lettered, lambda m: _block(T.clean_committee(m["head"]), M.split_numbered(m["body"]))))
-        .when(op.rlike(P.JOINT_INLINE), F.transform(inline, lambda m: _block(T.clean_committee(F.concat(F.lit("Joint Committee "), m["head"])), M.split_any(m["body"]))))
+        F.when(rank.isNotNull(), rank_block).when(F.size(letters) > 0, lettered).when(F.size(joint) > 0, inline)
         .when(F.contains(F.lower(op), F.lit("elected to the following")), usual)
         .otherwise(F.array().cast(BLOCK))
     )
@@ -69,17 +125,23 @@ def house_text_blocks(body: Column) -> Column:
 
 def house_text(docs: DataFrame) -> DataFrame:
     """Blocks of House text documents, with doc_date from the dateline."""
-    read = docs.withColumn("blocks", house_text_blocks(F.col("body"))).withColumn("doc_date", T.written_date(T.flat_text(F.col("body")), P.TEXT_DATE))
+    read = docs.withColumn("blocks", house_text_blocks(F.col("body"))).withColumn("doc_date", T.text_date(T.flat_text(F.col("body"))))
     return _positioned(read.drop("body"))
 
 
 def senate_text(docs: DataFrame) -> DataFrame:
-    """Rosters of Senate text documents; ``single`` marks one added senator instead of a roster."""
+    """Rosters of Senate text documents; ``single`` marks one added senator instead of a roster, ``until_date`` how long."""
     op = T.operative(T.flat_text(F.col("body"), rejoin=False))
-    raw = T.clean_member(F.regexp_extract(op, P.SENATE_SINGLE, 3))
-    name = T.clean_member(F.regexp_replace(raw, P.SENATE_NOTE, ""))
-    one = F.array(_block(T.clean_committee(F.regexp_extract(op, P.SENATE_SINGLE, 1), title=False), F.array(F.struct(name.alias("clean"), F.when(raw != name, raw).alias("raw"))), ranked=False))
-    rosters = F.transform(_matches(op, P.SENATE_BLOCK), lambda m: _block(T.clean_committee(F.concat(F.lit("Committee on "), m["head"]), title=False), M.split_senate(m["body"])))
-    single = op.rlike(P.SENATE_SINGLE)
-    until = F.nullif(F.regexp_extract(op, P.SENATE_SINGLE, 2), F.lit(""))
-    return _positioned(docs.withColumn("blocks", F.when(single, one).otherwise(rosters)).withColumn("single", single).withColumn("until_date", F.when(single, until)).drop("body"))
+    # "... the following Senator shall be added to the ... membership on the Committee on X for the ...: A."
+    added = F.split(op, r"(?i)\bthe\s+following\s+Senator\s+shall\s+be\s+added\s+to\s+the\s+", 2)
+    told = _parted(F.get(added, F.lit(1)), ":")
+    single = F.coalesce(told["body"], F.lit("")) != ""
+    committee = _before(F.get(F.split(told["head"], r"(?i)\bmembership\s+on\s+the\s+(?:Senate\s+)?", 2), F.lit(1)), r"(?i)\s+for\s+the\s")
+    raw = T.clean_member(_before(told["body"], END))
+    name = T.clean_member(N.without_senate_roles(raw))
+    until = F.nullif(F.regexp_extract(told["head"], r"(?i)\buntil\s+([a-z]+\s+\d{1,2},?\s*\d{4})", 1), F.lit(""))
+    one = F.array(_block(T.clean_committee(committee, title=False), F.array(F.struct(name.alias("clean"), F.when(raw != name, raw).alias("raw"))), ranked=False))
+    headed = _told(F.transform(_segments(_before(op, END), r"\b(?i:Committee\s+on\s+[a-z])"), lambda s: _parted(s, ":")))
+    rosters = F.transform(headed, lambda p: _block(T.clean_committee(p["head"], title=False), M.split_senate(p["body"])))
+    found = F.when(single & committee.isNotNull(), one).when(~single, rosters).otherwise(F.array().cast(BLOCK))
+    return _positioned(docs.withColumn("blocks", found).withColumn("single", single).withColumn("until_date", F.when(single, until)).drop("body"))

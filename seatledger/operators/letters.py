@@ -31,6 +31,13 @@ def _last(lines: Column, test) -> Column:
     return F.array_max(F.filter(F.transform(lines, lambda x, i: F.when(test(x, i), i)), lambda i: i.isNotNull()))
 
 
+def tells_office(line: Column) -> Column:
+    """A line that begins with an office, a role or a district, and not with a name."""
+    known = [*P.OFFICES, *P.LEADERS, *(r.lower() for r in P.CHAIRS + P.RANKING_MEMBERS)]
+    spelt = F.regexp_replace(line, r"(?i)^U\.?\s?S\.?\s+", "United States ")
+    return F.lower(F.trim(F.regexp_replace(F.get(F.split(spelt, "[.,]"), F.lit(0)), r"\s+", " "))).isin(known) | line.rlike(r"(?i)^[a-z][a-z-]*\s+District,\s+[a-z ]+(?:[.,]|\s*$)")
+
+
 def signer(text: Column) -> Column:
     """The line above the last role line before the closing sentence, or above that sentence, or the last line."""
 
@@ -44,7 +51,7 @@ def signer(text: Column) -> Column:
     def name(lines: Column) -> Column:
         closing = _last(lines, lambda x, i: x.rlike(P.LETTER_TRAILER) | F.coalesce(F.concat_ws(" ", x, F.get(lines, i + 1)).rlike(P.LETTER_TRAILER), F.lit(False)))
         end = F.coalesce(closing, F.size(lines))
-        role = F.array_max(F.filter(F.transform(lines, lambda x, i: F.when((i < end) & x.rlike(P.ROLE_LINE), i)), lambda i: i.isNotNull()))
+        role = F.array_max(F.filter(F.transform(lines, lambda x, i: F.when((i < end) & tells_office(x), i)), lambda i: i.isNotNull()))
         at = F.coalesce(role, end) - 1
         line = T.clean(F.get(lines, at))
         return F.when((F.size(lines) > 0) & (at >= 0), F.regexp_replace(line, r"[.,;]$", ""))

@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import notes as N
 from ..functions import patterns as P
 from ..functions.text import clean, clean_member
 
@@ -55,12 +56,12 @@ def split_with_notes(text: Column) -> Column:
 
     def merged(frags: Column) -> Column:
         # Where names begin: the first fragment, and each that is no note. Slices between them copy a fragment once.
-        starts = F.filter(F.transform(frags, lambda f, i: F.when((i == 0) | ~_bare(f).rlike(P.BARE_NOTE), i)), lambda i: i.isNotNull())
+        starts = F.filter(F.transform(frags, lambda f, i: F.when((i == 0) | ~N.continues(_bare(f)), i)), lambda i: i.isNotNull())
         return _let(starts, lambda s: F.transform(s, lambda i, k: F.array_join(F.slice(frags, i + 1, F.coalesce(F.get(s, k + 1), F.size(frags)) - i), ", ")))
 
     def pair(raw: Column) -> Column:
         raw = _bare(raw)
-        return _pair(clean_member(F.regexp_replace(F.regexp_replace(raw, P.PAREN_NOTE, ""), P.TRAILING_NOTE, "")), clean_member(raw))
+        return _pair(clean_member(N.without_notes(raw)), clean_member(raw))
 
     return _named(F.transform(_let(_member_fragments(text), merged), pair))
 
@@ -72,9 +73,9 @@ def split_name_state(text: Column) -> Column:
         f = F.trim(F.rtrim(F.regexp_replace(F.regexp_replace(f, P.LEADING_AND, ""), r"^\*+\s*", ""), F.lit(".")))
         whole = clean_member(f)
         bare = F.rtrim(F.regexp_replace(f, P.NAME_STATE_NOTE, ""))
-        noted = f.rlike(P.NAME_STATE_NOTE) | bare.rlike(P.TRAILING_NOTE)
-        bare = F.when(bare.rlike(P.TRAILING_NOTE), F.trim(F.regexp_replace(bare, P.TRAILING_NOTE, ""))).otherwise(bare)
-        parts = F.transform(F.split(bare, ","), F.trim)
+        named = F.trim(N.without_notes(bare))
+        noted = f.rlike(P.NAME_STATE_NOTE) | (named != F.trim(bare))
+        parts = F.transform(F.split(named, ","), F.trim)
         name = clean_member(F.concat(F.array_join(F.slice(parts, 1, F.greatest(F.size(parts) - 1, F.lit(0))), ", "), F.lit(" of "), F.element_at(parts, -1)))
         return F.struct(F.when(F.size(parts) >= 2, name).otherwise("").alias("clean"), F.when(noted, whole).alias("raw"))
 
@@ -92,7 +93,7 @@ def split_senate(text: Column) -> Column:
 
     def pair(raw: Column) -> Column:
         raw = clean_member(_bare(raw))
-        return _pair(F.when(raw.rlike("^_+$"), "").otherwise(clean_member(F.regexp_replace(raw, P.SENATE_NOTE, ""))), raw)
+        return _pair(F.when(raw.rlike("^_+$"), "").otherwise(clean_member(N.without_senate_roles(raw))), raw)
 
     return _named(F.transform(_member_fragments(text), pair))
 
@@ -108,7 +109,7 @@ def split_any(text: Column) -> Column:
 
 def rank_offset(pairs: Column, in_window: Column) -> Column:
     """Rank of the first member: 1 if it is a named chair, else 2 where there are several; null outside the window."""
-    chair = F.coalesce(F.get(pairs, F.lit(0))["raw"].rlike(P.CHAIR_NOTE), F.lit(False))
+    chair = F.coalesce(N.names_a_chair(F.get(pairs, F.lit(0))["raw"]), F.lit(False))
     return F.when(in_window & chair, F.lit(1)).when(in_window & (F.size(pairs) > 1), F.lit(2))
 
 

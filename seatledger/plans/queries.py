@@ -7,7 +7,6 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions import patterns as P
 from ..functions import text as T
 from ..operators import committees as committees_op
 from ..operators import members as M
@@ -299,7 +298,7 @@ SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS iso, CAST((year(o_orderd
 def date_extract(spark, orders):
     """Written dates to ISO, and the organizing window."""
     written = F.concat(F.lit("In the House of Representatives, U.S., "), F.date_format("o_orderdate", "MMMM d, yyyy"), F.lit("."))
-    iso = T.written_date(written, P.TEXT_DATE)
+    iso = T.text_date(written)
     congress = F.floor((F.year("o_orderdate") - 1789) / 2).cast("int") + 1
     return orders.select("o_orderkey", iso.alias("iso"), congress.alias("congress"), T.in_organizing_window(congress, iso).alias("in_window"))
 

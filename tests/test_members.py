@@ -9,7 +9,6 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from seatledger.functions import patterns as P
 from seatledger.functions import text as T
 from seatledger.operators import classify, letters
 from seatledger.operators import members as M
@@ -115,6 +114,26 @@ def test_letters(spark):
     assert one(spark, letters.committees, "OTHER") == []
 
 
+RANKS = [f"{v} {h}{p} " for v in ("to rank", "shall rank", "will rank", "who shall rank", "who will rank") for h in ("", "immediately ") for p in ("after", "ahead of", "following")] + ["after ", "ahead of "]
+ROLES = ("chair", "chairman", "chairwoman", "vice chair", "vice chairman", "vice chairwoman", "ranking member", "ranking minority member")
+
+
+def is_note(s):
+    low = s.rstrip(". ").lower()
+    return low in ROLES or any(low.startswith(r) and len(low) > len(r) for r in RANKS)
+
+
+def name_alone(raw):
+    """Word by word: the first word from which on the rest is a note ends the name."""
+    for p in re.findall(r"\([^()]*\)", raw):
+        if is_note(p[1:-1].strip()) or p[1:-1].strip().lower() == "when sworn":
+            raw = raw.replace(p, "")
+    for i in range(len(raw)):
+        if (i == 0 or raw[i - 1] in ", ") and raw[i] not in ", " and (any(raw[i:].lower().startswith(r) and raw[i + len(r) :] for r in RANKS) or raw[i:].rstrip(". ").lower() in ROLES):
+            return raw[:i].rstrip(", ")
+    return raw
+
+
 def brute_split(text):
     """Character by character: breaks outside parentheses, notes back to the name before, notes off the clean name."""
     text = " ".join((text or "").split())
@@ -132,13 +151,13 @@ def brute_split(text):
     bare = lambda s: re.sub(r"(?i)^(?:and|&)\s+", "", s).strip()
     names = []
     for f in [f.strip() for f in [*frags, text[at:]] if f.strip()]:
-        if names and re.search(P.BARE_NOTE, bare(f)):
+        if names and (is_note(bare(f)) or re.match(r"(?i)(?:jr|sr|ii|iii|iv)\.? of .", bare(f))):
             names[-1] += ", " + f
         else:
             names.append(f)
     pairs = []
     for raw in map(bare, names):
-        name = re.sub(P.TRAILING_NOTE, "", re.sub(P.PAREN_NOTE, "", raw)).strip().rstrip(".,;")
+        name = " ".join(name_alone(raw).split()).rstrip(".,;")
         raw = raw.rstrip(".,;")
         if name:
             pairs.append((name, raw if raw != name else None))
