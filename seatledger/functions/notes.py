@@ -44,7 +44,7 @@ def rank_at(x: Column) -> Column:
 def without_brackets(x: Column, drops) -> Column:
     """``x`` without the parentheses whose inside ``drops``."""
     found = F.filter(F.regexp_extract_all(x, F.lit(r"\([^()]*\)"), F.lit(0)), lambda p: drops(F.trim(F.substring(p, 2, F.length(p) - 2))))
-    return F.when(F.contains(x, F.lit("(")), F.aggregate(found, x, lambda text, p: F.replace(text, p, F.lit("")))).otherwise(x)
+    return F.when(F.contains(x, F.lit("(")), F.aggregate(found, x, lambda text, p: F.replace(F.replace(text, F.concat(F.lit(" "), p), F.lit("")), p, F.lit("")))).otherwise(x)
 
 
 def without_notes(x: Column) -> Column:

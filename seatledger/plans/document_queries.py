@@ -1,0 +1,646 @@
+"""The operators on landed documents as queries: small payloads in the publishers' shapes, and the rows that they must give.
+
+Every query lands its payloads through Spark in the shared folder or holds them as rows, runs the operator itself, and is
+checked against literal rows. All columns are strings, so that the two sides compare as they are printed.
+"""
+
+from __future__ import annotations
+
+import json
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from .. import schemas as S
+from ..functions import text as T
+from ..operators import blocks, classify, committees, letters, members, resolve
+from ..sources import api, landing, sinks, urls, xmldocs
+from ..sources.shared import folder
+from . import events, site
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLE_SQL: dict[str, str] = {}
+
+
+def _literal(v: object) -> str:
+    return "CAST(NULL AS VARCHAR)" if v is None else "'" + str(v).replace("'", "''") + "'"
+
+
+def case(columns: str, *rows: tuple):
+    """Register a query over its own payloads with the rows that it must give."""
+    names = columns.split()
+
+    def register(f):
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            out = f(spark).toDF(*names)
+            return out.select(*[F.col(n).cast("string").alias(n) for n in names])
+
+        QUERIES[f.__name__] = run
+        values = ", ".join("(" + ", ".join(_literal(v) for v in row) + ")" for row in rows)
+        ORACLE_SQL[f.__name__] = f"SELECT * FROM (VALUES {values}) AS t({', '.join(names)})"
+        return f
+
+    return register
+
+
+def function(name: str, f: Callable[..., Column], *cases: tuple, doc: str = "") -> None:
+    """Register a scalar function with its arguments and results: each case is (argument, ..., result)."""
+    n = len(cases[0]) - 1
+
+    def run(spark: SparkSession) -> DataFrame:
+        schema = ", ".join(["id int", *[f"a{k} string" for k in range(n)]])
+        rows = spark.createDataFrame([(i, *c[:-1]) for i, c in enumerate(cases)], schema)
+        return rows.select("id", f(*[F.col(f"a{k}") for k in range(n)]).cast("string").alias("out"))
+
+    run.__name__, run.__doc__ = name, doc
+    case("id out", *[(i, c[-1]) for i, c in enumerate(cases)])(run)
+
+
+def _landed(spark: SparkSession, label: str, *payloads: object) -> str:
+    """A folder with one JSON file of a payload a line."""
+    path = folder(spark, label)
+    spark.createDataFrame([(json.dumps(p),) for p in payloads], "value string").coalesce(1).write.text(path)
+    return path
+
+
+def _joined(a: Column) -> Column:
+    return F.array_join(a, "|")
+
+
+def _pairs(a: Column) -> Column:
+    return _joined(F.transform(a, lambda p: F.concat_ws(" = ", p["clean"], p["raw"])))
+
+
+# Payloads
+
+BILLS = (
+    {"congress": 119, "bill_type": "hres", "page": 0, "bills": [{"number": "7", "title": "Electing Members to certain standing committees", "updateDate": "2025-01-11"}, {"number": "9", "title": "Naming a bridge", "updateDate": "2025-03-01"}], "pagination": {"next": "u"}},
+    {"congress": 119, "bill_type": "hres", "page": 1, "bills": [{"number": "8", "title": "Removing a Member from a committee", "updateDate": "2025-04-01"}, {"number": "6"}], "pagination": {}},
+    {"congress": 109, "bill_type": "hres", "page": 0, "bills": [{"number": "6", "title": "Electing Members to standing committees", "updateDate": "2005-01-07"}]},
+)
+ACTIONS = (
+    {"congress": 119, "bill_type": "hres", "number": "7", "actions": [{"actionDate": "2025-01-09", "text": "Submitted", "type": "I"}, {"actionDate": "2025-01-10", "text": "On motion Agreed to", "type": "F"}, {"actionDate": "2025-01-12", "text": "agreed to again", "type": "F"}]},
+    {"congress": 119, "bill_type": "hres", "number": "8", "actions": [{"actionDate": "2025-04-01", "text": "Referred", "type": "F"}]},
+    {"congress": 109, "bill_type": "hres", "number": "6", "actions": [{"actionDate": "2005-01-06", "text": "Not agreed to", "type": "F"}]},
+)
+COMMITTEES = (
+    {"chamber": "house", "page": 0, "committees": [{"systemCode": "hsag00", "name": "Agriculture Committee"}, {"systemCode": "hsag03", "name": "Subcommittee", "parent": {"systemCode": "hsag00"}}, {"name": "No code"}]},
+    {"chamber": "house", "page": 1, "committees": [{"systemCode": "hsru00", "name": "Rules Committee"}, {"systemCode": "hsxx00", "name": "Farming Committee"}]},
+)
+DETAILS = ({"systemCode": "hsag00", "committee": {"history": [{"officialName": "Committee on Farming"}, {"libraryOfCongressName": "Agriculture (Library)", "officialName": ""}]}}, {"systemCode": "hsru00", "committee": {"history": []}})
+PACKAGES = ({"packages": [{"packageId": "CREC-2005-02-08", "dateIssued": "2005-02-08"}], "nextPage": "n"}, {"packages": [{"packageId": "CREC-2007-01-03", "dateIssued": "2007-01-03"}]})
+GRANULES = (
+    {"packageId": "CREC-2005-02-08", "page": 0, "granules": [{"granuleId": "CREC-2005-02-08-pt1-PgH228", "title": "RESIGNATION AS MEMBER OF COMMITTEE ON RULES AND COMMITTEE ON AGRICULTURE"}, {"granuleId": "g2", "title": "RESIGNATIONS AS MEMBERS OF COMMITTEE ON RULES"}]},
+    {"packageId": "CREC-2005-02-08", "page": 1, "granules": [{"granuleId": "g3"}, {"granuleId": "g4", "title": "RESIGNATION AS MEMBER OF (TEMPORARY) COMMITTEE"}]},
+    {"packageId": "CREC-2007-01-03", "page": 0, "granules": [{"granuleId": "g5", "title": "RESIGNATION AS MEMBER OF COMMITTEE ON RULES"}]},
+)
+SUMMARIES = ({"granuleId": "CREC-2005-02-08-pt1-PgH228", "detailsLink": "https://d/228"}, {"granuleId": "g4", "detailsLink": ""})
+LETTER = "<html><pre>Washington, DC, February 7, 2005.\nDear Mr. Speaker: I resign.\n  Sincerely,\n    Ann Elm,\n    Member of Congress.\n  The SPEAKER. Without objection, the resignation is\naccepted.\n  === NOTE ===\nBob Oak\n</pre></html>"
+XML = """<?xml version="1.0"?>
+<!DOCTYPE resolution PUBLIC "-//X//DTD" "res.dtd">
+<resolution resolution-stage="Engrossed-in-House"><metadata xmlns:dc="http://purl.org/dc/elements/1.1/"><dublinCore><dc:title>119 HRES 7 EH: Electing Members</dc:title></dublinCore></metadata>
+<form><action><action-date date="20250110">January 10, 2025</action-date></action><official-title>Electing Members to certain standing committees.</official-title></form>
+<resolution-body><section><text>Resolved, That the following named Members be, and are hereby, elected:</text>
+<committee-appointment-paragraph><header><committee-name committee-id="HAG00">Committee on AGRICULTURE</committee-name>:</header><text>Mr. Oak of Ohio, Chairman; Ms. Elm&nbsp;of Texas, Mr. Fir.</text></committee-appointment-paragraph>
+<committee-appointment-paragraph><header>Committee on Rules.—</header><text>Mr. Ash <committee-name>Bay</committee-name></text></committee-appointment-paragraph>
+<paragraph><enum>(1)</enum><header>Committee on Budget</header><text>Mr. Box</text></paragraph>
+</section><section><text>The rules are amended:</text><paragraph><header>Committee on Ethics</header><text>Mr. Not</text></paragraph></section>
+<subsection><header>Joint Committee on Printing</header><text>The following are elected:</text><paragraph><enum>1</enum><text>Mr. Oak</text></paragraph><paragraph><text>Ms. Elm</text></paragraph></subsection>
+</resolution-body></resolution>"""
+TEXT = """<html><body><pre>
+[Congressional Bills 109th Congress]
+In the House of Representatives, U.S.,
+
+January 6, 2005.
+  Resolved, That the following Members be, and are hereby, elected to the following standing committees of the House of Representatives:
+  Committee on Agriculture: Mr. Oak of Ohio, Chairman; Mr. Diaz-
+Elm; Ms. Fir.
+  (2) Committee Resources: Mr. Ash and Mr. Bay, both to rank in the named order following Mr. Yew.
+  Attest: Clerk. </pre></body></html>"""
+
+
+def _roster(*seats: tuple[str, str]) -> str:
+    paragraphs = "".join(f"<committee-appointment-paragraph><header>{c}:</header><text>{m}</text></committee-appointment-paragraph>" for c, m in seats)
+    return f"<resolution><resolution-body>{paragraphs}</resolution-body></resolution>"
+
+
+SINGLE = "<pre>Resolved, That the following Senator shall be added to the majority party's membership on the Committee on Rules for the 119th Congress until March 1, 2025: Mr. Yew (Chair).</pre>"
+PEOPLE = (
+    # bioguide, first, last, gender, aliases, terms (type, state, start, end)
+    ("O1", "Sam", "Oak", "M", [], [("rep", "OH", "2001-01-03", None)]), ("O2", "Una", "Oak", "F", [], [("rep", "TX", "2001-01-03", None)]),
+    ("E1", "Ann", "Elm", "F", ["Pine"], [("rep", "TX", "2003-01-03", "2009-01-03")]), ("E2", "Bob", "Elm", "M", [], [("rep", "TX", "1991-01-03", "1999-01-03")]),
+    ("W1", "Debbie", "Wasser Elm", "F", [], [("rep", "FL", "2005-01-03", None)]), ("J1", "Eddie", "Johnson", "F", [], [("rep", "TX", "1993-01-03", None)]),
+    ("V1", "Nydia", "Velázquez", "F", ["Velazquez"], [("rep", "NY", "1993-01-03", None)]), ("S1", "Cy", "Elm", "M", [], [("sen", "FL", "2001-01-03", None), ("rep", "FL", "1991-01-03", "1993-01-03")]),
+    ("S2", "Dee", "Yew", "F", [], [("sen", "OH", "2001-01-03", None)]), ("D1", "Thomas", "Davis", "M", [], [("rep", "VA", "1995-01-03", None)]), ("D2", "James", "Davis", "M", [], [("rep", "VA", "1995-01-03", None)]), (None, "No", "Id", "M", [], [("rep", "VA", "1995-01-03", None)]),
+)
+BILL_SCHEMA = "congress int, bill_type string, number string, title string, api_pos long, update_date string"
+
+
+def legislators(spark: SparkSession) -> DataFrame:
+    rows = [((b,), (first, None, last, None), (g,), [(a, None) for a in aliases] or None, [(*t, "P") for t in terms]) for b, first, last, g, aliases, terms in PEOPLE]
+    return spark.createDataFrame(rows, S.LEGISLATORS).coalesce(1).withColumn("rec_pos", F.monotonically_increasing_id())
+
+
+def house_landed(spark: SparkSession) -> events.Landed:
+    rend = [(119, "hres", "7", "govinfo", "ih", "xml", XML.replace("AGRICULTURE", "Wrong stage")), (119, "hres", "7", "govinfo", "eh", "xml", XML), (119, "hres", "7", "congress", "eh", "text", TEXT), (119, "hres", "8", "govinfo", "eh", "xml", XML), (109, "hres", "6", "congress", "eh", "text", TEXT)]
+    listed = landing.committee_list(spark, _landed(spark, "committees", *COMMITTEES)).drop("chamber")
+    return events.Landed(
+        bills=landing.bills(spark, _landed(spark, "bills", *BILLS)), actions=landing.actions(spark, _landed(spark, "actions", *ACTIONS)), renditions=spark.createDataFrame(rend, S.RENDITIONS), legislators=legislators(spark),
+        committees=committees.records(listed, landing.committee_details(spark, _landed(spark, "details", *DETAILS))), packages=landing.packages(spark, _landed(spark, "packages", *PACKAGES)), granules=landing.granules(spark, _landed(spark, "granules", *GRANULES)),
+        summaries=spark.read.schema(S.SUMMARY).json(_landed(spark, "summaries", *SUMMARIES)), texts=spark.createDataFrame([("CREC-2005-02-08-pt1-PgH228", LETTER)], S.GRANULE_TEXT),
+    )
+
+
+def senate_landed(spark: SparkSession) -> events.Landed:
+    bills = [(119, "sres", str(k), title, k, "x") for k, title in ((1, "To constitute the majority party's membership on certain committees"), (2, "majority party's membership"), (3, "Making minority party appointments"), (4, "majority party's membership"), (5, "A bridge"))]
+    dates = {1: "2025-01-05", 2: "2025-02-05", 3: "2025-01-05", 4: "2025-03-05"}
+    rend = [
+        (119, "sres", "1", "govinfo", "ats", "xml", _roster(("Committee on Rules", "Mr. Oak (Chair), Mr. Elm, ____"), ("Committee on Budget", "Mr. Ash"))), (119, "sres", "2", "govinfo", "ats", "text", SINGLE), (119, "sres", "3", "govinfo", "es", "xml", _roster(("Committee on Rules", "Mr. Bay"))),
+        (119, "sres", "4", "govinfo", "ats", "xml", _roster(("Committee on Rules", "Mr. Elm of Florida"), ("Committee on Budget", ""))),
+    ]
+    return events.Landed(bills=spark.createDataFrame(bills, BILL_SCHEMA), actions=spark.createDataFrame([(119, "sres", str(k), [(d, "Agreed to", "F")]) for k, d in dates.items()], S.ACTIONS_PAGE), renditions=spark.createDataFrame(rend, S.RENDITIONS), legislators=legislators(spark))
+
+
+# Readers
+
+@case("congress number title pos", (119, "7", "Electing Members to certain standing committees", 0), (119, "9", "Naming a bridge", 1), (119, "8", "Removing a Member from a committee", 1000000), (119, "6", "", 1000001), (109, "6", "Electing Members to standing committees", 0))
+def scan_bills(spark):
+    """A1: bills over pages, with their places."""
+    return landing.bills(spark, _landed(spark, "bills", *BILLS)).select("congress", "number", "title", "api_pos")
+
+
+@case("number change", ("7", "addition"), ("8", "removal"))
+def scan_bills_since(spark):
+    """A1, C2, C9: bills of a Congress that change memberships, updated since a day."""
+    rows = landing.bills(spark, _landed(spark, "bills", *BILLS)).where("congress = 119")
+    return classify.house_bills(events._since(rows, "2025-01-11")).select("number", "change_type")
+
+
+@case("number pos date text", ("7", 0, "2025-01-09", "Submitted"), ("7", 1, "2025-01-10", "On motion Agreed to"), ("7", 2, "2025-01-12", "agreed to again"), ("8", 0, "2025-04-01", "Referred"))
+def scan_actions(spark):
+    """A2: actions in their order."""
+    rows = landing.actions(spark, _landed(spark, "actions", *ACTIONS)).where("congress = 119")
+    return rows.select("number", F.posexplode("actions").alias("pos", "a")).select("number", "pos", "a.actionDate", "a.text")
+
+
+@case("congress number agreed", (119, "7", "2025-01-10"), (119, "8", None), (109, "6", "2005-01-06"))
+def agreed_dates(spark):
+    """C8: date of the first action that tells of an agreement."""
+    return landing.actions(spark, _landed(spark, "actions", *ACTIONS)).select("congress", "number", classify.agreed_date(F.col("actions")))
+
+
+@case("number agreed stage format", ("7", "2025-01-10", "eh", "xml"))
+def bills_with_documents(spark):
+    """C7, D1, D2: bills with their date and best document; those not agreed to are left out."""
+    given = house_landed(spark)
+    return events._documents(classify.house_bills(given.bills.where("congress = 119")), given, events.P.HOUSE_STAGES, True).select("number", "agreed", "stage", "format")
+
+
+@case("number host stage format", ("1", "govinfo", "enr", "xml"), ("2", "govinfo", "ih", "text"), ("3", "congress", "eh", "text"), ("4", "govinfo", "eh", "xml"))
+def best_documents(spark):
+    """A6, A7, A8, F5: XML before text, the first host before the second, stages in order; XML comes from the first host only."""
+    rows = [("1", "govinfo", "ih", "xml"), ("1", "govinfo", "enr", "xml"), ("1", "govinfo", "eh", "text"), ("2", "congress", "eh", "text"), ("2", "govinfo", "ih", "text"), ("3", "congress", "ih", "text"), ("3", "congress", "eh", "text"), ("3", "congress", "eh", "xml"), ("3", "govinfo", "zz", "text"), ("4", "govinfo", "eh", "xml"), ("4", "congress", "eh", "text"), ("5", "govinfo", "pcs", "xml")]
+    df = spark.createDataFrame([(119, "hres", n, h, st, f, "b") for n, h, st, f in rows], S.RENDITIONS)
+    return events.best_rendition(df, events.P.HOUSE_STAGES).select("number", "host", "stage", "format")
+
+
+@case("host congress type number stage format body", ("govinfo", 119, "hres", "7", "eh", "xml", "<a/>"), ("congress", 109, "sres", "16", "ats", "text", "b"))
+def scan_documents(spark):
+    """A6, A7: documents as files, told by their names."""
+    path = folder(spark, "documents")
+    for host, name, body in (("govinfo", "BILLS-119hres7eh.xml", "<a/>"), ("congress", "BILLS-109sres16ats.htm", "b"), ("congress", "other.txt", "c")):
+        _put(spark, f"{path}/{host}/{name}", body)
+    return landing.renditions(spark, f"{path}/*/*").select("host", "congress", "bill_type", "number", "stage", "format", "body")
+
+
+def _put(spark: SparkSession, path: str, text: str) -> None:
+    """A file of a name of its own, in whatever store the path is."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    at = hadoop.Path(path)
+    with_bytes = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(at, True)
+    with_bytes.write(bytearray(text.encode()))
+    with_bytes.close()
+
+
+@case("pos code name parent", (0, "hsag00", "Agriculture Committee", None), (1, "hsag03", "Subcommittee", "hsag00"), (2, None, "No code", None), (1000000, "hsru00", "Rules Committee", None), (1000001, "hsxx00", "Farming Committee", None))
+def scan_committees(spark):
+    """A3: committees over pages."""
+    return landing.committee_list(spark, _landed(spark, "committees", *COMMITTEES)).select("rec_pos", "systemCode", "name", "parent")
+
+
+@case("code names", ("hsag00", "Agriculture Committee|Committee on Farming|Agriculture (Library)"), ("hsru00", "Rules Committee"), ("hsxx00", "Farming Committee"))
+def committee_records(spark):
+    """A4, A16, C11, D3: top-level committees with a code, and all their names."""
+    return house_landed(spark).committees.select("systemCode", _joined(F.col("previous_names")))
+
+
+@case("name code collides", ("agriculture", "hsag00", "false"), ("farming", "hsag00", "true"), ("agriculture library", "hsag00", "false"), ("rules", "hsru00", "false"))
+def committee_index(spark):
+    """E8: names to codes; the first record that has a name keeps it."""
+    return committees.index(house_landed(spark).committees).select("norm_name", "system_code", "collides")
+
+
+@case("code calls", ("hsag00", 1), ("hsru00", 1), ("hsxx00", 1))
+def committee_cache(spark):
+    """A15, B3: records fetched once and then read; the number of fetches stands with them."""
+    records, path, calls = house_landed(spark).committees, folder(spark, "cache"), []
+
+    def fetch():
+        calls.append(1)
+        return records
+
+    for _ in range(3):
+        held = landing.cached_records(spark, path, fetch)
+    return held.select("systemCode", F.lit(len(calls)))
+
+
+@case("package issued", ("CREC-2005-02-08", "2005-02-08"), ("CREC-2007-01-03", "2007-01-03"))
+def scan_packages(spark):
+    """A9: issues of the Record."""
+    return landing.packages(spark, _landed(spark, "packages", *PACKAGES))
+
+
+@case("granule pos", ("CREC-2005-02-08-pt1-PgH228", 0), ("g2", 1), ("g4", 1000001))
+def discovered_letters(spark):
+    """A10, A11, C5, C10, D13: letters of a span of issues, found by their titles, in the order of the pages."""
+    return events.discovered(house_landed(spark), "2005-01-03", "2007-01-03").select("granuleId", "pos")
+
+
+@case("bioguide last states n", ("A1", "Oak", "OH|TX", 3), ("B1", "Elm", "VA", 1))
+def scan_people(spark):
+    """A14, H5: people of several YAML files, in the order of the files."""
+    path = folder(spark, "people")
+    _put(spark, f"{path}/legislators-a.yaml", "- id: {bioguide: A1}\n  name: {first: Ann, last: Oak}\n  terms:\n  - {type: rep, state: OH, start: 2001-01-03, end: '2003-01-03'}\n  - {type: rep, state: TX}\n  - {type: rep, state: OH}\n")
+    _put(spark, f"{path}/legislators-b.yaml", "- id: {bioguide: B1}\n  name: {last: Elm}\n  terms: [{type: rep, state: VA}]\n")
+    rows = landing.legislators(spark, [f"{path}/legislators-a.yaml", f"{path}/legislators-b.yaml"])
+    return rows.select("id.bioguide", "name.last", _joined(F.array_distinct(F.transform("terms", lambda t: t["state"]))), F.size("terms"))
+
+
+@case("key bioguide states terms first gender", ("oak", "O1", "OH", 1, "sam", "M"), ("oak", "O2", "TX", 1, "una", "F"), ("elm", "E1", "TX", 1, "ann", "F"), ("pine", "E1", "TX", 1, "ann", "F"), ("elm", "E2", "TX", 1, "bob", "M"), ("wasser elm", "W1", "FL", 1, "debbie", "F"), ("johnson", "J1", "TX", 1, "eddie", "F"), ("velazquez", "V1", "NY", 1, "nydia", "F"), ("velazquez", "V1", "NY", 1, "nydia", "F"), ("elm", "S1", "FL", 1, "cy", "M"), ("davis", "D1", "VA", 1, "thomas", "M"), ("davis", "D2", "VA", 1, "james", "M"))
+def candidate_names(spark):
+    """C12, E11, E12: surnames of the House's members, aliases as rows of their own."""
+    return resolve.candidates(legislators(spark)).select("surname_key", "bioguide", _joined(F.col("states")), F.size("terms"), "first_key", "gender")
+
+
+@case("bioguide", ("S1",), ("S2",))
+def senate_candidates(spark):
+    """L2: the same for the other chamber."""
+    return resolve.candidates(legislators(spark), "senate").select("bioguide")
+
+
+@case("kind header code texts", (0, "Committee on AGRICULTURE", "HAG00", "Mr. Oak of Ohio, Chairman; Ms. Elm of Texas, Mr. Fir."), (0, "Committee on Rules.—", None, "Mr. Ash Bay"), (1, "Joint Committee on Printing", None, "Mr. Oak|Ms. Elm"), (2, "Committee on Budget", None, "Mr. Box"))
+def xml_blocks(spark):
+    """A21, C19, D14, H2, J1, J2, J3: the three kinds of blocks of a document, and none under a section that elects nobody."""
+    read = xmldocs.read(spark.createDataFrame([(XML,)], "body string"))
+    return read.select(F.explode("blocks").alias("b")).select("b.kind", "b.header", "b.code", _joined(F.col("b.texts")))
+
+
+@case("id congress type number stage date title broken", (0, "119", "HRES", "7", "Engrossed-in-House", "20250110", "Electing Members to certain standing committees.", "false"), (1, "111", None, "80", None, None, None, "false"), (2, None, None, None, None, None, None, "true"))
+def xml_metadata(spark):
+    """I35, L5: what a document tells of itself, and a broken one set aside."""
+    docs = [(0, XML), (1, "<resolution><form><congress>111th</congress><legis-num>H. RES. 80</legis-num></form></resolution>"), (2, "<resolution><a></resolution>")]
+    return xmldocs.read(spark.createDataFrame(docs, "id int, body string")).select("id", "xml_congress", "xml_type", "xml_number", "stage", "doc_date", "title", F.col("error").isNotNull())
+
+
+@case("committee code pairs", ("Committee on Agriculture", "HAG00", "Mr. Oak of Ohio = Mr. Oak of Ohio, Chairman|Ms. Elm of Texas|Mr. Fir"), ("Committee on Rules", None, "Mr. Ash Bay"), ("Joint Committee on Printing", None, "Mr. Oak|Ms. Elm"), ("Committee on Budget", None, "Mr. Box"))
+def house_xml_blocks(spark):
+    """J1, J2, J3: blocks with cleaned names and members."""
+    return blocks.house_xml(spark.createDataFrame([(XML,)], "body string")).select("committee", "code", _pairs(F.col("pairs")))
+
+
+@case("committee pairs", ("Committee on Rules", "Mr. Oak = Mr. Oak (Chair)|Mr. Elm"), ("Committee on Budget", ""))
+def senate_xml_rosters(spark):
+    """J7, C22: rosters, an empty one too, without blank seats."""
+    return blocks.senate_xml(spark.createDataFrame([(_roster(("Committee on Rules", "Mr. Oak (Chair), Mr. Elm, ____"), ("Committee on Budget", "")),)], "body string")).select("committee", _pairs(F.col("pairs")))
+
+
+TEXTS = (
+    TEXT,
+    "Resolved, That on the Committee on Resources, Mr. Oak of Ohio shall rank after Mr. Elm of Texas. Attest: Clerk",
+    "Resolved, That Mr. Oak of Ohio shall rank immediately following Mr. Elm on the Committee on Rules. Attest:",
+    "Resolved, (a) Joint Committee on Printing.--The following Members are hereby elected to the Joint Committee on Printing: (1) Mr. Oak. (2) Ms. Elm. (b) Joint Committee of Congress on the Library.--The following Members are hereby elected to it: (1) Mr. Fir. Attest:",
+    "Electing the Joint Committee on X: y. Resolved, That the following are elected to the following joint committees, to serve with the Committee on House Administration: Joint Committee on Printing: Mr. Oak, Ms. Elm. Joint Committee of Congress on the Library: Mr. Fir. &lt;all&gt;",
+    "Resolved, That the rules provide how chairmen are elected. STANDING COMMITTEE CHAIRMEN. More text.",
+    "Resolved, elected to the following: COMMITTEE ON RULES: Ann Oak, Texas; Bob Elm, Ohio: Provided, That the powers and duties conferred upon the chairman of the Committee on Rules by the House rules shall be exercised by the vice chairman thereof until otherwise ordered by the House. COMMITTEE ON BUDGET: Cy Ash, Guam. Attest:",
+    "Resolved, elected to the following standing committees: (1) Committee on rules.--Ms. Elm. (2) Committee on the budget.--Mr. Oak, to rank after Mr. Fir. Resolved, That the following Member be ranked as follows on the Committee on the Budget: Mr. Ash, after Mr. Oak. Attest:",
+    "Resolved, elected to the following: Committee on Science: Mr. Brown of California. In lieu of the Members elected before to the following committees: Committee on Education and the Workforce. Mr. Good, Chairman; Mr. Fair. Attest:",
+)
+
+
+@case(
+    "doc pos committee pairs date",
+    (0, 0, "Committee on Agriculture", "Mr. Oak of Ohio = Mr. Oak of Ohio, Chairman|Mr. Diaz-Elm|Ms. Fir", "2005-01-06"), (0, 1, "Committee on Resources", "Mr. Ash|Mr. Bay", "2005-01-06"),
+    (1, 0, "Committee on Resources", "Mr. Oak of Ohio = Mr. Oak of Ohio shall rank after Mr. Elm of Texas", None), (2, 0, "Committee on Rules", "Mr. Oak of Ohio = Mr. Oak of Ohio shall rank immediately following Mr. Elm", None),
+    (3, 0, "Joint Committee on Printing", "Mr. Oak|Ms. Elm", None), (3, 1, "Joint Committee of Congress on the Library", "Mr. Fir", None), (4, 0, "Joint Committee on Printing", "Mr. Oak|Ms. Elm", None), (4, 1, "Joint Committee of Congress on the Library", "Mr. Fir", None),
+    (6, 0, "Committee on Rules", "Ann Oak of Texas|Bob Elm of Ohio", None), (6, 1, "Committee on Budget", "Cy Ash of Guam", None),
+    (7, 0, "Committee on Rules", "Ms. Elm", None), (7, 1, "Committee on the Budget", "Mr. Oak = Mr. Oak, to rank after Mr. Fir", None), (7, 2, "Committee on the Budget", "Mr. Ash = Mr. Ash, after Mr. Oak", None),
+    (8, 0, "Committee on Science", "Mr. Brown of California", None), (8, 1, "Committee on Education and the Workforce", "Mr. Good = Mr. Good, Chairman|Mr. Fair", None),
+)
+def house_text_blocks(spark):
+    """C17, C18, I23, I24, I31, J4, J5, J6: text documents of every shape; a rules amendment yields nothing."""
+    docs = spark.createDataFrame(list(enumerate(TEXTS)), "doc int, body string")
+    return blocks.house_text(docs).select("doc", "block_pos", "committee", _pairs(F.col("pairs")), "doc_date")
+
+
+@case("doc committee pairs single until", (0, "Committee on Rules", "Mr. Yew = Mr. Yew (Chair)", "true", "March 1, 2025"), (1, "Committee on Rules", "Mr. Oak (FL)|Ms. Elm = Ms. Elm (ex officio)", "false", None), (1, "Committee on the Budget", "Mr. Fir", "false", None))
+def senate_text_rosters(spark):
+    """J8: one added senator, or rosters."""
+    docs = spark.createDataFrame([(0, SINGLE), (1, "Resolved, That the following be the majority: Committee on Rules: Mr. Oak (FL), Ms. Elm (ex officio). Committee on the Budget: Mr. Fir. Attest: x")], "doc int, body string")
+    return blocks.senate_text(docs).select("doc", "committee", _pairs(F.col("pairs")), "single", "until_date")
+
+
+# Events
+
+EVENT = ("congress", "change_type", "committee", "member_name", "bioguide_id", "party_rank", "date")
+HOUSE_119 = (
+    (119, "addition", "Committee on Agriculture", "Mr. Oak of Ohio", "O1", 1, "2025-01-10"), (119, "addition", "Committee on Agriculture", "Ms. Elm of Texas", "E1", 2, "2025-01-10"), (119, "addition", "Committee on Agriculture", "Mr. Fir", None, 3, "2025-01-10"), (119, "addition", "Committee on Rules", "Mr. Ash Bay", None, None, "2025-01-10"),
+    (119, "addition", "Joint Committee on Printing", "Mr. Oak", "O1", 2, "2025-01-10"), (119, "addition", "Joint Committee on Printing", "Ms. Elm", "E1", 3, "2025-01-10"), (119, "addition", "Committee on Budget", "Mr. Box", None, None, "2025-01-10"),
+)
+HOUSE_109 = (
+    (109, "addition", "Committee on Agriculture", "Mr. Oak of Ohio", "O1", 1, "2005-01-06"), (109, "addition", "Committee on Agriculture", "Mr. Diaz-Elm", "E1", 2, "2005-01-06"), (109, "addition", "Committee on Agriculture", "Ms. Fir", None, 3, "2005-01-06"),
+    (109, "addition", "Committee on Resources", "Mr. Ash", None, 2, "2005-01-06"), (109, "addition", "Committee on Resources", "Mr. Bay", None, 3, "2005-01-06"),
+)
+LETTERS = ((109, "removal", "Committee on Rules", "Ann Elm", "E1", None, "2005-02-08"), (109, "removal", "Committee on Agriculture", "Ann Elm", "E1", None, "2005-02-08"), (109, "removal", "(Temporary) Committee", None, None, None, "2005-02-08"))
+
+
+@case(" ".join(EVENT), *HOUSE_119)
+def house_events(spark):
+    """J11, J13, F1, C20: from bills to events, XML documents."""
+    return events.house(house_landed(spark), 119).select(*EVENT)
+
+
+@case(" ".join(EVENT), *HOUSE_109)
+def house_text_events(spark):
+    """J13: the same from text documents."""
+    return events.house(house_landed(spark), 109).select(*EVENT)
+
+
+@case(" ".join(EVENT), *LETTERS)
+def letter_events(spark):
+    """J9, J12, C6, A12: letters to events; those of several signers are left out, one without a committee is an event."""
+    return events.record(house_landed(spark), 109, "2005-01-03", "2007-01-03").select(*EVENT)
+
+
+@case("committee page signed url code", ("Committee on Rules", "H228", "2005-02-07", "https://d/228", "hsru00"), ("Committee on Agriculture", "H228", "2005-02-07", "https://d/228", "hsag00"), ("(Temporary) Committee", None, None, "https://www.govinfo.gov/app/details/CREC-2005-02-08", None))
+def letter_references(spark):
+    """A12, D4: page, day and address of a letter, and the codes of its committees."""
+    return events.record(house_landed(spark), 109, "2005-01-03", "2007-01-03").select("committee", "source_ref.page", "source_ref.signed_date", "source_ref.url", "system_code")
+
+
+@case("place source committee member", *[(i, "resolution", r[2], r[3]) for i, r in enumerate(HOUSE_109, 1)], *[(i, "congressional_record", r[2], r[3]) for i, r in enumerate(LETTERS, 6)])
+def both_sources(spark):
+    """H1, C24, F10: resolutions, then letters, in the order of the documents."""
+    rows = events.collect(house_landed(spark), 109)
+    return rows.orderBy("doc_seq", "block_pos", "member_pos").select(F.row_number().over(events_order()), "source", "committee", "member_name")
+
+
+def events_order():
+    from pyspark.sql import Window
+
+    return Window.orderBy("doc_seq", "block_pos", "member_pos")
+
+
+@case("source n", ("congressional_record", 3))
+def one_source(spark):
+    """C24: letters alone."""
+    return events.collect(house_landed(spark), 109, source="record").groupBy("source").agg(F.count("*").alias("n"))
+
+
+@case(
+    "date change committee member raw bioguide",
+    ("2025-01-05", "addition", "Committee on Rules", "Mr. Oak", "Mr. Oak (Chair)", None), ("2025-01-05", "addition", "Committee on Rules", "Mr. Elm", None, "S1"), ("2025-01-05", "addition", "Committee on Budget", "Mr. Ash", None, None), ("2025-01-05", "addition", "Committee on Rules", "Mr. Bay", None, None),
+    ("2025-02-05", "addition", "Committee on Rules", "Mr. Yew", "Mr. Yew (Chair)", "S2"), ("2025-03-05", "removal", "Committee on Rules", "Mr. Oak", "Mr. Oak (Chair)", None), ("2025-03-05", "removal", "Committee on Rules", "Mr. Yew", "Mr. Yew (Chair)", "S2"), ("2025-03-05", "removal", "Committee on Budget", "Mr. Ash", None, None),
+)
+def senate_events(spark):
+    """J14, D12, F2, H3, I32: rosters to changes; a person is the same under another print, and each party has its own."""
+    return events.collect(senate_landed(spark), 119, "senate").select("date", "change_type", "committee", "member_name", "member_name_raw", "bioguide_id")
+
+
+@case("number party", ("1", "majority"), ("2", "majority"), ("3", "minority"), ("4", "majority"))
+def senate_titles(spark):
+    """C3, C4: Senate bills by party."""
+    return classify.senate_bills(senate_landed(spark).bills).select("number", "party")
+
+
+@case("member bioguide", ("Mr. Fir", "X9"), ("Mr. Oak of Ohio", "O1"), ("Ms. Elm of Texas", "E1"), ("Mr. Ash Bay", "Z2"), ("Mr. Oak", "O1"), ("Ms. Elm", "E1"), ("Mr. Box", None))
+def carried_corrections(spark):
+    """D8, K4: persons of an earlier run fill what is null; the last one counts, and a blank one does not."""
+    new = events.house(house_landed(spark), 119)
+    old = lambda name, person, at: new.where(F.col("member_name") == name).withColumn("bioguide_id", F.lit(person)).withColumn("doc_seq", F.lit(at).cast("long"))
+    previous = old("Mr. Fir", "X1", 1).unionByName(old("Mr. Fir", "X9", 2)).unionByName(old("Mr. Oak of Ohio", "X2", 1)).unionByName(old("Mr. Box", "", 1)).unionByName(old("Mr. Ash Bay", "Z2", 1))
+    return events.merge_ids(new, previous).select("member_name", "bioguide_id")
+
+
+@case("congress committee rank bioguide date", (118, "Committee on Budget", None, None, "2025-01-10"), (119, "Committee on Budget", None, "Z1", None))
+def row_edits(spark):
+    """L4, B6: edits of one event of one Congress: a blank committee and a rank that is no number are ignored, other blanks are null."""
+    rows = events.house(house_landed(spark), 119).where("member_name = 'Mr. Box'")
+    both = rows.unionByName(rows.withColumn("congress", F.lit("118")))
+    k = rows.select(*events.EVENT_KEY)
+    edits = k.crossJoin(spark.createDataFrame([("committee", " "), ("party_rank", "two"), ("bioguide_id", " Z1 "), ("date", "")], "field string, value string"))
+    return events.corrected(both, edits).select("congress", "committee", "party_rank", "bioguide_id", "date")
+
+
+@case("n persons codes", (7, 0, 0))
+def bare_run(spark):
+    """L1, L5: without people and committees the events are there, and nothing is filled."""
+    given = house_landed(spark)
+    return events.collect(events.Landed(bills=given.bills, actions=given.actions, renditions=given.renditions), 119).agg(F.count("*").alias("n"), F.count("bioguide_id").alias("p"), F.count("system_code").alias("c"))
+
+
+@case("pos committee congress file", (0, "Committee on Agriculture", "119", "committee_changes_119.json"), (3, "Committee on Rules", "119", "committee_changes_119.json"), (6, "Committee on Budget", "119", "committee_changes_119.json"))
+def exported_events(spark):
+    """A17, A18, B1, B2, G11: events written as one JSON array and read again in its order, the Congress from the file's name."""
+    import tempfile
+
+    path = tempfile.mkdtemp(prefix="seatledger-export-")
+    sinks.export_events(events.house(house_landed(spark), 119), f"{path}/committee_changes_119.json")
+    return landing.congress_files(spark, f"file://{path}").where("doc_seq % 3 = 0").select("doc_seq", "committee", "congress", "file")
+
+
+@case("congress n first", (119, 7, "Mr. Oak of Ohio"), (109, 5, "N"))
+def event_store(spark):
+    """A19, B6, G1: a store by Congress: listed, read in part, edited and saved."""
+    given, path = house_landed(spark), folder(spark, "store")
+    sinks.write_events(events.house(given, 119).unionByName(events.house(given, 109)), path)
+    sinks.save_events(landing.store_events(spark, path, 109).withColumn("member_name", F.lit("N")), path)
+    return spark.read.parquet(path).groupBy("congress").agg(F.count("*").alias("n"), F.min_by("member_name", F.struct("doc_seq", "block_pos", "member_pos")))
+
+
+@case("kind key name n", ("committee", "hsag00", "Committee on Agriculture", 3), ("committee", "hsru00", "Committee on Rules", 1), ("committee", "name:budget", "Committee on Budget", 1), ("committee", "name:joint printing", "Joint Committee on Printing", 2), ("member", "O1", "Sam Oak", 2), ("member", "E1", "Ann Elm", 2))
+def site_data(spark):
+    """A20, B4, E2, E13: the site's data written as one file and read as its pages read it."""
+    import tempfile
+
+    rows = events.house(house_landed(spark), 119)
+    path = f"{tempfile.mkdtemp(prefix='seatledger-site-')}/site.json"
+    sinks.export_site(path, site.committees(rows), site.members(rows, legislators(spark)), site.compact(rows))
+    c, m, e = landing.site_tables(spark, f"file://{path}")
+    counts = lambda key: e.groupBy(key).agg(F.count("*").alias("n"))
+    first = c.join(counts("k"), F.col("key") == F.col("k")).select(F.lit("committee"), "key", "name", "n")
+    return first.union(m.join(counts("b"), F.col("bioguide") == F.col("b")).select(F.lit("member"), "bioguide", "name", "n"))
+
+
+@case("congress total additions removals missing named", (119, 7, 7, 0, 3, "119th"), (109, 8, 5, 3, 3, "109th"))
+def downloads_report(spark):
+    """B5, E1, E15, I33: the counts of the files, as the page of downloads shows them."""
+    import tempfile
+
+    given, path = house_landed(spark), tempfile.mkdtemp(prefix="seatledger-files-")
+    for c in (119, 109):
+        sinks.export_events(events.collect(given, c), f"{path}/committee_changes_{c}.json")
+    return site.files_report(landing.congress_files(spark, f"file://{path}")).select("congress", "total", "additions", "removals", "missing", "term")
+
+
+@case("total additions removals missing congresses", (7, 7, 0, 3, 1))
+def run_report(spark):
+    """B7, E6: what a run tells when it ends."""
+    return site.summary(events.house(house_landed(spark), 119)).select("total", "additions", "removals", "missing", "congresses")
+
+
+# Persons
+
+LOOKUPS = (
+    ("Mr. Oak of Ohio", None, None, "O1"), ("Mr. Oak", None, None, "O1"), ("Ms. Oak", None, None, "O2"), ("Oak", None, None, None), ("Oak", "Texas", None, "O2"), ("Mr. Oak of Maine", None, None, "O1"), ("Elm", None, "2005-01-01", "E1"), ("Mr. Elm of Texas", None, "1995-05-05", "E2"),
+    ("Ms. Pine of Texas", None, "2005-01-01", "E1"), ("Ms. Wasser Elm of Florida", None, None, "W1"), ("Debbie Wasser Elm", None, None, "W1"), ("Ms. Johnson of Texas", None, None, "J1"), ("Ms. Eddie Bernice-Johnson of Texas", None, None, "J1"), ("Ms. Christian-Johnson of Ohio", None, None, None),
+    ("Mr. Tom Davis of Virginia", None, None, "D1"), ("Mr. Davis of Virginia", None, None, None), ("Thomas Davis, Jr. of Virginia", None, None, "D1"), ("Velazquez", None, None, None), ("Mr. Nobody", None, None, None), ("", None, None, None),
+)
+
+
+@case("name person", *[(x[0] + "/" + str(x[1]) + "/" + str(x[2]), x[3]) for x in LOOKUPS])
+def name_lookup(spark):
+    """D5, D6, E10, F3, F4, I8, I10, I11: printed names to persons, with hyphens, suffixes, aliases and misspelt states."""
+    names = spark.createDataFrame([(i, x[0], x[1], x[2]) for i, x in enumerate(LOOKUPS)], "name_id long, printed string, state string, on_date string")
+    found = resolve.lookup(names, resolve.candidates(legislators(spark)))
+    return names.join(found, "name_id", "left").select(F.concat_ws("/", "printed", F.coalesce("state", F.lit("None")), F.coalesce("on_date", F.lit("None"))), "bioguide")
+
+
+@case("id person", (1, "D1"), (3, "E1"))
+def full_name_lookup(spark):
+    """D7: first and last name, serving on a day."""
+    names = spark.createDataFrame([(1, "Tom", "Davis", "2000-01-01"), (2, "Zed", "Davis", "2000-01-01"), (3, "Zed", "Elm", "2005-01-01"), (4, "Ann", "Elm", "1980-01-01")], "name_id long, first string, last string, on_date string")
+    return resolve.lookup_full_name(names, resolve.candidates(legislators(spark)))
+
+
+@case("prio key first strict", (2, "diaz elm", "mary ann", "false"), (1, "ann diaz elm", "mary", "false"), (3, "elm", "mary ann", "true"))
+def name_probes(spark):
+    """every surname that a name can hold."""
+    names = spark.createDataFrame([(1, "Ms. Mary Ann Diaz-Elm of Ohio", None, None)], "name_id long, printed string, state string, on_date string")
+    return resolve.probes(names).where("first_key is not null").select("prio", "surname_key", "first_key", "strict")
+
+
+@case("query name", ("o", None), ("oak", "Sam Oak"), ("oak", "Una Oak"), ("VELÁZ", "Nydia Velázquez"))
+def member_search(spark):
+    """C16, G9, I7: members as a reader types, nothing under two letters."""
+    people = legislators(spark).select(F.col("id.bioguide").alias("bioguide"), F.concat_ws(" ", "name.first", "name.last").alias("name"))
+    out = None
+    for q in ("o", "oak", "VELÁZ"):
+        found = spark.createDataFrame([(q,)], "q string").join(site.search_members(people, q).select("name"), F.lit(True), "left")
+        out = found if out is None else out.unionByName(found)
+    return out
+
+
+# Streaming
+
+@case("number pages", ("7", 1), ("8", 1), ("9", 1), ("6", 2))
+def ingested_pages(spark):
+    """K1: files that are new since the last run are added once, whatever the number of runs."""
+    from ..streaming.rosters import ingest
+
+    base = folder(spark, "ingest")
+    spark.createDataFrame([(json.dumps(p),) for p in BILLS[:1]], "value string").coalesce(1).write.text(f"{base}/in/a")
+    run = lambda: ingest(spark, f"{base}/in/*", S.BILLS_PAGE, f"{base}/cursor", f"{base}/out")
+    run()
+    spark.createDataFrame([(json.dumps(p),) for p in BILLS[1:]], "value string").coalesce(1).write.text(f"{base}/in/b")
+    run()
+    run()
+    return spark.read.schema(S.BILLS_PAGE).parquet(f"{base}/out").select(F.explode("bills").alias("b")).groupBy("b.number").agg(F.count("*").alias("n"))
+
+
+@case("batch seq change who", (0, 2, "addition", "x"), (0, 2, "addition", "y"), (1, 1, "addition", "y"), (1, 2, "addition", "x"), (2, 1, "addition", "y"), (2, 2, "addition", "x"))
+def late_rosters(spark):
+    """K2, K3: a late roster renews what its key has; the same batch again changes nothing."""
+    from ..streaming.rosters import recompute
+
+    schema, found = "key string, seq long, is_full boolean, members array<struct<identity:string,payload:string>>", []
+    run = recompute(f"{folder(spark, 'late')}/history", ["key"], lambda changes: found.append([tuple(r) for r in changes.select("seq", "change", "identity").collect()]))
+    first = spark.createDataFrame([("a", 2, True, [("x", "p"), ("y", "p")])], schema)
+    late = spark.createDataFrame([("a", 1, True, [("y", "q")])], schema)
+    for number, batch in ((0, first), (1, late), (1, late)):
+        run(batch, number)
+    return spark.createDataFrame([(i, *r) for i, rows in enumerate(found) for r in rows], "batch int, seq long, change string, who string")
+
+
+# Addresses
+
+@case(
+    "what url",
+    ("package", "BILLS-119hres7eh"), ("xml", "https://www.govinfo.gov/content/pkg/BILLS-119hres7eh/xml/BILLS-119hres7eh.xml"), ("html", "https://www.govinfo.gov/content/pkg/BILLS-119hres7eh/html/BILLS-119hres7eh.htm"), ("as is", "https://a/b"),
+    ("text", "https://www.congress.gov/119/bills/HRES7/BILLS-hres7eh.htm"), ("bill", "https://www.congress.gov/bill/119th-congress/house-resolution/7"), ("senate", "https://www.congress.gov/bill/119th-congress/senate-resolution/7"), ("issue", "https://www.govinfo.gov/app/details/CREC-1"),
+)
+def addresses(spark):
+    """A23: identifiers and addresses."""
+    c, n, st = F.lit(119), F.lit("7"), F.lit("eh")
+    p = urls.package_id(c, n, st)
+    made = {"package": p, "xml": urls.xml_url(p), "html": urls.html_url(p), "as is": urls.html_url(F.lit("https://a/b")), "text": urls.congress_text_url(c, n, st), "bill": urls.bill_url(c, n), "senate": urls.bill_url(c, n, "senate"), "issue": urls.package_url(F.lit("CREC-1"))}
+    return spark.range(1).select(F.explode(F.create_map(*[x for k, v in made.items() for x in (F.lit(k), v)])).alias("k", "v"))
+
+
+@case(
+    "what url",
+    ("bills", "https://api.congress.gov/v3/bill/119/hres?format=json&sort=updateDate%2Bdesc&fromDateTime=2025-01-01T00%3A00%3A00Z"), ("actions", "https://api.congress.gov/v3/bill/119/hres/7/actions?format=json&limit=250"), ("committee", "https://api.congress.gov/v3/committee/house/hsag00?format=json"),
+    ("issues", "https://api.govinfo.gov/published/2005-01-03/2007-01-03?collection=CREC&offsetMark=%2A"), ("next", "https://h/p?offsetMark=x&api_key=k"), ("key", "g"),
+)
+def service_addresses(spark):
+    """A5, A10, A22: addresses of the services, the key added to a page's own address, and the key from the environment."""
+    made = [
+        ("bills", api.bills_url(119, since="2025-01-01")), ("actions", api.actions_url(119, "hres", "7")), ("committee", api.committee_url("house", "hsag00")), ("issues", api.packages_url("2005-01-03", "2007-01-03")),
+        ("next", api.address("https://h/p?offsetMark=x", api_key="k")), ("key", api.key_of("govinfo", {"GOVINFO_API_KEY": "g"})),
+    ]
+    return spark.createDataFrame(made, "what string, url string")
+
+
+# Scalar functions
+
+function("fn_collapse", T.clean, ("  a \t b\n c ", "a b c"), ("", ""), (None, ""), doc="I1")
+function("fn_clean_member", T.clean_member, ("Mr. Oak., ;", "Mr. Oak., "), ("Ms. Elm;", "Ms. Elm"), (None, ""), doc="I2")
+function("fn_clean_committee", T.clean_committee, ("Committee on ETHICS.—", "Committee on Ethics"), ("committee ON ways AND means:", "Committee on Ways and Means"), (None, ""), doc="I3")
+function("fn_senate_committee", lambda x: T.clean_committee(x, title=False), ("Committee on ETHICS.—", "Committee on ETHICS"), (" Committee  on Rules: ", "Committee on Rules"), doc="I3")
+function("fn_titlecase", T.titlecase, ("AGRICULTURE", "Agriculture"), ("the children's diaz-balart", "The Children'S Diaz-Balart"), ("é COMITÉ of 2nd", "É Comité of 2Nd"), (None, ""), doc="I4")
+function("fn_committee_key", T.normalise_committee, ("House Committee on the Judiciary, Permanent", "judiciary permanent"), ("COMMITTEE OF THE HOUSE", ""), doc="I5")
+function("fn_fold", T.fold, ("Velázquez-D’Esposito", "velazquez d'esposito"), ("ﬁx", "fix"), (None, ""), doc="I6")
+function("fn_reader_fold", lambda x: T.fold(x, False), ("Velázquez-D’E", "velazquez-d’e"), doc="I7")
+function("fn_bare_name", T.bare_name, ("Mr.Oak of Ohio", "Oak"), ("Mr. Fir (FL)", "Fir"), ("Ann Oak", "Ann Oak"), (None, ""), doc="I8, I10")
+function("fn_honorific", T.honorific_gender, ("Mr. A", "M"), ("Mrs. B", "F"), ("Miss. C", "F"), ("D", None), (None, None), doc="I9")
+function("fn_printed_state", T.printed_state, ("Mr. Oak of Ohio", "OH"), ("Ms. Elm or Oregon", "OR"), ("Mr. Fir (FL)", "FL"), ("Mr. Ash", None), ("Mr. Box of Tennnesse", "TN"), doc="I10")
+function("fn_state", T.state_code, ("tx", "TX"), ("Texas", "TX"), ("the Virgin Islands", "VI"), ("Tennnesse", "TN"), ("D.C.", "DC"), ("Zzzz", None), ("", None), (None, None), ("XX", None), doc="D9, E9, I12, I13")
+function("fn_first_names", T.first_names_match, ("tom", "thomas", "true"), ("thomas", "tom", "true"), ("rob", "robert", "true"), ("sam", "una", "false"), ("ann", "ann", "true"), doc="I14")
+function("fn_surname_state", lambda x: F.concat_ws("/", T.surname_and_state(x)["surname"], T.surname_and_state(x)["state"]), ("Mr. Sam Oak of Ohio", "oak/OH"), ("Elm", "elm"), doc="I15")
+function("fn_split_notes", lambda x: _pairs(members.split_with_notes(x)), ("Mr. Oak, Ms. Elm of Ohio, and Mrs. Ash.", "Mr. Oak|Ms. Elm of Ohio|Mrs. Ash"), ("Mr. Oak (to rank immediately after Mr. Fir), Mr. Elm.", "Mr. Oak = Mr. Oak (to rank immediately after Mr. Fir)|Mr. Elm"), ("Ms. Elm, Chair; Mr. Oak; and Mrs. Ash.", "Ms. Elm = Ms. Elm, Chair|Mr. Oak|Mrs. Ash"), ("Mr. John Oak, Jr. of Illinois, Mr. Elm", "Mr. John Oak, Jr. of Illinois|Mr. Elm"), ("Mr. Oak (when sworn) and Mr. Elm", "Mr. Oak = Mr. Oak (when sworn)|Mr. Elm"), (None, ""), doc="F6, I16, I22")
+function("fn_split_plain", lambda x: _joined(members.split_plain(x)), ("Mr. Oak, and Ms. Elm.", "Mr. Oak|Ms. Elm"), (None, ""), doc="I17")
+function("fn_split_states", lambda x: _pairs(members.split_name_state(x)), ("Ann Oak, Texas; Bob Elm, Jr., California; and Cy Ash, Louisiana.", "Ann Oak of Texas|Bob Elm, Jr. of California|Cy Ash of Louisiana"), ("*Dee Fir, D.C. (Delegate); [vacancy]", "Dee Fir of D.C = Dee Fir, D.C. (Delegate)"), ("Ed Yew, Ohio, Ranking Minority Member; Flo Bay, Guam, (When Sworn)", "Ed Yew of Ohio = Ed Yew, Ohio, Ranking Minority Member|Flo Bay of Guam = Flo Bay, Guam, (When Sworn)"), doc="C23, I18")
+function("fn_split_numbers", lambda x: _pairs(members.split_numbered(x)), ("(1) Mr. Oak. (2) Ms. Elm. ", "Mr. Oak|Ms. Elm"), (None, ""), doc="I19")
+function("fn_split_senate", lambda x: _pairs(members.split_senate(x)), ("Mr. Oak (Chair), _______, Mr. Elm (FL), Ms. Ash (ex officio).", "Mr. Oak = Mr. Oak (Chair)|Mr. Elm (FL)|Ms. Ash = Ms. Ash (ex officio)"), doc="C22, I20")
+function("fn_list_kind", members.is_name_state, ("Ann Oak, Texas; Bob Elm, Ohio", "true"), ("Mr. Oak, Michigan; and Mr. Elm, Alabama.", "true"), ("Mr. Oak of Michigan, Mr. Elm", "false"), doc="I21")
+function("fn_without_provisos", blocks.without_provisos, ("A: Provided, That the powers and duties of the chairman be exercised. B", "A B"), ("C Provided, That the provision in House Resolution 43 shall end. D", "C D"), ("E: Provided, That else.", "E Provided, That else."), doc="I23")
+function("fn_text_date", T.text_date, ("In the House of Representatives, U.S., January 6, 2005. Resolved", "2005-01-06"), ("IN THE HOUSE OF REPRESENTATIVES February 13, 2003", "2003-02-13"), ("House of Representatives, Octember 3, 2005", None), ("none", None), doc="I24")
+function("fn_compact_date", T.compact_date, ("20250103", "2025-01-03"), ("2025", None), (None, None), doc="I25")
+function("fn_letter_date", letters.signed_date, ("Washington, DC, February 8, 2001.", "2001-02-08"), ("Washington, DC,\nMay 1, 1999", "1999-05-01"), ("Washington, DC, february 8, 2001", None), doc="I26")
+function("fn_letter_committees", lambda x: _joined(letters.committees(x)), ("RESIGNATION AS MEMBER OF COMMITTEE ON SCIENCE, SPACE, AND TECHNOLOGY AND COMMITTEE ON RULES", "Committee on Science, Space, and Technology|Committee on Rules"), ("RESIGNATION AS MEMBER OF PERMANENT SELECT COMMITTEE ON A, COMMITTEE ON B, AND HOUSE COMMITTEE ON C", "Permanent Select Committee on A|Committee on B|House Committee on C"), ("OTHER", ""), doc="I27")
+function("fn_signer_name", T.signer_name, ("Rep. Ann B. Oak, MD, MBA", "Ann B. Oak"), ("Bob Elm M.D.", "Bob Elm"), ("Dee Fir (CA-44)", "Dee Fir"), ("Jr", "Jr"), (None, ""), doc="I28")
+function("fn_signer", letters.signer, ("Sincerely,\n Ann B. Oak, Jr.,\n Member of Congress.\nWithout objection, the resignation is\naccepted.", "Ann B. Oak, Jr."), ("Sincerely,\nBob Elm.\n____\n", "Bob Elm"), ("Sincerely,\nBob Elm.\n=== NOTE ===\nWithout objection", "Bob Elm"), ("Yours,\nCy Ash,\nTenth District, Ohio.\nThe resignation\nis accepted.", "Cy Ash"), ("", None), doc="F7, F8, F9, J10")
+function("fn_issue_date", T.issue_date, ("CREC-2001-02-08-pt1", "2001-02-08"), ("x", None), (None, None), doc="I29")
+function("fn_span", lambda c: F.concat_ws("/", *T.congress_span(c)), ("119", "2025-01-03/2027-01-03"), ("1", "1789-01-03/1791-01-03"), doc="I30")
+function("fn_window", T.in_organizing_window, ("119", "2025-01-31", "true"), ("119", "2025-02-01", "false"), ("119", None, "false"), doc="C20")
+function("fn_flat_text", T.flat_text, ("<p>Diaz-\n  Elm &amp; <b>Co</b>\n x</p>", "Diaz-Elm & Co x"), (None, ""), doc="I31")
+function("fn_pre_text", T.pre_text, ("<html><PRE class='x'>A &amp; <b>B</b>\nC</PRE> tail</html>", "A & B\nC"), ("no <i>tag</i>", "no tag"), doc="A13")
+function("fn_operative", T.operative, ("Title. Resolved, That x", "Resolved, That x"), ("no clause", "no clause"), doc="C17")
+function("fn_ordinal", lambda n: T.ordinal(n.cast("int")), ("111", "111th"), ("103", "103rd"), ("101", "101st"), ("112", "112th"), ("122", "122nd"), doc="I33")
+function("fn_size", lambda n: T.human_size(n.cast("double")), ("12", "12 B"), ("2048", "2.0 KB"), ("5242880", "5.0 MB"), doc="I33")
+function("fn_surname_guess", T.guess_surname, ("Mr. Oak of Ohio", "Oak"), ("Ann Elm, Jr.", "Elm"), ("", ""), doc="I34")
+function("fn_house_title", classify.house_change, ("Electing a Member to certain standing committees", "addition"), ("Removing a Member, electing another to the committee", "removal"), ("Naming a post office", None), (None, None), doc="C1")
+function("fn_senate_title", classify.senate_party, ("To constitute the majority party's membership", "majority"), ("Making minority party appointments", "minority"), ("Other", None), doc="C3")
+function("fn_letter_title", classify.is_resignation, ("RESIGNATION AS MEMBER OF COMMITTEE ON RULES", "true"), ("Temporary Resignations as Members of the Committee", "true"), ("x", "false"), (None, "false"), doc="C5")
+function("fn_several_signers", classify.has_several_signers, ("RESIGNATIONS AS MEMBERS OF", "true"), ("RESIGNATION AS MEMBER", "false"), (None, "false"), doc="C6")
+function("fn_date_fraction", lambda c, d: F.round(T.date_fraction(c, d), 3), ("119", "2025-01-03", "0.0"), ("119", "2030-01-01", "1.0"), ("119", "2026-01-03", "0.5"), doc="F11")

@@ -8,10 +8,13 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..operators import classify
 from ..operators import committees as committees_op
 from ..operators import members as M
 from ..operators import relational as R
 from ..operators import resolve, roster
+from . import events as event_plans
+from . import site
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -30,24 +33,37 @@ def query(sql: str | None = None):
     return register
 
 
+def _events_of(lineitem: DataFrame) -> DataFrame:
+    """Every line of every order as an event: suppliers are committees and, but for each fourth, persons."""
+    text = lambda prefix, c: F.concat(F.lit(prefix), F.col(c).cast("string"))
+    return lineitem.select(
+        (F.col("l_linenumber") + 100).cast("string").alias("congress"), F.when(F.col("l_returnflag") == "R", "removal").otherwise("addition").alias("change_type"), F.concat(F.lit("Committee "), (F.col("l_partkey") % 5).cast("string")).alias("committee"),
+        text("s", "l_suppkey").alias("system_code"), F.when(F.col("l_partkey") % 3 > 0, text("part ", "l_partkey")).otherwise("").alias("member_name"), F.when(F.col("l_suppkey") % 4 > 0, text("P", "l_suppkey")).alias("bioguide_id"), F.lit(None).cast("int").alias("party_rank"),
+        F.when(F.col("l_partkey") % 11 > 0, _day("l_shipdate")).alias("date"), F.struct(F.when(F.col("l_partkey") % 2 == 0, text("https://b/", "l_orderkey")).otherwise("").alias("congress_gov_url"), text("u", "l_orderkey").alias("url")).alias("source_ref"),
+        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("doc_seq"), F.col("l_partkey").cast("int").alias("block_pos"), F.lit(0).alias("member_pos"),
+    )
+
+
 def _day(c: str) -> Column:
     return F.date_format(c, "yyyy-MM-dd")
 
 
 @query("""
-SELECT doc_id, CASE WHEN regexp_matches(text, '(?i)\\b(worthless|trash)\\b') THEN 'removal' WHEN regexp_matches(text, '(?i)\\blicense\\b|licensed under') THEN 'addition' END AS change_type FROM documents
-WHERE regexp_matches(text, '(?i)\\b(worthless|trash)\\b') OR regexp_matches(text, '(?i)\\blicense\\b|licensed under')""")
-def classify_titles(spark, documents):
-    """Ordered CASE over patterns, and the filter on it."""
-    kind = F.when(F.col("text").rlike(r"(?i)\b(worthless|trash)\b"), "removal").when(F.col("text").rlike(r"(?i)\blicense\b|licensed under"), "addition")
-    return documents.select("doc_id", kind.alias("change_type")).where("change_type is not null")
+WITH t AS (SELECT p_partkey, CASE p_size % 6 WHEN 0 THEN 'Electing a Member to the committee on ' WHEN 1 THEN 'Removing a Member, electing ' WHEN 2 THEN 'Designating majority membership of ' WHEN 3 THEN 'Naming ' WHEN 4 THEN 'Accepting a resignation: ' ELSE 'Providing for the election of Members: ' END || p_name || CASE WHEN p_size % 7 < 4 THEN ' to a COMMITTEE of the House' ELSE '' END AS t FROM part),
+c AS (SELECT p_partkey, CASE WHEN regexp_matches(t, '(?is)\\bdischarg\\w*\\b.*\\bcommittee|\\bresign\\w*\\b.*\\bcommittee|\\bremov\\w*\\b.*\\bcommittee') THEN 'removal'
+WHEN regexp_matches(t, '(?is)\\belecting\\b.*\\bcommittee|\\belection of\\b.*\\bcommittee|\\bdesignat\\w*\\b.*\\bmembership\\b.*\\bcommittee') THEN 'addition' END AS change_type FROM t) SELECT * FROM c WHERE change_type IS NOT NULL""")
+def classify_titles(spark, part):
+    """House titles on every part: the classifier and the filter on it."""
+    openings = F.array(*[F.lit(x) for x in ("Electing a Member to the committee on ", "Removing a Member, electing ", "Designating majority membership of ", "Naming ", "Accepting a resignation: ", "Providing for the election of Members: ")])
+    title = F.concat(F.get(openings, F.col("p_size") % 6), "p_name", F.when(F.col("p_size") % 7 < 4, " to a COMMITTEE of the House").otherwise(""))
+    return classify.house_bills(part.select("p_partkey", title.alias("title"))).select("p_partkey", "change_type")
 
 
-@query("""SELECT user_id, arg_min(event_id, event_id) AS event_id, arg_min(CAST(ts AS VARCHAR)[1:10], event_id) AS day FROM events WHERE event_type = 'error' GROUP BY user_id""")
+@query("""SELECT user_id, arg_min(day, event_id) FILTER (WHERE event_type = 'error') AS day FROM (SELECT *, CASE WHEN event_id % 5 > 0 THEN CAST(ts AS VARCHAR)[1:10] ELSE '' END AS day FROM events) GROUP BY user_id""")
 def first_match_event(spark, events):
-    """First row of a key that passes."""
-    hit = R.pick_first(events.where("event_type = 'error'"), ["user_id"], [F.col("event_id")])
-    return hit.select("user_id", "event_id", _day("ts").alias("day"))
+    """Date of the first action of a user, in order, that tells of an agreement; one without a date gives none."""
+    action = F.struct("event_id", F.when(F.col("event_id") % 5 > 0, _day("ts")).otherwise("").alias("actionDate"), F.when(F.col("event_type") == "error", "On motion AGREED TO").otherwise(F.col("event_type")).alias("text"))
+    return events.groupBy("user_id").agg(F.array_sort(F.collect_list(action)).alias("actions")).select("user_id", classify.agreed_date(F.col("actions")).alias("day"))
 
 
 @query("""
@@ -60,13 +76,13 @@ def priority_pick(spark, orders):
 
 
 @query("""
-WITH g AS (SELECT *, row_number() OVER w - 1 AS pos, count(*) OVER (PARTITION BY l_orderkey) AS n, first_value(l_returnflag) OVER w AS f FROM lineitem WINDOW w AS (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity))
-SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CAST(CASE WHEN f = 'R' THEN pos + 1 WHEN n > 1 THEN pos + 2 END AS INTEGER) AS party_rank FROM g""")
+WITH g AS (SELECT *, row_number() OVER w - 1 AS pos, count(*) OVER (PARTITION BY l_orderkey) AS n, first_value(l_returnflag) OVER w AS f FROM lineitem WINDOW w AS (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey))
+SELECT l_orderkey, CAST(pos AS INTEGER) AS member_pos, 'part ' || l_partkey AS member_name, CAST(CASE WHEN l_orderkey % 3 = 0 THEN NULL WHEN f = 'R' THEN pos + 1 WHEN n > 1 THEN pos + 2 END AS INTEGER) AS party_rank FROM g""")
 def party_rank(spark, lineitem):
-    """Place in a list with an offset that its first row and its length decide."""
-    w = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
-    pos, n, first = F.row_number().over(w) - 1, F.count("*").over(Window.partitionBy("l_orderkey")), F.first("l_returnflag").over(w)
-    return lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.when(first == "R", pos + 1).when(n > 1, pos + 2).cast("int").alias("party_rank"))
+    """Ranks inside a block: from a named chair on, or from two, and only in the window."""
+    pair = F.struct("l_linenumber", "l_partkey", F.concat(F.lit("part "), F.col("l_partkey").cast("string")).alias("clean"), F.when(F.col("l_returnflag") == "R", "a part, Vice Chairman").alias("raw"))
+    blocks_ = lineitem.groupBy("l_orderkey").agg(F.transform(F.array_sort(F.collect_list(pair)), lambda p: F.struct(p["clean"].alias("clean"), p["raw"].alias("raw"))).alias("pairs"))
+    return M.member_rows(blocks_, in_window=F.col("l_orderkey") % 3 != 0).select("l_orderkey", "member_pos", "member_name", F.col("party_rank").cast("int").alias("party_rank"))
 
 
 def _rosters(events: DataFrame, singles: tuple[str, ...] = ()) -> DataFrame:
@@ -212,38 +228,122 @@ def carry_forward_merge(spark, documents):
     return R.carry_forward(new, old, ["lang", "source"], "n_chars", "doc_id").select("doc_id", "n_chars")
 
 
-@query("""SELECT l_linestatus, count(*) AS total, count(*) FILTER (WHERE l_returnflag = 'A') AS additions, count(*) FILTER (WHERE l_returnflag = 'R') AS removals, count(*) FILTER (WHERE l_discount = 0) AS missing FROM lineitem GROUP BY l_linestatus""")
+@query("""SELECT CAST(100 + l_linenumber AS INTEGER) AS congress, count(*) AS total, count(*) FILTER (WHERE l_returnflag <> 'R') AS additions, count(*) FILTER (WHERE l_returnflag = 'R') AS removals, count(*) FILTER (WHERE l_suppkey % 4 = 0 AND l_partkey % 3 > 0) AS missing FROM lineitem GROUP BY 1""")
 def conditional_counts(spark, lineitem):
-    c = lambda cond, name: F.count_if(cond).alias(name)
-    return lineitem.groupBy("l_linestatus").agg(F.count("*").alias("total"), c(F.col("l_returnflag") == "A", "additions"), c(F.col("l_returnflag") == "R", "removals"), c(F.col("l_discount") == 0, "missing"))
+    """Events of a Congress by kind, and those of a named person that nobody identified."""
+    return site.per_congress(_events_of(lineitem))
+
+
+@query("""SELECT count(*) AS total, count(*) FILTER (WHERE l_returnflag <> 'R') AS additions, count(*) FILTER (WHERE l_returnflag = 'R') AS removals, count(*) FILTER (WHERE l_suppkey % 4 = 0) AS missing, count(DISTINCT l_linenumber) AS congresses, CAST(100 + min(l_linenumber) AS INTEGER) AS first_congress, CAST(100 + max(l_linenumber) AS INTEGER) AS last_congress FROM lineitem""")
+def run_summary(spark, lineitem):
+    """The summary of a run, where every event without a person counts as missing one."""
+    return site.summary(_events_of(lineitem))
+
+
+@query("""SELECT CAST(100 + l_linenumber AS INTEGER) AS congress, count(*) FILTER (WHERE l_suppkey % 4 = 0 AND l_partkey % 3 > 0) AS missing FROM lineitem WHERE l_linenumber = (SELECT max(l_linenumber) FROM lineitem) GROUP BY 1 HAVING count(*) FILTER (WHERE l_suppkey % 4 = 0 AND l_partkey % 3 > 0) > 0""")
+def newest_alert(spark, lineitem):
+    """The newest Congress, if persons are missing in it."""
+    return site.current_alert(_events_of(lineitem)).select("congress", "missing")
+
+
+@query("""SELECT user_id, event_id FROM events WHERE NOT (user_id % 4 = 0) ORDER BY event_id LIMIT 0""")
+def no_rows(spark, events):
+    """A search with fewer than two letters finds nothing."""
+    return site.search_members(events.select("user_id", "event_id", F.col("event_type").alias("name"), F.col("event_id").alias("bioguide")), " a ").select("user_id", "event_id")
 
 
-@query("""SELECT CAST(ts AS VARCHAR)[1:10] AS day, count(*) FILTER (WHERE event_type = 'signup') AS a, count(*) FILTER (WHERE event_type = 'error') AS r FROM events GROUP BY 1""")
-def pivot_add_remove(spark, events):
-    kind = F.when(F.col("event_type") == "signup", "a").when(F.col("event_type") == "error", "r")
-    return events.withColumn("t", kind).groupBy(_day("ts").alias("day")).pivot("t", ["a", "r"]).count().na.fill(0)
+@query("""SELECT CAST(100 + l_linenumber AS INTEGER) AS c, count(*) FILTER (WHERE l_returnflag <> 'R') AS additions, count(*) FILTER (WHERE l_returnflag = 'R') AS removals FROM lineitem GROUP BY 1""")
+def pivot_add_remove(spark, lineitem):
+    """Additions and removals side by side."""
+    return site.changes_by_congress(site.compact(_events_of(lineitem)))
 
 
-@query("""SELECT CAST(year(l_shipdate) AS VARCHAR) AS year, count(*) AS n FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1""")
+@query("""SELECT CAST(year(l_shipdate) AS VARCHAR) AS year, count(*) AS count FROM lineitem WHERE l_returnflag = 'R' AND l_partkey % 11 > 0 GROUP BY 1""")
 def yearly_counts(spark, lineitem):
-    return lineitem.where("l_returnflag = 'R'").groupBy(F.date_format("l_shipdate", "yyyy").alias("year")).agg(F.count("*").alias("n"))
+    """Removals of a calendar year; events without a date are left out."""
+    return site.removals_by_year(site.compact(_events_of(lineitem)))
 
 
-@query("""SELECT l_suppkey, count(*) AS n FROM lineitem WHERE l_returnflag = 'R' GROUP BY l_suppkey ORDER BY n DESC, l_suppkey LIMIT 10""")
+@query("""SELECT 's' || l_suppkey AS k, count(*) AS n FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1 ORDER BY n DESC, k LIMIT 10""")
 def topk_removals(spark, lineitem):
-    """The ten keys with the most rows: a top-k report."""
-    return R.top(lineitem.where("l_returnflag = 'R'").groupBy("l_suppkey").agg(F.count("*").alias("n")), 10, F.desc("n"), F.col("l_suppkey"))
+    """The ten committees with the most removals: a top-k report."""
+    return site.most(site.compact(_events_of(lineitem)), "k", 10, removals=True)
 
 
-@query("""SELECT l_suppkey, count(*) AS n FROM lineitem GROUP BY l_suppkey ORDER BY n DESC, l_suppkey LIMIT 1""")
+@query("""SELECT 's' || l_suppkey AS k, count(*) AS n FROM lineitem GROUP BY 1 ORDER BY n DESC, k LIMIT 1""")
 def top1(spark, lineitem):
-    return R.top(lineitem.groupBy("l_suppkey").agg(F.count("*").alias("n")), 1, F.desc("n"), F.col("l_suppkey"))
+    return site.most(site.compact(_events_of(lineitem)), "k", 1)
 
 
-@query("""SELECT c_custkey, c_name FROM customer WHERE EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderstatus = 'P')""")
-def semi_members(spark, customer, orders):
-    needed = orders.where("o_orderstatus = 'P'").select(F.col("o_custkey").alias("c_custkey")).distinct()
-    return customer.join(needed, "c_custkey", "left_semi").select("c_custkey", "c_name")
+@query("""SELECT 'P' || l_suppkey AS b, count(*) AS n FROM lineitem WHERE l_suppkey % 4 > 0 GROUP BY 1 ORDER BY n DESC, b LIMIT 1""")
+def top_member(spark, lineitem):
+    """The person with the most events; events without one count for nobody."""
+    return site.most(site.compact(_events_of(lineitem)), "b", 1)
+
+
+@query("""
+WITH e AS (SELECT 's' || l_suppkey AS key, 'Committee ' || (l_partkey % 5) AS name, 100 + l_linenumber AS c, l_orderkey * 10 + l_linenumber AS seq, l_partkey AS p FROM lineitem), l AS (SELECT key, arg_max(name, (c, seq, p)) AS name, list_sort(list(DISTINCT name)) AS a FROM e GROUP BY key)
+SELECT key, name, array_to_string(list_filter(a, lambda x: x <> name), '|') AS formerly FROM l""")
+def committee_rollup(spark, lineitem):
+    """A committee's newest name and its former ones, in order."""
+    return site.committees(_events_of(lineitem)).withColumn("formerly", F.array_join("formerly", "|"))
+
+
+@query("""
+SELECT CAST(100 + l_linenumber AS INTEGER) AS c, 's' || l_suppkey AS k, CASE WHEN l_returnflag = 'R' THEN 'r' ELSE 'a' END AS t, CASE WHEN l_partkey % 3 > 0 THEN 'part ' || l_partkey ELSE '' END AS n, CASE WHEN l_partkey % 2 = 0 THEN 'https://b/' || l_orderkey ELSE 'u' || l_orderkey END AS u FROM lineitem""")
+def compact_events(spark, lineitem):
+    """Short codes and the address that an event has."""
+    return site.compact(_events_of(lineitem)).select("c", "k", "t", "n", "u")
+
+
+@query("""
+WITH e AS (SELECT 's' || l_suppkey AS key, 'Committee ' || (l_partkey % 5) AS name, 100 + l_linenumber AS c, l_orderkey * 10 + l_linenumber AS seq, l_partkey AS p FROM lineitem) SELECT key, arg_max(name, (c, seq, p)) AS name, count(*) AS n FROM e GROUP BY key""")
+def committee_picker(spark, lineitem):
+    """Committees with the number of their events."""
+    events = _events_of(lineitem)
+    return site.picker(site.compact(events), site.committees(events)).select("key", "name", "n")
+
+
+@query("""
+SELECT CAST(100 + l_linenumber AS INTEGER) AS c, count(*) AS n, string_agg(d || CASE WHEN l_returnflag = 'R' THEN 'r' ELSE 'a' END, '|' ORDER BY d, CASE WHEN l_returnflag = 'R' THEN 'r' ELSE 'a' END) AS events
+FROM (SELECT *, CASE WHEN l_partkey % 11 > 0 THEN CAST(l_shipdate AS DATE)::VARCHAR ELSE '' END AS d FROM lineitem WHERE l_suppkey = 1) GROUP BY 1""")
+def committee_timeline(spark, lineitem):
+    """Events of one committee by Congress, by date."""
+    rows = site.timeline(site.compact(_events_of(lineitem)), "s1")
+    return rows.select("c", F.size("events").cast("long").alias("n"), F.array_join(F.transform("events", lambda e: F.concat(e["d"], e["t"])), "|").alias("events"))
+
+
+@query("""SELECT CAST(100 + l_linenumber AS INTEGER) AS c, count(*) AS n FROM lineitem WHERE l_suppkey = 3 GROUP BY 1""")
+def member_terms(spark, lineitem):
+    """Events of one person by Congress, newest first."""
+    return site.member_history(site.compact(_events_of(lineitem)), "P3").select("c", F.size("events").cast("long").alias("n"))
+
+
+@query("""SELECT CASE WHEN l_partkey % 11 > 0 THEN CAST(l_shipdate AS DATE)::VARCHAR END AS d, CASE WHEN l_returnflag = 'R' THEN 'r' ELSE 'a' END AS t FROM lineitem WHERE l_suppkey = 2""")
+def committee_log(spark, lineitem):
+    """The log of one committee."""
+    return site.event_log(site.compact(_events_of(lineitem)), "s2").select("d", "t")
+
+
+@query("""
+SELECT 's' || l_suppkey AS k, coalesce(c_name, CASE WHEN l_partkey % 3 > 0 THEN 'part ' || l_partkey ELSE '' END) AS member, count(*) AS n FROM lineitem LEFT JOIN customer ON l_suppkey % 4 > 0 AND c_custkey = l_suppkey GROUP BY ALL""")
+def display_names(spark, lineitem, customer):
+    """Events with display names; an unknown person keeps the printed one."""
+    people = customer.select(F.concat(F.lit("P"), F.col("c_custkey").cast("string")).alias("bioguide"), F.col("c_name").alias("name"))
+    none = spark.createDataFrame([], "key string, name string")
+    return site.named(site.compact(_events_of(lineitem)), people, none).groupBy("k", "member").agg(F.count("*").alias("n"))
+
+
+@query("""SELECT 'P' || c_custkey AS bioguide, c_name AS name, 'N' || (c_nationkey % 7) AS state, c_mktsegment AS party FROM customer WHERE c_custkey IN (SELECT l_suppkey FROM lineitem WHERE l_suppkey % 4 > 0)""")
+def semi_members(spark, lineitem, customer):
+    """People who are in the events, with the last House term of each."""
+    term = lambda kind, state, party: F.struct(F.lit(kind).alias("type"), state.alias("state"), F.lit("2001-01-03").alias("start"), F.lit(None).cast("string").alias("end"), party.alias("party"))
+    own = F.concat(F.lit("N"), (F.col("c_nationkey") % 7).cast("string"))
+    people = customer.select(
+        F.struct(F.concat(F.lit("P"), F.col("c_custkey").cast("string")).alias("bioguide")).alias("id"), F.struct(F.when(F.col("c_custkey") % 2 == 0, F.col("c_name")).alias("official_full"), F.col("c_name").alias("first"), F.lit("").alias("last")).alias("name"),
+        F.array(term("rep", F.lit("XX"), F.lit("old")), term("rep", own, F.col("c_mktsegment")), term("sen", F.lit("ZZ"), F.lit("other"))).alias("terms"), F.col("c_custkey").alias("rec_pos"),
+    )
+    return site.members(_events_of(lineitem), people)
 
 
 @query("""SELECT c_custkey, c_name FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderstatus = 'P')""")
@@ -276,11 +376,11 @@ def split_members_notes(spark, documents):
     return documents.select("doc_id", F.posexplode(M.split_with_notes(F.col("text"))).alias("pos", "m")).select("doc_id", "pos", "m.clean", "m.raw")
 
 
-@query("""SELECT page_id, sha256(trim(regexp_replace(replace(replace(replace(replace(replace(regexp_replace(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1), '<[^>]+>', '', 'g'), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&amp;', '&'), '\\s+', ' ', 'g'))) AS title FROM pages""")
+@query("""SELECT page_id, sha256(replace(replace(replace(replace(replace(regexp_replace(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1), '<[^>]+>', '', 'g'), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', chr(39)), '&amp;', '&')) AS text FROM pages""")
 def html_pre_text(spark, pages):
-    """Text of an element, tags stripped, references decoded."""
-    inner = F.regexp_extract("html", r"(?is)<title[^>]*>(.*?)</title>", 1)
-    return pages.select("page_id", F.sha2(T.clean(T.strip_tags(inner)), 256).alias("title"))
+    """Text of the first pre element, tags stripped, references decoded."""
+    title = F.regexp_extract("html", r"(?is)<title[^>]*>(.*?)</title>", 1)
+    return pages.select("page_id", F.sha2(T.pre_text(F.concat(F.lit('<html>x<PRE class="a">'), title, F.lit("</pre> tail <pre>y</pre>"))), 256).alias("text"))
 
 
 @query("""
@@ -316,10 +416,19 @@ def page_slice(spark, orders):
     return R.page(orders, [F.col("o_orderkey")], 3).select("o_orderkey", "o_totalprice")
 
 
-@query("""SELECT p_partkey, p_name FROM part WHERE contains(lower(p_name), 'gizmo') OR contains(lower(p_brand), 'brand#1')""")
+@query("""SELECT p_partkey, p_name FROM part WHERE (contains(lower(p_name), 'gizmo') OR contains(lower(p_brand), 'gizmo')) AND p_size % 5 = 0 ORDER BY p_partkey LIMIT 50 OFFSET 50""")
 def search_contains(spark, part):
-    has = lambda c, q: F.contains(F.lower(F.coalesce(c, F.lit(""))), F.lit(q))
-    return part.where(has("p_name", "gizmo") | has("p_brand", "brand#1")).select("p_partkey", "p_name")
+    """The second page of the events without a person whose name or committee holds a text."""
+    events = part.select("p_partkey", "p_name", F.col("p_brand").alias("committee"), F.col("p_name").alias("member_name"), F.when(F.col("p_size") % 5 > 0, "P1").alias("bioguide_id"), F.col("p_partkey").alias("doc_seq"), F.lit(0).alias("block_pos"), F.lit(0).alias("member_pos"))
+    return site.browse(events, 2, True, "GIZMO").select("p_partkey", "p_name")
+
+
+@query("""SELECT bioguide, name FROM (SELECT 'P' || c_custkey AS bioguide, c_name || ' Vélez' AS name FROM customer WHERE c_custkey % 10 = 7) ORDER BY name, bioguide LIMIT 200""")
+def people_search(spark, customer):
+    """People whose name holds a text, accents folded on both sides, two hundred at most."""
+    name = F.concat("c_name", F.when(F.col("c_custkey") % 10 == 7, " Vélez").otherwise(" Oak"))
+    people = customer.select(F.struct(F.concat(F.lit("P"), F.col("c_custkey").cast("string")).alias("bioguide")).alias("id"), F.struct(name.alias("official_full"), F.lit("").alias("first"), F.lit("").alias("last")).alias("name"))
+    return site.search_people(people, "VELÉZ")
 
 
 @query("""SELECT 'order' AS source, o_orderkey AS id, strftime(o_orderdate, '%Y-%m-%d') AS date FROM orders UNION ALL SELECT 'event', event_id, CAST(ts AS VARCHAR)[1:10] FROM events""")
@@ -347,22 +456,34 @@ def code_fill(spark, part):
 
 
 @query("""
-WITH c AS (SELECT c_custkey, lower(c_mktsegment) AS seg, c_nationkey % 5 AS state, c_acctbal FROM customer), s AS (SELECT s_suppkey, (['automobile', 'building', 'furniture', 'household', 'machinery'])[1 + s_suppkey % 5] AS seg, s_nationkey % 5 AS state FROM supplier),
-p AS (SELECT s_suppkey, c_custkey, c.state = s.state AS f, c_acctbal FROM s JOIN c USING (seg) WHERE c_acctbal > 8500), q AS (SELECT *, bool_or(f) OVER (PARTITION BY s_suppkey) AS a FROM p), r AS (SELECT * FROM q WHERE f OR NOT a),
-t AS (SELECT *, c_acctbal > 9800 AS g, bool_or(c_acctbal > 9800) OVER (PARTITION BY s_suppkey) AS b FROM r)
-SELECT s_suppkey, CASE WHEN count(*) = 1 THEN min(c_custkey) END AS c_custkey FROM t WHERE g OR NOT b GROUP BY s_suppkey""")
+WITH c AS (SELECT 'P' || c_custkey AS id, lower(c_mktsegment) || chr(97 + CAST(c_nationkey AS INTEGER)) AS last, CASE c_custkey % 3 WHEN 0 THEN 'OH' WHEN 1 THEN 'TX' ELSE 'ME' END AS st, 'f' || chr(97 + CAST(c_custkey % 26 AS INTEGER)) AS first, c_custkey % 2 AS g, c_acctbal > 0 AS serves FROM customer),
+n AS (SELECT s_suppkey, (['automobile', 'building', 'furniture', 'household', 'machinery'])[1 + s_suppkey % 5] || chr(97 + CAST(s_nationkey AS INTEGER)) AS last, CASE WHEN s_suppkey % 4 > 0 THEN 'OH' END AS st, 'f' || chr(97 + CAST(s_suppkey % 26 AS INTEGER)) AS first FROM supplier),
+p AS (SELECT s_suppkey, id, n.st IS NULL OR c.st = n.st AS f, serves, c.first = n.first AS same_first, g = 0 AS same_gender FROM n JOIN c USING (last)), q AS (SELECT *, bool_or(f) OVER (PARTITION BY s_suppkey) AS a FROM p), r AS (SELECT * FROM q WHERE f OR NOT a),
+t AS (SELECT *, bool_or(serves) OVER (PARTITION BY s_suppkey) AS b FROM r), u AS (SELECT * FROM t WHERE serves OR NOT b),
+v AS (SELECT s_suppkey, CASE WHEN count(*) = 1 THEN min(id) WHEN count(*) FILTER (WHERE same_first) = 1 THEN min(id) FILTER (WHERE same_first) WHEN count(*) FILTER (WHERE same_gender) = 1 THEN min(id) FILTER (WHERE same_gender) END AS bioguide FROM u GROUP BY s_suppkey)
+SELECT s_suppkey, bioguide FROM v WHERE bioguide IS NOT NULL""")
 def resolve_cascade(spark, supplier, customer):
-    """Candidates by key, two filters that stand aside where they would leave nobody, then the one that is left."""
-    names = F.array(*[F.lit(x) for x in ("automobile", "building", "furniture", "household", "machinery")])
-    s = supplier.select("s_suppkey", F.get(names, (F.col("s_suppkey") % 5).cast("int")).alias("seg"), (F.col("s_nationkey") % 5).alias("s_state"))
-    c = customer.where("c_acctbal > 8500").select("c_custkey", F.lower("c_mktsegment").alias("seg"), (F.col("c_nationkey") % 5).alias("c_state"), "c_acctbal")
-    pool = R.skip_if_empty(s.join(c, "seg"), ["s_suppkey"], F.col("c_state") == F.col("s_state"))
-    pool = R.skip_if_empty(pool, ["s_suppkey"], F.col("c_acctbal") > 9800)
-    return pool.groupBy("s_suppkey").agg(R.unique_or_null(F.col("c_custkey")).alias("c_custkey"))
-
-
-@query("""SELECT l_shipdate::DATE::VARCHAR AS day, count(*) AS n, round(sum(l_extendedprice), 2) AS price FROM lineitem WHERE l_shipdate >= TIMESTAMP '1996-01-01' AND l_shipdate < TIMESTAMP '1998-01-01' GROUP BY 1""")
-def issue_range(spark, lineitem):
-    """A half-open date range that reaches the scan."""
-    rows = lineitem.where((F.col("l_shipdate") >= "1996-01-01") & (F.col("l_shipdate") < "1998-01-01"))
-    return rows.groupBy(_day("l_shipdate").alias("day")).agg(F.count("*").alias("n"), F.round(F.sum("l_extendedprice"), 2).alias("price"))
+    """Printed names to persons: surname, then state and term where they leave anybody, then first name or honorific, over all customers."""
+    letter = lambda n: F.char(F.lit(97) + n.cast("int"))
+    term = F.struct(F.lit("rep").alias("type"), F.get(F.array(F.lit("OH"), F.lit("TX"), F.lit("ME")), (F.col("c_custkey") % 3).cast("int")).alias("state"), F.lit("2001-01-03").alias("start"), F.when(F.col("c_acctbal") > 0, F.lit(None).cast("string")).otherwise("2003-01-03").alias("end"), F.lit("I").alias("party"))
+    people = customer.select(
+        F.struct(F.concat(F.lit("P"), F.col("c_custkey").cast("string")).alias("bioguide")).alias("id"),
+        F.struct(F.concat(F.initcap("c_mktsegment"), letter(F.col("c_nationkey"))).alias("last"), F.concat(F.lit("F"), letter(F.col("c_custkey") % 26)).alias("first")).alias("name"),
+        F.struct(F.when(F.col("c_custkey") % 2 == 0, "M").otherwise("F").alias("gender")).alias("bio"), F.array().cast("array<struct<last:string,end:string>>").alias("other_names"), F.array(term).alias("terms"),
+    )
+    names = F.array(*[F.lit(x) for x in ("Automobile", "Building", "Furniture", "Household", "Machinery")])
+    printed = F.concat(F.lit("Mr. F"), letter(F.col("s_suppkey") % 26), F.lit(" "), F.get(names, (F.col("s_suppkey") % 5).cast("int")), letter(F.col("s_nationkey")), F.when(F.col("s_suppkey") % 4 > 0, " of Ohio").otherwise(""))
+    asked = supplier.select(F.col("s_suppkey").alias("name_id"), printed.alias("printed"), F.lit(None).cast("string").alias("state"), F.lit("2005-05-05").alias("on_date"))
+    return resolve.lookup(asked, resolve.candidates(people)).select(F.col("name_id").alias("s_suppkey"), "bioguide")
+
+
+@query("""SELECT o_orderkey, CAST(o_orderdate AS DATE)::VARCHAR AS day FROM orders WHERE o_orderdate >= TIMESTAMP '1996-01-01' AND o_orderdate < TIMESTAMP '1998-01-01' AND o_orderpriority IN ('1-URGENT', '2-HIGH')""")
+def issue_range(spark, orders):
+    """Letters of the issues of a half-open span of dates: titles decide, and both filters come before the join."""
+    title = F.when(F.col("o_orderpriority") == "1-URGENT", "Resignation as Member of Committee on Rules").when(F.col("o_orderpriority") == "2-HIGH", "TEMPORARY RESIGNATIONS AS MEMBERS OF THE COMMITTEE").when(F.col("o_orderpriority") == "3-MEDIUM", "RESIGNATION AS CLERK")
+    granules = orders.select(F.concat(F.lit("CREC-"), _day("o_orderdate")).alias("packageId"), "o_orderkey", title.alias("title"))
+    packages = granules.select("packageId", F.substring("packageId", 6, 10).alias("dateIssued")).distinct()
+    found = event_plans.discovered(event_plans.Landed(packages=packages, granules=granules), "1996-01-01", "1998-01-01")
+    return found.select("o_orderkey", F.col("dateIssued").alias("day"))
+
+

@@ -30,6 +30,7 @@ def one(spark, f, *values):
     ("Mr. Oak (when sworn) and Mr. Elm", [("Mr. Oak", "Mr. Oak (when sworn)"), ("Mr. Elm", None)]),
     ("Mr. John Oak, Jr. of Illinois, Mr. Elm", [("Mr. John Oak, Jr. of Illinois", None), ("Mr. Elm", None)]),
     ("Mr. Oak shall rank immediately following Mr. Elm", [("Mr. Oak", "Mr. Oak shall rank immediately following Mr. Elm")]),
+    ("Mr. Oak, Mr. Elm (to rank immediately after Ms. Fir).", [("Mr. Oak", None), ("Mr. Elm", "Mr. Elm (to rank immediately after Ms. Fir)")]), ("Mr. Rafter of Ohio", [("Mr. Rafter of Ohio", None)]),
     ("", []), (None, []),
 ])
 def test_split_with_notes(spark, text, want):
@@ -127,7 +128,7 @@ def name_alone(raw):
     """Word by word: the first word from which on the rest is a note ends the name."""
     for p in re.findall(r"\([^()]*\)", raw):
         if is_note(p[1:-1].strip()) or p[1:-1].strip().lower() == "when sworn":
-            raw = raw.replace(p, "")
+            raw = raw.replace(" " + p, "").replace(p, "")
     for i in range(len(raw)):
         if (i == 0 or raw[i - 1] in ", ") and raw[i] not in ", " and (any(raw[i:].lower().startswith(r) and raw[i + len(r) :] for r in RANKS) or raw[i:].rstrip(". ").lower() in ROLES):
             return raw[:i].rstrip(", ")

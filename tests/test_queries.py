@@ -7,7 +7,10 @@ import os
 
 import pytest
 
-from seatledger.plans import queries
+from seatledger.plans import document_queries, queries
+
+QUERIES = queries.QUERIES | document_queries.QUERIES
+ORACLE_SQL = queries.ORACLE_SQL | document_queries.ORACLE_SQL
 
 DATA = "/root/testdata/sf0.001"
 
@@ -23,15 +26,19 @@ def duck():
 
 
 def _cell(v):
-    return round(v, 6) if isinstance(v, float) else str(v)
+    return repr(round(v, 6)) if isinstance(v, float) else str(v)
+
+
+def test_names_are_distinct():
+    assert not queries.QUERIES.keys() & document_queries.QUERIES.keys()
 
 
 @pytest.mark.skipif(not os.path.isdir(DATA), reason="no driver tables here")
-@pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
+@pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_query(spark, duck, name):
-    got = queries.QUERIES[name](spark, DATA)
+    got = QUERIES[name](spark, DATA)
     cols = sorted(got.columns)
-    res = duck.execute(queries.ORACLE_SQL[name])
+    res = duck.execute(ORACLE_SQL[name])
     names = [d[0] for d in res.description]
     assert sorted(names) == cols
     want = sorted([_cell(dict(zip(names, r, strict=True))[c]) for c in cols] for r in res.fetchall())
