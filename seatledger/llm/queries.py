@@ -60,4 +60,31 @@ QUERIES = {
     "op10_quality": op10_quality,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+#: DuckDB SQL over whole tables, where SQL expresses all columns. What it does not: op1 and op6 learn models whose sums
+#: depend on the order of addition, op2 and op5 have rules and a search of their own, op3 works on bytes, op4 on a
+#: permutation of token IDs, op7 on a shuffle by hashes; these are held against brute force in the tests.
+ORACLE_SQL: dict[str, str] = {
+    # Every pair of sets that share a shingle; components by the least id reached.
+    "op8_neardup": r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, CASE WHEN len(w) = 1 THEN w[1] ELSE w[i] || ' ' || w[i + 1] END AS g FROM w, LATERAL (SELECT unnest(range(1, greatest(len(w), 2))) AS i) WHERE len(w) > 0),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id), k AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM k JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 80 * (x.n + y.n - c)), e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r AS (SELECT doc_id AS d, doc_id AS m FROM documents UNION SELECT e.b, r.m FROM r JOIN e ON e.a = r.d AND r.m < e.b), c AS (SELECT d, min(m) AS component_id FROM r GROUP BY d)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept FROM documents LEFT JOIN n USING (doc_id) JOIN c ON c.d = doc_id""",
+    "op9_warc": """
+WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS n, sha256(coalesce(html, '')) AS d FROM pages), f AS (SELECT d, min(page_id) AS first FROM p WHERE n >= 100 GROUP BY d)
+SELECT page_id, n AS payload_bytes, d AS payload_digest, CASE WHEN page_id <> first THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN page_id <> first THEN first END AS refers_to FROM p LEFT JOIN f USING (d)""",
+    # The base metrics, and the rules of the method in any order.
+    "op10_quality": r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+g AS (SELECT doc_id, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS g FROM d, LATERAL (SELECT unnest(range(1, len(w) - 1)) AS i) WHERE len(w) > 2),
+q AS (SELECT doc_id, i FROM g QUALIFY count(*) OVER (PARTITION BY doc_id, g) > 1), v AS (SELECT doc_id, count(DISTINCT i + j) AS n_repeat_words FROM q, (VALUES (0), (1), (2)) o(j) GROUP BY doc_id),
+x AS (SELECT doc_id, list_filter(string_split(t, chr(10)), lambda y: regexp_matches(y, '[^\x20\x09-\x0D]')) AS l FROM d),
+m AS (SELECT doc_id, t, len(w) AS n_words, list_sum(list_transform(w, lambda y: length(y))) AS chars, length(t) - length(translate(t, '#*$%&|<>', '')) AS n_symbols, len(l) AS n_lines, len(l) - len(list_distinct(l)) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words,
+length(t) - length(regexp_replace(t, '\p{Lu}', '', 'g')) AS n_upper, length(t) - length(regexp_replace(t, '[\p{L}\p{M}]', '', 'g')) AS n_letters,
+len(list_filter(l, lambda y: rtrim(y, ' ') LIKE '%...' OR rtrim(y, ' ') LIKE '%…')) AS n_cut, len(list_filter(l, lambda y: ltrim(y, ' ') LIKE '•%' OR ltrim(y, ' ') LIKE '- %' OR ltrim(y, ' ') LIKE '* %')) AS n_bullets FROM d JOIN x USING (doc_id) LEFT JOIN v USING (doc_id)),
+b AS (SELECT *, CAST(coalesce(chars, 0) AS BIGINT) AS word_chars, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+NOT (base_failed OR 10 * n_symbols > n_words OR word_chars NOT BETWEEN 2 * n_words AND 20 * n_words OR (n_dup_lines > 3 AND 2 * n_dup_lines > n_lines) OR 10 * n_upper > 4 * n_letters OR 10 * n_letters < 6 * word_chars OR (n_cut > 0 AND 10 * n_cut > 3 * n_lines) OR (n_bullets > 3 AND 10 * n_bullets > 9 * n_lines)) AS kept FROM b""",
+}
