@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html as _html
 import unicodedata
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import Column
@@ -17,6 +18,11 @@ def _map(d: dict[str, str]) -> Column:
     return F.create_map(*[F.lit(x) for kv in d.items() for x in kv])
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often ``body`` names it; plans stay small."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def clean(x: Column) -> Column:
     """White space of any kind folded to one space, none at the ends; null gives ''."""
     return F.trim(F.regexp_replace(F.coalesce(x, F.lit("")), r"(?U)\s+", " "))

@@ -73,8 +73,8 @@ def without_provisos(text: Column) -> Column:
             known = known | F.lower(piece).startswith(words)
         return F.when(known, F.coalesce(F.get(F.split(piece, r"\.", 2), F.lit(1)), F.lit(""))).otherwise(F.concat(F.lit(" Provided, That "), piece))
 
-    pieces = F.split(text, r"(?i)\s*:?\s*\bProvided,\s+That\s+")
-    return F.concat(F.get(pieces, F.lit(0)), F.array_join(F.transform(F.slice(pieces, 2, F.greatest(F.size(pieces) - 1, F.lit(0))), told), ""))
+    whole = lambda pieces: F.concat(F.get(pieces, F.lit(0)), F.array_join(F.transform(F.slice(pieces, 2, F.greatest(F.size(pieces) - 1, F.lit(0))), told), ""))
+    return T.let(F.split(text, r"(?i)\s*:?\s*\bProvided,\s+That\s+"), whole)
 
 
 def _rank_sentence(op: Column) -> Column:
@@ -83,43 +83,51 @@ def _rank_sentence(op: Column) -> Column:
     The committee stands before the member ("on the Committee on X, Mr. Y shall rank after Z")
     or behind the rank ("Mr. Y shall rank after Z on the Committee on X").
     """
-    said = F.trim(F.rtrim(F.trim(F.regexp_replace(_before(op, END), r"(?i)^Resolved,\s*That\s+", "")), F.lit(".")))
     on = r"(?i)\s*\bon\s+the\s+Committee\s+on\s+"
-    parts = F.split(said, on, 2)
-    before, after = F.get(parts, F.lit(0)), F.get(parts, F.lit(1))
-    first = before == ""
-    committee = F.when(first, F.get(F.split(after, ",", 2), F.lit(0))).otherwise(after)
-    raw = F.trim(F.when(first, F.get(F.split(after, ",", 2), F.lit(1))).otherwise(before))
-    at = N.rank_at(raw)
-    whole = (at > 1) & ~F.contains(said, F.lit(":")) & (first | (before.rlike(P.HONORIFIC) & ~F.contains(after, F.lit("."))))
-    return F.when(whole, F.struct(committee.alias("committee"), T.clean_member(F.substr(raw, F.lit(1), at - 1)).alias("name"), T.clean_member(raw).alias("raw")))
+
+    def read(p: Column) -> Column:
+        """p: whether the committee stands first, the committee, the rest."""
+        at = N.rank_at(p["raw"])
+        whole = (at > 1) & (p["first"] | (p["raw"].rlike(P.HONORIFIC) & ~F.contains(p["committee"], F.lit("."))))
+        return F.when(whole, F.struct(p["committee"].alias("committee"), T.clean_member(F.substr(p["raw"], F.lit(1), at - 1)).alias("name"), T.clean_member(p["raw"]).alias("raw")))
+
+    def parted(parts: Column) -> Column:
+        before, after = F.get(parts, F.lit(0)), F.get(parts, F.lit(1))
+        behind = F.split(after, ",", 2)
+        first = before == ""
+        return F.struct(first.alias("first"), F.when(first, F.get(behind, F.lit(0))).otherwise(after).alias("committee"), F.trim(F.when(first, F.get(behind, F.lit(1))).otherwise(before)).alias("raw"))
+
+    said = F.trim(F.rtrim(F.trim(F.regexp_replace(_before(op, END), r"(?i)^Resolved,\s*That\s+", "")), F.lit(".")))
+    return T.let(said, lambda s: F.when(~F.contains(s, F.lit(":")), T.let(F.split(s, on, 2), lambda parts: T.let(parted(parts), read))))
 
 
 def house_text_blocks(body: Column) -> Column:
     """Blocks of a House text: a lone rank sentence, or joint committees, or committee blocks; the first kind found counts."""
-    op = without_provisos(T.operative(T.flat_text(body)))
-    rank = _rank_sentence(op)
-    rank_block = F.array(_block(T.clean_committee(F.concat(F.lit("Committee on "), rank["committee"])), F.array(F.struct(rank["name"].alias("clean"), rank["raw"].alias("raw"))), ranked=False))
+    return T.let(T.operative(T.flat_text(body)), lambda flat: T.let(without_provisos(flat), _blocks_of))
+
 
+def _blocks_of(op: Column) -> Column:
     text = _before(op, END)
+    rank_block = lambda r: F.array(_block(T.clean_committee(F.concat(F.lit("Committee on "), r["committee"])), F.array(F.struct(r["name"].alias("clean"), r["raw"].alias("raw"))), ranked=False))
+
     # (a) Joint Committee on X.--The following Members are hereby elected to it: (1) A. (2) B.
     letters = F.transform(_segments(text, r"\([a-z]\)\s*(?i:Joint\s+Committee)\b"), lambda s: _parted(s, r"\.--"))
     letters = F.filter(letters, lambda p: F.contains(F.lower(F.coalesce(p["body"], F.lit(""))), F.lit("hereby elected to")) & F.contains(p["body"], F.lit(":")))
-    lettered = F.transform(letters, lambda p: _block(T.clean_committee(F.regexp_replace(p["head"], r"^\([a-z]\)\s*", "")), M.split_numbered(F.get(F.split(p["body"], ":", 2), F.lit(1)))))
+    lettered = lambda found: F.transform(found, lambda p: _block(T.clean_committee(F.regexp_replace(p["head"], r"^\([a-z]\)\s*", "")), M.split_numbered(F.get(F.split(p["body"], ":", 2), F.lit(1)))))
     # Joint Committee on X: A, B.
     joint = _told(F.transform(_segments(text, r"\b(?i:Joint\s+Committee\s+(?:on|of)\s)"), lambda s: _parted(s, ":")))
-    inline = F.transform(joint, lambda p: _block(T.clean_committee(p["head"]), M.split_any(p["body"])))
+    inline = lambda found: F.transform(found, lambda p: _block(T.clean_committee(p["head"]), M.split_any(p["body"])))
 
     # Committee on X: A, B. The header ends at a colon, at a period, or at a period and a dash.
     headed = F.transform(_segments(text, r"\b(?:Committee|COMMITTEE)\s+[A-Za-z]"), lambda s: _parted(s, r"\.--|[:.]"))
     name = lambda p: F.concat(F.lit("Committee on "), F.regexp_replace(p["head"], r"(?i)^committee\s+(?:on\s+)?", ""))
     # Another clause or sentence ends the members; the number of the next header is none of them.
-    listed = lambda p: F.regexp_replace(_before(p["body"], r"Resolved,\s*That\b|In\s+lieu\s+of\b"), r"\(\d+\)\s*$", "")
-    usual = F.transform(_told(headed), lambda p: _block(T.clean_committee(name(p)), M.split_any(N.without_group_note(F.trim(listed(p))))))
-    return (
-        F.when(rank.isNotNull(), rank_block).when(F.size(letters) > 0, lettered).when(F.size(joint) > 0, inline)
-        .when(F.contains(F.lower(op), F.lit("elected to the following")), usual)
-        .otherwise(F.array().cast(BLOCK))
+    listed = lambda p: N.without_group_note(F.trim(F.regexp_replace(_before(p["body"], r"Resolved,\s*That\b|In\s+lieu\s+of\b"), r"\(\d+\)\s*$", "")))
+    usual = F.transform(_told(headed), lambda p: _block(T.clean_committee(name(p)), T.let(listed(p), M.split_any)))
+    elects = F.contains(F.lower(op), F.lit("elected to the following"))
+    return T.let(
+        F.struct(_rank_sentence(op).alias("rank"), letters.alias("letters"), joint.alias("joint")),
+        lambda r: F.when(r["rank"].isNotNull(), rank_block(r["rank"])).when(F.size(r["letters"]) > 0, lettered(r["letters"])).when(F.size(r["joint"]) > 0, inline(r["joint"])).when(elects, usual).otherwise(F.array().cast(BLOCK)),
     )
 
 

@@ -3,14 +3,13 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import notes as N
 from ..functions import patterns as P
-from ..functions.text import clean, clean_member
+from ..functions.text import clean, clean_member, let
 
 COMMA_STATE = r"(?i),\s*(?:" + "|".join(re.escape(s) for s in sorted(P.STATES, key=lambda s: (-len(s), s))) + r")\s*(?:[;.(]|$)"
 
@@ -37,11 +36,6 @@ def _pair(name: Column, raw: Column) -> Column:
     return F.struct(name.alias("clean"), F.when(raw != name, raw).alias("raw"))
 
 
-def _let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body`` of a value that is computed once, however often ``body`` names it."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def _named(pairs: Column) -> Column:
     return F.filter(pairs, lambda p: p["clean"] != "")
 
@@ -57,27 +51,28 @@ def split_with_notes(text: Column) -> Column:
     def merged(frags: Column) -> Column:
         # Where names begin: the first fragment, and each that is no note. Slices between them copy a fragment once.
         starts = F.filter(F.transform(frags, lambda f, i: F.when((i == 0) | ~N.continues(_bare(f)), i)), lambda i: i.isNotNull())
-        return _let(starts, lambda s: F.transform(s, lambda i, k: F.array_join(F.slice(frags, i + 1, F.coalesce(F.get(s, k + 1), F.size(frags)) - i), ", ")))
+        return let(starts, lambda s: F.transform(s, lambda i, k: F.array_join(F.slice(frags, i + 1, F.coalesce(F.get(s, k + 1), F.size(frags)) - i), ", ")))
 
     def pair(raw: Column) -> Column:
-        raw = _bare(raw)
-        return _pair(clean_member(N.without_notes(raw)), clean_member(raw))
+        return let(_bare(raw), lambda r: _pair(clean_member(N.without_notes(r)), clean_member(r)))
 
-    return _named(F.transform(_let(_member_fragments(text), merged), pair))
+    return _named(F.transform(let(_member_fragments(text), merged), pair))
 
 
 def split_name_state(text: Column) -> Column:
     """'Full Name, State;' lists: the last part is the state, a closing parenthesis or role a note."""
 
+    def told(f: Column) -> Column:
+        def named(name: Column, bare: Column) -> Column:
+            parts = F.transform(F.split(name, ","), F.trim)
+            person = lambda p: F.when(F.size(p) >= 2, clean_member(F.concat(F.array_join(F.slice(p, 1, F.size(p) - 1), ", "), F.lit(" of "), F.element_at(p, -1)))).otherwise("")
+            noted = f.rlike(P.NAME_STATE_NOTE) | (name != F.trim(bare))
+            return F.struct(let(parts, person).alias("clean"), F.when(noted, clean_member(f)).alias("raw"))
+
+        return let(F.rtrim(F.regexp_replace(f, P.NAME_STATE_NOTE, "")), lambda bare: let(F.trim(N.without_notes(bare)), lambda name: named(name, bare)))
+
     def pair(f: Column) -> Column:
-        f = F.trim(F.rtrim(F.regexp_replace(F.regexp_replace(f, P.LEADING_AND, ""), r"^\*+\s*", ""), F.lit(".")))
-        whole = clean_member(f)
-        bare = F.rtrim(F.regexp_replace(f, P.NAME_STATE_NOTE, ""))
-        named = F.trim(N.without_notes(bare))
-        noted = f.rlike(P.NAME_STATE_NOTE) | (named != F.trim(bare))
-        parts = F.transform(F.split(named, ","), F.trim)
-        name = clean_member(F.concat(F.array_join(F.slice(parts, 1, F.greatest(F.size(parts) - 1, F.lit(0))), ", "), F.lit(" of "), F.element_at(parts, -1)))
-        return F.struct(F.when(F.size(parts) >= 2, name).otherwise("").alias("clean"), F.when(noted, whole).alias("raw"))
+        return let(F.trim(F.rtrim(F.regexp_replace(F.regexp_replace(f, P.LEADING_AND, ""), r"^\*+\s*", ""), F.lit("."))), told)
 
     return _named(F.transform(_fragments(text, r";\s*"), pair))
 

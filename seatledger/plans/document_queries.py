@@ -7,6 +7,7 @@ checked against literal rows. All columns are strings, so that the two sides com
 from __future__ import annotations
 
 import json
+import weakref
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,7 +17,7 @@ from .. import schemas as S
 from ..functions import text as T
 from ..operators import blocks, classify, committees, letters, members, resolve
 from ..sources import api, landing, sinks, urls, xmldocs
-from ..sources.shared import folder
+from ..sources.shared import folder, put, written
 from . import events, site
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -64,6 +65,25 @@ def _landed(spark: SparkSession, label: str, *payloads: object) -> str:
     return path
 
 
+_held: "weakref.WeakKeyDictionary[SparkSession, dict]" = weakref.WeakKeyDictionary()
+
+
+def _once(spark: SparkSession, name: str, make: Callable[[], object]) -> object:
+    """What several queries of a session read, made by the first of them."""
+    mine = _held.setdefault(spark, {})
+    if name not in mine:
+        mine[name] = make()
+    return mine[name]
+
+
+def _house(spark: SparkSession, congress: int) -> DataFrame:
+    return _once(spark, f"house-{congress}", lambda: written(events.house(house_landed(spark), congress), "house"))
+
+
+def _record(spark: SparkSession) -> DataFrame:
+    return _once(spark, "record", lambda: written(events.record(house_landed(spark), 109, "2005-01-03", "2007-01-03"), "record"))
+
+
 def _joined(a: Column) -> Column:
     return F.array_join(a, "|")
 
@@ -143,6 +163,10 @@ def legislators(spark: SparkSession) -> DataFrame:
 
 
 def house_landed(spark: SparkSession) -> events.Landed:
+    return _once(spark, "landed", lambda: _house_landed(spark))
+
+
+def _house_landed(spark: SparkSession) -> events.Landed:
     rend = [(119, "hres", "7", "govinfo", "ih", "xml", XML.replace("AGRICULTURE", "Wrong stage")), (119, "hres", "7", "govinfo", "eh", "xml", XML), (119, "hres", "7", "congress", "eh", "text", TEXT), (119, "hres", "8", "govinfo", "eh", "xml", XML), (109, "hres", "6", "congress", "eh", "text", TEXT)]
     listed = landing.committee_list(spark, _landed(spark, "committees", *COMMITTEES)).drop("chamber")
     return events.Landed(
@@ -210,19 +234,10 @@ def scan_documents(spark):
     """A6, A7: documents as files, told by their names."""
     path = folder(spark, "documents")
     for host, name, body in (("govinfo", "BILLS-119hres7eh.xml", "<a/>"), ("congress", "BILLS-109sres16ats.htm", "b"), ("congress", "other.txt", "c")):
-        _put(spark, f"{path}/{host}/{name}", body)
+        put(spark, f"{path}/{host}/{name}", body.encode())
     return landing.renditions(spark, f"{path}/*/*").select("host", "congress", "bill_type", "number", "stage", "format", "body")
 
 
-def _put(spark: SparkSession, path: str, text: str) -> None:
-    """A file of a name of its own, in whatever store the path is."""
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
-    at = hadoop.Path(path)
-    with_bytes = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(at, True)
-    with_bytes.write(bytearray(text.encode()))
-    with_bytes.close()
-
-
 @case("pos code name parent", (0, "hsag00", "Agriculture Committee", None), (1, "hsag03", "Subcommittee", "hsag00"), (2, None, "No code", None), (1000000, "hsru00", "Rules Committee", None), (1000001, "hsxx00", "Farming Committee", None))
 def scan_committees(spark):
     """A3: committees over pages."""
@@ -271,8 +286,8 @@ def discovered_letters(spark):
 def scan_people(spark):
     """A14, H5: people of several YAML files, in the order of the files."""
     path = folder(spark, "people")
-    _put(spark, f"{path}/legislators-a.yaml", "- id: {bioguide: A1}\n  name: {first: Ann, last: Oak}\n  terms:\n  - {type: rep, state: OH, start: 2001-01-03, end: '2003-01-03'}\n  - {type: rep, state: TX}\n  - {type: rep, state: OH}\n")
-    _put(spark, f"{path}/legislators-b.yaml", "- id: {bioguide: B1}\n  name: {last: Elm}\n  terms: [{type: rep, state: VA}]\n")
+    put(spark, f"{path}/legislators-a.yaml", "- id: {bioguide: A1}\n  name: {first: Ann, last: Oak}\n  terms:\n  - {type: rep, state: OH, start: 2001-01-03, end: '2003-01-03'}\n  - {type: rep, state: TX}\n  - {type: rep, state: OH}\n".encode())
+    put(spark, f"{path}/legislators-b.yaml", "- id: {bioguide: B1}\n  name: {last: Elm}\n  terms: [{type: rep, state: VA}]\n".encode())
     rows = landing.legislators(spark, [f"{path}/legislators-a.yaml", f"{path}/legislators-b.yaml"])
     return rows.select("id.bioguide", "name.last", _joined(F.array_distinct(F.transform("terms", lambda t: t["state"]))), F.size("terms"))
 
@@ -367,25 +382,25 @@ LETTERS = ((109, "removal", "Committee on Rules", "Ann Elm", "E1", None, "2005-0
 @case(" ".join(EVENT), *HOUSE_119)
 def house_events(spark):
     """J11, J13, F1, C20: from bills to events, XML documents."""
-    return events.house(house_landed(spark), 119).select(*EVENT)
+    return _house(spark, 119).select(*EVENT)
 
 
 @case(" ".join(EVENT), *HOUSE_109)
 def house_text_events(spark):
     """J13: the same from text documents."""
-    return events.house(house_landed(spark), 109).select(*EVENT)
+    return _house(spark, 109).select(*EVENT)
 
 
 @case(" ".join(EVENT), *LETTERS)
 def letter_events(spark):
     """J9, J12, C6, A12: letters to events; those of several signers are left out, one without a committee is an event."""
-    return events.record(house_landed(spark), 109, "2005-01-03", "2007-01-03").select(*EVENT)
+    return _record(spark).select(*EVENT)
 
 
 @case("committee page signed url code", ("Committee on Rules", "H228", "2005-02-07", "https://d/228", "hsru00"), ("Committee on Agriculture", "H228", "2005-02-07", "https://d/228", "hsag00"), ("(Temporary) Committee", None, None, "https://www.govinfo.gov/app/details/CREC-2005-02-08", None))
 def letter_references(spark):
     """A12, D4: page, day and address of a letter, and the codes of its committees."""
-    return events.record(house_landed(spark), 109, "2005-01-03", "2007-01-03").select("committee", "source_ref.page", "source_ref.signed_date", "source_ref.url", "system_code")
+    return _record(spark).select("committee", "source_ref.page", "source_ref.signed_date", "source_ref.url", "system_code")
 
 
 @case("place source committee member", *[(i, "resolution", r[2], r[3]) for i, r in enumerate(HOUSE_109, 1)], *[(i, "congressional_record", r[2], r[3]) for i, r in enumerate(LETTERS, 6)])
@@ -426,7 +441,7 @@ def senate_titles(spark):
 @case("member bioguide", ("Mr. Fir", "X9"), ("Mr. Oak of Ohio", "O1"), ("Ms. Elm of Texas", "E1"), ("Mr. Ash Bay", "Z2"), ("Mr. Oak", "O1"), ("Ms. Elm", "E1"), ("Mr. Box", None))
 def carried_corrections(spark):
     """D8, K4: persons of an earlier run fill what is null; the last one counts, and a blank one does not."""
-    new = events.house(house_landed(spark), 119)
+    new = _house(spark, 119)
     old = lambda name, person, at: new.where(F.col("member_name") == name).withColumn("bioguide_id", F.lit(person)).withColumn("doc_seq", F.lit(at).cast("long"))
     previous = old("Mr. Fir", "X1", 1).unionByName(old("Mr. Fir", "X9", 2)).unionByName(old("Mr. Oak of Ohio", "X2", 1)).unionByName(old("Mr. Box", "", 1)).unionByName(old("Mr. Ash Bay", "Z2", 1))
     return events.merge_ids(new, previous).select("member_name", "bioguide_id")
@@ -435,7 +450,7 @@ def carried_corrections(spark):
 @case("congress committee rank bioguide date", (118, "Committee on Budget", None, None, "2025-01-10"), (119, "Committee on Budget", None, "Z1", None))
 def row_edits(spark):
     """L4, B6: edits of one event of one Congress: a blank committee and a rank that is no number are ignored, other blanks are null."""
-    rows = events.house(house_landed(spark), 119).where("member_name = 'Mr. Box'")
+    rows = _house(spark, 119).where("member_name = 'Mr. Box'")
     both = rows.unionByName(rows.withColumn("congress", F.lit("118")))
     k = rows.select(*events.EVENT_KEY)
     edits = k.crossJoin(spark.createDataFrame([("committee", " "), ("party_rank", "two"), ("bioguide_id", " Z1 "), ("date", "")], "field string, value string"))
@@ -452,18 +467,16 @@ def bare_run(spark):
 @case("pos committee congress file", (0, "Committee on Agriculture", "119", "committee_changes_119.json"), (3, "Committee on Rules", "119", "committee_changes_119.json"), (6, "Committee on Budget", "119", "committee_changes_119.json"))
 def exported_events(spark):
     """A17, A18, B1, B2, G11: events written as one JSON array and read again in its order, the Congress from the file's name."""
-    import tempfile
-
-    path = tempfile.mkdtemp(prefix="seatledger-export-")
-    sinks.export_events(events.house(house_landed(spark), 119), f"{path}/committee_changes_119.json")
-    return landing.congress_files(spark, f"file://{path}").where("doc_seq % 3 = 0").select("doc_seq", "committee", "congress", "file")
+    path = folder(spark, "export")
+    sinks.export_events(_house(spark, 119), f"{path}/committee_changes_119.json")
+    return landing.congress_files(spark, path).where("doc_seq % 3 = 0").select("doc_seq", "committee", "congress", "file")
 
 
 @case("congress n first", (119, 7, "Mr. Oak of Ohio"), (109, 5, "N"))
 def event_store(spark):
     """A19, B6, G1: a store by Congress: listed, read in part, edited and saved."""
-    given, path = house_landed(spark), folder(spark, "store")
-    sinks.write_events(events.house(given, 119).unionByName(events.house(given, 109)), path)
+    path = folder(spark, "store")
+    sinks.write_events(_house(spark, 119).unionByName(_house(spark, 109)), path)
     sinks.save_events(landing.store_events(spark, path, 109).withColumn("member_name", F.lit("N")), path)
     return spark.read.parquet(path).groupBy("congress").agg(F.count("*").alias("n"), F.min_by("member_name", F.struct("doc_seq", "block_pos", "member_pos")))
 
@@ -471,12 +484,10 @@ def event_store(spark):
 @case("kind key name n", ("committee", "hsag00", "Committee on Agriculture", 3), ("committee", "hsru00", "Committee on Rules", 1), ("committee", "name:budget", "Committee on Budget", 1), ("committee", "name:joint printing", "Joint Committee on Printing", 2), ("member", "O1", "Sam Oak", 2), ("member", "E1", "Ann Elm", 2))
 def site_data(spark):
     """A20, B4, E2, E13: the site's data written as one file and read as its pages read it."""
-    import tempfile
-
-    rows = events.house(house_landed(spark), 119)
-    path = f"{tempfile.mkdtemp(prefix='seatledger-site-')}/site.json"
+    rows = _house(spark, 119)
+    path = f"{folder(spark, 'site')}/site.json"
     sinks.export_site(path, site.committees(rows), site.members(rows, legislators(spark)), site.compact(rows))
-    c, m, e = landing.site_tables(spark, f"file://{path}")
+    c, m, e = landing.site_tables(spark, path)
     counts = lambda key: e.groupBy(key).agg(F.count("*").alias("n"))
     first = c.join(counts("k"), F.col("key") == F.col("k")).select(F.lit("committee"), "key", "name", "n")
     return first.union(m.join(counts("b"), F.col("bioguide") == F.col("b")).select(F.lit("member"), "bioguide", "name", "n"))
@@ -485,18 +496,16 @@ def site_data(spark):
 @case("congress total additions removals missing named", (119, 7, 7, 0, 3, "119th"), (109, 8, 5, 3, 3, "109th"))
 def downloads_report(spark):
     """B5, E1, E15, I33: the counts of the files, as the page of downloads shows them."""
-    import tempfile
-
-    given, path = house_landed(spark), tempfile.mkdtemp(prefix="seatledger-files-")
+    given, path = house_landed(spark), folder(spark, "files")
     for c in (119, 109):
         sinks.export_events(events.collect(given, c), f"{path}/committee_changes_{c}.json")
-    return site.files_report(landing.congress_files(spark, f"file://{path}")).select("congress", "total", "additions", "removals", "missing", "term")
+    return site.files_report(landing.congress_files(spark, path)).select("congress", "total", "additions", "removals", "missing", "term")
 
 
 @case("total additions removals missing congresses", (7, 7, 0, 3, 1))
 def run_report(spark):
     """B7, E6: what a run tells when it ends."""
-    return site.summary(events.house(house_landed(spark), 119)).select("total", "additions", "removals", "missing", "congresses")
+    return site.summary(_house(spark, 119)).select("total", "additions", "removals", "missing", "congresses")
 
 
 # Persons

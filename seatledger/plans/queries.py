@@ -76,7 +76,7 @@ def priority_pick(spark, orders):
 
 
 @query("""
-WITH g AS (SELECT *, row_number() OVER w - 1 AS pos, count(*) OVER (PARTITION BY l_orderkey) AS n, first_value(l_returnflag) OVER w AS f FROM lineitem WINDOW w AS (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey))
+WITH g AS (SELECT *, row_number() OVER w - 1 AS pos, count(*) OVER (PARTITION BY l_orderkey) AS n, first_value(l_returnflag) OVER w AS f FROM lineitem WINDOW w AS (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, CASE WHEN l_returnflag = 'R' THEN 1 END NULLS FIRST))
 SELECT l_orderkey, CAST(pos AS INTEGER) AS member_pos, 'part ' || l_partkey AS member_name, CAST(CASE WHEN l_orderkey % 3 = 0 THEN NULL WHEN f = 'R' THEN pos + 1 WHEN n > 1 THEN pos + 2 END AS INTEGER) AS party_rank FROM g""")
 def party_rank(spark, lineitem):
     """Ranks inside a block: from a named chair on, or from two, and only in the window."""

@@ -26,9 +26,29 @@ def base(spark: SparkSession) -> str:
     return held.get().rstrip("/")
 
 
+def _at(spark: SparkSession, path: str):
+    """The path and its store, whatever store that is."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at, at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def put(spark: SparkSession, path: str, data: bytes) -> None:
+    """A file in Spark's store that appears whole or not at all."""
+    at, store = _at(spark, path)
+    own = at.suffix(f".{uuid.uuid4().hex}")
+    stream = store.create(own, True)
+    try:
+        stream.write(bytearray(data))
+    finally:
+        stream.close()
+    store.delete(at, False)
+    store.rename(own, at)
+
+
 def folder(spark: SparkSession, label: str) -> str:
-    """A new folder, deleted with :func:`release` or when Python ends."""
-    path = f"{base(spark)}/seatledger/{label}-{uuid.uuid4().hex}"
+    """A new folder, deleted with :func:`release` or when Python ends; its path names its store."""
+    at, store = _at(spark, f"{base(spark)}/seatledger/{label}-{uuid.uuid4().hex}")
+    path = at.makeQualified(store.getUri(), store.getWorkingDirectory()).toString()
     _made.setdefault(spark, []).append(path)
     return path
 
@@ -41,10 +61,9 @@ def written(df: DataFrame, label: str) -> DataFrame:
 
 
 def release(spark: SparkSession) -> None:
-    conf, jvm = spark.sparkContext._jsc.hadoopConfiguration(), spark.sparkContext._jvm
     for path in _made.pop(spark, []):
-        at = jvm.org.apache.hadoop.fs.Path(path)
-        at.getFileSystem(conf).delete(at, True)
+        at, store = _at(spark, path)
+        store.delete(at, True)
 
 
 @atexit.register

@@ -4,14 +4,15 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import tempfile
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.refs import ref_json
 from ..schemas import EVENT_FIELDS
-from .shared import written
+from .shared import put, written
 
 
 def write_events(events: DataFrame, path: str) -> None:
@@ -24,8 +25,11 @@ def save_events(events: DataFrame, path: str) -> None:
     write_events(written(events, "edited"), path)
 
 
-def write_atomic(path: str, data: bytes) -> None:
-    """A file appears whole or not at all."""
+def write_atomic(path: str, data: bytes, spark: SparkSession | None = None) -> None:
+    """A file appears whole or not at all; a path that names a store is written there."""
+    if spark is not None and re.match(r"\w+:/", path):
+        put(spark, path, data)
+        return
     folder = os.path.dirname(os.path.abspath(path))
     os.makedirs(folder, exist_ok=True)
     fd, own = tempfile.mkstemp(dir=folder)
@@ -47,7 +51,7 @@ def export_events(events: DataFrame, path: str) -> int:
         event = json.loads(r["e"])
         event["source_ref"] = json.loads(r["r"]) if r["r"] else None
         out.append(event)
-    write_atomic(path, json.dumps(out, indent=2, ensure_ascii=False).encode())
+    write_atomic(path, json.dumps(out, indent=2, ensure_ascii=False).encode(), events.sparkSession)
     return len(out)
 
 
@@ -56,4 +60,4 @@ def export_site(path: str, committees: DataFrame, members: DataFrame, site: Data
     c = {r["key"]: {"name": r["name"], "formerly": r["formerly"]} for r in committees.toLocalIterator()}
     m = {r["bioguide"]: {"name": r["name"], "state": r["state"], "party": r["party"]} for r in members.toLocalIterator()}
     e = [r.asDict() for r in site.toLocalIterator()]
-    write_atomic(path, json.dumps({"committees": c, "members": m, "events": e}, separators=(",", ":"), ensure_ascii=False).encode())
+    write_atomic(path, json.dumps({"committees": c, "members": m, "events": e}, separators=(",", ":"), ensure_ascii=False).encode(), site.sparkSession)
