@@ -324,7 +324,8 @@ def _merged(parts: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 def dedup(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and kept (the remaining bytes) for every row."""
-    gone = spans(docs).groupBy("k1", "k2").agg(F.collect_list(F.struct("lo", "hi")).alias("parts"))
+    # Equal rows have equal spans: once each, so that no list grows with the copies of a text.
+    gone = spans(docs).distinct().groupBy("k1", "k2").agg(F.collect_list(F.struct("lo", "hi")).alias("parts"))
 
     def make():
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
