@@ -98,6 +98,13 @@ def held(key: str, make: Callable[[], object]) -> object:
     return store[key]
 
 
+def fresh(name: str, columns: list[str]) -> str:
+    """``name``, or a longer one that no column begins with."""
+    while any(c.lower().startswith(name.lower()) for c in columns):
+        name += "_"
+    return name
+
+
 def spaced(text: Column) -> Column:
     """``text`` with every word-parting character turned into a space; null gives ''."""
     out = F.coalesce(text, F.lit(""))

@@ -133,14 +133,13 @@ def mixed(docs: DataFrame, **options) -> DataFrame:
     """``docs`` as the mix takes them: each row as often as its words were taken, to the nearest whole copy.
 
     Null ids, sources and texts are values like others; a row without words goes; columns may
-    have any names but those that begin with ``_sl_``.
+    have any names.
 
     Whole documents stand for the words taken; rows taken less than half go, rows
     taken twice or three times come as often. Rows that are equal share one count.
     """
-    share = mix(docs, **options).where("size > 0").groupBy("doc_id", "source", "row_hash").agg((F.sum("taken") / F.sum("size")).alias("_sl_share"))
-    copies = share.select(F.col("doc_id").alias("_sl_id"), F.col("source").alias("_sl_source"), F.col("row_hash").alias("_sl_hash"), F.round("_sl_share").cast("int").alias("_sl_copies")).where("_sl_copies > 0")
-    keyed = docs.withColumn("_sl_text_hash", F.xxhash64("text"))
-    on = F.col("doc_id").cast("long").eqNullSafe(F.col("_sl_id")) & F.col("source").eqNullSafe(F.col("_sl_source")) & (F.col("_sl_text_hash") == F.col("_sl_hash"))
-    repeated = keyed.join(copies, on).withColumn("_sl_copy", F.explode(F.sequence(F.lit(1), F.col("_sl_copies"))))
-    return repeated.select(*[F.col(f"`{c}`") for c in docs.columns])
+    share = mix(docs, **options).where("size > 0").groupBy("doc_id", "source", "row_hash").agg(F.round(F.sum("taken") / F.sum("size")).cast("int").alias("copies")).where("copies > 0")
+    # The row travels as one value, so no name of its columns can clash.
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").cast("long").alias("id"), F.col("source").alias("own"), F.xxhash64("text").alias("hash"))
+    on = F.col("id").eqNullSafe(F.col("doc_id")) & F.col("own").eqNullSafe(F.col("source")) & (F.col("hash") == F.col("row_hash"))
+    return rows.join(share, on).withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("row.*")

@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_batches, materialise, utf8
+from .common import fresh, map_batches, materialise, utf8
 
 #: Values that rows of one region share at first and at last, and values of the sort key beyond them.
 DEPTH, DEEPEST, TAIL = 4, 16, 4
@@ -132,10 +132,6 @@ def describe(docs: DataFrame, k: int, hashes: int) -> DataFrame:
     return map_batches(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), make, "doc_id long, n_shingles long, set_key binary, sig binary")
 
 
-#: Number of a row in :func:`dedup`.
-ROW = "_sl_row"
-
-
 def _order_rows(ids: np.ndarray, sig: np.ndarray, depth: int) -> list[pa.RecordBatch]:
     """tree, key, id for every rotation of the signatures: the next depth + TAIL values, as bytes that sort as they do."""
     out, width = [], depth + TAIL
@@ -432,10 +428,11 @@ def dedup(docs: DataFrame, shingle_words: int = 5, percent: int = 80) -> DataFra
     Rows are numbered in a stored table and compared by that number, so rows that share a doc_id, or have none,
     are documents of their own.
     """
-    rows = materialise(docs.withColumn(ROW, F.monotonically_increasing_id()), "near-rows")
-    ids = rows.select(ROW, F.col("doc_id").cast("long").alias("id"))
-    found = find(rows.select(F.col(ROW).alias("doc_id"), "text"), shingle_words, percent).select(F.col("doc_id").alias(ROW), "row_key", "component_id")
-    found = materialise(found.join(ids, ROW).withColumn("place", F.struct(F.col("id").isNull(), "id", "row_key", ROW)).drop("id", "row_key"), "near-found")
+    row = fresh("_sl_row", docs.columns)
+    rows = materialise(docs.withColumn(row, F.monotonically_increasing_id()), "near-rows")
+    ids = rows.select(row, F.col("doc_id").cast("long").alias("id"))
+    found = find(rows.select(F.col(row).alias("doc_id"), "text"), shingle_words, percent).select(F.col("doc_id").alias(row), "row_key", "component_id")
+    found = materialise(found.join(ids, row).withColumn("place", F.struct(F.col("id").isNull(), "id", "row_key", row)).drop("id", "row_key"), "near-found")
     best = found.groupBy("component_id").agg(F.min("place").alias("best"), F.count("*").alias("n")).where("n > 1")
-    gone = found.join(best, "component_id").where(F.col("place") != F.col("best")).select(ROW)
-    return rows.join(gone, ROW, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    gone = found.join(best, "component_id").where(F.col("place") != F.col("best")).select(row)
+    return rows.join(gone, row, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])

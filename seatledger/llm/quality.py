@@ -20,7 +20,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACES, materialise, spaced, word_count, words_of
+from .common import SPACES, fresh, materialise, spaced, word_count, words_of
 
 TEXT = "_sl_q_text"
 SYMBOLS = "#*$%&|<>"
@@ -216,18 +216,18 @@ def shared_metrics(rules: tuple[Rule, ...], m: M) -> list[str]:
 
 def apply_cascade(docs: DataFrame, rules: tuple[Rule, ...] = RULES, sample_rows: int = 1000) -> DataFrame:
     """Rows of ``docs`` that no rule rejects, with their columns as they came: equal rows all stay or all go, a null or
-    empty text goes by ``few_words``, and columns may have any names but those that begin with ``_sl_q_``.
+    empty text goes by ``few_words``, and columns may have any names.
 
     Metrics that several rules read are taken once for a row; the rest, among them the
     costly one of repeated windows, only where the cascade gets to their rule.
     """
     ranked = order(rules, estimate(docs, rules, sample_rows))
-    exprs = metrics(F.col("text"))
+    exprs, own = metrics(F.col("text")), fresh(TEXT, docs.columns)
     shared = shared_metrics(ranked, exprs)
-    df = docs.withColumns({f"{TEXT}_{n}": exprs[n] for n in shared})
-    have = exprs | {n: F.col(f"{TEXT}_{n}") for n in shared}
+    df = docs.withColumns({f"{own}_{n}": exprs[n] for n in shared})
+    have = exprs | {n: F.col(f"{own}_{n}") for n in shared}
     # rand() keeps the filter above the shared metrics: pushed down, it would take them for each rule.
-    return df.withColumn(f"{TEXT}_ok", F.when(F.rand(0) < 2, passes(ranked, have))).where(f"{TEXT}_ok").select(*[F.col(f"`{c}`") for c in docs.columns])
+    return df.withColumn(f"{own}_ok", F.when(F.rand(0) < 2, passes(ranked, have))).where(f"{own}_ok").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def report(docs: DataFrame, sample_rows: int = 1000) -> DataFrame:

@@ -621,3 +621,82 @@ def test_warc_long_archive():
     for i in range(3):
         w.add(warc.record_bytes(i, "u", long, hashlib.sha256(long).hexdigest(), "response", None))
     assert [r.payload for r in warc.read(w.take())] == [long] * 3
+
+
+LONG = 60_000
+
+
+def long_docs(spark):
+    """Texts of some hundred thousand words and of one endless word, twice each, beside short ones."""
+    rng = random.Random(21)
+    many = " ".join(rng.choice(["alpha", "beta", "gamma", "delta"]) + str(rng.randrange(9000)) for _ in range(LONG))
+    rows = [(1, many), (2, many), (3, many + " tail"), (4, "x" * 300_000), (5, "x" * 300_000), (6, "idiot " * LONG), (7, "\n" * 100_000), (8, "mit license"), (9, None), (9, None), (9, "one two three")]
+    names = "doc_id long, text string, source string, block int, shard int, slot long, id long, items string, sig string, tree int, key string, prefix long, job string, comp long, term string, `_sl_id` string, `_sl_source` string, `_sl_hash` long, `_sl_share` double, `_sl_copies` int, `_sl_row` int, component_id long, taken long, `_sl_q_text_ok` long, bucket int, rank int, task int, part int, record string"
+    return spark.createDataFrame([(i, t, "s", 1, 2, 3, 4, "5", "6", 7, "8", 9, "a", 1, "b", "c", "d", 2, 0.5, 3, 4, 5, 6, 7, 8, 9, 1, 2, "r") for i, t in rows], names), rows
+
+
+def test_long_texts_and_clashing_columns(spark, tmp_path):
+    docs, rows = long_docs(spark)
+    n = len(rows)
+    by = lambda frame, *cols: Counter(tuple(r[c] for c in cols) for r in frame.collect())
+    words = Counter((i, len(WORD.findall(t or ""))) for i, t in rows)
+    assert by(quality.report(docs), "doc_id", "n_words") == words
+    assert by(langmodel.score(docs), "doc_id", "n_tokens") == Counter((i, k + 1) for (i, k), c in words.items() for _ in range(c))
+    assert by(mixture.mix(docs), "doc_id", "size") == words
+    found = {r["doc_id"]: r["component_id"] for r in neardup.find(docs).collect() if r["doc_id"] != 9}
+    assert found == {1: 1, 2: 1, 3: 1, 4: 4, 5: 4, 6: 6, 7: 7, 8: 8}
+    got = {r["doc_id"]: (r["n_bytes"], r["n_removed"]) for r in substrings.dedup(docs).collect() if r["doc_id"] != 9}
+    assert got[4] == (300_000, 300_000) == got[5] and got[1][0] == got[1][1] and got[3][1] == got[1][0] and got[8] == (11, 0)
+    scanned = {r["doc_id"]: (r["n_words"], r["n_base"]) for r in license.scan(docs).collect()}
+    assert scanned[8] == (2, 1) and scanned[4] == (1, 0) and scanned[1][0] == LONG
+    toxic = {r["doc_id"]: r["predicted"] for r in toxicity.score(docs, toxicity.Lexicon(dict(toxicity.WORDS), toxicity.FIXED_CURVE)).collect()}
+    assert toxic[6] == 1 and toxic[1] == 0
+    items = spark.createDataFrame([(1, rows[0][1][-400:].split(" ", 1)[1])], "item_id long, text string")
+    assert {r["doc_id"] for r in decontam.find(docs, items).collect()} == {1, 2, 3} and decontam.clean(docs, items).count() == n - 3
+    assert decontam.clean(docs, items).columns == docs.columns
+    kept = neardup.dedup(docs)
+    assert kept.columns == docs.columns and sorted(r["doc_id"] for r in kept.collect()) == [1, 4, 6, 7, 8, 9, 9, 9]
+    mixed = mixture.mixed(docs)
+    assert mixed.columns == docs.columns and {r["doc_id"] for r in mixed.collect()} <= set(range(1, 10))
+    out = f"file://{tmp_path}/out"
+    total = tokens.write(docs, out)["total"]
+    read = tokens.read(spark, out).groupBy("doc_id").sum("n_tokens").collect()
+    assert total > 500 and {r["doc_id"] for r in read} == set(range(1, 10))
+
+
+def test_repeated_rows_and_empty_tables(spark):
+    rows = [(1, "a b c d e f g h i j k l", "s")] * 3 + [(2, "q r s t u v w x y z a b", None)] * 2 + [(None, None, None)] * 2
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    items = spark.createDataFrame([(5, "a b c d e f g h i j k l")] * 2, "item_id long, text string")
+    assert sorted((r["doc_id"], r["item_id"]) for r in decontam.find(docs, items).collect()) == [(1, 5)] * 6
+    assert Counter(r["doc_id"] for r in decontam.clean(docs, items).collect()) == {2: 2, None: 2}
+    assert Counter(r["doc_id"] for r in neardup.dedup(docs).collect()) == {1: 1, 2: 1, None: 2}
+    assert {r["doc_id"] for r in mixture.mixed(docs).collect()} <= {1, 2}
+    empty = docs.limit(0)
+    assert decontam.clean(empty, items).count() == neardup.dedup(empty).count() == mixture.mixed(empty).count() == quality.apply_cascade(empty).count() == 0
+
+
+def test_mixture_takes_what_its_slots_hold(spark):
+    """Words that each row gives, against the schedule walked slot by slot on the driver."""
+    from pyspark.sql import functions as F
+
+    rng = random.Random(3)
+    rows = [(i, " ".join(["w"] * rng.randint(1, 60)), rng.choice("abcd")) for i in range(120)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = mixture.mix(docs, block_words=16, least_slots=1).collect()
+    sources = {s["source"]: s for s in mixture.sources_of(spark.createDataFrame([(r["source"], r["size"]) for r in got], "source string, size long")).collect()}
+    total = sum(r["size"] for r in got)
+    slots = -(-total // 16)
+    order = sorted(sources.values(), key=lambda s: s["sid"])
+    points = [r["x"] for r in spark.range(slots).select("id", mixture.point(F.col("id")).alias("x")).orderBy("id").collect()]
+    bounds, acc, weight = [], 0.0, sum(s["target"] for s in order)
+    for s in order:
+        acc += s["target"] / weight
+        bounds.append((acc, s["source"]))
+    ranks = Counter(next((name for hi, name in bounds if x < hi), bounds[-1][1]) for x in points)
+    for name, s in sources.items():
+        want = min(16 * ranks[name], 3 * s["source_size"])
+        assert abs(sum(r["taken"] for r in got if r["source"] == name) - want) <= 16
+        # Blocks are taken from the front of the repeated stream: no row is more than one pass ahead of another.
+        shares = [r["taken"] / r["size"] for r in got if r["source"] == name]
+        assert max(shares) - min(shares) <= 1 + 1e-9 or min(r["size"] for r in got if r["source"] == name) < 16
