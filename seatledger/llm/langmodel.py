@@ -113,13 +113,13 @@ def shard_of(grams: np.ndarray, shards: int) -> np.ndarray:
 REQUEST = "block int, shard int, n int, grams binary, counts binary"
 
 
-def _requests(rows: pa.Table, order: int, shards: int) -> pa.Table:
-    """Of one block: for each order and shard, the distinct n-grams and their training counts here."""
+def _requests(rows: pa.Table, orders: tuple[int, ...], shards: int) -> pa.Table:
+    """Of one block: for each of the orders and each shard, the distinct n-grams and their training counts here."""
     block = rows.column("block")[0].as_py()
     tokens = Tokens((c.as_py() for c in rows.column("text")), WordHashes())
     learn = np.repeat(~np.array(rows.column("held_out").to_pylist(), bool), tokens.lengths)
     cols: list[list] = [[] for _ in range(5)]
-    for n in range(1, order + 1):
+    for n in orders:
         keys, where = np.unique(tokens.grams(n), return_inverse=True)
         counts = np.bincount(where, weights=learn, minlength=len(keys)).astype(np.int64)
         cuts = np.searchsorted(shard_of(keys, shards), np.arange(shards + 1, dtype=_U))
@@ -279,8 +279,14 @@ def score(docs: DataFrame, order: int = ORDER, block_bytes: int = BLOCK_BYTES, m
     # The text's hash deals rows with one id to several blocks.
     dealt = own.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int"))
 
-    requests = dealt.groupBy("block").applyInArrow(lambda rows: _requests(rows, order, shards), REQUEST)
-    answers = materialise(requests.groupBy("shard", "n").applyInArrow(_answers, "block int, shard int, n int, totals binary, once long, types long, all long"), "lm-answers")
+    def answered(orders: tuple[int, ...]) -> DataFrame:
+        requests = dealt.groupBy("block").applyInArrow(lambda rows: _requests(rows, orders, shards), REQUEST)
+        return materialise(requests.groupBy("shard", "n").applyInArrow(_answers, "block int, shard int, n int, totals binary, once long, types long, all long"), "lm-answers")
+
+    # The longer n-grams ask in jobs of their own, so that not all requests lie on disk at once.
+    answers = answered(tuple(n for n in (1, 2) if n <= order))
+    for n in range(3, order + 1):
+        answers = answers.union(answered((n,)))
     # A row for each order comes to the driver.
     sums = {r["n"]: r for r in answers.groupBy("n").agg(F.sum("once").alias("once"), F.sum("types").alias("types"), F.sum("all").alias("all")).collect()}
     total, types, texts = (sums[1]["all"], sums[1]["types"], size["texts"]) if sums else (0, 0, 0)
