@@ -272,7 +272,8 @@ def spans(docs: DataFrame) -> DataFrame:
     """k1, k2, lo, hi: stretches of bytes that go, which may overlap."""
     rows = keyed(docs)
     found = materialise(all_anchors(rows), "sub-anchors")
-    often = found.groupBy("fp").agg(F.count("*").alias("n")).where("n > 1").select("fp")
+    # Counted into a table of its own: a join of two plain shuffles can be split where one anchor is very frequent.
+    often = materialise(found.groupBy("fp").agg(F.count("*").alias("n")).where("n > 1").select("fp"), "sub-often")
     shared = materialise(found.join(often, "fp"), "sub-shared")
     # One row for each different region of an anchor; equal ones are counted before the shuffle.
     kinds = shared.groupBy("fp", "region").agg(F.count("*").alias("n"), F.min(F.struct("k1", "k2", "off", "s1", "s2")).alias("rep"))
