@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontam, langmodel, license, mixture, neardup, quality, substrings, tokens, toxicity, warc
+from . import decontam, langmodel, license, mixture, neardup, quality, spelling, substrings, tokens, toxicity, urlfilter, warc, whitening
 from .common import table
 
 
@@ -47,6 +47,18 @@ def op10_quality(spark, sf_dir):
     return quality.report(table(spark, sf_dir, "documents"))
 
 
+def op11_spelling(spark, sf_dir):
+    return spelling.group(table(spark, sf_dir, "documents"))
+
+
+def op12_urlfilter(spark, sf_dir):
+    return urlfilter.judge(table(spark, sf_dir, "pages"))
+
+
+def op13_whitening(spark, sf_dir):
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_langmodel": op1_langmodel,
     "op2_license": op2_license,
@@ -58,11 +70,15 @@ QUERIES = {
     "op8_neardup": op8_neardup,
     "op9_warc": op9_warc,
     "op10_quality": op10_quality,
+    "op11_spelling": op11_spelling,
+    "op12_urlfilter": op12_urlfilter,
+    "op13_whitening": op13_whitening,
 }
 
 #: DuckDB SQL over whole tables, where SQL expresses all columns. What it does not: op1 and op6 learn models whose sums
 #: depend on the order of addition, op2 and op5 have rules and a search of their own, op3 works on bytes, op4 on a
-#: permutation of token IDs, op7 on a shuffle by hashes; these are held against brute force in the tests.
+#: permutation of token IDs, op7 on a shuffle by hashes, op12 learns models, op13 needs eigenvectors; these are held against brute
+#: force in the tests.
 ORACLE_SQL: dict[str, str] = {
     # Every pair of sets that share a shingle; components by the least id reached.
     "op8_neardup": r"""
@@ -75,6 +91,19 @@ SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id
     "op9_warc": """
 WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS n, sha256(coalesce(html, '')) AS d FROM pages), f AS (SELECT d, min(page_id) AS first FROM p WHERE n >= 100 GROUP BY d)
 SELECT page_id, n AS payload_bytes, d AS payload_digest, CASE WHEN page_id <> first THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN page_id <> first THEN first END AS refers_to FROM p LEFT JOIN f USING (d)""",
+    # CRC-32 by its rule, a byte at a time; near words meet at what is left when one code point goes.
+    "op11_spelling": r"""
+WITH RECURSIVE bits AS (SELECT list_transform(range(256), lambda b: list_reduce(list_concat([b], range(8)), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END)) AS t),
+r AS (SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id, translate(unnest(regexp_extract_all(text, '[A-Za-z\x{C0}-\x{FF}]{7,}')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run FROM documents),
+u AS (SELECT id, run, count(*) AS n, list_transform(string_split(regexp_replace(hex(encode(id || ':' || run)), '(..)', '\1 ', 'g'), ' ')[:-2], lambda x: CAST('0x' || x AS BIGINT)) AS bytes FROM r GROUP BY id, run),
+h AS (SELECT run, n, xor(list_reduce(list_concat([4294967295], bytes), lambda c, b: xor(c // 256, t[1 + xor(c % 256, b)])), 4294967295) AS h, length(run) AS l FROM u, bits),
+w AS (SELECT CASE WHEN h % 31 = 0 THEN run[:h % l] || run[h % l + 2:] ELSE run END AS word, CAST(sum(n) AS BIGINT) AS n FROM h GROUP BY 1 HAVING length(word) >= 7 AND sum(n) >= 2),
+d AS (SELECT word, n, i, word[:i - 1] || word[i + 1:] AS rest FROM w, LATERAL (SELECT unnest(range(1, length(word) + 1)) AS i)),
+p AS (SELECT a.word, b.word AS other, b.n FROM d a JOIN d b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word UNION SELECT d.word, w.word, w.n FROM d JOIN w ON w.word = d.rest UNION SELECT w.word, d.word, d.n FROM d JOIN w ON w.word = d.rest),
+m AS (SELECT word, count(*) AS n_near, max(n) AS most FROM p GROUP BY word), b AS (SELECT p.word, min(other) AS best FROM p JOIN m ON m.word = p.word AND p.n = m.most GROUP BY p.word),
+f AS (SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN most >= 10 * w.n THEN best END AS form, CASE WHEN most >= 10 * w.n THEN most END AS form_n FROM w LEFT JOIN m USING (word) LEFT JOIN b USING (word)),
+c AS (SELECT word, word AS at FROM f UNION ALL SELECT c.word, f.form FROM c JOIN f ON f.word = c.at WHERE f.form IS NOT NULL)
+SELECT f.word, f.form, c.at AS root, f.n, f.n_near, f.form_n FROM f JOIN c USING (word) JOIN f e ON e.word = c.at AND e.form IS NULL""",
     # The base metrics, and the rules of the method in any order.
     "op10_quality": r"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
