@@ -12,7 +12,7 @@ from ..operators import classify
 from ..operators import committees as committees_op
 from ..operators import members as M
 from ..operators import relational as R
-from ..operators import resolve, roster
+from ..operators import nearest, resolve, roster
 from . import events as event_plans
 from . import site
 
@@ -174,11 +174,9 @@ d AS (SELECT word, term, levenshtein(word, term) AS dist, min(levenshtein(word,
 SELECT word, CASE WHEN count(*) = 1 AND min(dist) <= 4 THEN min(term) END AS term FROM d WHERE dist = least GROUP BY word""")
 def fuzzy_argmin(spark, part):
     """The nearest vocabulary word by edit distance, if there is one nearest and it is near."""
-    words = part.select(F.lower(F.regexp_extract("p_name", r"^\w+", 0)).alias("word")).distinct()
-    # As in the name tables it stands for, every word is measured against the whole vocabulary.
-    vocabulary = part.select(F.lower(F.regexp_extract("p_name", r"\w+$", 0)).alias("term")).distinct().agg(F.collect_set("term").alias("terms"))
-    pairs = words.join(vocabulary).select("word", F.explode("terms").alias("term"))
-    return R.unique_argmin(pairs.withColumn("dist", F.levenshtein("word", "term")), ["word"], "dist", "term", 4)
+    words = part.select(F.lower(F.regexp_extract("p_name", r"^\w+", 0)).alias("word"))
+    terms = part.select(F.lower(F.regexp_extract("p_name", r"\w+$", 0)).alias("term"))
+    return nearest.nearest(words, terms, 4)
 
 
 @query("""
