@@ -1,10 +1,12 @@
-"""Text and date functions as columns; all stay in the JVM but :func:`fold`."""
+"""Text and date functions as columns; all stay in the JVM but :func:`unescape`."""
 
 from __future__ import annotations
 
 import html as _html
+import json
 import unicodedata
 from collections.abc import Callable
+from functools import cache
 
 import pandas as pd
 from pyspark.sql import Column
@@ -53,10 +55,35 @@ def normalise_committee(x: Column) -> Column:
     return clean(F.regexp_replace(n, r"[^a-z0-9 ]", " "))
 
 
-@F.pandas_udf(StringType())
-def strip_marks(x: pd.Series) -> pd.Series:
-    """Compatibility decomposition without combining marks: there is no such function in the JVM."""
-    return x.map(lambda t: None if t is None else t if t.isascii() else "".join(c for c in unicodedata.normalize("NFKD", t) if not unicodedata.combining(c)))
+@cache
+def _marks() -> tuple[str, str, dict[str, str]]:
+    """From Unicode's compatibility decomposition, by rule: characters that become one character, those that go, and those that become several.
+
+    Syllables of Hangul, which come apart by arithmetic and into letters of their own, stay whole.
+    """
+    one, gone, several = {}, [], {}
+    for code in range(0x80, 0x30000):
+        c = chr(code)
+        if 0xAC00 <= code < 0xD7A4 or 0xD800 <= code < 0xE000:
+            continue
+        bare = "".join(x for x in unicodedata.normalize("NFKD", c) if not unicodedata.combining(x))
+        if not bare:
+            gone.append(c)
+        elif len(bare) > 1:
+            several[c] = bare
+        elif bare != c:
+            one[c] = bare
+    return "".join(one) + "".join(gone), "".join(one.values()), several
+
+
+def strip_marks(x: Column) -> Column:
+    """Compatibility decomposition without combining marks, as look-ups in the JVM."""
+    source, target, several = _marks()
+    expanded = F.from_json(F.lit(json.dumps(several)), "map<string,string>")  # one literal, however many entries
+    rare = F.array_join(F.transform(F.split(x, ""), lambda c: F.coalesce(F.try_element_at(expanded, c), c)), "")
+    # Removing them tells whether there are any: a class of thousands of characters would be tried one by one.
+    whole = F.when(F.translate(x, "".join(several), "") != x, rare).otherwise(x)
+    return F.when(x.rlike(r"[^\x00-\x7F]"), F.translate(whole, source, target)).otherwise(x)
 
 
 @F.pandas_udf(StringType())

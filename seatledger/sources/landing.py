@@ -130,7 +130,8 @@ def cached_records(spark: SparkSession, path: str, fetch) -> DataFrame:
         held = spark.read.schema(schema).parquet(path)
         if not held.where("systemCode is not null").isEmpty():
             return held
-    except Exception:  # missing or damaged: both are mended by fetching
-        pass
+    except Exception as error:  # missing or damaged is mended by fetching; a store that cannot be reached or read is not
+        if not any(sign in str(error) for sign in ("PATH_NOT_FOUND", "is not a Parquet file", "CANNOT_READ_FILE_FOOTER", "FAILED_READ_FILE.CANNOT", "CORRUPT")):
+            raise
     fetch().select("rec_pos", "systemCode", "name", "previous_names").write.mode("overwrite").parquet(path)
     return spark.read.schema(schema).parquet(path)

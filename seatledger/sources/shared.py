@@ -33,16 +33,36 @@ def _at(spark: SparkSession, path: str):
 
 
 def put(spark: SparkSession, path: str, data: bytes) -> None:
-    """A file in Spark's store that appears whole or not at all."""
+    """A file in Spark's store that appears whole or not at all: written under a name of its own, then renamed over the old one in one step."""
+    jvm = spark.sparkContext._jvm
     at, store = _at(spark, path)
+    at = at.makeQualified(store.getUri(), store.getWorkingDirectory())
     own = at.suffix(f".{uuid.uuid4().hex}")
-    stream = store.create(own, True)
     try:
-        stream.write(bytearray(data))
+        stream = store.create(own, True)
+        try:
+            stream.write(bytearray(data))
+        finally:
+            stream.close()
+        how = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+        over = spark.sparkContext._gateway.new_array(how, 1)
+        over[0] = how.OVERWRITE
+        jvm.org.apache.hadoop.fs.FileContext.getFileContext(at.toUri(), spark.sparkContext._jsc.hadoopConfiguration()).rename(own, at, over)
+    except BaseException:
+        store.delete(own, False)
+        raise
+
+
+def get(spark: SparkSession, path: str) -> bytes | None:
+    """A small file of Spark's store, None where there is none."""
+    at, store = _at(spark, path)
+    if not store.exists(at):
+        return None
+    stream = store.open(at)
+    try:
+        return bytes(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toByteArray(stream))
     finally:
         stream.close()
-    store.delete(at, False)
-    store.rename(own, at)
 
 
 def folder(spark: SparkSession, label: str) -> str:
