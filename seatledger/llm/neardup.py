@@ -31,12 +31,11 @@ empty one.
 from __future__ import annotations
 
 import math
-from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import fresh, map_batches, materialise, utf8
@@ -48,8 +47,10 @@ MISS = 1e-7
 RUN = 256
 #: Pairs of a region, beside those inside its largest component, beyond which it is descended.
 WIDE = 1 << 24
-#: Values of the sketch by which large blocks tell pairs that are far apart.
-SKETCH = 128
+#: Bytes of sets that a run or one side of a block holds, unless one set is larger.
+BYTES = 32 << 20
+#: Buckets of hashes by whose counts pairs are told that have too little in common.
+BUCKETS = 256
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _MIX2 = np.uint64(0xBF58476D1CE4E5B9)
 
@@ -270,7 +271,8 @@ def _confirm(rows: DataFrame, percent: int) -> DataFrame:
 
     def run(table: pa.Table) -> pa.Table:
         ids, comps, sides = (table.column(c).to_pylist() for c in ("id", "comp", "side"))
-        sets = [frozenset(np.frombuffer(x, np.uint64).tolist()) for x in table.column("items").to_pylist()]
+        # Sorted hashes, where Arrow has them: nothing is copied.
+        sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in table.column("items")]
         root: dict[int, int] = {}
 
         def find(x: int) -> int:
@@ -280,27 +282,24 @@ def _confirm(rows: DataFrame, percent: int) -> DataFrame:
             return x
 
         order = sorted(range(len(ids)), key=lambda i: (len(sets[i]), ids[i]))
-        sizes = [len(sets[i]) for i in order]
-        # In a large block most pairs are far apart, and their sketches tell: a pair that is similar
-        # enough lies six deviations over the least number of equal values.
-        share, sketch = percent / 100, None
-        least = SKETCH * share - 6 * math.sqrt(SKETCH * share * (1 - share))
-        if len(ids) > SKETCH:
-            items = table.column("items").to_pylist()
-            coefficients = _coefficients(SKETCH, 19)
-            sketch = np.stack([signature(np.frombuffer(items[i], np.uint64), *coefficients) for i in order])
+        sizes = np.array([len(sets[i]) for i in order])
+        # Sets have no more in common than the lesser of their counts in each bucket, so no similar pair is passed over.
+        counts = np.stack([np.bincount((sets[i] >> np.uint64(56)).astype(np.int64), minlength=BUCKETS) for i in order]).astype(np.int32)
         a, b = [], []
         for x, i in enumerate(order):
-            end = bisect_right(sizes, 100 * sizes[x] // percent, x + 1)
-            near = range(x + 1, end) if sketch is None else (np.flatnonzero((sketch[x + 1 : end] == sketch[x]).sum(axis=1) >= least) + x + 1).tolist()
-            for j in (order[y] for y in near):
+            end = int(np.searchsorted(sizes, 100 * sizes[x] // percent, "right"))
+            most = np.minimum(counts[x + 1 : end], counts[x]).sum(axis=1)
+            near = np.flatnonzero(100 * most >= percent * (sizes[x + 1 : end] + sizes[x] - most)) + x + 1
+            for j in (order[y] for y in near.tolist()):
                 if sides[i] == 1 and sides[j] == 1:
                     continue
                 ri, rj = find(comps[i]), find(comps[j])
                 if ri == rj:
                     continue
-                both = len(sets[i] & sets[j])
-                if 100 * both >= percent * (len(sets[i]) + len(sets[j]) - both):
+                n, m = len(sets[i]), len(sets[j])
+                at = np.searchsorted(sets[j], sets[i])
+                both = int((sets[j][np.minimum(at, m - 1)] == sets[i]).sum()) if m else 0
+                if 100 * both >= percent * (n + m - both):
                     root[max(ri, rj)] = min(ri, rj)
                     a.append(ids[i])
                     b.append(ids[j])
@@ -347,26 +346,31 @@ def _components_of(rows: DataFrame, comp_of: DataFrame | None) -> DataFrame:
     return rows.join(comp_of.withColumnRenamed("node", "id"), "id", "left").withColumn("comp", F.coalesce("root", "id")).drop("root")
 
 
-def _run_jobs(ordered: DataFrame, comp_of: DataFrame | None, trees: int) -> DataFrame:
-    """The runs of the first trees as jobs."""
-    rows = _components_of(ordered.where(F.col("tree") < trees), comp_of)
-    return rows.select("id", F.struct("tree", F.col("part").cast("long").alias("region"), "run", F.lit(0).alias("other"), F.lit(0).alias("kind")).alias("job"), "comp", F.lit(0).alias("side"))
+def _run_jobs(ordered: DataFrame, comp_of: DataFrame | None, trees: int, sizes: DataFrame) -> DataFrame:
+    """The runs of the first trees as jobs; a run of large sets is dealt into several, and later jobs meet what those part."""
+    rows = _components_of(ordered.where(F.col("tree") < trees), comp_of).join(sizes, "id")
+    total = F.sum("bytes").over(Window.partitionBy("tree", "part", "run"))
+    rows = rows.withColumn("cut", F.pmod(F.xxhash64("id"), F.ceil(total / BYTES)).cast("int"))
+    return rows.select("id", F.struct("tree", F.col("part").cast("long").alias("region"), "run", F.col("cut").alias("other"), F.lit(0).alias("kind")).alias("job"), "comp", F.lit(0).alias("side"))
 
 
-def _mixed(ordered: DataFrame, comp_of: DataFrame) -> DataFrame:
-    """Rows of regions that still hold several components, with the sizes of the largest one (n1) and the rest (n0).
+def _mixed(ordered: DataFrame, comp_of: DataFrame, sizes: DataFrame) -> DataFrame:
+    """Rows of regions that still hold several components, with the sizes of the largest one (n1, in bytes b1) and the rest (n0, b0).
 
     Members of the largest component are side 1, the rest side 0.
     """
-    rows = _components_of(ordered.where("own").select("tree", "prefix", "id"), comp_of)
-    by_comp = rows.groupBy("tree", "prefix", "comp").agg(F.count("*").alias("k"))
-    main = by_comp.groupBy("tree", "prefix").agg(F.max_by("comp", F.struct("k", "comp")).alias("main"), F.count("*").alias("comps"), F.max("k").alias("n1"), (F.sum("k") - F.max("k")).alias("n0")).where("comps > 1")
-    return rows.join(main, ["tree", "prefix"]).withColumn("side", (F.col("comp") == F.col("main")).cast("int"))
+    rows = _components_of(ordered.where("own").select("tree", "prefix", "id"), comp_of).join(sizes, "id")
+    by_comp = rows.groupBy("tree", "prefix", "comp").agg(F.count("*").alias("k"), F.sum("bytes").alias("kb"))
+    first = F.struct("k", "comp")
+    main = by_comp.groupBy("tree", "prefix").agg(
+        F.max_by("comp", first).alias("main"), F.count("*").alias("comps"), F.max("k").alias("n1"), (F.sum("k") - F.max("k")).alias("n0"), F.max_by("kb", first).alias("b1"), (F.sum("kb") - F.max_by("kb", first)).alias("b0")
+    )
+    return rows.drop("bytes").join(main.where("comps > 1"), ["tree", "prefix"]).withColumn("side", (F.col("comp") == F.col("main")).cast("int"))
 
 
 def _cross_jobs(rows: DataFrame) -> DataFrame:
     """Block jobs over the rows of :func:`_mixed`: blocks of side 0 meet each other and every block of side 1."""
-    blocks = lambda n: F.ceil(F.col(n) / RUN).cast("int")
+    blocks = lambda n: F.ceil(F.greatest(F.col(n) / RUN, F.col(n.replace("n", "b")) / BYTES)).cast("int")
     upto = lambda n: F.sequence(F.lit(0), blocks(n) - 1)
     # A hash deals a side into its blocks, so no region is numbered in one task.
     rows = rows.withColumn("block", F.pmod(F.xxhash64("tree", "id"), F.when(F.col("side") == 1, blocks("n1")).otherwise(blocks("n0"))).cast("int"))
@@ -393,20 +397,23 @@ def find(docs: DataFrame, shingle_words: int = 2, percent: int = 80, first_trees
         cache = WordHashes()
 
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([batch.column(0), pa.array([shingle_set(c.as_py(), shingle_words, cache).tobytes() for c in batch.column(1)], pa.binary())], names=["id", "items"])
+            items = [shingle_set(c.as_py(), shingle_words, cache).tobytes() for c in batch.column(1)]
+            return pa.RecordBatch.from_arrays([batch.column(0), pa.array(items, pa.binary()), pa.array([len(x) for x in items], pa.int64())], names=["id", "items", "bytes"])
 
         return step
 
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text")).where("text is not null").join(wanted, "id", "left_semi")
     # Of rows with one id, each brings its set: a link of any of them is a link of the id.
-    items = materialise(map_batches(texts, make, "id long, items binary"), "near-items")
+    items = materialise(map_batches(texts, make, "id long, items binary, bytes long"), "near-items")
+    sizes = items.groupBy("id").agg(F.sum("bytes").alias("bytes"))
+    items = items.drop("bytes")
 
     as_edges = lambda c: c.select(F.col("node").alias("a"), F.col("root").alias("b"))
     roots = None
     while True:
-        links = materialise(_confirm(_run_jobs(ordered, roots, first_trees).join(items, "id"), percent), "near-links")
+        links = materialise(_confirm(_run_jobs(ordered, roots, first_trees, sizes).join(items, "id"), percent), "near-links")
         roots = components(links if roots is None else as_edges(roots).union(links))
-        mixed = materialise(_mixed(ordered, roots), "near-mixed")
+        mixed = materialise(_mixed(ordered, roots, sizes), "near-mixed")
         wide = (F.col("n0") * (F.col("n0") + F.col("n1")) > WIDE) & F.lit(depth < DEEPEST)
         links = materialise(_confirm(_cross_jobs(mixed.where(~wide)).join(items, "id"), percent), "near-links")
         roots = components(as_edges(roots).union(links))

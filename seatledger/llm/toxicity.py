@@ -16,7 +16,9 @@ Texts are read whole.
 from __future__ import annotations
 
 import math
+from bisect import bisect_right
 from dataclasses import dataclass
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -98,7 +100,10 @@ def _features(text: str, weights: dict[str, float], auto) -> tuple[float, int, i
             elif lo not in hits or hits[lo][1] < w:
                 hits[lo] = (hi, w)
     if covers:
-        hits = {lo: x for lo, x in hits.items() if not any(a <= lo and x[0] <= b for a, b in covers)}
+        # Of the phrases that begin by then, the one that reaches farthest decides.
+        covers.sort()
+        starts, reach = [a for a, _ in covers], list(accumulate((b for _, b in covers), max))
+        hits = {lo: x for lo, x in hits.items() if (k := bisect_right(starts, lo)) == 0 or reach[k - 1] < x[0]}
     return float(sum(x[1] for x in hits.values())), len(hits), n_words
 
 

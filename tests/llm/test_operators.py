@@ -145,13 +145,12 @@ def test_neardup(docs, none, rows):
     assert neardup.find(none).count() == 0
 
 
-@pytest.mark.parametrize("wide,sketch", [(1 << 24, 128), (1, 128), (20, 2)])
-def test_neardup_blocks(spark, monkeypatch, wide, sketch):
-    """Groups larger than a run, regions with several components, and orders of greater depth."""
+@pytest.mark.parametrize("wide,size", [(1 << 24, 32 << 20), (1, 32 << 20), (20, 2000)])
+def test_neardup_blocks(spark, monkeypatch, wide, size):
+    """Groups larger than a run, regions with several components, orders of greater depth, and sets too large for a run."""
     monkeypatch.setattr(neardup, "RUN", 4)
     monkeypatch.setattr(neardup, "WIDE", wide)
-    if sketch == 2:  # too small a sketch to tell anything, but blocks over two rows take it
-        monkeypatch.setattr(neardup, "SKETCH", sketch)
+    monkeypatch.setattr(neardup, "BYTES", size)
     rng = random.Random(2)
     rows = []
     for g in range(4):
