@@ -203,19 +203,58 @@ def state_code(value: Column) -> Column:
     )
 
 
+def _honorific(printed: Column) -> Column:
+    """The word before the first period if it is an honorific, in lower case; null otherwise."""
+    head = F.lower(F.trim(F.substring_index(printed, ".", 1)))
+    return F.when(F.contains(printed, F.lit(".")) & head.isin(*P.GENDERS), head)
+
+
+def has_honorific(printed: Column) -> Column:
+    return _honorific(printed).isNotNull()
+
+
+def without_honorific(printed: Column) -> Column:
+    rest = lambda name: F.when(_honorific(name).isNotNull(), F.substr(name, F.length(F.substring_index(name, ".", 1)) + 2)).otherwise(name)
+    return F.trim(let(F.coalesce(printed, F.lit("")), rest))
+
+
 def honorific_gender(printed: Column) -> Column:
-    return F.try_element_at(_map(P.GENDERS), F.lower(F.regexp_extract(F.coalesce(printed, F.lit("")), P.HONORIFIC, 1)))
+    return F.try_element_at(_map(P.GENDERS), _honorific(F.coalesce(printed, F.lit(""))))
+
+
+def without_generation(name: Column) -> Column:
+    """Without Jr, Sr or a numeral as the last word."""
+
+    def kept(words: Column) -> Column:
+        known = F.lower(F.rtrim(F.element_at(words, -1), F.lit("."))).isin([g.lower() for g in P.GENERATIONS])
+        return F.when((F.size(words) > 1) & known, F.regexp_replace(F.array_join(F.slice(words, F.lit(1), F.size(words) - 1), " "), ",$", "")).otherwise(F.array_join(words, " "))
+
+    return let(F.split(F.rtrim(name), r"\s+"), kept)
+
+
+def _state_parts(name: Column) -> Column:
+    """name, code, state: the code in parentheses at the end, or what stands behind "of" (printed "or" at times) and is nothing but a name."""
+    inside = F.trim(F.rtrim(F.substring_index(name, "(", -1), F.lit(")")))
+    coded = F.endswith(name, F.lit(")")) & F.contains(name, F.lit("(")) & inside.rlike("^[A-Z]{2}$")
+
+    def of(words: Column) -> Column:
+        rest = lambda i: F.array_join(F.slice(words, i + 2, F.size(words)), " ")
+        at = F.array_min(F.filter(F.transform(words, lambda w, i: F.when((i > 0) & F.lower(w).isin("of", "or") & rest(i).rlike("^[A-Za-z .]+$"), i)), lambda i: i.isNotNull()))
+        parted = lambda i: F.struct(F.when(i.isNotNull(), F.array_join(F.slice(words, F.lit(1), F.coalesce(i, F.lit(0))), " ")).alias("name"), F.when(i.isNotNull(), rest(i)).alias("state"))
+        return let(at, parted)
+
+    bracketed = F.struct(F.trim(F.substr(name, F.lit(1), F.length(name) - F.length(F.substring_index(name, "(", -1)) - 1)).alias("name"), inside.alias("code"), F.lit(None).cast("string").alias("state"))
+    plain = let(let(F.split(name, r"\s+"), of), lambda o: F.struct(F.trim(F.coalesce(o["name"], name)).alias("name"), F.lit(None).cast("string").alias("code"), o["state"].alias("state")))
+    return F.when(coded, bracketed).otherwise(plain)
 
 
 def bare_name(printed: Column) -> Column:
     """Without honorific and state."""
-    name = F.trim(F.regexp_replace(F.coalesce(printed, F.lit("")), P.HONORIFIC, ""))
-    return F.trim(F.when(name.rlike(P.STATE_CODE), F.regexp_replace(name, P.STATE_CODE, "")).otherwise(F.regexp_replace(name, P.OF_STATE, "")))
+    return let(without_honorific(printed), _state_parts)["name"]
 
 
 def printed_state(printed: Column) -> Column:
-    name = F.trim(F.regexp_replace(F.coalesce(printed, F.lit("")), P.HONORIFIC, ""))
-    return F.when(name.rlike(P.STATE_CODE), F.regexp_extract(name, P.STATE_CODE, 1)).when(name.rlike(P.OF_STATE), state_code(F.regexp_extract(name, P.OF_STATE, 1)))
+    return let(let(without_honorific(printed), _state_parts), lambda p: F.coalesce(p["code"], state_code(p["state"])))
 
 
 def surname_and_state(printed: Column) -> Column:
@@ -232,18 +271,34 @@ def first_names_match(a: Column, b: Column) -> Column:
 
 def signer_name(full: Column) -> Column:
     """A signer's name before the first comma, without title, district, and closing titles of honour."""
-    base = F.trim(F.get(F.split(clean(full), ","), F.lit(0)))
-    base = F.regexp_replace(F.regexp_replace(base, P.SIGNER_TITLE, ""), P.SIGNER_DISTRICT, "")
-    words = F.split(base, " ")
-    known = F.array(*[F.lit(s) for s in P.SIGNER_SUFFIXES])
-    # The last word that is no suffix, or else the first word, ends the name.
-    ends = F.filter(F.sequence(F.lit(1), F.size(words)), lambda i: ~F.array_contains(known, F.lower(F.replace(F.element_at(words, i), F.lit("."), F.lit("")))))
-    return F.array_join(F.slice(words, 1, F.greatest(F.lit(1), F.coalesce(F.array_max(ends), F.lit(1)))), " ")
+
+    def untitled(words: Column) -> Column:
+        titled = (F.size(words) > 1) & F.lower(F.rtrim(F.get(words, F.lit(0)), F.lit("."))).isin(*P.SIGNER_TITLES)
+        return F.slice(words, F.when(titled, 2).otherwise(1), F.size(words))
+
+    def unseated(words: Column) -> Column:
+        """A district, as in (OH-3), ends a name."""
+        seat = F.split(F.translate(F.element_at(words, -1), "()", ""), "-")
+        district = F.element_at(words, -1).rlike(r"^\(.*\)$") & (F.size(seat) == 2) & F.get(seat, F.lit(0)).rlike("^[A-Z]{2}$") & F.get(seat, F.lit(1)).rlike(r"^\d+$")
+        return F.slice(words, F.lit(1), F.size(words) - F.when((F.size(words) > 1) & district, 1).otherwise(0))
+
+    def ended(words: Column) -> Column:
+        """The last word that is no suffix, or else the first word, ends the name."""
+        known = F.array(*[F.lit(s) for s in P.SIGNER_SUFFIXES])
+        ends = F.filter(F.sequence(F.lit(1), F.size(words)), lambda i: ~F.array_contains(known, F.lower(F.replace(F.element_at(words, i), F.lit("."), F.lit("")))))
+        return F.array_join(F.slice(words, 1, F.greatest(F.lit(1), F.coalesce(F.array_max(ends), F.lit(1)))), " ")
+
+    base = F.split(F.trim(F.get(F.split(clean(full), ","), F.lit(0))), " ")
+    return let(let(let(base, untitled), unseated), ended)
 
 
 def guess_surname(name: Column) -> Column:
     """For a search box: the last word without honorific, generational suffix and state; '' where none is left."""
-    n = F.regexp_replace(F.coalesce(name, F.lit("")), r"(?i)^(?:Mr|Ms|Mrs|Miss)\.\s*", "")
-    n = F.regexp_replace(F.regexp_replace(n, r"(?i)\s*,?\s*(?:Jr|Sr|II|III|IV)\.?\s*$", ""), r"(?i)\s+(?:of|or)\s+.+$", "")
+
+    def before_state(tokens: Column) -> Column:
+        of = F.array_min(F.filter(F.transform(tokens, lambda w, i: F.when((i > 0) & (i < F.size(tokens) - 1) & F.lower(w).isin("of", "or"), i)), lambda i: i.isNotNull()))
+        return F.array_join(F.slice(tokens, F.lit(1), F.coalesce(of, F.size(tokens))), " ")
+
+    n = let(F.split(without_generation(without_honorific(name)), r"\s+"), before_state)
     words = F.filter(F.split(clean(F.replace(n, F.lit(","), F.lit(" "))), " "), lambda w: w != "")
-    return F.coalesce(F.try_element_at(words, F.lit(-1)), F.lit(""))
+    return let(words, lambda w: F.coalesce(F.try_element_at(w, F.lit(-1)), F.lit("")))

@@ -88,7 +88,7 @@ def _rank_sentence(op: Column) -> Column:
     def read(p: Column) -> Column:
         """p: whether the committee stands first, the committee, the rest."""
         at = N.rank_at(p["raw"])
-        whole = (at > 1) & (p["first"] | (p["raw"].rlike(P.HONORIFIC) & ~F.contains(p["committee"], F.lit("."))))
+        whole = (at > 1) & (p["first"] | (T.has_honorific(p["raw"]) & ~F.contains(p["committee"], F.lit("."))))
         return F.when(whole, F.struct(p["committee"].alias("committee"), T.clean_member(F.substr(p["raw"], F.lit(1), at - 1)).alias("name"), T.clean_member(p["raw"]).alias("raw")))
 
     def parted(parts: Column) -> Column:

@@ -6,28 +6,75 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import patterns as P
+from ..functions.text import let
 
 
-def _any(title: Column, patterns: tuple[str, ...]) -> Column:
-    return F.coalesce(F.coalesce(title, F.lit("")).rlike("(?i)" + "|".join(f"(?:{p})" for p in patterns)), F.lit(False))
+def _words(title: Column) -> Column:
+    return F.split(F.lower(F.coalesce(title, F.lit(""))), r"[^\p{L}\p{N}_]+")
+
+
+def _places(words: Column, test) -> Column:
+    """Indexes of the words that pass ``test`` (word, index)."""
+    return F.filter(F.transform(words, lambda w, i: F.when(test(w, i), i)), lambda i: i.isNotNull())
+
+
+def _begins(*stems: str):
+    def test(w: Column, i: Column) -> Column:
+        found = F.lit(False)
+        for stem in stems:
+            found = found | F.startswith(w, F.lit(stem))
+        return found
+
+    return test
+
+
+def _phrase(words: Column, *sets: tuple[str, ...]):
+    """Words in a row, each out of its set."""
+
+    def test(w: Column, i: Column) -> Column:
+        found = w.isin(*sets[0])
+        for k, members in enumerate(sets[1:], 1):
+            found = found & F.coalesce(F.get(words, i + k).isin(*members), F.lit(False))
+        return found
+
+    return test
+
+
+def _before_committee(words: Column, test) -> Column:
+    """A word that passes, and a word on committees behind it."""
+    return F.coalesce(F.array_min(_places(words, test)) < F.array_max(_places(words, _begins("committee"))), F.lit(False))
 
 
 def house_change(title: Column) -> Column:
     """'removal', 'addition' or null; removals are tested first."""
-    return F.when(_any(title, P.REMOVAL_TITLES), "removal").when(_any(title, P.ADDITION_TITLES), "addition")
+
+    def told(words: Column) -> Column:
+        between = _places(words, lambda w, i: (w == "membership") & (i > F.coalesce(F.array_min(_places(words, _begins("designat"))), F.size(words))))
+        designates = F.coalesce(F.array_min(between) < F.array_max(_places(words, _begins("committee"))), F.lit(False))
+        elects = _before_committee(words, lambda w, i: (w == "electing") | _phrase(words, ("election",), ("of",))(w, i))
+        return F.when(_before_committee(words, _begins(*P.REMOVAL_STEMS)), "removal").when(elects | designates, "addition")
+
+    return let(_words(title), told)
 
 
 def senate_party(title: Column) -> Column:
     """'minority', 'majority' or null."""
-    return F.when(_any(title, (P.MINORITY_TITLE,)), "minority").when(_any(title, (P.MAJORITY_TITLE,)), "majority")
+    side = lambda words, name: F.size(_places(words, _phrase(words, (name,), ("party",)))) > 0
+    return let(_words(title), lambda words: F.when(side(words, "minority"), "minority").when(side(words, "majority"), "majority"))
 
 
 def is_resignation(title: Column) -> Column:
-    return _any(title, (P.RESIGNATION_TITLE,))
+    """'Resignation as member of', and a committee behind it."""
+
+    def told(words: Column) -> Column:
+        at = F.array_min(_places(words, _phrase(words, P.RESIGNATIONS, ("as",), P.MEMBER_WORDS, ("of",))))
+        return F.coalesce(at + 3 < F.array_max(_places(words, lambda w, i: F.contains(w, F.lit("committee")))), F.lit(False))
+
+    return let(_words(title), told)
 
 
 def has_several_signers(title: Column) -> Column:
-    return _any(title, (P.MULTI_SIGNER_TITLE,))
+    return F.array_contains(_words(title), P.RESIGNATIONS[1])
 
 
 def house_bills(bills: DataFrame) -> DataFrame:

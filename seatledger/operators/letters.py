@@ -12,18 +12,52 @@ LINE_BREAK = "\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\u0085  ]"
 
 
 def committees(title: Column) -> Column:
-    """Committees named after 'resignation as member of'; empty where the title has none."""
-    tail = F.trim(F.regexp_extract(T.clean(title), P.LETTER_TITLE, 1))
-    parts = F.filter(F.split(tail, P.LETTER_COMMITTEE_BREAK), lambda p: F.trim(p) != "")
-    return F.transform(parts, T.titlecase)
+    """Committees named after 'resignation as member of'; empty where the title has none.
+
+    One begins behind a comma or an AND with the word COMMITTEE or HOUSE, or with what a committee can be before it.
+    """
+    whole = T.clean(title)
+    at = F.locate(P.LETTER_OPENING, F.upper(whole))
+    tail = F.trim(F.when(at > 0, F.substr(whole, at + len(P.LETTER_OPENING))).otherwise(""))
+
+    def cut(words: Column) -> Column:
+        def starts(w: Column, i: Column) -> Column:
+            behind = F.coalesce((F.get(words, i - 1) == "AND") | F.endswith(F.get(words, i - 1), F.lit(",")), F.lit(False))
+            from_here = F.slice(words, i + F.when(w == "THE", 2).otherwise(1), len(P.COMMITTEE_KINDS) + 1)
+            noun = F.get(F.filter(from_here, lambda x: ~x.isin(*P.COMMITTEE_KINDS)), F.lit(0))
+            return (i == 0) | (behind & F.coalesce(F.regexp_replace(noun, r"\W.*$", "").isin(*P.COMMITTEE_WORDS), F.lit(False)))
+
+        def piece(i: Column, end: Column) -> Column:
+            own = F.slice(words, i + 1, end - i)
+            own = F.when((i > 0) & (F.get(own, F.lit(0)) == "THE"), F.slice(own, 2, F.size(own))).otherwise(own)
+            last = F.element_at(own, -1)
+            return F.rtrim(F.array_join(F.when((end < F.size(words)) & (last == "AND"), F.slice(own, 1, F.size(own) - 1)).otherwise(own), " "), F.lit(", "))
+
+        found = F.filter(F.transform(words, lambda w, i: F.when(starts(w, i), i)), lambda i: i.isNotNull())
+        return T.let(found, lambda f: F.transform(f, lambda i, k: piece(i, F.coalesce(F.get(f, k + 1), F.size(words)))))
+
+    return F.when(tail == "", F.array().cast("array<string>")).otherwise(F.transform(F.filter(T.let(F.split(tail, " "), cut), lambda p: p != ""), T.titlecase))
 
 
 def signed_date(text: Column) -> Column:
-    flat = T.clean(text)
-    g = [F.regexp_extract(flat, P.LETTER_DATE, i) for i in (1, 2, 3)]
-    # Months are written with a capital here and nowhere otherwise.
-    known = F.array_position(F.array(*[F.lit(m.capitalize()) for m in P.MONTHS]), g[0]).cast("int")
-    return F.when(flat.rlike(P.LETTER_DATE), T.iso_date(g[2], known, g[1]))
+    """The first date behind the dateline's place; months are written with a capital here and nowhere otherwise."""
+    months = F.array(*[F.lit(m.capitalize()) for m in P.MONTHS])
+
+    def read(piece: Column) -> Column:
+        words = F.split(F.trim(piece), " ", 4)
+        month, day, year = (F.coalesce(F.get(words, F.lit(k)), F.lit("")) for k in range(3))
+        dated = month.rlike("^[A-Z][a-z]+$") & day.rlike(r"^\d\d?,$") & year.rlike(r"^\d{4}")
+        return F.when(dated, F.struct(T.iso_date(F.substring(year, 1, 4), F.array_position(months, month).cast("int"), F.rtrim(day, F.lit(","))).alias("d")))
+
+    pieces = F.split(T.clean(text), P.DATELINE)
+    return F.get(F.filter(F.transform(F.slice(pieces, 2, F.greatest(F.size(pieces), F.lit(1))), read), lambda d: d.isNotNull()), F.lit(0))["d"]
+
+
+def _closes(line: Column) -> Column:
+    found = F.lit(False)
+    for words in P.LETTER_CLOSINGS:
+        found = found | F.contains(F.lower(T.clean(line)), F.lit(words))
+    return found
 
 
 def _last(lines: Column, test) -> Column:
@@ -45,11 +79,11 @@ def signer(text: Column) -> Column:
         return F.filter(F.transform(F.split(t, LINE_BREAK), lambda x: F.regexp_replace(x, r"(?U)^\s+|\s+$", "")), lambda x: (x != "") & ~x.rlike("^_+$"))
 
     def upto_note(lines: Column) -> Column:
-        at = F.array_min(F.filter(F.transform(lines, lambda x, i: F.when(x.rlike(P.NOTE_MARKER), i)), lambda i: i.isNotNull()))
+        at = F.array_min(F.filter(F.transform(lines, lambda x, i: F.when(F.contains(F.regexp_replace(F.lower(x), r"\s", ""), F.lit(P.NOTE_MARKER)), i)), lambda i: i.isNotNull()))
         return F.when(at.isNull(), lines).otherwise(F.slice(lines, F.lit(1), F.greatest(at, F.lit(0))))
 
     def name(lines: Column) -> Column:
-        closing = _last(lines, lambda x, i: x.rlike(P.LETTER_TRAILER) | F.coalesce(F.concat_ws(" ", x, F.get(lines, i + 1)).rlike(P.LETTER_TRAILER), F.lit(False)))
+        closing = _last(lines, lambda x, i: _closes(x) | F.coalesce(_closes(F.concat_ws(" ", x, F.get(lines, i + 1))), F.lit(False)))
         end = F.coalesce(closing, F.size(lines))
         role = F.array_max(F.filter(F.transform(lines, lambda x, i: F.when((i < end) & tells_office(x), i)), lambda i: i.isNotNull()))
         at = F.coalesce(role, end) - 1

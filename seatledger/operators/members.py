@@ -23,13 +23,18 @@ def _member_fragments(text: Column) -> Column:
 
     Cut behind each parenthesis, so that no break looks ahead to the end of a long text. Clean text has no line feed.
     """
+    def broken(piece: Column) -> Column:
+        return F.regexp_replace(F.translate(piece, ",;", "\n\n"), f" (?:{'|'.join(P.ANDS)}) ", "\n")
+
     pieces = F.split(clean(text), r"(?<=[()])")
-    marked = F.transform(pieces, lambda p: F.when(p.endswith(")"), p).otherwise(F.regexp_replace(p, P.MEMBER_BREAK, "\n")))
+    marked = F.transform(pieces, lambda p: F.when(p.endswith(")"), p).otherwise(broken(p)))
     return F.filter(F.transform(F.split(F.array_join(marked, ""), "\n"), lambda f: F.trim(f)), lambda f: f != "")
 
 
 def _bare(x: Column) -> Column:
-    return F.trim(F.regexp_replace(x, P.LEADING_AND, ""))
+    """Without an "and" that begins it."""
+    first = F.lower(F.substring_index(x, " ", 1))
+    return F.trim(F.when(F.contains(x, F.lit(" ")) & first.isin(*P.ANDS), F.substr(x, F.length(first) + 2)).otherwise(x))
 
 
 def _pair(name: Column, raw: Column) -> Column:
@@ -72,7 +77,7 @@ def split_name_state(text: Column) -> Column:
         return let(F.rtrim(F.regexp_replace(f, P.NAME_STATE_NOTE, "")), lambda bare: let(F.trim(N.without_notes(bare)), lambda name: named(name, bare)))
 
     def pair(f: Column) -> Column:
-        return let(F.trim(F.rtrim(F.regexp_replace(F.regexp_replace(f, P.LEADING_AND, ""), r"^\*+\s*", ""), F.lit("."))), told)
+        return let(F.trim(F.rtrim(F.regexp_replace(_bare(f), r"^\*+\s*", ""), F.lit("."))), told)
 
     return _named(F.transform(_fragments(text, r";\s*"), pair))
 
@@ -95,7 +100,7 @@ def split_senate(text: Column) -> Column:
 
 def is_name_state(text: Column) -> Column:
     """A comma before a state anywhere, or no honorific at all."""
-    return text.rlike(COMMA_STATE) | ~text.rlike(P.HONORIFIC_ANYWHERE)
+    return text.rlike(COMMA_STATE) | ~F.exists(F.split(F.lower(text), r"[^\p{L}\p{N}_.]+"), lambda w: F.exists(F.array(*[F.lit(f"{h}.") for h in P.GENDERS]), lambda h: F.startswith(w, h)))
 
 
 def split_any(text: Column) -> Column:

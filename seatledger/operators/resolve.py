@@ -11,7 +11,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import patterns as P
 from ..functions import text as T
 from .relational import skip_if_empty, unique_or_null
 
@@ -38,7 +37,7 @@ def served_on(terms: Column, date: Column) -> Column:
 
 def probes(names: DataFrame) -> DataFrame:
     """name_id, prio, surname_key, first_key, state, gender, on_date, strict from (name_id, printed, state, on_date)."""
-    bare = F.regexp_replace(T.bare_name(F.col("printed")), P.GENERATION, "")
+    bare = T.without_generation(T.bare_name(F.col("printed")))
     base = names.select(
         "name_id", "on_date", F.coalesce(T.state_code(F.col("state")), T.printed_state(F.col("printed"))).alias("state"), T.honorific_gender(F.col("printed")).alias("gender"),
         F.filter(F.split(T.clean(bare), " "), lambda w: w != "").alias("words"),
@@ -81,8 +80,8 @@ def lookup_full_name(names: DataFrame, cands: DataFrame) -> DataFrame:
 
 def attach(df: DataFrame, cands: DataFrame, printed: str, on_date: str, out: str = "bioguide_id") -> DataFrame:
     """``df`` with the person of each printed name; equal names of one date are resolved once."""
-    key = F.xxhash64(printed, on_date)
     names = df.select(F.col(printed).alias("printed"), F.col(on_date).alias("on_date")).distinct().where("coalesce(printed, '') <> ''")
-    names = names.select(F.xxhash64("printed", "on_date").alias("name_id"), "printed", F.lit(None).cast("string").alias("state"), "on_date")
-    found = lookup(names, cands).withColumnRenamed("bioguide", out)
-    return df.withColumn("name_id", key).join(found, "name_id", "left").drop("name_id")
+    # A struct is the name's id, so that two names can share none.
+    names = names.select(F.struct("printed", "on_date").alias("name_id"), "printed", F.lit(None).cast("string").alias("state"), "on_date")
+    found = lookup(names, cands).select(F.col("name_id.printed").alias("_sl_printed"), F.col("name_id.on_date").alias("_sl_date"), F.col("bioguide").alias(out))
+    return df.join(found, (F.col(printed) == F.col("_sl_printed")) & F.col(on_date).eqNullSafe(F.col("_sl_date")), "left").drop("_sl_printed", "_sl_date")
