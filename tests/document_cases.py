@@ -1,4 +1,4 @@
-"""The operators on landed documents as queries: small payloads in the publishers' shapes, and the rows that they must give.
+"""The operators on landed documents as cases of tests: small payloads in the publishers' shapes, and the rows that they must give.
 
 Every query lands its payloads through Spark in the shared folder or holds them as rows, runs the operator itself, and is
 checked against literal rows. All columns are strings, so that the two sides compare as they are printed.
@@ -13,12 +13,12 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .. import schemas as S
-from ..functions import text as T
-from ..operators import blocks, classify, committees, letters, members, resolve
-from ..sources import api, landing, sinks, urls, xmldocs
-from ..sources.shared import folder, put, written
-from . import events, site
+from seatledger import schemas as S
+from seatledger.functions import text as T
+from seatledger.operators import blocks, classify, committees, letters, members, resolve
+from seatledger.sources import api, landing, sinks, urls, xmldocs
+from seatledger.sources.shared import folder, put, written
+from seatledger.plans import events, site
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -555,7 +555,7 @@ def member_search(spark):
 @case("number pages", ("7", 1), ("8", 1), ("9", 1), ("6", 2))
 def ingested_pages(spark):
     """K1: files that are new since the last run are added once, whatever the number of runs."""
-    from ..streaming.rosters import ingest
+    from seatledger.streaming.rosters import ingest
 
     base = folder(spark, "ingest")
     spark.createDataFrame([(json.dumps(p),) for p in BILLS[:1]], "value string").coalesce(1).write.text(f"{base}/in/a")
@@ -570,7 +570,7 @@ def ingested_pages(spark):
 @case("batch seq change who", (0, 2, "addition", "x"), (0, 2, "addition", "y"), (1, 1, "addition", "y"), (1, 2, "addition", "x"), (2, 1, "addition", "y"), (2, 2, "addition", "x"))
 def late_rosters(spark):
     """K2, K3: a late roster renews what its key has; the same batch again changes nothing."""
-    from ..streaming.rosters import recompute
+    from seatledger.streaming.rosters import recompute
 
     schema, found = "key string, seq long, is_full boolean, members array<struct<identity:string,payload:string>>", []
     run = recompute(f"{folder(spark, 'late')}/history", ["key"], lambda changes: found.append([tuple(r) for r in changes.select("seq", "change", "identity").collect()]))

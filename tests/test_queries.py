@@ -1,4 +1,4 @@
-"""Every registered query with SQL, against DuckDB on the smallest tables."""
+"""Every registered query with SQL, and every case of a landed document, against DuckDB on the smallest tables."""
 
 from __future__ import annotations
 
@@ -7,7 +7,8 @@ import os
 
 import pytest
 
-from seatledger.plans import document_queries, queries
+from seatledger.plans import queries, table_queries  # noqa: F401  both register
+from tests import document_cases as document_queries
 
 QUERIES = queries.QUERIES | document_queries.QUERIES
 ORACLE_SQL = queries.ORACLE_SQL | document_queries.ORACLE_SQL
