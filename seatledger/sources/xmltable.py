@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
+from .shared import written
+
 CORRUPT = "_corrupt"
 
 
@@ -30,8 +32,9 @@ def parsed(docs: DataFrame, column: str, schema: StructType, keep: list[str]) ->
 
 
 def files(spark: SparkSession, path: str, tag: str, schema: StructType) -> tuple[DataFrame, DataFrame]:
-    """Records (elements ``tag``) of the XML files of a folder, large files in splits; and broken ones."""
+    """Records (elements ``tag``) of the XML files of a folder, large files in splits; and broken ones. Files are parsed once, into a table."""
     full = StructType(list(schema)).add(CORRUPT, StringType())
     read = spark.read.format("xml").schema(full).option("rowTag", tag).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).load(path)
+    read = written(read, "xml")
     broken = F.col(CORRUPT).isNotNull()
     return read.where(~broken).drop(CORRUPT), read.where(broken).select(F.col(CORRUPT).alias("text"))
