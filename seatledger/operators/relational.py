@@ -77,9 +77,5 @@ def page(df: DataFrame, order: list[Column], number: int, size: int = 50) -> Dat
     return df.orderBy(*order).offset((number - 1) * size).limit(size)
 
 
-def page_count(df: DataFrame, size: int = 50) -> int:
-    return max(1, -(-df.count() // size))
-
-
 def union_all(frames: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), frames)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..operators import classify
+from ..operators import blocks, classify
 from ..operators import committees as committees_op
 from ..operators import members as M
 from ..operators import relational as R
@@ -85,12 +85,12 @@ def party_rank(spark, lineitem):
     return M.member_rows(blocks_, in_window=F.col("l_orderkey") % 3 != 0).select("l_orderkey", "member_pos", "member_name", F.col("party_rank").cast("int").alias("party_rank"))
 
 
-def _rosters(events: DataFrame, singles: tuple[str, ...] = ()) -> DataFrame:
-    """Users of an event type and day as a roster; types in ``singles`` only add on odd days."""
-    per = events.groupBy("event_type", _day("ts").alias("day")).agg(F.array_sort(F.collect_set("user_id")).alias("users"))
-    member = lambda u: F.struct(u.cast("string").alias("identity"), F.concat(F.lit("user "), u.cast("string")).alias("payload"))
-    single = F.col("event_type").isin(*singles) & (F.substring("day", 9, 2).cast("int") % 2 == 1) if singles else F.lit(False)
-    return per.select("event_type", F.col("day").alias("seq"), (~single).alias("is_full"), F.transform("users", member).alias("members"))
+def _rosters(events: DataFrame, singles: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
+    """Heads and rows of the users of an event type and day as a roster; types in ``singles`` only add on odd days."""
+    rows = events.select("event_type", _day("ts").alias("seq"), "user_id").distinct()
+    rows = rows.select("event_type", "seq", F.col("user_id").alias("pos"), F.col("user_id").cast("string").alias("identity"), F.concat(F.lit("user "), F.col("user_id").cast("string")).alias("payload"))
+    single = F.col("event_type").isin(*singles) & (F.substring("seq", 9, 2).cast("int") % 2 == 1) if singles else F.lit(False)
+    return events.select("event_type", _day("ts").alias("seq")).distinct().withColumn("is_full", ~single), rows
 
 
 @query("""
@@ -101,7 +101,7 @@ UNION ALL SELECT h.event_type, h.seq, 'removal', CAST(o.user_id AS VARCHAR) FROM
 WHERE NOT EXISTS (SELECT 1 FROM s n WHERE n.event_type = o.event_type AND n.e = h.e AND n.user_id = o.user_id)""")
 def roster_diff(spark, events):
     """What each day's roster adds and removes against the day before."""
-    return roster.diff(_rosters(events), ["event_type"]).select("event_type", "seq", "change", "identity")
+    return roster.changes(*_rosters(events), ["event_type"]).select("event_type", "seq", "change", "identity")
 
 
 _SINGLE_SQL = """
@@ -117,13 +117,13 @@ UNION ALL SELECT h.event_type, h.seq, 'removal', CAST(o.user_id AS VARCHAR) FROM
 WHERE NOT EXISTS (SELECT 1 FROM s n WHERE n.event_type = h.event_type AND n.seq = h.seq AND n.user_id = o.user_id)""")
 def roster_diff_single_add(spark, events):
     """The same with rows that only add."""
-    return roster.diff(_rosters(events, ("view", "click")), ["event_type"]).select("event_type", "seq", "change", "identity")
+    return roster.changes(*_rosters(events, ("view", "click")), ["event_type"]).select("event_type", "seq", "change", "identity")
 
 
 @query(_SINGLE_SQL + """SELECT DISTINCT s.event_type, CAST(user_id AS VARCHAR) AS identity, 'user ' || user_id AS payload FROM s JOIN (SELECT event_type, max(e) AS e FROM h GROUP BY 1) m ON m.event_type = s.event_type AND m.e = s.e""")
 def roster_final_state(spark, events):
     """Who is on each roster at the end."""
-    return roster.final_state(_rosters(events, ("view", "click")), ["event_type"])
+    return roster.state_after(*_rosters(events, ("view", "click")), ["event_type"])
 
 
 @query(_SINGLE_SQL + """
@@ -136,7 +136,9 @@ def stateful_roster(spark, events):
     from ..streaming.rosters import stateful_changes
 
     path = folder(spark, "stateful-roster")
-    history = _rosters(events, ("view", "click")).select("event_type", F.replace("seq", F.lit("-"), F.lit("")).cast("long").alias("seq"), "is_full", F.transform("members", lambda m: m["identity"]).alias("identities"))
+    heads, rows = _rosters(events, ("view", "click"))
+    listed = rows.groupBy("event_type", "seq").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "identity"))), lambda m: m["identity"]).alias("identities"))
+    history = heads.join(listed, ["event_type", "seq"]).select("event_type", F.replace("seq", F.lit("-"), F.lit("")).cast("long").alias("seq"), "is_full", "identities")
     history.write.parquet(f"{path}/in")
     stream = spark.readStream.schema(history.schema).parquet(f"{path}/in")
     changes = stateful_changes(stream, "event_type")
@@ -180,16 +182,15 @@ def fuzzy_argmin(spark, part):
 
 
 @query("""
-WITH p AS (SELECT p_partkey, string_split(p_name || ' ' || lower(p_type), ' ') AS t FROM part), s AS (SELECT p_partkey, len(t) - k AS prio, array_to_string(t[len(t) - k + 1 :], ' ') AS suffix FROM p, generate_series(1, 3) g(k) WHERE k <= len(t)),
+WITH p AS (SELECT p_partkey, string_split(p_name || ' ' || lower(p_type), ' ') AS t FROM part), s AS (SELECT p_partkey, len(t) - k AS prio, array_to_string(t[len(t) - k + 1 :], ' ') AS suffix FROM p, generate_series(1, 12) g(k) WHERE k <= len(t)),
 v AS (SELECT DISTINCT string_split(p_name, ' ')[-1] || ' ' || lower(p_type) AS suffix FROM part WHERE p_size < 10 UNION SELECT DISTINCT lower(p_type) FROM part)
 SELECT p_partkey, arg_min(suffix, prio) AS suffix FROM s JOIN v USING (suffix) GROUP BY p_partkey""")
 def suffix_candidates(spark, part):
-    """The longest suffix of the words that the dictionary has."""
-    words = F.split(F.concat_ws(" ", "p_name", F.lower("p_type")), " ")
-    n = F.size("t")
-    suffixes = part.select("p_partkey", words.alias("t")).select("p_partkey", F.explode(F.transform(F.sequence(F.lit(1), F.least(n, F.lit(3))), lambda k: F.struct((n - k).alias("prio"), F.array_join(F.slice("t", n - k + 1, k), " ").alias("suffix")))).alias("s")).select("p_partkey", "s.*")
-    known = part.where("p_size < 10").select(F.concat_ws(" ", F.substring_index("p_name", " ", -1), F.lower("p_type")).alias("suffix")).union(part.select(F.lower("p_type"))).distinct()
-    return suffixes.join(known, "suffix").groupBy("p_partkey").agg(F.min_by("suffix", "prio").alias("suffix"))
+    """The longest suffix of a name's words that the dictionary has, by the probes of the person look-up."""
+    name = F.concat(F.lit("Mr. "), F.concat_ws(" ", "p_name", F.lower("p_type")))
+    asked = resolve.probes(part.select(F.col("p_partkey").alias("name_id"), name.alias("printed"), F.lit(None).cast("string").alias("state"), F.lit(None).cast("string").alias("on_date")))
+    known = part.where("p_size < 10").select(F.concat_ws(" ", F.substring_index("p_name", " ", -1), F.lower("p_type")).alias("surname_key")).union(part.select(F.lower("p_type"))).distinct()
+    return asked.join(known, "surname_key").groupBy(F.col("name_id").alias("p_partkey")).agg(F.min_by("surname_key", "prio").alias("suffix"))
 
 
 @query("""
@@ -244,10 +245,13 @@ def newest_alert(spark, lineitem):
     return site.current_alert(_events_of(lineitem)).select("congress", "missing")
 
 
-@query("""SELECT user_id, event_id FROM events WHERE NOT (user_id % 4 = 0) ORDER BY event_id LIMIT 0""")
+@query("""
+WITH c AS (SELECT ' a ' AS term UNION ALL SELECT ' cl' UNION ALL SELECT 'zz'), f AS (SELECT term, user_id, event_id, row_number() OVER (PARTITION BY term ORDER BY event_type, event_id) AS place FROM events, c WHERE length(trim(term)) >= 2 AND contains(event_type, trim(term)))
+SELECT term, user_id, event_id FROM f WHERE place <= 25""")
 def no_rows(spark, events):
-    """A search with fewer than two letters finds nothing."""
-    return site.search_members(events.select("user_id", "event_id", F.col("event_type").alias("name"), F.col("event_id").alias("bioguide")), " a ").select("user_id", "event_id")
+    """What a reader types: one letter finds nothing though many names hold it, two letters find the first of those that do, others none."""
+    people = events.select("user_id", "event_id", F.col("event_type").alias("name"), F.col("event_id").alias("bioguide"))
+    return R.union_all([site.search_members(people, term).select(F.lit(term).alias("term"), "user_id", "event_id") for term in (" a ", " cl", "zz")])
 
 
 @query("""SELECT CAST(100 + l_linenumber AS INTEGER) AS c, count(*) FILTER (WHERE l_returnflag <> 'R') AS additions, count(*) FILTER (WHERE l_returnflag = 'R') AS removals FROM lineitem GROUP BY 1""")
@@ -346,7 +350,13 @@ def semi_members(spark, lineitem, customer):
 
 @query("""SELECT c_custkey, c_name FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderstatus = 'P')""")
 def anti_rosters(spark, customer, orders):
-    return customer.join(orders.where("o_orderstatus = 'P'").select(F.col("o_custkey").alias("c_custkey")), "c_custkey", "left_anti").select("c_custkey", "c_name")
+    """Who leaves when a roster of all customers is followed by one of those with a pending order."""
+    pending = orders.where("o_orderstatus = 'P'").select(F.col("o_custkey").alias("c_custkey")).distinct()
+    all_ = customer.select(F.lit(1).alias("roster"), F.lit(1).alias("seq"), F.col("c_custkey").alias("pos"), F.col("c_custkey").cast("string").alias("identity"), F.col("c_name").alias("payload"))
+    second = pending.select(F.lit(1).alias("roster"), F.lit(2).alias("seq"), F.col("c_custkey").alias("pos"), F.col("c_custkey").cast("string").alias("identity"), F.lit("").alias("payload"))
+    heads = spark.createDataFrame([(1, 1, True), (1, 2, True)], "roster int, seq int, is_full boolean")
+    found = roster.changes(heads, all_.union(second), ["roster"]).where("change = 'removal'")
+    return found.select(F.col("identity").cast(customer.schema["c_custkey"].dataType).alias("c_custkey"), F.col("payload").alias("c_name"))
 
 
 @query("""SELECT p_partkey, trim(regexp_replace(regexp_replace(regexp_replace(lower('Committee on the ' || p_name || ', House of ' || p_type), '\\bcommittee\\b|\\bhouse\\b|\\bon\\b|\\bthe\\b|\\bof\\b', ' ', 'g'), '[^a-z0-9 ]', ' ', 'g'), '\\s+', ' ', 'g')) AS norm FROM part""")
@@ -374,21 +384,28 @@ def split_members_notes(spark, documents):
     return documents.select("doc_id", F.posexplode(M.split_with_notes(F.col("text"))).alias("pos", "m")).select("doc_id", "pos", "m.clean", "m.raw")
 
 
-@query("""SELECT page_id, sha256(replace(replace(replace(replace(replace(regexp_replace(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1), '<[^>]+>', '', 'g'), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', chr(39)), '&amp;', '&')) AS text FROM pages""")
+_PLAIN = "regexp_replace(replace(replace(replace(regexp_replace({}, '<[^>]+>', '', 'g'), '&copy;', '©'), '&middot;', '·'), '&quot;', '\"'), '&amp;?', '&', 'g')"
+
+
+@query(f"""SELECT page_id, sha256({_PLAIN.format("html")}) AS whole, sha256({_PLAIN.format("regexp_extract(html, '(?s)<article>(.*?)</article>', 1)")}) AS text FROM pages WHERE html LIKE '%<article>%</article>%'
+UNION ALL SELECT page_id, sha256({_PLAIN.format("html")}), sha256({_PLAIN.format("html")}) FROM pages WHERE html NOT LIKE '%<article>%</article>%'""")
 def html_pre_text(spark, pages):
-    """Text of the first pre element, tags stripped, references decoded."""
-    title = F.regexp_extract("html", r"(?is)<title[^>]*>(.*?)</title>", 1)
-    return pages.select("page_id", F.sha2(T.pre_text(F.concat(F.lit('<html>x<PRE class="a">'), title, F.lit("</pre> tail <pre>y</pre>"))), 256).alias("text"))
+    """Text of whole pages, and of the first pre element where the article is one: tags stripped, references decoded."""
+    printed = F.replace(F.replace("html", F.lit("<article>"), F.lit('<PRE class="a">')), F.lit("</article>"), F.lit("</pre>"))
+    return pages.select("page_id", F.sha2(T.pre_text(F.col("html")), 256).alias("whole"), F.sha2(T.pre_text(printed), 256).alias("text"))
 
 
 @query("""
-WITH m AS (SELECT page_id, regexp_extract_all(html, '<a href="([^"]*)">([^<]*)</a>', 1) AS a, regexp_extract_all(html, '<a href="([^"]*)">([^<]*)</a>', 2) AS b FROM pages)
-SELECT page_id, CAST(i - 1 AS INTEGER) AS block_pos, x AS head, y AS body FROM (SELECT page_id, unnest(a) AS x, unnest(b) AS y, generate_subscripts(a, 1) AS i FROM m)""")
+WITH m AS (SELECT page_id, regexp_extract_all(html, '<a href="[^"]*">([^<]*)</a>', 1) AS a FROM pages),
+w AS (SELECT page_id, i, lower(regexp_replace(x, '[^A-Za-z]', '', 'g')) AS x FROM (SELECT page_id, unnest(a) AS x, generate_subscripts(a, 1) AS i FROM m))
+SELECT page_id, CAST(i - 1 AS INTEGER) AS block_pos, 'Committee on Za' || x AS head, 'Mr. Zo' || x AS body FROM w""")
 def text_blocks(spark, pages):
-    """All matches of a pattern with two groups as rows with their places."""
-    p = F.lit('<a href="([^"]*)">([^<]*)</a>')
-    both = F.arrays_zip(F.regexp_extract_all("html", p, F.lit(1)).alias("head"), F.regexp_extract_all("html", p, F.lit(2)).alias("body"))
-    return pages.select("page_id", F.posexplode(both).alias("block_pos", "b")).select("page_id", "block_pos", "b.head", "b.body")
+    """The links of every page as the text of a resolution, a committee with a member for each, cut into blocks."""
+    links = F.transform(F.regexp_extract_all("html", F.lit('<a href="[^"]*">([^<]*)</a>'), F.lit(1)), lambda x: F.lower(F.regexp_replace(x, "[^A-Za-z]", "")))
+    listed = F.array_join(F.transform(links, lambda x: F.concat(F.lit("Committee on Za"), x, F.lit(": Mr. Zo"), x, F.lit("."))), "\n")
+    opening = "<pre>Resolved, That the following named Members be, and are hereby, elected to the following standing committees of the House:\n"
+    found = blocks.house_text(pages.select("page_id", F.concat(F.lit(opening), listed, F.lit("\nAttest: Clerk.</pre>")).alias("body")))
+    return found.select("page_id", F.col("block_pos").cast("int").alias("block_pos"), F.col("committee").alias("head"), F.array_join(F.transform("pairs", lambda p: p["clean"]), ", ").alias("body"))
 
 
 @query("""

@@ -141,9 +141,3 @@ def search_members(members_: DataFrame, query: str, n: int = 25) -> DataFrame:
     if len(query.strip()) < 2:
         return members_.limit(0)
     return members_.where(F.contains(T.fold(F.col("name"), False), T.fold(F.lit(query.strip()), False))).orderBy("name", "bioguide").limit(n)
-
-
-def newest_rank(events: DataFrame) -> DataFrame:
-    """Committee rosters by rank as last printed."""
-    w = Window.partitionBy("committee").orderBy(F.desc("congress"), "party_rank")
-    return events.where("party_rank is not null").withColumn("place", F.row_number().over(w))
