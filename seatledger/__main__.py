@@ -1,10 +1,11 @@
-"""Command line: events of one Congress from a folder of landed payloads.
+"""Command line: events of one Congress, from the live services or from a folder of landed payloads.
 
-``python -m seatledger --congress 119 --landing DIR`` reads the folders bills,
+``python -m seatledger --congress 119`` asks the services, with the key in CONGRESS_GOV_API_KEY; files of people
+and committee names are kept in the folder ``--cache``. With ``--landing DIR`` it reads the folders bills,
 actions, renditions, committees, committee-details, packages, granules, summaries,
 texts and the files legislators*.yaml of DIR; what is missing degrades: names stay
-unresolved, codes unfilled, letters out, each with a warning. Exit code 2: no bills
-folder where resolutions are asked for.
+unresolved, codes unfilled, letters out, each with a warning. Folders and files may be in any
+store that Spark reads. Exit code 2: no key for the services, or no bills folder where resolutions are asked for.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ import argparse
 import logging
 import os
 import sys
+from dataclasses import replace
 
 log = logging.getLogger("seatledger")
 
@@ -23,7 +25,8 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--chamber", choices=("house", "senate"), default="house")
     p.add_argument("--source", choices=("resolution", "record", "all"), default="all", help="kinds of documents; the Senate has resolutions only")
     p.add_argument("--since", help="only documents updated or issued from this ISO date on")
-    p.add_argument("--landing", required=True, help="folder of landed payloads")
+    p.add_argument("--landing", help="folder of landed payloads, instead of the live services")
+    p.add_argument("--cache", default=".cache", help="folder in which a live run keeps people and committees (%(default)s)")
     p.add_argument("--out", "--output", dest="output", help="JSON file; an earlier one there keeps its corrections (output/committee_changes_<congress>.json)")
     p.add_argument("--legislators-path", default=os.environ.get("CONGRESS_LEGISLATORS_PATH"), help="YAML file of people, or a folder of them, instead of those in the landing folder")
     p.add_argument("--no-bioguide", action="store_true", help="leave names unresolved")
@@ -36,13 +39,14 @@ def default_output(congress: int, chamber: str) -> str:
     return f"output/committee_changes_{'senate_' if chamber == 'senate' else ''}{congress}.json"
 
 
-def people_files(path: str | None, folder: str) -> list[str]:
+def people_files(spark, path: str | None, folder: str | None) -> list[str]:
     """YAML files of people, by name: ``path`` or what is in it, else those of the landing folder."""
-    if path and os.path.isfile(path):
+    from .sources.shared import names_in
+
+    if path and path.endswith((".yaml", ".yml")):
         return [path]
     at = path or folder
-    found = sorted(n for n in os.listdir(at) if n.startswith("legislators") and n.endswith((".yaml", ".yml"))) if os.path.isdir(at) else []
-    return [os.path.join(at, n) for n in found]
+    return [f"{at.rstrip('/')}/{n}" for n in names_in(spark, at) if n.startswith("legislators") and n.endswith((".yaml", ".yml"))]
 
 
 def landed(spark, folder: str, chamber: str, people: list[str], codes: bool = True):
@@ -52,8 +56,10 @@ def landed(spark, folder: str, chamber: str, people: list[str], codes: bool = Tr
     from .operators import committees
     from .plans.events import Landed
     from .sources import landing
+    from .sources.shared import names_in
 
-    at = lambda name: f"{folder}/{name}" if os.path.isdir(f"{folder}/{name}") else None
+    held = set(names_in(spark, folder))
+    at = lambda name: f"{folder}/{name}" if name in held else None
     read = lambda name, f: f(spark, at(name)) if at(name) else None
     bills = read("bills", landing.bills)
     listed = read("committees", landing.committee_list) if codes else None
@@ -69,22 +75,39 @@ def landed(spark, folder: str, chamber: str, people: list[str], codes: bool = Tr
     )
 
 
-def main(argv: list[str] | None = None, spark=None) -> int:
+def main(argv: list[str] | None = None, spark=None, mirrors: dict[str, str] | None = None) -> int:
+    """``mirrors``: addresses that are asked instead of those that begin so."""
     args = parser().parse_args(argv)
     logging.basicConfig(level=logging.INFO if args.verbose else logging.WARNING, format="%(levelname)s %(message)s")
     from pyspark.sql import SparkSession
 
     from .plans import events, site
-    from .sources import landing, sinks
-    from .sources.shared import written
-
+    from .sources import landing, live, sinks
+    from .sources.shared import exists, written
+
+    services = None
+    if not args.landing:
+        try:
+            services = replace(live.Services.from_environment(), mirrors=mirrors or {})
+        except ValueError as error:
+            print(f"error: {error}", file=sys.stderr)
+            return 2
     spark = spark or SparkSession.builder.appName("seatledger").getOrCreate()
-    given = landed(spark, args.landing, args.chamber, [] if args.no_bioguide else people_files(args.legislators_path, args.landing), not args.no_committee_codes)
-    if given.bills is None and (args.chamber == "senate" or args.source != "record"):
-        print("no bills in the landing folder", file=sys.stderr)
-        return 2
+    if args.no_bioguide:
+        people = []
+    elif services and not args.legislators_path:
+        people = None
+    else:
+        people = people_files(spark, args.legislators_path, args.landing)
+    if services:
+        given = live.landed(spark, services, args.congress, args.chamber, args.source, args.since, people, not args.no_committee_codes, args.cache)
+    else:
+        given = landed(spark, args.landing, args.chamber, people, not args.no_committee_codes)
+        if given.bills is None and (args.chamber == "senate" or args.source != "record"):
+            print("no bills in the landing folder", file=sys.stderr)
+            return 2
     output = args.output or default_output(args.congress, args.chamber)
-    previous = landing.previous_events(spark, output) if os.path.exists(output) else None
+    previous = landing.previous_events(spark, output) if exists(spark, output) else None
     found = written(events.collect(given, args.congress, args.chamber, args.source, args.since, previous), "events")
     s = site.summary(found).first()
     sinks.export_events(found, output)

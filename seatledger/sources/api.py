@@ -48,7 +48,8 @@ class _Still(urllib.request.HTTPRedirectHandler):
 
 def get(url: str, timeout: float = 30.0) -> bytes:
     """The body of ``url``; any status but 200 is an error."""
-    with urllib.request.build_opener(_Still).open(url, timeout=timeout) as answer:
+    asked = urllib.request.Request(url, headers={"User-Agent": "seatledger"})
+    with urllib.request.build_opener(_Still).open(asked, timeout=timeout) as answer:
         if answer.status != 200:
             raise urllib.error.HTTPError(url, answer.status, "not 200", answer.headers, None)
         return answer.read()
@@ -86,6 +87,10 @@ def granules_url(package: str) -> str:
     return address(f"{GOVINFO_API}/packages/{package}/granules", offsetMark="*")
 
 
+def granule_url(package: str, granule: str) -> str:
+    return f"{GOVINFO_API}/packages/{package}/granules/{granule}/summary"
+
+
 class ApiReader(DataSourceReader):
     def __init__(self, options: dict):
         self.url, self.items, self.key = options["url"], options["items"], options.get("key")

@@ -53,6 +53,19 @@ def put(spark: SparkSession, path: str, data: bytes) -> None:
         raise
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    at, store = _at(spark, path)
+    return store.exists(at)
+
+
+def names_in(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files and folders in a folder of any store, sorted; none where it is no folder."""
+    at, store = _at(spark, path)
+    if not store.exists(at) or not store.getFileStatus(at).isDirectory():
+        return []
+    return sorted(s.getPath().getName() for s in store.listStatus(at))
+
+
 def get(spark: SparkSession, path: str) -> bytes | None:
     """A small file of Spark's store, None where there is none."""
     at, store = _at(spark, path)
