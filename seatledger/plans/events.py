@@ -171,6 +171,8 @@ def record(landed: Landed, congress: int, start: str, end: str) -> DataFrame:
         read = read.withColumn("link", F.lit(None).cast("string"))
     text = F.coalesce(F.when(F.col("text_body").isNotNull(), T.pre_text(F.col("text_body"))), F.lit(""))
     parsed = read.withColumn("_sl_text", text).withColumn("p", letters.parse(F.col("title"), F.col("_sl_text"))).withColumn("on_date", T.issue_date(F.col("packageId"))).withColumn("printed", T.signer_name(F.col("p.member_name")))
+    # Names are resolved through a join of these rows with themselves: letters are parsed once, and the plan stays small.
+    parsed = written(parsed.select("packageId", "granuleId", "pos", "link", "p", "on_date", "printed"), "parsed-letters")
     url = F.coalesce(F.nullif("link", F.lit("")), urls.package_url(F.col("packageId")))
     ref = make_ref("record", page=F.nullif(F.regexp_extract("granuleId", r"Pg([A-Z]\d+)", 1), F.lit("")), granule_id=F.col("granuleId"), signed_date=F.col("p.signed_date"), url=url)
     # A letter without a committee is still one event.
