@@ -21,6 +21,18 @@ GROUP_OPENING = any_of(tuple(
     f"{who}{whom} {verb} rank in {order}order {place}" for who in ("both", "all") for whom in ("", " of whom") for verb in ("to", "will", "shall") for order in ("", "the ", "the named ", "named ") for place in P.RANK_PLACES
 ))
 
+#: In lower case, words of which every note on a name holds one: a cheap test before any pattern.
+CUES = ("rank", "chair", "after", "ahead")
+
+
+def may_hold_note(x: Column) -> Column:
+    """Whether ``x`` holds a bracket or a word of a note; where not, no pattern of this module changes it."""
+    lowered = F.lower(x)
+    cued = F.contains(x, F.lit("("))
+    for cue in CUES:
+        cued = cued | F.contains(lowered, F.lit(cue))
+    return cued
+
 
 def is_note(x: Column) -> Column:
     """Nothing but a note."""
@@ -29,7 +41,7 @@ def is_note(x: Column) -> Column:
 
 def continues(x: Column) -> Column:
     """A piece that belongs to the name before it: a note, or the generation that a comma cut off."""
-    return is_note(x) | x.rlike(rf"(?i)^{any_of(P.GENERATIONS)}\.?\s+of\s+.")
+    return (may_hold_note(x) & is_note(x)) | x.rlike(rf"(?i)^{any_of(P.GENERATIONS)}\.?\s+of\s+.")
 
 
 def names_a_chair(x: Column) -> Column:

@@ -143,7 +143,8 @@ def written_date(x: Column, pattern: str) -> Column:
 def text_date(flat: Column) -> Column:
     """The date that follows the first naming of the House, with nothing but marks and "U.S." between."""
     tail = F.get(F.split(flat, r"(?i)\bHouse\s+of\s+Representatives\b(?=[\s,.US]*[A-Z][a-z]+\s+\d)", 2), F.lit(1))
-    return written_date(F.regexp_replace(tail, r"^[\s,.]*(?:U\.?\s*S\.?[\s,.]*)?", ""), r"^([A-Za-z]+)\s+(\d{1,2}),\s*(\d{4})")
+    begun = F.regexp_replace(tail, r"^[\s,.]*(?:U\.?\s*S\.?[\s,.]*)?", "")
+    return let(begun, lambda x: written_date(x, r"^([A-Za-z]+)\s+(\d{1,2}),\s*(\d{4})"))
 
 
 def compact_date(x: Column) -> Column:

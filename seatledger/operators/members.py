@@ -24,7 +24,7 @@ def _member_fragments(text: Column) -> Column:
     Cut behind each parenthesis, so that no break looks ahead to the end of a long text. Clean text has no line feed.
     """
     def broken(piece: Column) -> Column:
-        return F.regexp_replace(F.translate(piece, ",;", "\n\n"), f" (?:{'|'.join(P.ANDS)}) ", "\n")
+        return F.regexp_replace(piece, f"[,;]| (?:{'|'.join(P.ANDS)}) ", "\n")
 
     pieces = F.split(clean(text), r"(?<=[()])")
     marked = F.transform(pieces, lambda p: F.when(p.endswith(")"), p).otherwise(broken(p)))
@@ -58,8 +58,12 @@ def split_with_notes(text: Column) -> Column:
         starts = F.filter(F.transform(frags, lambda f, i: F.when((i == 0) | ~N.continues(_bare(f)), i)), lambda i: i.isNotNull())
         return let(starts, lambda s: F.transform(s, lambda i, k: F.array_join(F.slice(frags, i + 1, F.coalesce(F.get(s, k + 1), F.size(frags)) - i), ", ")))
 
+    def noted(r: Column) -> Column:
+        return let(clean_member(N.without_notes(r)), lambda name: _pair(name, F.rtrim(r, F.lit(".,;"))))
+
     def pair(raw: Column) -> Column:
-        return let(_bare(raw), lambda r: _pair(clean_member(N.without_notes(r)), clean_member(r)))
+        # Pieces of clean text are clean; most hold no word of a note.
+        return let(_bare(raw), lambda r: F.when(N.may_hold_note(r), noted(r)).otherwise(_pair(F.rtrim(r, F.lit(".,;")), F.lit(None).cast("string"))))
 
     return _named(F.transform(let(_member_fragments(text), merged), pair))
 

@@ -378,9 +378,24 @@ def split_members(spark, documents):
     return documents.select("doc_id", F.posexplode(M.split_plain(F.col("text"))).alias("pos", "member"))
 
 
-@query()
+_SPACES = r"[\x{9}-\x{d} \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
+_RANKED = "(?:(?:to|shall|will|who shall|who will) rank (?:immediately )?(?:after|ahead of|following)|after|ahead of) "
+_ROLE = "(?:(?:vice )?chair(?:man|woman)?|ranking (?:minority )?member)"
+
+
+@query(f"""
+WITH t AS (SELECT doc_id, trim(regexp_replace(coalesce(text, ''), '{_SPACES}', ' ', 'g')) AS t FROM documents),
+p AS (SELECT doc_id, list_aggregate(list_transform(regexp_extract_all(t, '[^()]*[()]?'), lambda x: CASE WHEN suffix(x, ')') THEN x ELSE regexp_replace(x, '[,;]| (?:and|&) ', chr(10), 'g') END), 'string_agg', '') AS t FROM t),
+l AS (SELECT doc_id, list_filter(list_transform(string_split(t, chr(10)), lambda x: trim(x)), lambda x: x <> '') AS l FROM p),
+f AS (SELECT doc_id, unnest(l) AS f, generate_subscripts(l, 1) AS i FROM l),
+b AS (SELECT *, trim(regexp_replace(f, '^(?:and|&) ', '', 'i')) AS b FROM f),
+s AS (SELECT *, i = 1 OR NOT (regexp_matches(rtrim(b, '. '), '(?i)^(?:{_RANKED}.+|{_ROLE})$') OR regexp_matches(b, '(?i)^(?:Jr|Sr|II|III|IV)\\.? of .')) AS s FROM b),
+g AS (SELECT *, sum(CAST(s AS INTEGER)) OVER (PARTITION BY doc_id ORDER BY i) AS g FROM s),
+r AS (SELECT doc_id, g, trim(regexp_replace(string_agg(f, ', ' ORDER BY i), '^(?:and|&) ', '', 'i')) AS r FROM g GROUP BY doc_id, g),
+n AS (SELECT doc_id, g, rtrim(r, '.,;') AS r, rtrim(trim(regexp_replace(regexp_replace(regexp_replace(r, ' ?\\( ?(?:{_RANKED}[^()]*[^(). ][. ]*|{_ROLE}[. ]*|when sworn) ?\\)', '', 'gi'), '(?i)(?:^|[, ]+)(?:{_RANKED}.+|{_ROLE}[. ]*)$', ''), ' +', ' ', 'g')), '.,;') AS n FROM r)
+SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY g) - 1 AS INTEGER) AS pos, n AS clean, CASE WHEN r <> n THEN r END AS raw FROM n WHERE n <> ''""")
 def split_members_notes(spark, documents):
-    """The splitter for names with honorifics and notes; look-ahead puts it beyond the SQL dialect."""
+    """The splitter for names with honorifics and notes, over whole texts."""
     return documents.select("doc_id", F.posexplode(M.split_with_notes(F.col("text"))).alias("pos", "m")).select("doc_id", "pos", "m.clean", "m.raw")
 
 
@@ -415,7 +430,7 @@ def date_extract(spark, orders):
     written = F.concat(F.lit("In the House of Representatives, U.S., "), F.date_format("o_orderdate", "MMMM d, yyyy"), F.lit("."))
     iso = T.text_date(written)
     congress = F.floor((F.year("o_orderdate") - 1789) / 2).cast("int") + 1
-    return orders.select("o_orderkey", iso.alias("iso"), congress.alias("congress"), T.in_organizing_window(congress, iso).alias("in_window"))
+    return orders.select("o_orderkey", iso.alias("iso"), congress.alias("congress")).select("*", T.in_organizing_window(F.col("congress"), F.col("iso")).alias("in_window"))
 
 
 @query("""SELECT c AS congress, CAST(1789 + (c - 1) * 2 AS VARCHAR) || '-01-03' AS first_day, CAST(1791 + (c - 1) * 2 AS VARCHAR) || '-01-03' AS last_day, count(*) AS n FROM (SELECT CAST((year(o_orderdate) - 1789) // 2 + 1 AS INTEGER) AS c FROM orders) GROUP BY ALL""")
