@@ -9,6 +9,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from seatledger.functions import notes as N
 from seatledger.functions import text as T
 from seatledger.operators import classify, letters
 from seatledger.operators import members as M
@@ -119,6 +120,15 @@ RANKS = [f"{v} {h}{p} " for v in ("to rank", "shall rank", "will rank", "who sha
 ROLES = ("chair", "chairman", "chairwoman", "vice chair", "vice chairman", "vice chairwoman", "ranking member", "ranking minority member")
 
 
+def test_every_note_holds_a_cue(spark):
+    """The cheap test before the patterns passes over no note, in any case and in brackets; a plain name has none."""
+    whole = [r + "Mr. Fir" for r in RANKS] + list(ROLES)
+    notes = [form for n in whole for form in (n, n.upper(), n.title() + ".", f"Mr. Oak, {n}", f"Mr. Oak ({n})")] + ["Mr. Oak (when sworn)"]
+    rows = spark.createDataFrame([(i, n) for i, n in enumerate([*notes, "Mr. Oak of Ohio", "", None])], "i int, n string")
+    found = {r["i"]: r["cued"] for r in rows.select("i", N.may_hold_note(F.col("n")).alias("cued")).collect()}
+    assert all(found[i] for i in range(len(notes))) and [found[len(notes) + k] for k in range(3)] == [False, False, None]
+
+
 def is_note(s):
     low = s.rstrip(". ").lower()
     return low in ROLES or any(low.startswith(r) and len(low) > len(r) for r in RANKS)
