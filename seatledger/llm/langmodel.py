@@ -11,8 +11,10 @@ right that carries the state: a token takes the arc of the state, or the failure
 arcs until a state has one, whose weights add up.
 
 The model covers the whole training corpus and is never held in one place.
-Documents are dealt into blocks of bounded size. Each block asks, for every
-distinct n-gram of its documents, how often the corpus has it: the requests go
+Documents are dealt into blocks of bounded size, and each block is turned into
+token numbers once, in a table that requests and scores read instead of texts.
+Each block asks, for every distinct n-gram of its documents, how often the
+corpus has it: the requests go
 to shards by hash, carry the block's own counts, and the answers come back in
 the order of the requests. From them each block builds the states and arcs that
 its documents can reach, and traverses them.
@@ -34,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, utf8
+from .common import map_batches, materialise, utf8
 from .neardup import WordHashes, mix
 from .toxicity import held_out
 
@@ -91,6 +93,15 @@ class Tokens:
         self.hashes = np.concatenate(parts) if parts else np.empty(0, _U)
         self.lengths = np.array(lengths, np.int64)
         self.begins = np.cumsum(self.lengths) - self.lengths
+        self.vocabulary, self.words = np.unique(self.hashes, return_inverse=True)
+
+    @classmethod
+    def stored(cls, lengths: np.ndarray, vocabulary: np.ndarray, words: np.ndarray) -> Tokens:
+        """The same from lengths, sorted distinct token hashes, and the number of the one at each token."""
+        self = cls.__new__(cls)
+        self.hashes, self.lengths, self.begins = vocabulary[words], lengths, np.cumsum(lengths) - lengths
+        self.vocabulary, self.words = vocabulary, words
+        return self
 
     def grams(self, n: int) -> np.ndarray:
         """Hash of the n-gram that ends at each token; before a text stands BEGIN. Order 1 is the token's own."""
@@ -104,23 +115,51 @@ class Tokens:
             acc = mix(acc * _MIX + before + _U(j))
         return acc >> _U(8)
 
+    def distinct(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """The distinct n-grams in order, and the number of the one that ends at each token."""
+        if n == 1:
+            keys, where = np.unique(self.vocabulary >> _U(8), return_inverse=True)
+            return keys, where[self.words]
+        return np.unique(self.grams(n), return_inverse=True)
+
 
 def shard_of(grams: np.ndarray, shards: int) -> np.ndarray:
     """Shard by the high bits, so that sorted hashes are grouped by shard."""
     return ((grams >> _U(24)) * _U(shards)) >> _U(32)
 
 
+BLOCK = "block int, doc_id array<long>, held_out array<boolean>, lengths array<long>, vocabulary binary, words binary"
 REQUEST = "block int, shard int, n int, grams binary, counts binary"
+#: Blocks are rows of some MB: row groups are closed by their bytes, looked at after every row.
+_ROW_GROUPS = {"parquet.block.size": 16 << 20, "parquet.page.size.row.check.min": 1, "parquet.page.size.row.check.max": 1}
 
 
-def _requests(rows: pa.Table, orders: tuple[int, ...], shards: int) -> pa.Table:
-    """Of one block: for each of the orders and each shard, the distinct n-grams and their training counts here."""
-    block = rows.column("block")[0].as_py()
+def _tokenise(rows: pa.Table) -> pa.Table:
+    """The documents of one block as one row."""
     tokens = Tokens((c.as_py() for c in rows.column("text")), WordHashes())
-    learn = np.repeat(~np.array(rows.column("held_out").to_pylist(), bool), tokens.lengths)
+    return pa.table({
+        "block": rows.column("block").slice(0, 1),
+        "doc_id": pa.array([rows.column("doc_id").to_pylist()], pa.list_(pa.int64())),
+        "held_out": pa.array([rows.column("held_out").to_pylist()], pa.list_(pa.bool_())),
+        "lengths": pa.array([tokens.lengths], pa.list_(pa.int64())),
+        "vocabulary": pa.array([pack(tokens.vocabulary)], pa.binary()),
+        "words": pa.array([pack_counts(tokens.words)], pa.binary()),
+    })
+
+
+def _stored(block: pa.RecordBatch | pa.Table) -> Tokens:
+    lengths, vocabulary, words = (block.column(c)[0].as_py() for c in ("lengths", "vocabulary", "words"))
+    return Tokens.stored(np.array(lengths, np.int64), unpack(vocabulary), unpack_counts(words))
+
+
+def _requests(row: pa.RecordBatch, orders: tuple[int, ...], shards: int) -> pa.RecordBatch:
+    """Of one block: for each of the orders and each shard, the distinct n-grams and their training counts here."""
+    block = row.column("block")[0].as_py()
+    tokens = _stored(row)
+    learn = np.repeat(~np.array(row.column("held_out")[0].as_py(), bool), tokens.lengths)
     cols: list[list] = [[] for _ in range(5)]
     for n in orders:
-        keys, where = np.unique(tokens.grams(n), return_inverse=True)
+        keys, where = tokens.distinct(n)
         counts = np.bincount(where, weights=learn, minlength=len(keys)).astype(np.int64)
         cuts = np.searchsorted(shard_of(keys, shards), np.arange(shards + 1, dtype=_U))
         for s in range(shards):
@@ -129,7 +168,7 @@ def _requests(rows: pa.Table, orders: tuple[int, ...], shards: int) -> pa.Table:
                 for x, v in zip(cols, (block, s, n, pack(keys[a:b]), pack_counts(counts[a:b])), strict=True):
                     x.append(v)
     types = [pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary()]
-    return pa.table({k: pa.array(v, t) for k, v, t in zip(("block", "shard", "n", "grams", "counts"), cols, types, strict=True)})
+    return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(cols, types, strict=True)], names=["block", "shard", "n", "grams", "counts"])
 
 
 def _answers(rows: pa.Table) -> pa.Table:
@@ -244,16 +283,16 @@ def walk(tokens: Tokens, model: Automaton) -> np.ndarray:
 SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
 
 
-def _score(key, docs: pa.Table, answers: pa.Table, order: int, shards: int, total: int, types: int, texts: int, share: dict[int, float]) -> pa.Table:
+def _score(key, block: pa.Table, answers: pa.Table, order: int, shards: int, total: int, types: int, texts: int, share: dict[int, float]) -> pa.Table:
     names = [f.split()[0] for f in SCORES.split(", ")]
     kinds = [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
-    if not docs.num_rows:
+    if not block.num_rows:
         return pa.table({n: pa.array([], t) for n, t in zip(names, kinds, strict=True)})
-    tokens = Tokens((c.as_py() for c in docs.column("text")), WordHashes())
+    tokens = _stored(block)
     got = {(s, n): x for s, n, x in zip(answers.column("shard").to_pylist(), answers.column("n").to_pylist(), answers.column("totals").to_pylist(), strict=True)}
     counts, grams = {}, {}
     for n in range(1, order + 1):
-        keys, where = np.unique(tokens.grams(n), return_inverse=True)
+        keys, where = tokens.distinct(n)
         counts[n] = np.concatenate([unpack_counts(got.pop((s, n))) for s in range(shards) if (s, n) in got])
         if len(keys) != len(counts[n]):
             raise ValueError(f"block {key[0]}: {len(keys)} {n}-grams and {len(counts[n])} answers")
@@ -266,7 +305,8 @@ def _score(key, docs: pa.Table, answers: pa.Table, order: int, shards: int, tota
     known = (seen > 0).astype(np.float64)
     doc = np.repeat(np.arange(len(tokens.lengths)), tokens.lengths)
     by = lambda x: np.bincount(doc, weights=x, minlength=len(tokens.lengths))
-    cols = [docs.column("doc_id"), docs.column("held_out"), pa.array(tokens.lengths), pa.array(by(known).astype(np.int64)), pa.array(by(base)), pa.array(by(logs))]
+    ids, held = (block.column(c)[0].as_py() for c in ("doc_id", "held_out"))
+    cols = [pa.array(ids, pa.int64()), pa.array(held, pa.bool_()), pa.array(tokens.lengths), pa.array(by(known).astype(np.int64)), pa.array(by(base)), pa.array(by(logs))]
     return pa.table(dict(zip(names, cols, strict=True)))
 
 
@@ -279,8 +319,10 @@ def score(docs: DataFrame, order: int = ORDER, block_bytes: int = BLOCK_BYTES, m
     # The text's hash deals rows with one id to several blocks.
     dealt = own.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int"))
 
+    stored = materialise(dealt.groupBy("block").applyInArrow(_tokenise, BLOCK), "lm-blocks", **_ROW_GROUPS)
+
     def answered(orders: tuple[int, ...]) -> DataFrame:
-        requests = dealt.groupBy("block").applyInArrow(lambda rows: _requests(rows, orders, shards), REQUEST)
+        requests = map_batches(stored, lambda: lambda row: _requests(row, orders, shards), REQUEST, rows=1)
         return materialise(requests.groupBy("shard", "n").applyInArrow(_answers, "block int, shard int, n int, totals binary, once long, types long, all long"), "lm-answers")
 
     # The longer n-grams ask in jobs of their own, so that not all requests lie on disk at once.
@@ -291,5 +333,5 @@ def score(docs: DataFrame, order: int = ORDER, block_bytes: int = BLOCK_BYTES, m
     sums = {r["n"]: r for r in answers.groupBy("n").agg(F.sum("once").alias("once"), F.sum("types").alias("types"), F.sum("all").alias("all")).collect()}
     total, types, texts = (sums[1]["all"], sums[1]["types"], size["texts"]) if sums else (0, 0, 0)
     share = {n: min(0.99, max(0.01, r["once"] / max(1, r["all"]))) for n, r in sums.items()}
-    scored = dealt.groupBy("block").cogroup(answers.select("block", "shard", "n", "totals").groupBy("block")).applyInArrow(lambda key, left, right: _score(key, left, right, order, shards, total, types, texts, share), SCORES)
+    scored = stored.groupBy("block").cogroup(answers.select("block", "shard", "n", "totals").groupBy("block")).applyInArrow(lambda key, left, right: _score(key, left, right, order, shards, total, types, texts, share), SCORES)
     return scored.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score")

@@ -329,6 +329,18 @@ def test_langmodel_sums_to_one(order):
         assert logs == pytest.approx(langmodel.walk(toks, model))
 
 
+def test_langmodel_tokenises_once(docs, rows):
+    """Requests and scores read token numbers: no text is left in the plan, and the numbers give the same n-grams."""
+    plan = langmodel.score(docs, 3, 2000)._jdf.queryExecution().analyzed().toString()
+    assert "text#" not in plan and "vocabulary#" in plan
+    toks = langmodel.Tokens([t for _, t, _ in rows], neardup.WordHashes())
+    again = langmodel.Tokens.stored(toks.lengths, langmodel.unpack(langmodel.pack(toks.vocabulary)), langmodel.unpack_counts(langmodel.pack_counts(toks.words)))
+    assert (again.hashes == toks.hashes).all() and (again.begins == toks.begins).all()
+    for n in (1, 2, 3):
+        for x, y in zip(again.distinct(n), np.unique(toks.grams(n), return_inverse=True), strict=True):
+            assert (x == y).all()
+
+
 def test_packing():
     x = np.sort(np.random.default_rng(1).integers(0, 1 << 63, 1000, dtype=np.uint64) * np.uint64(2))
     assert (langmodel.unpack(langmodel.pack(x)) == x).all()
