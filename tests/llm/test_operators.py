@@ -254,6 +254,16 @@ def test_substrings_periodic(spark):
     assert got == {i: sum(g) for (i, _, _), g in zip(rows, _removed(rows), strict=True)}
 
 
+def test_substrings_of_over_50_words(spark):
+    """Over 50 words that repeat in 399 bytes stay, by the contract; 400 bytes go."""
+    words = " ".join(f"w{k:05d}" for k in range(57))
+    for n in (399, 400):
+        passage = words.ljust(400, "z")[:n]
+        assert len(passage.split()) > 50
+        docs = spark.createDataFrame([(1, "a" + passage + "b"), (2, "c" + passage + "d")], "doc_id long, text string")
+        assert {r["n_removed"] for r in substrings.dedup(docs).collect()} == {n // 400 * 400}
+
+
 def test_suffix_order():
     rng = random.Random(1)
     for trial in range(200):
