@@ -11,6 +11,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from seatledger.llm import decontam, langmodel, license, mixture, neardup, quality, substrings, tokens, toxicity, warc
 
@@ -254,6 +255,40 @@ def test_substrings_periodic(spark):
     assert got == {i: sum(g) for (i, _, _), g in zip(rows, _removed(rows), strict=True)}
 
 
+def test_substrings_frequent(spark):
+    """The rows of a very frequent region do not meet in one task."""
+    shared = spark.range(6000, numPartitions=8).select(F.when(F.col("id") < 5000, 1).otherwise(F.col("id") % 700 + 2).alias("fp"), F.lit(7).alias("region"), "id")
+    kinds = shared.groupBy("fp", "region").agg(F.count("*").alias("n"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as if the repeated regions were too many to send
+    try:
+        rows = substrings.repeated(shared, kinds).select("id", "fp", F.spark_partition_id().alias("task")).collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    often = Counter(1 if i < 5000 else i % 700 + 2 for i in range(6000))
+    assert sorted(r["id"] for r in rows) == [i for i in range(6000) if often[1 if i < 5000 else i % 700 + 2] > 1]
+    assert max(Counter(r["task"] for r in rows if r["fp"] == 1).values()) <= 1000
+
+
+def test_substrings_slices(spark, monkeypatch):
+    """Slices that share their bytes but differ at the ends in very many ways are not sorted in one bucket."""
+    rng = random.Random(8)
+    text = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    common = text(394)
+    rows = [(i, text(rng.randint(1, 60)) + rng.choice(["", "a", "bb", "ccc", "dddd"]) + common + rng.choice(["", "e", "ff", "ggg"]) + text(rng.randint(1, 60)), "") for i in range(60)]
+    rows += [(100 + i, text(30) + "abc" + common + "hgfe" + text(30), "") for i in range(3)]
+    monkeypatch.setattr(substrings, "MOST_REGIONS", 1)
+    monkeypatch.setattr(substrings, "MOST_SLICES", 1, raising=False)
+
+    def unsorted(rows):
+        raise AssertionError("sorted in one bucket")
+
+    monkeypatch.setattr(substrings, "_sort_bucket", unsorted)
+    got = {r["doc_id"]: (r["n_removed"], r["n_spans"], r["kept"]) for r in substrings.dedup(spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")).collect()}
+    want = {i: (sum(g), len(re.findall(b"\x01+", bytes(g))), bytes(x for x, y in zip(t.encode(), g, strict=True) if not y)) for (i, t, _), g in zip(rows, _removed(rows), strict=True)}
+    assert len({n for n, _, _ in want.values()}) > 3
+    assert got == want
+
+
 def test_substrings_of_over_50_words(spark):
     """Over 50 words that repeat in 399 bytes stay, by the contract; 400 bytes go."""
     words = " ".join(f"w{k:05d}" for k in range(57))
