@@ -8,7 +8,8 @@ trie: a level for each group, a branch for each count. It is cut into cells, sub
 some thousand words, by the counts of its upper nodes. A depth-first search carries all
 words of a batch through the trie at once, each with a budget of one surplus and then one
 deficit, first through the upper nodes, which says what cells a word must visit, then
-through the cell. What reaches a leaf together is compared letter by letter. A pair is met
+through the cell. A cell that very many words visit is dealt to several tasks, each with all
+words of the cell and a share of the visitors. What reaches a leaf together is compared letter by letter. A pair is met
 once, from the word whose vector is larger, since its first difference is the surplus.
 
 Defined results: a null text has no words, a null id counts as an empty string, repeated
@@ -39,6 +40,8 @@ MOST = 15
 FIRST_LEVELS = 4
 #: A cell has at most so many words, or 1 / 8192 of all, unless they share a whole vector; so there are 8192 larger nodes on a level at most.
 CELL_WORDS, CELLS = 16_384, 8_192
+#: Words that visit a cell in one task, by the most words that a cell has.
+ASKED = 4
 #: Words that go through a cell at once, pairs that are compared at once, vectors that are compared without further branching, bytes of a word in a matrix.
 BATCH, PAIRS, BUCKET, WIDE = 65_536, 1 << 18, 128, 32
 
@@ -334,6 +337,14 @@ def _tasks(words: DataFrame, total: int) -> int:
     return max(int(words.sparkSession.conf.get("spark.sql.shuffle.partitions")), total // CELL_WORDS)
 
 
+def shared_out(routed: DataFrame, most: int) -> DataFrame:
+    """``routed`` with ``part``: cells with over ``most`` visitors have several, each with all words of the cell and a share of the visitors."""
+    parts = routed.groupBy("cell").agg(F.ceil(F.sum((~F.col("mine")).cast("long")) / most).cast("int").alias("parts")).where("parts > 1")
+    rows = routed.join(F.broadcast(parts), "cell", "left")
+    part = F.when(F.col("parts").isNull(), F.array(F.lit(0))).when(F.col("mine"), F.sequence(F.lit(0), F.col("parts") - 1)).otherwise(F.array(F.pmod(F.xxhash64("word"), F.col("parts")).cast("int")))
+    return rows.select("cell", F.explode(part).alias("part"), "mine", "word", "n")
+
+
 def near_words(words: DataFrame, cell_words: int = CELL_WORDS) -> DataFrame:
     """word, n_near, best_n, best for each of the distinct ``words`` (word, n) that has near words: their number, the largest n of them, and the first word with it."""
     total = words.count()
@@ -357,7 +368,7 @@ def near_words(words: DataFrame, cell_words: int = CELL_WORDS) -> DataFrame:
             yield out()
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, cell = None, None
+        at, cell = None, None  # at: a cell and a part of it
         own: list[pa.RecordBatch] = []
         asked: list[pa.RecordBatch] = []
 
@@ -371,7 +382,8 @@ def near_words(words: DataFrame, cell_words: int = CELL_WORDS) -> DataFrame:
             nonlocal cell
             if own:
                 cell = Cell(words_of(own))
-                cell.search(cell.own, True)
+                if at[1] == 0:  # the other parts have the same words
+                    cell.search(cell.own, True)
             found = []
             if asked:
                 batch = words_of(asked)
@@ -383,14 +395,14 @@ def near_words(words: DataFrame, cell_words: int = CELL_WORDS) -> DataFrame:
             yield from (x for x in found if x is not None)
 
         for batch in batches:
-            ids = batch["cell"].to_numpy()
-            cuts = [0, *(np.flatnonzero(ids[1:] != ids[:-1]) + 1).tolist(), len(ids)]
+            ids, parts = batch["cell"].to_numpy(), batch["part"].to_numpy()
+            cuts = [0, *(np.flatnonzero((ids[1:] != ids[:-1]) | (parts[1:] != parts[:-1])) + 1).tolist(), len(ids)]
             for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
                 if lo == hi:
                     continue
-                if ids[lo] != at:
+                if (ids[lo], parts[lo]) != at:
                     yield from answers(True)
-                    at = ids[lo]
+                    at = (ids[lo], parts[lo])
                 part = batch.slice(lo, hi - lo)
                 mine = part["mine"].true_count
                 if mine:
@@ -401,8 +413,9 @@ def near_words(words: DataFrame, cell_words: int = CELL_WORDS) -> DataFrame:
                         yield from answers(False)
         yield from answers(True)
 
-    routed = words.select("word", "n").mapInArrow(route, "cell int, mine boolean, word string, n long")
-    met = routed.repartition(_tasks(words, total), "cell").sortWithinPartitions("cell", F.desc("mine")).mapInArrow(search, "word string, n_near long, best_n long, best string")
+    routed = materialise(words.select("word", "n").mapInArrow(route, "cell int, mine boolean, word string, n long"), "spelling-routes")
+    dealt = shared_out(routed, ASKED * max(cell_words, total // CELLS))
+    met = dealt.repartition(_tasks(words, total), "cell", "part").sortWithinPartitions("cell", "part", F.desc("mine")).mapInArrow(search, "word string, n_near long, best_n long, best string")
     best = F.min(F.struct((-F.col("best_n")).alias("k"), "best"))
     return met.groupBy("word").agg(F.sum("n_near").alias("n_near"), best.alias("b")).select("word", "n_near", (-F.col("b.k")).alias("best_n"), "b.best")
 

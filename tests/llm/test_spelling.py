@@ -88,6 +88,20 @@ def test_small_batches(spark, want, monkeypatch):
     assert rows_of(spelling.group(docs, cell_words=9)) == want
 
 
+def test_visited_cells(spark, want, monkeypatch):
+    """A cell that many words visit is dealt to several tasks; each has all words of the cell, a visitor goes to one."""
+    routed = spark.createDataFrame([(c, k < 5, f"word{c}{k:04d}", k) for c, m in ((0, 1005), (1, 90)) for k in range(m)], "cell int, mine boolean, word string, n long")
+    rows = spelling.shared_out(routed, 100).collect()
+    assert {r["part"] for r in rows if r["cell"] == 0} == set(range(10)) and {r["part"] for r in rows if r["cell"] == 1} == {0}
+    assert set(Counter(r["word"] for r in rows if r["mine"] and r["cell"] == 0).values()) == {10}
+    visitors = [r for r in rows if not r["mine"]]
+    assert len(visitors) == len({r["word"] for r in visitors}) == 1085
+    assert max(Counter((r["cell"], r["part"]) for r in visitors).values()) < 200
+    monkeypatch.setattr(spelling, "ASKED", 1)
+    docs = spark.createDataFrame([(i, t, "w", 1, 2, "h") for i, t in corpus()], SCHEMA)
+    assert rows_of(spelling.group(docs, cell_words=20)) == want
+
+
 def test_no_rows(spark):
     assert spelling.group(spark.createDataFrame([], SCHEMA)).count() == 0
     assert spelling.group(spark.createDataFrame([(1, "only once alone", "w", 1, 2, "h")], SCHEMA)).count() == 0
