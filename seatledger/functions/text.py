@@ -98,14 +98,14 @@ def fold(x: Column, punctuation: bool = True) -> Column:
     return F.replace(F.translate(f, P.APOSTROPHES, "'" * len(P.APOSTROPHES)), F.lit("-"), F.lit(" ")) if punctuation else f
 
 
-def strip_tags(x: Column) -> Column:
-    return unescape(F.regexp_replace(F.coalesce(x, F.lit("")), r"<[^>]+>", ""))
+def strip_tags(x: Column, decoded: Callable[[Column], Column] = unescape) -> Column:
+    return decoded(F.regexp_replace(F.coalesce(x, F.lit("")), r"<[^>]+>", ""))
 
 
-def pre_text(body: Column) -> Column:
-    """Text of the first ``pre`` element, or of the whole page."""
+def pre_text(body: Column, decoded: Callable[[Column], Column] = unescape) -> Column:
+    """Text of the first ``pre`` element, or of the whole page; ``decoded`` does its references."""
     inner = F.regexp_extract(body, r"(?is)<pre[^>]*>(.*?)</pre>", 1)
-    return strip_tags(F.when(body.rlike(r"(?is)<pre[^>]*>.*?</pre>"), inner).otherwise(body))
+    return strip_tags(F.when(body.rlike(r"(?is)<pre[^>]*>.*?</pre>"), inner).otherwise(body), decoded)
 
 
 def flat_text(body: Column, rejoin: bool = True) -> Column:
