@@ -36,11 +36,12 @@ def clean_member(x: Column) -> Column:
 
 def titlecase(x: Column) -> Column:
     """Capital after every non-letter, the small words on, of, and, the lowered, the first letter a capital."""
-    parts = F.transform(F.split(clean(x), r"(?<=[^\p{L}])"), F.initcap)
-    t = F.array_join(parts, "")
+    t = F.array_join(F.transform(F.split(clean(x), r"(?<=[^\p{L}])"), F.initcap), "")
+    # A pattern runs where its letters stand at all.
+    lowered = lambda w: lambda v: F.when(F.contains(v, F.lit(w)), F.regexp_replace(v, rf"(?U)\b{w}\b", w.lower())).otherwise(v)
     for small in ("On", "Of", "And", "The"):
-        t = F.regexp_replace(t, rf"(?U)\b{small}\b", small.lower())
-    return F.concat(F.upper(F.substring(t, 1, 1)), F.substr(t, F.lit(2)))
+        t = let(t, lowered(small))
+    return let(t, lambda v: F.concat(F.upper(F.substring(v, 1, 1)), F.substr(v, F.lit(2))))
 
 
 def clean_committee(x: Column, title: bool = True) -> Column:

@@ -8,6 +8,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` in several tasks for each core, for rows that cost much each: a small file is one task, however many rows it has."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= 4 * cores else df.repartition(4 * cores)
+
+
 def pick_first(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     """The first row of each key by ``order``."""
     return df.withColumn("_sl_rn", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where("_sl_rn = 1").drop("_sl_rn")

@@ -30,3 +30,19 @@ def test_html_pre_text_odd_pages(spark, tmp_path):
         "<p>a</p><pre>b</pre><article>c <pre>d</pre> e</article> f", "<PRE x>a</PRE> b < pre <pre c", "</article>x<article>y", "<article></article>z", "<article>a\n<b\n>c</b></article>d<article>e</article>", "<a <pre>b</pre >c</pre>", "", None,
     ]
     assert _equal(spark, tmp_path, "html_pre_text", pages=spark.createDataFrame(list(enumerate(pages)), "page_id long, html string")) == len(pages) - 1
+
+
+def test_signer_reads_each_line_once(spark):
+    """The plan names the closing sentence once; where it breaks between lines, in exotic spaces, or stands in a note, as before."""
+    from pyspark.sql import functions as F
+
+    from seatledger.operators import letters
+
+    cases = [
+        ("Ann Oak,\nMember of Congress.\nX. Without  \n\x1f objection, so", "Ann Oak"), ("A\nBob  Elm.\nU. S. Representative, x\nThe RESIGNATION is\n\n accepted", "Bob Elm"), ("Cy Ash;\n  tenth-x  DISTRICT, ohio\nDone\n===  Note ===\nWithout objection", "Cy Ash"),
+        ("Di Fir\n　Chair　\n____\nthe resignation is accepted\nEd Yew\nWithout objection", "Di Fir"), ("Without objection\nEd Yew", None), ("=== NOTE ===\nA", None), ("A\nunited nations\nresignation\nWITHOUT OBJECTION", "resignation"), ("x Flo Box\u0085Majority  Leader.", "Flo Box"),
+    ]
+    rows = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(cases)], "i int, t string")
+    assert [r[0] for r in rows.orderBy("i").select(letters.signer(F.col("t"))).collect()] == [w for _, w in cases]
+    plan = rows.select(letters.signer(F.col("t")))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("without objection") <= 2
