@@ -46,3 +46,19 @@ def test_signer_reads_each_line_once(spark):
     assert [r[0] for r in rows.orderBy("i").select(letters.signer(F.col("t"))).collect()] == [w for _, w in cases]
     plan = rows.select(letters.signer(F.col("t")))._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("without objection") <= 2
+
+
+def test_index_of_texts_is_bounded(spark, monkeypatch):
+    """A batch is indexed some texts at a time, a long text alone, and the rows are those of one piece."""
+    from seatledger.operators import search
+
+    texts = spark.createDataFrame([(1, "abcab"), (2, None), (3, ""), (4, "x" * 50), (5, "é😀é😀"), (6, "abc")], "id long, t string").coalesce(1)
+    rows = lambda: sorted((r["id"], r["gram"], tuple(r["at"])) for r in search.grams(texts, "id", "t").collect())
+    whole = rows()
+    monkeypatch.setattr(search, "CHARACTERS", 8)
+    assert rows() == whole and len(whole) > 10
+    import numpy as np
+
+    assert search._pieces(np.array([3, 0, 50, 4, 4, 1]), 8) == [(0, 2), (2, 3), (3, 5), (5, 6)] and search._pieces(np.array([], int), 8) == []
+    found = search.find(spark.createDataFrame([("abc",), ("é",)], "query string"), texts, search.grams(texts, "id", "t"), "id", "t")
+    assert sorted(map(tuple, found.collect())) == [("abc", 1), ("abc", 6), ("é", 5)]
