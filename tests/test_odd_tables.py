@@ -79,3 +79,16 @@ def test_equal_names_and_candidates_meet_once(spark, tmp_path, monkeypatch):
     customer = spark.createDataFrame([(i, 5 * (i % 2), 1.0 - 2 * (i % 7 == 0), "BUILDING" if i % 50 else "MACHINERY") for i in range(4000)], "c_custkey long, c_nationkey int, c_acctbal double, c_mktsegment string")
     assert _equal(spark, tmp_path, "resolve_cascade", supplier=supplier, customer=customer) >= 0
     assert max(met) < 20_000, met
+
+
+def test_points_of_one_level_are_not_copied(spark, tmp_path):
+    """Terms from 21 days to open ones are filed on one level, under which a date looks up one cell."""
+    from seatledger.operators import intervals
+
+    orders = spark.sql("select id as o_orderkey, id % 40 as o_custkey, timestamp'1992-03-01' + make_interval(0, 0, 0, cast(id * 7 % 2500 as int)) as o_orderdate from range(3000)")
+    customer = spark.sql("select id as c_custkey from range(40)")
+    assert _equal(spark, tmp_path, "served_terms", orders=orders, customer=customer) > 1000
+    plan = queries.QUERIES["served_terms"](spark, str(tmp_path))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Generate explode") == 2, plan  # the five terms of a customer, and the cells of a term
+    assert intervals.levels({0: (10**6, 10**6), 20: (10**6, 10**12)}, 10**6) == {0: 3, 20: 20}
+    assert intervals.levels({5: (9, 180), 9: (9, 2800)}, 10**6) == {5: 8, 9: 8} and intervals.levels({}, 5) == {}
