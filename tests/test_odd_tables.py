@@ -92,3 +92,30 @@ def test_points_of_one_level_are_not_copied(spark, tmp_path):
     assert plan.count("Generate explode") == 2, plan  # the five terms of a customer, and the cells of a term
     assert intervals.levels({0: (10**6, 10**6), 20: (10**6, 10**12)}, 10**6) == {0: 3, 20: 20}
     assert intervals.levels({5: (9, 180), 9: (9, 2800)}, 10**6) == {5: 8, 9: 8} and intervals.levels({}, 5) == {}
+
+
+def test_compressed_array_file(spark, tmp_path, monkeypatch):
+    """A compressed array is the same text to any zstd reader, places and numbers are those of it, and ranges of any size read it."""
+    import json
+
+    import pyarrow as pa
+    from pyspark.sql import functions as F
+
+    from seatledger.sources import arrayfile
+
+    rows = [(i, f'é "{{[,\n  {{ {i},' * (i % 50)) for i in range(3000)]
+    df = spark.createDataFrame(rows, "i long, s string").repartition(7)
+    plain, packed = f"{tmp_path}/x.json", f"{tmp_path}/x.json.zst"
+    for path in (plain, packed):
+        arrayfile.export(df, F.to_json(F.struct("i", "s")), [F.col("i")], path, compressed=path == packed)
+    text = open(plain, "rb").read()
+    assert pa.input_stream(packed, compression="zstd").read() == text and [e["i"] for e in json.loads(text)] == list(range(3000))
+    assert len(open(packed, "rb").read()) < len(text) / 4 and sorted(p.name for p in tmp_path.iterdir()) == ["x.json", "x.json.zst"]
+    for size in (100, 50_000, 1 << 30):
+        got = arrayfile._read(spark, packed, size).orderBy("number").collect()
+        assert [r["number"] for r in got] == list(range(3000))
+        assert [text[r["place"] :][: len(r["element"].encode())] for r in got] == [r["element"].encode() for r in got]
+        assert [(r["i"], r["s"]) for r in arrayfile.read(spark, packed, "i long, s string", size).orderBy("place").collect()] == rows
+        assert sorted((r["number"], r["i"]) for r in arrayfile.numbered(spark, packed, "i long", size).collect()) == [(i, i) for i in range(3000)]
+    arrayfile.export(df.where("i < 0"), F.to_json(F.struct("i")), [F.col("i")], packed, compressed=True)
+    assert pa.input_stream(packed, compression="zstd").read() == b"[]\n" and arrayfile.numbered(spark, packed, "i long").count() == 0
