@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from . import patterns as P
+from .text import let
 
 
 def any_of(phrases: tuple[str, ...]) -> str:
@@ -27,11 +28,14 @@ CUES = ("rank", "chair", "after", "ahead")
 
 def may_hold_note(x: Column) -> Column:
     """Whether ``x`` holds a bracket or a word of a note; where not, no pattern of this module changes it."""
-    lowered = F.lower(x)
-    cued = F.contains(x, F.lit("("))
-    for cue in CUES:
-        cued = cued | F.contains(lowered, F.lit(cue))
-    return cued
+
+    def cued(lowered: Column) -> Column:
+        found = F.contains(lowered, F.lit("("))
+        for cue in CUES:
+            found = found | F.contains(lowered, F.lit(cue))
+        return found
+
+    return let(F.lower(x), cued)
 
 
 def is_note(x: Column) -> Column:
@@ -72,4 +76,4 @@ def without_senate_roles(x: Column) -> Column:
 
 def without_group_note(x: Column) -> Column:
     """A list of members without the note on their common rank."""
-    return F.regexp_replace(x, rf"(?i)[,;\s]*\b{GROUP_OPENING}\s.*$", "")
+    return F.when(F.contains(F.lower(x), F.lit("rank")), F.regexp_replace(x, rf"(?i)[,;\s]*\b{GROUP_OPENING}\s.*$", "")).otherwise(x)

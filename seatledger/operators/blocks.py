@@ -27,8 +27,7 @@ def _segments(text: Column, start: str) -> Column:
 
 def _parted(segment: Column, mark: str) -> Column:
     """Header and body of a segment: what stands before and after the first mark; a null body without one."""
-    parts = F.split(segment, mark, 2)
-    return F.struct(F.trim(F.get(parts, F.lit(0))).alias("head"), F.trim(F.get(parts, F.lit(1))).alias("body"))
+    return T.let(F.split(segment, mark, 2), lambda parts: F.struct(F.trim(F.get(parts, F.lit(0))).alias("head"), F.trim(F.get(parts, F.lit(1))).alias("body")))
 
 
 def _told(parts: Column) -> Column:
@@ -40,14 +39,19 @@ def _before(text: Column, mark: str) -> Column:
     return F.get(F.split(text, mark, 2), F.lit(0))
 
 
-#: What follows the last member of a document.
-END = r"(?i)\bAttest\s*:|<all>"
+#: What follows the last member of a document. Like the header below, it begins with one character, which most places fail at once.
+END = r"(?i)[a<](?:(?<=\ba)ttest\s*:|(?<=<)all>)"
+HEADER = r"C(?<=\bC)(?:ommittee|OMMITTEE)\s+[A-Za-z]"
 
 
 def _positioned(df: DataFrame) -> DataFrame:
-    """A row for each block with a committee; block_pos keeps the order of the document."""
+    """A row for each block with a committee; block_pos keeps the order of the document.
+
+    Outer, and without what is null: of an inner explode the optimizer makes a test that the array is not empty, which
+    parses each document once more.
+    """
     kept = [c for c in df.columns if c != "blocks"]
-    return df.select(*kept, F.posexplode("blocks").alias("block_pos", "_sl_b")).select(*kept, "block_pos", "_sl_b.*").where("committee <> ''")
+    return df.select(*kept, F.posexplode_outer("blocks").alias("block_pos", "_sl_b")).select(*kept, "block_pos", "_sl_b.*").where("committee <> ''")
 
 
 def house_xml(docs: DataFrame) -> DataFrame:
@@ -74,11 +78,12 @@ def without_provisos(text: Column) -> Column:
         return F.when(known, F.coalesce(F.get(F.split(piece, r"\.", 2), F.lit(1)), F.lit(""))).otherwise(F.concat(F.lit(" Provided, That "), piece))
 
     whole = lambda pieces: F.concat(F.get(pieces, F.lit(0)), F.array_join(F.transform(F.slice(pieces, 2, F.greatest(F.size(pieces) - 1, F.lit(0))), told), ""))
-    return T.let(F.split(text, r"(?i)\s*:?\s*\bProvided,\s+That\s+"), whole)
+    cut = T.let(F.split(text, r"(?i)\s*:?\s*\bProvided,\s+That\s+"), whole)
+    return F.when(F.contains(F.lower(text), F.lit("provided,")), cut).otherwise(text)
 
 
-def _rank_sentence(op: Column) -> Column:
-    """committee, name, raw of a text that is one sentence on a member's rank; null otherwise.
+def _rank_sentence(text: Column) -> Column:
+    """committee, name, raw of a text (without what follows its end) that is one sentence on a member's rank; null otherwise.
 
     The committee stands before the member ("on the Committee on X, Mr. Y shall rank after Z")
     or behind the rank ("Mr. Y shall rank after Z on the Committee on X").
@@ -97,17 +102,18 @@ def _rank_sentence(op: Column) -> Column:
         first = before == ""
         return F.struct(first.alias("first"), F.when(first, F.get(behind, F.lit(0))).otherwise(after).alias("committee"), F.trim(F.when(first, F.get(behind, F.lit(1))).otherwise(before)).alias("raw"))
 
-    said = F.trim(F.rtrim(F.trim(F.regexp_replace(_before(op, END), r"(?i)^Resolved,\s*That\s+", "")), F.lit(".")))
-    return T.let(said, lambda s: F.when(~F.contains(s, F.lit(":")), T.let(F.split(s, on, 2), lambda parts: T.let(parted(parts), read))))
+    said = F.trim(F.rtrim(F.trim(F.regexp_replace(text, r"(?i)^Resolved,\s*That\s+", "")), F.lit(".")))
+    return F.when(~F.contains(text, F.lit(":")), T.let(said, lambda s: T.let(F.split(s, on, 2), lambda parts: T.let(parted(parts), read))))
 
 
 def house_text_blocks(body: Column) -> Column:
     """Blocks of a House text: a lone rank sentence, or joint committees, or committee blocks; the first kind found counts."""
-    return T.let(T.operative(T.flat_text(body)), lambda flat: T.let(without_provisos(flat), _blocks_of))
+    whole = T.let(T.flat_text(body), T.operative)
+    return T.let(whole, lambda flat: T.let(without_provisos(flat), lambda op: T.let(_before(op, END), lambda text: _blocks_of(op, text))))
 
 
-def _blocks_of(op: Column) -> Column:
-    text = _before(op, END)
+def _blocks_of(op: Column, text: Column) -> Column:
+    """Blocks of the operative text; ``text`` is it without what follows its end. Patterns run where a word of theirs stands."""
     rank_block = lambda r: F.array(_block(T.clean_committee(F.concat(F.lit("Committee on "), r["committee"])), F.array(F.struct(r["name"].alias("clean"), r["raw"].alias("raw"))), ranked=False))
 
     # (a) Joint Committee on X.--The following Members are hereby elected to it: (1) A. (2) B.
@@ -119,14 +125,16 @@ def _blocks_of(op: Column) -> Column:
     inline = lambda found: F.transform(found, lambda p: _block(T.clean_committee(p["head"]), M.split_any(p["body"])))
 
     # Committee on X: A, B. The header ends at a colon, at a period, or at a period and a dash.
-    headed = F.transform(_segments(text, r"\b(?:Committee|COMMITTEE)\s+[A-Za-z]"), lambda s: _parted(s, r"\.--|[:.]"))
+    headed = F.transform(_segments(text, HEADER), lambda s: _parted(s, r"\.--|[:.]"))
     name = lambda p: F.concat(F.lit("Committee on "), F.regexp_replace(p["head"], r"(?i)^committee\s+(?:on\s+)?", ""))
     # Another clause or sentence ends the members; the number of the next header is none of them.
-    listed = lambda p: N.without_group_note(F.trim(F.regexp_replace(_before(p["body"], r"Resolved,\s*That\b|In\s+lieu\s+of\b"), r"\(\d+\)\s*$", "")))
+    ended = lambda b: F.when(F.contains(b, F.lit("Resolved,")) | F.contains(b, F.lit("lieu")), _before(b, r"Resolved,\s*That\b|In\s+lieu\s+of\b")).otherwise(b)
+    listed = lambda p: T.let(F.trim(F.regexp_replace(ended(p["body"]), r"\(\d+\)\s*$", "")), N.without_group_note)
     usual = F.transform(_told(headed), lambda p: _block(T.clean_committee(name(p)), T.let(listed(p), M.split_any)))
+    jointly = lambda found: F.when(F.contains(F.lower(text), F.lit("joint")), found).otherwise(F.array().cast("array<struct<head:string,body:string>>"))
     elects = F.contains(F.lower(op), F.lit("elected to the following"))
     return T.let(
-        F.struct(_rank_sentence(op).alias("rank"), letters.alias("letters"), joint.alias("joint")),
+        F.struct(_rank_sentence(text).alias("rank"), jointly(letters).alias("letters"), jointly(joint).alias("joint")),
         lambda r: F.when(r["rank"].isNotNull(), rank_block(r["rank"])).when(F.size(r["letters"]) > 0, lettered(r["letters"])).when(F.size(r["joint"]) > 0, inline(r["joint"])).when(elects, usual).otherwise(F.array().cast(BLOCK)),
     )
 

@@ -13,6 +13,9 @@ from ..functions.text import clean, clean_member, let
 
 COMMA_STATE = r"(?i),\s*(?:" + "|".join(re.escape(s) for s in sorted(P.STATES, key=lambda s: (-len(s), s))) + r")\s*(?:[;.(]|$)"
 
+#: A word (of letters, digits, underscores, periods) that begins with an honorific, in lower case.
+HONORIFIC = r"(?:{0})\.(?<![\p{{L}}\p{{N}}_.](?:{0})\.)".format("|".join(P.GENDERS))
+
 
 def _fragments(text: Column, pattern: str) -> Column:
     return F.filter(F.transform(F.split(clean(text), pattern), F.trim), lambda f: f != "")
@@ -24,7 +27,8 @@ def _member_fragments(text: Column) -> Column:
     Cut behind each parenthesis, so that no break looks ahead to the end of a long text. Clean text has no line feed.
     """
     def broken(piece: Column) -> Column:
-        return F.regexp_replace(piece, f"[,;]| (?:{'|'.join(P.ANDS)}) ", "\n")
+        # A comma, a semicolon, or an "and" between spaces.
+        return F.regexp_replace(piece, f"[,; ](?:(?<! )|(?:{'|'.join(P.ANDS)}) )", "\n")
 
     pieces = F.split(clean(text), r"(?<=[()])")
     marked = F.transform(pieces, lambda p: F.when(p.endswith(")"), p).otherwise(broken(p)))
@@ -33,8 +37,8 @@ def _member_fragments(text: Column) -> Column:
 
 def _bare(x: Column) -> Column:
     """Without an "and" that begins it."""
-    first = F.lower(F.substring_index(x, " ", 1))
-    return F.trim(F.when(F.contains(x, F.lit(" ")) & first.isin(*P.ANDS), F.substr(x, F.length(first) + 2)).otherwise(x))
+    bare = lambda first: F.trim(F.when(F.contains(x, F.lit(" ")) & first.isin(*P.ANDS), F.substr(x, F.length(first) + 2)).otherwise(x))
+    return let(F.lower(F.substring_index(x, " ", 1)), bare)
 
 
 def _pair(name: Column, raw: Column) -> Column:
@@ -55,7 +59,7 @@ def split_with_notes(text: Column) -> Column:
 
     def merged(frags: Column) -> Column:
         # Where names begin: the first fragment, and each that is no note. Slices between them copy a fragment once.
-        starts = F.filter(F.transform(frags, lambda f, i: F.when((i == 0) | ~N.continues(_bare(f)), i)), lambda i: i.isNotNull())
+        starts = F.filter(F.transform(frags, lambda f, i: F.when((i == 0) | ~let(_bare(f), N.continues), i)), lambda i: i.isNotNull())
         return let(starts, lambda s: F.transform(s, lambda i, k: F.array_join(F.slice(frags, i + 1, F.coalesce(F.get(s, k + 1), F.size(frags)) - i), ", ")))
 
     def noted(r: Column) -> Column:
@@ -104,7 +108,7 @@ def split_senate(text: Column) -> Column:
 
 def is_name_state(text: Column) -> Column:
     """A comma before a state anywhere, or no honorific at all."""
-    return text.rlike(COMMA_STATE) | ~F.exists(F.split(F.lower(text), r"[^\p{L}\p{N}_.]+"), lambda w: F.exists(F.array(*[F.lit(f"{h}.") for h in P.GENDERS]), lambda h: F.startswith(w, h)))
+    return text.rlike(COMMA_STATE) | ~F.lower(text).rlike(HONORIFIC)
 
 
 def split_any(text: Column) -> Column:

@@ -119,3 +119,35 @@ def test_compressed_array_file(spark, tmp_path, monkeypatch):
         assert sorted((r["number"], r["i"]) for r in arrayfile.numbered(spark, packed, "i long", size).collect()) == [(i, i) for i in range(3000)]
     arrayfile.export(df.where("i < 0"), F.to_json(F.struct("i")), [F.col("i")], packed, compressed=True)
     assert pa.input_stream(packed, compression="zstd").read() == b"[]\n" and arrayfile.numbered(spark, packed, "i long").count() == 0
+
+
+def test_house_text_patterns(spark):
+    """The patterns that begin with one character find what the plain ones find, and those of absent words do not run."""
+    import random
+
+    from pyspark.sql import functions as F
+
+    from seatledger.operators import blocks, members
+
+    rng = random.Random(5)
+    words = ["Attest", " attest :", "xattest:", "<all>", "<", "Committee on", "COMMITTEE  A", "subCommittee on", "Mr.", "é.mr.", "Mrs. ", "_ms.", " miss.", ", ", ";", " and ", " & ", "  and ", " and, ", "a", "9", " ", ".", "é", "😀mr.", "(", ")"]
+    texts = ["".join(rng.choice(words) for _ in range(rng.randint(0, 9))) for _ in range(3000)]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    low, honorific = F.lower("t"), F.array(*[F.lit(f"{h}.") for h in ("mr", "ms", "mrs", "miss")])
+    named = F.exists(F.split(low, r"[^\p{L}\p{N}_.]+"), lambda w: F.exists(honorific, lambda h: F.startswith(w, h)))
+    got = df.select(
+        F.split("t", blocks.END) == F.split("t", r"(?i)\bAttest\s*:|<all>"), F.split("t", f"(?={blocks.HEADER})") == F.split("t", r"(?=\b(?:Committee|COMMITTEE)\s+[A-Za-z])"), low.rlike(members.HONORIFIC) == named,
+        F.split("t", "[,; ](?:(?<! )|(?:and|&) )") == F.split("t", "[,;]| (?:and|&) "),
+    )
+    assert all(all(r) for r in got.collect())
+
+
+def test_documents_are_parsed_once(spark):
+    """The plan cuts a House text once: no test for an empty list of blocks repeats the parser."""
+    from seatledger.operators import blocks
+
+    docs = spark.createDataFrame([(1, "<pre>Resolved, That the following are elected to the following: Committee on Rules: Mr. Oak. Attest: x</pre>"), (2, ""), (3, None)], "i int, body string")
+    rows = blocks.house_text(docs)
+    assert [(r["i"], r["block_pos"], r["committee"]) for r in rows.collect()] == [(1, 0, "Committee on Rules")]
+    plan = rows.select("i", "committee", "pairs")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("posexplode") == 1 and plan.count("all>") == 1, plan
